@@ -129,15 +129,12 @@ def top_partner(od: DataFrame) -> DataFrame:
 
 
 def station_coordinates(trips: DataFrame, spec: TripSpec = TripSpec()) -> DataFrame:
-    """One position per station: that of its latest arrival with a position."""
-    here = F.struct(F.col(spec.end_lat).alias("lat"), F.col(spec.end_lng).alias("lng"))
+    """One position per station: the mean of its arrivals' positions."""
     known = F.col(spec.end_lat).isNotNull() & F.col(spec.end_lng).isNotNull()
-    latest = F.max(F.struct(F.col(spec.ended_at).alias("at"), here.alias("here")))
     return (
         trips.where(F.col(spec.end_station).isNotNull() & known)
         .groupBy(F.col(spec.end_station).alias("station"))
-        .agg(latest.alias("_last"))
-        .select("station", F.col("_last.here.lat").alias("lat"), F.col("_last.here.lng").alias("lng"))
+        .agg(F.avg(spec.end_lat).alias("lat"), F.avg(spec.end_lng).alias("lng"))
     )
 
 

@@ -413,7 +413,7 @@ def fit_panel(
     keys = ", ".join(f"`{k}` {types[k]}" for k in by)
     group = [*by, "_first", "_last", "_folds", "_block"]
 
-    def block(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         out = _block_sums(pdf)
         for name, value in zip(reversed(group), reversed(key)):
             out.insert(0, name, value)
@@ -426,7 +426,7 @@ def fit_panel(
     )
     width = design.trend_width + len(design.season_groups())
 
-    def solve(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         total, rows = _Sums(width), []
         pending = list(pdf.sort_values("block_no", ascending=False).itertuples(index=False))
         first, last, count = (int(pdf[c].iloc[0]) for c in ("span_first", "span_last", "fold_count"))
@@ -492,6 +492,8 @@ def attach_regressors(
 ) -> DataFrame:
     """Known regressors on their times, carried forward where they are not known."""
     names = [c for c in features.columns if c not in (*by, ts, "y")]
+    if not names:
+        return future
     joined = future.join(features.drop("y"), [*by, ts], "left")
     return forward_fill(joined, by, ts, names, block=block)
 

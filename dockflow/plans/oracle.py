@@ -43,9 +43,9 @@ HOURLY_WEATHER = (
     + ", ".join(f"avg({r}) AS avg_{r}" for r in READINGS)
     + " FROM weather GROUP BY 1)"
 )
-AVERAGES = ", ".join(f"round(avg_{r}, 4) AS avg_{r}" for r in READINGS)
+AVERAGES = ", ".join(f"round(avg_{r}, 6) AS avg_{r}" for r in READINGS)
 REGRESSORS = ["temp", "pressure", "humidity", "wind_speed", "pop", "snow_1h", "rain_1h"]
-REGRESSOR_AVERAGES = ", ".join(f"round(avg_{r}, 4) AS avg_{r}" for r in REGRESSORS)
+REGRESSOR_AVERAGES = ", ".join(f"round(avg_{r}, 6) AS avg_{r}" for r in REGRESSORS)
 
 FRAME = FLOWS + """,
 frame AS (SELECT station, h AS ds, num_rides_in - num_rides_out AS y FROM flows)"""
@@ -251,8 +251,8 @@ SELECT station, h AS ds, {REGRESSOR_AVERAGES}, num_rides_in - num_rides_out AS y
 FROM flows JOIN hourly ON h = wh WHERE avg_snow_1h IS NOT NULL AND avg_rain_1h IS NOT NULL""",
     "daily_weather": f"""
 {_with(WEATHER)}
-SELECT CAST(dt AS DATE) AS date, round(avg(temp), 4) AS avg_temperature, round(avg(rain_1h), 4) AS avg_precipitation,
-       round(avg(wind_speed), 4) AS avg_wind_speed FROM weather GROUP BY 1""",
+SELECT CAST(dt AS DATE) AS date, round(avg(temp), 6) AS avg_temperature, round(avg(rain_1h), 6) AS avg_precipitation,
+       round(avg(wind_speed), 6) AS avg_wind_speed FROM weather GROUP BY 1""",
     "station_departures": f"""
 {_with(OD)} SELECT ride_id, end_station_name, started_at FROM od WHERE start_station_name = 'NATION_3'""",
     "station_touching": f"""
@@ -297,16 +297,16 @@ WHERE o_orderpriority = '1-URGENT' GROUP BY 1""",
     "holiday_effect": f"""
 {_with(DAILY)}
 SELECT dayofweek(date) IN (0, 6) OR ({_holiday("date")}) IS NOT NULL AS is_holiday,
-       round(avg(trip_count), 4) AS average_trip_count FROM daily GROUP BY 1""",
+       round(avg(trip_count), 6) AS average_trip_count FROM daily GROUP BY 1""",
     "holiday_effect_limited": f"""
 {_with(DAILY)}
 SELECT (dayofweek(date) IN (0, 6) AND date BETWEEN DATE '1996-01-01' AND DATE '1998-03-31')
        OR (({_holiday("date")}) IS NOT NULL AND year(date) BETWEEN 1996 AND 1998) AS is_holiday,
-       round(avg(trip_count), 4) AS average_trip_count FROM daily GROUP BY 1""",
+       round(avg(trip_count), 6) AS average_trip_count FROM daily GROUP BY 1""",
     "holiday_effect_table": f"""
 {_with(DAILY)}
 SELECT date IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1) AS is_holiday,
-       round(avg(trip_count), 4) AS average_trip_count FROM daily GROUP BY 1""",
+       round(avg(trip_count), 6) AS average_trip_count FROM daily GROUP BY 1""",
     "holiday_flag": f"""
 {_with(DAILY)} SELECT date, trip_count, ({_holiday("date")}) IS NOT NULL AS is_holiday FROM daily""",
     "calendar": _calendar(
@@ -319,8 +319,8 @@ SELECT date IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_quantity =
     "daily_trips_weather": f"""
 {_with(WEATHER)}, d AS (SELECT CAST(ts AS DATE) AS date, count(event_id) AS trip_count FROM events GROUP BY 1),
 w AS (SELECT CAST(dt AS DATE) AS date, avg(temp) AS t, avg(rain_1h) AS r, avg(wind_speed) AS s FROM weather GROUP BY 1)
-SELECT date, trip_count, round(t, 4) AS avg_temperature, round(r, 4) AS avg_precipitation,
-       round(s, 4) AS avg_wind_speed FROM d JOIN w USING (date)""",
+SELECT date, trip_count, round(t, 6) AS avg_temperature, round(r, 6) AS avg_precipitation,
+       round(s, 6) AS avg_wind_speed FROM d JOIN w USING (date)""",
     "weather_correlation_zero": f"""
 {_with(PAIRED)}
 SELECT round(corr(trip_count, coalesce(t, 0)), 6) AS corr_avg_temperature,
@@ -344,8 +344,8 @@ SELECT CAST(hour(ts) AS INTEGER) AS hour, strftime(ts, '%a') AS day_of_week, cou
     "weekday_weekend_by_hour": """
 SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) FILTER (dayofweek(ts) NOT IN (0, 6)) AS weekday_count,
        count(*) FILTER (dayofweek(ts) IN (0, 6)) AS weekend_count,
-       round(count(*) FILTER (dayofweek(ts) NOT IN (0, 6)) / 5, 4) AS weekday_per_day,
-       round(count(*) FILTER (dayofweek(ts) IN (0, 6)) / 2, 4) AS weekend_per_day FROM events GROUP BY 1""",
+       round(count(*) FILTER (dayofweek(ts) NOT IN (0, 6)) / 5, 6) AS weekday_per_day,
+       round(count(*) FILTER (dayofweek(ts) IN (0, 6)) / 2, 6) AS weekend_per_day FROM events GROUP BY 1""",
     "od_counts_out": f"""
 {_with(OD)} SELECT start_station_name AS station, end_station_name AS partner, count(ride_id) AS trip_count
 FROM od WHERE start_station_name <> end_station_name GROUP BY 1, 2""",
@@ -356,8 +356,8 @@ FROM od WHERE start_station_name <> end_station_name AND end_station_name = 'NAT
     "top_partners_out": _top("start", "end", 10),
     "top_partners_in": _top("end", "start", 10),
     "station_coordinates": f"""
-{_with(OD)} SELECT end_station_name AS station, round(end_lat, 4) AS lat, round(end_lng, 4) AS lng FROM od
-QUALIFY row_number() OVER (PARTITION BY end_station_name ORDER BY ended_at DESC, end_lat DESC, end_lng DESC) = 1""",
+{_with(OD)} SELECT end_station_name AS station, round(avg(end_lat), 6) AS lat, round(avg(end_lng), 6) AS lng FROM od
+WHERE end_lat IS NOT NULL AND end_lng IS NOT NULL GROUP BY 1""",
     "null_profile": f"{_with(WEATHER)} SELECT "
     + ", ".join(
         f"count(*) - count({c}) AS {c}"
@@ -369,12 +369,12 @@ SELECT count(*) AS total_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS dis
        count(*) <> count(DISTINCT (l_orderkey, l_linenumber)) AS has_duplicates FROM lineitem""",
     "dedup_weather": f"""
 {_with(WEATHER)}
-SELECT date_trunc('hour', dt) AS hour, dt, round(temp, 4) AS temp, pressure, round(snow_1h, 4) AS snow_1h,
-       round(rain_1h, 4) AS rain_1h FROM weather
+SELECT date_trunc('hour', dt) AS hour, dt, round(temp, 6) AS temp, pressure, round(snow_1h, 6) AS snow_1h,
+       round(rain_1h, 6) AS rain_1h FROM weather
 QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', dt) ORDER BY dt, weather.temp, pressure, humidity) = 1""",
     "unique_values": "SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem",
     "complete_rows": f"""
-{_with(WEATHER)} SELECT dt, round(temp, 4) AS temp, round(snow_1h, 4) AS snow_1h, round(rain_1h, 4) AS rain_1h
+{_with(WEATHER)} SELECT dt, round(temp, 6) AS temp, round(snow_1h, 6) AS snow_1h, round(rain_1h, 6) AS rain_1h
 FROM weather WHERE snow_1h IS NOT NULL AND rain_1h IS NOT NULL""",
     "latest_as_of": f"""
 {_with(STATUS)} SELECT station, last_reported, num_bikes_available FROM status WHERE last_reported <= {NOW}
@@ -392,7 +392,7 @@ FROM status LEFT JOIN live ON live.date_hour = date_trunc('hour', last_reported)
   WHERE last_reported >= {NOW} - INTERVAL 72 HOUR)
 SELECT event_id, station, ds, num_bikes_available, """
     + ", ".join(
-        f"round(last_value(avg_{r} IGNORE NULLS) OVER w, 4) AS avg_{r}" for r in REGRESSORS
+        f"round(last_value(avg_{r} IGNORE NULLS) OVER w, 6) AS avg_{r}" for r in REGRESSORS
     )
     + """ FROM joined
 WINDOW w AS (PARTITION BY station ORDER BY ds, num_bikes_available ROWS UNBOUNDED PRECEDING)""",
@@ -401,11 +401,11 @@ WINDOW w AS (PARTITION BY station ORDER BY ds, num_bikes_available ROWS UNBOUNDE
   SELECT event_id, station, last_reported, num_bikes_available, avg_rain_1h AS r, avg_snow_1h AS s
   FROM status LEFT JOIN hourly ON wh = date_trunc('hour', last_reported))
 SELECT event_id, station, last_reported, num_bikes_available,
-       round(last_value(r IGNORE NULLS) OVER w, 4) AS avg_rain, round(last_value(s IGNORE NULLS) OVER w, 4) AS avg_snow
+       round(last_value(r IGNORE NULLS) OVER w, 6) AS avg_rain, round(last_value(s IGNORE NULLS) OVER w, 6) AS avg_snow
 FROM joined WINDOW w AS (PARTITION BY station ORDER BY last_reported, event_id ROWS UNBOUNDED PRECEDING)""",
     "running_inventory": f"""
 {_with(FITTED)}
-SELECT station, ds, round(yhat, 4) + 0.0 AS yhat, 50 + CAST(sum(round_even(yhat, 0)) OVER (
+SELECT station, ds, round(yhat, 6) + 0.0 AS yhat, 50 + CAST(sum(round_even(yhat, 0)) OVER (
          PARTITION BY station ORDER BY ds ROWS UNBOUNDED PRECEDING) AS BIGINT) AS num_bikes_available FROM fitted""",
     "running_bikes": f"""
 {_with(STATUS)}
@@ -419,7 +419,7 @@ SELECT event_id, bikes AS num_bikes_available, {STOCK_MESSAGE} AS status_message
 {_with(FITTED, HOURLY_STATUS)}, moved AS (
   SELECT station, ds, yhat, 50 + CAST(sum(round_even(yhat, 0)) OVER (
            PARTITION BY station ORDER BY ds ROWS UNBOUNDED PRECEDING) AS BIGINT) AS x FROM fitted)
-SELECT station, ds, round(yhat, 4) + 0.0 AS yhat, x AS num_bikes_available_x,
+SELECT station, ds, round(yhat, 6) + 0.0 AS yhat, x AS num_bikes_available_x,
        num_bikes_available AS num_bikes_available_y, x - num_bikes_available AS residual
 FROM moved JOIN hourly_status USING (station, ds)""",
     "gold_inventory": f"""
@@ -439,17 +439,17 @@ SELECT station, stage, count(*) AS rows, round(avg(e), 6) AS bias, round(avg(abs
 joined AS (SELECT f.station, f.ds, f.is_future, known.* EXCLUDE (station, ds) FROM future f
            LEFT JOIN known ON known.station = f.station AND known.ds = f.ds)
 SELECT station, ds, is_future, """
-    + ", ".join(f"round(last_value(avg_{r} IGNORE NULLS) OVER w, 4) AS avg_{r}" for r in REGRESSORS)
+    + ", ".join(f"round(last_value(avg_{r} IGNORE NULLS) OVER w, 6) AS avg_{r}" for r in REGRESSORS)
     + " FROM joined WINDOW w AS (PARTITION BY station ORDER BY ds ROWS UNBOUNDED PRECEDING)",
     "seasonal_profile": f"""
 {_with(PROFILE)}
 SELECT station, ['Sun', 'Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat'][dow + 1] AS day_of_week, CAST(hh AS INTEGER) AS hour,
-       round(yhat, 4) + 0.0 AS yhat, round(yhat_lower, 4) + 0.0 AS yhat_lower, round(yhat_upper, 4) + 0.0 AS yhat_upper
+       round(yhat, 6) + 0.0 AS yhat, round(yhat_lower, 6) + 0.0 AS yhat_lower, round(yhat_upper, 6) + 0.0 AS yhat_upper
 FROM profile""",
     "profile_forecast": f"""
 {_with(PROFILE, FUTURE)}
-SELECT f.station, f.ds, f.is_future, round(yhat, 4) + 0.0 AS yhat, round(yhat_lower, 4) + 0.0 AS yhat_lower,
-       round(yhat_upper, 4) + 0.0 AS yhat_upper
+SELECT f.station, f.ds, f.is_future, round(yhat, 6) + 0.0 AS yhat, round(yhat_lower, 6) + 0.0 AS yhat_lower,
+       round(yhat_upper, 6) + 0.0 AS yhat_upper
 FROM future f LEFT JOIN profile p ON p.station = f.station AND p.dow = dayofweek(f.ds) AND p.hh = hour(f.ds)""",
     "cv_folds": f"""
 {_with(CUTOFFS)}
@@ -458,8 +458,8 @@ SELECT c.station, c.fold, c.cutoff, count(*) FILTER (f.ds <= c.cutoff) AS train_
 FROM cutoffs c JOIN frame f ON f.station = c.station GROUP BY 1, 2, 3""",
     "cv_predictions": f"""
 {_with(CV)}
-SELECT station, fold, ds, y, round(yhat, 4) + 0.0 AS yhat, round(yhat_lower, 4) + 0.0 AS yhat_lower,
-       round(yhat_upper, 4) + 0.0 AS yhat_upper FROM cv""",
+SELECT station, fold, ds, y, round(yhat, 6) + 0.0 AS yhat, round(yhat_lower, 6) + 0.0 AS yhat_lower,
+       round(yhat_upper, 6) + 0.0 AS yhat_upper FROM cv""",
     "cv_metrics": f"{_with(CV)} SELECT station, {METRICS} FROM cv GROUP BY 1",
     "cv_metrics_overall": f"{_with(CV)} SELECT {METRICS} FROM cv",
     "best_params": f"""
@@ -477,7 +477,7 @@ CROSS JOIN (SELECT unnest([0.01, 0.1, 1.0, 10.0]::DOUBLE[]) AS v) sps
 CROSS JOIN (SELECT unnest([0.01, 0.1, 1.0, 10.0]::DOUBLE[]) AS v) hps
 CROSS JOIN (SELECT unnest(['additive', 'multiplicative']) AS v) sm""",
     "forecast_residuals": f"""
-{_with(FITTED)} SELECT station, ds, round(yhat, 4) + 0.0 AS yhat, y, round(yhat - y, 4) + 0.0 AS residual FROM fitted""",
+{_with(FITTED)} SELECT station, ds, round(yhat, 6) + 0.0 AS yhat, y, round(yhat - y, 6) + 0.0 AS residual FROM fitted""",
     "residual_trend": f"""
 {_with(CV)}
 SELECT station, round(regr_slope(residual, yhat), 6) AS slope, round(regr_intercept(residual, yhat), 6) AS intercept,
@@ -491,9 +491,9 @@ FROM cv GROUP BY 1""",
 SELECT station, CAST(CASE WHEN residual < -2.05 THEN 0 WHEN residual >= 2.05 THEN 11
        ELSE floor(10 * (residual + 2.05) / 4.1) + 1 END AS BIGINT) AS bin, count(*) AS count FROM cv GROUP BY 1, 2""",
     "price_percentiles": """
-SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.05), 4) AS p5,
-       round(quantile_cont(l_extendedprice, 0.5), 4) AS p50, round(quantile_cont(l_extendedprice, 0.95), 4) AS p95,
-       round(quantile_cont(l_quantity, 0.5), 4) AS quantity_p50 FROM lineitem GROUP BY 1""",
+SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.05), 6) AS p5,
+       round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.95), 6) AS p95,
+       round(quantile_cont(l_quantity, 0.5), 6) AS quantity_p50 FROM lineitem GROUP BY 1""",
     "registry_latest": LATEST_STAGE,
     "registry_lifecycle": f"""
 {_with(CV)}
@@ -510,7 +510,7 @@ FROM events WHERE event_type IN ('click', 'view')""",
 SELECT l_returnflag, count(*) AS trips, sum(l_quantity) AS quantity FROM lineitem
 WHERE l_shipdate >= '1996-01-01' AND l_shipdate < '1996-07-01' GROUP BY 1""",
     "balanced_round_trip": f"""
-{_with(WEATHER)} SELECT dt, round(temp, 4) AS temp, pressure, round(rain_1h, 4) AS rain_1h FROM weather""",
+{_with(WEATHER)} SELECT dt, round(temp, 6) AS temp, pressure, round(rain_1h, 6) AS rain_1h FROM weather""",
     "table_detail": """
 SELECT count(*) AS num_rows, CAST(11 AS INTEGER) AS num_columns, true AS has_bytes FROM lineitem""",
     "stream_status": f"""
@@ -520,8 +520,8 @@ SELECT CAST(station AS VARCHAR) AS station_id, date_trunc('second', last_reporte
        CASE WHEN num_bikes_available > 0 THEN 'active' ELSE 'out_of_service' END AS station_status FROM status""",
     "stream_weather": f"""
 {_with(WEATHER)}
-SELECT date_trunc('second', dt) AS dt, round(temp, 4) AS temp, pressure, humidity, round(wind_speed, 4) AS wind_speed,
-       round(pop, 4) AS pop, round(rain_1h, 4) AS rain_1h FROM weather""",
+SELECT date_trunc('second', dt) AS dt, round(temp, 6) AS temp, pressure, humidity, round(wind_speed, 6) AS wind_speed,
+       round(pop, 6) AS pop, round(rain_1h, 6) AS rain_1h FROM weather""",
     "stream_dedup": f"""
 {_with(STATUS)}
 SELECT DISTINCT CAST(station AS VARCHAR) AS station_id, date_trunc('second', last_reported) AS last_reported

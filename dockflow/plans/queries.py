@@ -47,7 +47,7 @@ def _shown(df: DataFrame, digits: int) -> DataFrame:
     return df.select(*shown)
 
 
-def query(digits: int = 4):
+def query(digits: int = 6):
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -254,12 +254,12 @@ def _hourly_trips_weather(spark, sf):
     return explore.daily_trips_weather(trips, readings)
 
 
-@query(6)
+@query()
 def weather_correlation_zero(spark, sf):
     return explore.weather_correlation(_hourly_trips_weather(spark, sf), "zero")
 
 
-@query(6)
+@query()
 def weather_correlation_skip(spark, sf):
     return explore.weather_correlation(_hourly_trips_weather(spark, sf), "skip")
 
@@ -442,7 +442,7 @@ def gold_inventory(spark, sf):
     return _gold(spark, sf)
 
 
-@query(6)
+@query()
 def compare_stages(spark, sf):
     return evaluation.compare_stages(_gold(spark, sf), ["station", "stage"])
 
@@ -486,12 +486,12 @@ def cv_predictions(spark, sf):
     return _cv(spark, sf)
 
 
-@query(6)
+@query()
 def cv_metrics(spark, sf):
     return evaluation.forecast_metrics(_cv(spark, sf), ["station"])
 
 
-@query(6)
+@query()
 def cv_metrics_overall(spark, sf):
     return evaluation.forecast_metrics(_cv(spark, sf))
 
@@ -503,7 +503,7 @@ def _shrunk_metrics(spark, sf):
     return evaluation.forecast_metrics(sized, ["station", "shrink"])
 
 
-@query(6)
+@query()
 def best_params(spark, sf):
     return evaluation.best_params(_shrunk_metrics(spark, sf), ["shrink"], ["station"])
 
@@ -526,12 +526,12 @@ def forecast_residuals(spark, sf):
     return evaluation.residuals(forecasts, frame).select("station", "ds", "yhat", "y", "residual")
 
 
-@query(6)
+@query()
 def residual_trend(spark, sf):
     return evaluation.residual_trend(_cv_residuals(spark, sf), ["station"])
 
 
-@query(6)
+@query()
 def residual_distribution(spark, sf):
     return evaluation.residual_distribution(_cv_residuals(spark, sf), ["station"])
 
