@@ -139,13 +139,20 @@ def hourly_net_flow(trips: DataFrame, spec: TripSpec = TripSpec(), densify: bool
     key, and partial sums are formed before the shuffle, so what moves is at most one row per station, hour and
     task however many trips a station has. ``densify`` adds hours without any ride.
     """
+    flows = _flows_by_hour(trips, spec)
+    if densify:
+        flows = _with_quiet_hours(flows)
+    return _net(_split_hour(flows, "start_date_column", "start_hour"))
+
+
+def _flows_by_hour(trips: DataFrame, spec: TripSpec) -> DataFrame:
     counted = F.col(spec.ride).isNotNull().cast("long")
-    moves = F.array(
-        F.struct(F.col(spec.end_station).alias("station"), F.col(spec.ended_at).alias("at"), F.lit(True).alias("arrives")),
-        F.struct(F.col(spec.start_station).alias("station"), F.col(spec.started_at).alias("at"), F.lit(False).alias("arrives")),
+    arrival, departure = (
+        F.struct(F.col(side.station).alias("station"), F.col(side.at).alias("at"), F.lit(arrives).alias("arrives"))
+        for side, arrives in ((spec.side("end"), True), (spec.side("start"), False))
     )
-    flows = (
-        trips.select(counted.alias("rides"), F.inline(moves))
+    return (
+        trips.select(counted.alias("rides"), F.inline(F.array(arrival, departure)))
         .where(F.col("station").isNotNull() & F.col("at").isNotNull())
         .groupBy("station", hour_of(F.col("at")).alias("_hour"))
         .agg(
@@ -153,9 +160,6 @@ def hourly_net_flow(trips: DataFrame, spec: TripSpec = TripSpec(), densify: bool
             F.sum(F.when(F.col("arrives"), 0).otherwise(F.col("rides"))).alias("num_rides_out"),
         )
     )
-    if densify:
-        flows = _with_quiet_hours(flows)
-    return _net(_split_hour(flows, "start_date_column", "start_hour"))
 
 
 def _with_quiet_hours(flows: DataFrame) -> DataFrame:
@@ -183,9 +187,12 @@ def _with_quiet_hours(flows: DataFrame) -> DataFrame:
 
 def hourly_weather(weather: DataFrame, ts: str = "dt", readings: Sequence[str] = HOURLY_READINGS) -> DataFrame:
     """Mean of each reading per hour, missing readings left out."""
+    return _split_hour(_means_by_hour(weather, ts, readings), "weather_date", "weather_hour")
+
+
+def _means_by_hour(weather: DataFrame, ts: str, readings: Sequence[str]) -> DataFrame:
     means = [F.avg(c).alias(f"avg_{c}") for c in readings]
-    grouped = weather.groupBy(hour_of(F.col(ts)).alias("_hour")).agg(*means)
-    return _split_hour(grouped, "weather_date", "weather_hour")
+    return weather.groupBy(hour_of(F.col(ts)).alias("_hour")).agg(*means)
 
 
 def daily_weather(weather: DataFrame, ts: str = "dt") -> DataFrame:
@@ -200,8 +207,8 @@ def daily_weather(weather: DataFrame, ts: str = "dt") -> DataFrame:
 def enrich_with_weather(flows: DataFrame, weather: DataFrame) -> DataFrame:
     """Hourly flows with the hour's weather, flows without weather kept.
 
-    No broadcast hint: hourly weather grows with the years covered. It is far smaller than the flows, and its size
-    is known before the flows are shuffled for this join, so adaptive execution broadcasts it while it fits.
+    No broadcast hint: hourly weather grows with the years covered. It is far smaller than the flows, and Spark
+    broadcasts it while its size allows.
     """
     same_hour = (F.col("start_date_column") == F.col("weather_date")) & (
         F.col("start_hour") == F.col("weather_hour")
@@ -210,8 +217,27 @@ def enrich_with_weather(flows: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def silver_hourly(trips: DataFrame, weather: DataFrame, spec: TripSpec = TripSpec(), ts: str = "dt") -> DataFrame:
-    """Hourly flows with complete weather: the table models and reports read."""
-    return complete_rows(enrich_with_weather(hourly_net_flow(trips, spec), hourly_weather(weather, ts)))
+    """Hourly flows with complete weather: the table models and reports read.
+
+    The rows of :func:`enrich_with_weather` that are complete, joined on the hour itself. Dates and labels are only
+    made for the result: as join keys they would be formatted for every trip, in the null test that Spark derives
+    from a join and moves down to the scan.
+    """
+    means = _means_by_hour(weather, ts, HOURLY_READINGS)
+    averages = [f"avg_{c}" for c in HOURLY_READINGS]
+    joined = _flows_by_hour(trips, spec).join(complete_rows(means, averages), "_hour")
+    date, label = F.to_date("_hour"), hour_label(F.col("_hour"))
+    return joined.select(
+        "station",
+        date.alias("start_date_column"),
+        label.alias("start_hour"),
+        "num_rides_in",
+        "num_rides_out",
+        (F.col("num_rides_in") - F.col("num_rides_out")).alias("net_change"),
+        date.alias("weather_date"),
+        label.alias("weather_hour"),
+        *averages,
+    )
 
 
 def to_model_frame(silver: DataFrame) -> DataFrame:

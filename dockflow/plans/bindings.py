@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from dockflow.functions.timeparts import hour_of, model_time
 from dockflow.operators import flows, forecast, inventory
+from dockflow.sources.writers import settle
 from dockflow.spec import TripSpec
 
 # Evaluation scheme for thirty days of events.
@@ -133,13 +134,17 @@ def od_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flow_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Net change per station and hour, without weather: the panel the forecasters learn from."""
+    """Net change per station and hour, without weather: the panel the forecasters learn from.
+
+    Evaluation reads it from several sides, so it is written once, as the silver table is.
+    """
     hourly = flows.hourly_net_flow(event_trips(spark, sf_dir))
-    return hourly.select(
+    frame = hourly.select(
         "station",
         model_time(F.col("start_date_column"), F.col("start_hour")).alias("ds"),
         F.col("net_change").alias("y"),
     )
+    return settle(frame, "panel")
 
 
 def weather_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,10 +152,11 @@ def weather_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.to_model_frame(flows.silver_hourly(event_trips(spark, sf_dir), weather(spark, sf_dir)))
 
 
-def profile_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fitted_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile forecast of every station and hour of the panel."""
     frame = flow_frame(spark, sf_dir)
-    return forecast.apply_profile(frame.select("station", "ds"), forecast.seasonal_profile(frame))
+    fitted = forecast.apply_profile(frame.select("station", "ds"), forecast.seasonal_profile(frame))
+    return fitted.select("station", "ds", "yhat")
 
 
 def hourly_status(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -397,7 +397,7 @@ def forward_fill(spark, sf):
 
 @query()
 def running_inventory(spark, sf):
-    forecasts = b.profile_forecast(spark, sf).select("station", "ds", "yhat")
+    forecasts = b.fitted_profile(spark, sf)
     return inventory.running_inventory(forecasts, 50, block="week")
 
 
@@ -422,14 +422,14 @@ def stock_messages(spark, sf):
 
 @query()
 def forecast_vs_actual(spark, sf):
-    forecasts = inventory.running_inventory(b.profile_forecast(spark, sf).select("station", "ds", "yhat"), 50)
+    forecasts = inventory.running_inventory(b.fitted_profile(spark, sf), 50)
     return inventory.forecast_vs_actual(forecasts, b.hourly_status(spark, sf))
 
 
 def _gold(spark, sf):
     """Two stages of the same model: the profile, and the profile at half its size."""
     forecasts = forecast.with_settings(
-        b.profile_forecast(spark, sf).select("station", "ds", "yhat"), {"stage": ["Staging", "Production"]}
+        b.fitted_profile(spark, sf), {"stage": ["Staging", "Production"]}
     ).withColumn("yhat", F.when(F.col("stage") == "Staging", F.col("yhat")).otherwise(F.col("yhat") / 2))
     first = inventory.latest_as_of(b.status(spark, sf), ["station"], "last_reported", ["num_bikes_available"], NOW)
     return inventory.gold_inventory(
@@ -458,7 +458,8 @@ def future_frame(spark, sf):
 @query()
 def attach_regressors(spark, sf):
     ahead = series.future_frame(b.flow_frame(spark, sf), ["station"], "ds", 24)
-    return forecast.attach_regressors(ahead, b.weather_frame(spark, sf))
+    known = writers.settle(b.weather_frame(spark, sf), "features")
+    return forecast.attach_regressors(ahead, known)
 
 
 @query()
@@ -468,8 +469,9 @@ def seasonal_profile(spark, sf):
 
 @query()
 def profile_forecast(spark, sf):
-    ahead = series.future_frame(b.flow_frame(spark, sf), ["station"], "ds", 24)
-    return forecast.apply_profile(ahead, forecast.seasonal_profile(b.flow_frame(spark, sf)))
+    frame = b.flow_frame(spark, sf)
+    ahead = series.future_frame(frame, ["station"], "ds", 24)
+    return forecast.apply_profile(ahead, forecast.seasonal_profile(frame))
 
 
 @query()
@@ -561,7 +563,7 @@ def ridge_forecast(spark, sf):
 
 @query()
 def ridge_weather_forecast(spark, sf):
-    frame = b.weather_frame(spark, sf)
+    frame = writers.settle(b.weather_frame(spark, sf), "features")
     models = forecast.fit_panel(frame, ["station"], design=WEATHER_DESIGN, **b.SCHEME)
     return forecast.forecast(frame, models, ["station"], WEATHER_DESIGN).select(
         "station", "ds", "is_future", "yhat", "yhat_lower", "yhat_upper"
@@ -602,7 +604,7 @@ def registry_lifecycle(spark, sf):
     """Two versions of every station's model; the first goes to production, the second is staged."""
     path = scratch_path(spark, "registry")
     registry.create_registry(spark, path)
-    scores = evaluation.forecast_metrics(_cv(spark, sf), ["station"])
+    scores = writers.settle(evaluation.forecast_metrics(_cv(spark, sf), ["station"]), "scores")
     models = scores.select(
         F.format_string("station_%d", "station").alias("model_name"),
         F.create_map(F.lit("kind"), F.lit("profile")).alias("params"),

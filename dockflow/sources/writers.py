@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dockflow.session import scratch_path
+from dockflow.sources.readers import read_table
+
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", by: Sequence[str] = (), **options
@@ -16,6 +19,17 @@ def write_table(
     (writer.partitionBy(*by) if by else writer).save(path)
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared scratch folder and read it back.
+
+    For a result that several branches of one plan read: without this each branch computes it again, and a lost
+    executor takes the computation back to the first input.
+    """
+    path = scratch_path(df.sparkSession, label)
+    write_table(df, path)
+    return read_table(df.sparkSession, path)
+
+
 def ensure_database(spark: SparkSession, database: str) -> None:
     """Create a database if needed and make it current."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
