@@ -123,16 +123,10 @@ def gold_inventory(
     ``extra`` are further columns of the forecast that belong to the series, such as model stage and version.
     """
     series = [*by, *extra]
-    base = running_inventory(forecast, stock, series, block=block) if not isinstance(stock, DataFrame) else (
-        _stocked(forecast, stock, by, series, block)
-    )
-    pairs = forecast_vs_actual(with_status(base, capacity=capacity), observed, [*by, "ds"])
-    return pairs.select(
+    if isinstance(stock, DataFrame):
+        start = stock.select(*by, F.col("num_bikes_available").alias("_stock"))
+        forecast, stock = forecast.join(start, list(by), "left"), F.col("_stock")
+    base = with_status(running_inventory(forecast, stock, series, block=block), capacity=capacity)
+    return forecast_vs_actual(base, observed, [*by, "ds"]).select(
         *series, "ds", "num_bikes_available_x", "num_bikes_available_y", "residual", "status_message", "is_full"
     )
-
-
-def _stocked(forecast: DataFrame, stock: DataFrame, by: Sequence[str], series: list[str], block: str) -> DataFrame:
-    start = stock.select(*by, F.col("num_bikes_available").alias("_stock"))
-    with_stock = forecast.join(start, list(by), "left")
-    return running_inventory(with_stock, F.col("_stock"), series, block=block).drop("_stock")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from dockflow.functions.timeparts import epoch_to_ts, hour_of
 from dockflow.operators import evaluation, explore, flows, forecast, inventory, quality, registry
 from dockflow.sources.readers import clean_names, read_table, read_trips_csv, read_weather_csv
-from dockflow.sources.writers import balance, cluster_by, ensure_database, publish
+from dockflow.sources.writers import balance, cluster_by, ensure_database, publish, write_table
 from dockflow.spec import TripSpec
 from dockflow.streaming.streams import status_events, weather_events
 
@@ -103,33 +103,48 @@ def run_explore(spark: SparkSession, config: PipelineConfig, station: str | None
 
 
 def run_train(spark: SparkSession, config: PipelineConfig) -> None:
-    """Fit and evaluate every setting for every station, register each station's best, and stage it."""
+    """Fit and evaluate every setting for every station; register, keep and stage each station's best model."""
     frame = flows.to_model_frame(read_table(spark, config.path("silver_weather_trip"), config.fmt))
     scheme = {"initial": config.initial, "horizon": config.horizon, "period": config.period}
     fitted = forecast.fit_panel(frame, ["station"], config.grid, config.design, folds=True, **scheme)
     models = _save(fitted, config, "models")
-    held_out = forecast.cv_predict(frame, models, ["station"], config.design, **scheme)
     setting = ["setting_id", *forecast.SETTING_COLUMNS]
-    scored = evaluation.forecast_metrics(held_out, ["station", *setting])
-    metrics = _save(scored, config, "model_metrics")
-    best = evaluation.best_params(metrics, setting, ["station"])
-    final = models.where(F.col("fold") == forecast.ALL_HISTORY)
-    chosen = final.join(best.select("station", "setting_id"), ["station", "setting_id"], "left_semi")
+    held_out = forecast.cv_predict(frame, models, ["station"], config.design, **scheme)
+    metrics = _save(evaluation.forecast_metrics(held_out, ["station", *setting]), config, "model_metrics")
+    best = evaluation.best_params(metrics, setting, ["station"]).select("station", "setting_id")
     scores = metrics.select("station", "setting_id", *evaluation.METRICS)
-    entries = chosen.join(scores, ["station", "setting_id"], "left").select(
-        F.concat(F.col("station"), F.lit("_model")).alias("model_name"),
-        F.create_map(*[x for c in setting for x in (F.lit(c), F.col(c).cast("string"))]).alias("params"),
-        F.create_map(*[x for c in evaluation.METRICS for x in (F.lit(c), F.col(c))]).alias("metrics"),
+    chosen = (
+        models.where(F.col("fold") == forecast.ALL_HISTORY)
+        .drop("fold", "train_rows")
+        .join(best, ["station", "setting_id"], "left_semi")
+        .join(scores, ["station", "setting_id"], "left")
+        .withColumns(
+            {
+                "model_name": F.concat(F.col("station"), F.lit("_model")),
+                "params": F.create_map(*[x for c in setting for x in (F.lit(c), F.col(c).cast("string"))]),
+                "metrics": F.create_map(*[x for c in evaluation.METRICS for x in (F.lit(c), F.col(c))]),
+            }
+        )
     )
     path = config.path("registry")
     registry.create_registry(spark, path)
-    registry.register_versions(path, entries, config.now)
-    newest = registry.open_registry(spark, path).groupBy("model_name").agg(F.max("version").alias("version"))
-    versions = _save(newest, config, "registered_versions")
+    numbered = registry.next_versions(registry.open_registry(spark, path), chosen)
+    latest = _save(numbered, config, "models_latest")
+    write_table(latest, config.path("models_registered"), config.fmt, mode="append")
+    registry.register_versions(path, latest.select("model_name", "params", "metrics"), config.now)
     stages = ["Staging", "Production"] if config.promote else ["Staging"]
     for step, stage in enumerate(stages, 1):
-        registry.transition_stage(path, versions, stage, config.now + timedelta(seconds=step))
-    _save(chosen.drop("fold"), config, "chosen_models")
+        registry.transition_stage(path, latest, stage, config.now + timedelta(seconds=step))
+
+
+def staged_models(spark: SparkSession, config: PipelineConfig) -> DataFrame:
+    """The model behind the latest version of every station in every stage."""
+    versions = registry.latest_versions(registry.open_registry(spark, config.path("registry")))
+    kept = read_table(spark, config.path("models_registered"), config.fmt)
+    columns = ["trend_coef", "season_coef", "lift_base", "lift_slope", "sigma", "_first", "_last"]
+    return versions.join(kept, ["model_name", "version"]).select(
+        "station", "stage", F.col("version").alias("model_version"), *columns
+    )
 
 
 def _with_station_name(status: DataFrame, stations: Mapping[str, str]) -> DataFrame:
@@ -141,52 +156,49 @@ def _with_station_name(status: DataFrame, stations: Mapping[str, str]) -> DataFr
 
 
 def run_app(spark: SparkSession, config: PipelineConfig) -> None:
-    """Forecast the last hours per station, run the inventory, and write gold and the outlook."""
-    status = _with_station_name(status_events(read_table(spark, config.status, config.fmt)), config.stations)
+    """Current state, gold (the last hours' forecast stock beside the observed) and the outlook of the next hours."""
+    reports = _with_station_name(status_events(read_table(spark, config.status, config.fmt)), config.stations)
+    status = flows.as_of(reports, "last_reported", config.now)
     weather = weather_events(read_table(spark, config.live_weather, config.fmt))
-    models = read_table(spark, config.path("chosen_models"), config.fmt).drop("train_rows")
-    entries = registry.latest_versions(registry.open_registry(spark, config.path("registry")))
-    stages = entries.select(
-        F.regexp_replace("model_name", "_model$", "").alias("station"),
-        "stage",
-        F.col("version").alias("model_version"),
-    )
-    seen = inventory.inference_frame(
-        flows.as_of(status, "last_reported", config.now), weather, config.now, config.hours, by="station"
-    )
-    # One row per station and hour, as in the history the models learned from: hourly changes add up once per hour.
-    hourly = inventory.latest_as_of(
-        seen.withColumn("_hour", hour_of(F.col("ds"))),
-        ["station", "_hour"],
-        "ds",
-        ["num_bikes_available", *config.design.regressors],
-    ).drop("ds").withColumnRenamed("_hour", "ds")
-    predicted = forecast.predict(hourly.drop("num_bikes_available"), models, ["station"], config.design)
-    before = flows.as_of(status, "last_reported", config.now - timedelta(hours=config.hours))
-    stock = inventory.latest_as_of(before, ["station"], "last_reported", ["num_bikes_available"])
-    gold = inventory.gold_inventory(
-        predicted.join(stages, "station"),
-        hourly,
-        stock,
-        extra=["stage", "model_version"],
-    )
-    _save(gold, config, "gold_data")
-    now_stock = inventory.latest_as_of(
-        flows.as_of(status, "last_reported", config.now), ["station"], "last_reported", ["num_bikes_available"]
-    )
-    _save(_outlook(spark, config, hourly, now_stock, models), config, "gold_outlook")
+    stock = inventory.latest_as_of(status, ["station"], "last_reported", ["num_bikes_available"])
+    hourly = _save(_hourly_state(status, weather, config), config, "recent_hours")
+    models = _save(staged_models(spark, config), config, "staged_models")
+    series = ["stage", "model_version"]
 
+    predicted = forecast.predict(hourly.drop("num_bikes_available"), models, ["station"], config.design)
+    earlier = flows.as_of(status, "last_reported", config.now - timedelta(hours=config.hours))
+    before = inventory.latest_as_of(earlier, ["station"], "last_reported", ["num_bikes_available"])
+    _save(inventory.gold_inventory(predicted, hourly, before, extra=series), config, "gold_data")
 
-def _outlook(
-    spark: SparkSession, config: PipelineConfig, hourly: DataFrame, stock: DataFrame, models: DataFrame
-) -> DataFrame:
-    """Stock and alerts of the next hours, with the latest weather carried forward."""
     history = hourly.drop("num_bikes_available")
     ahead = forecast.future_frame(history, ["station"], "ds", config.hours)
     known = forecast.attach_regressors(ahead, history).where(F.col("is_future")).drop("is_future")
-    predicted = forecast.predict(known, models, ["station"], config.design)
-    outlook = inventory.with_status(inventory.running_inventory(predicted, stock))
-    return outlook.select("station", "ds", "yhat", "num_bikes_available", "status_message", "is_full")
+    coming = forecast.predict(known, models, ["station"], config.design)
+    now_stock = coming.join(stock.select("station", F.col("num_bikes_available").alias("_stock")), "station", "left")
+    outlook = inventory.with_status(
+        inventory.running_inventory(now_stock, F.col("_stock"), ["station", *series])
+    )
+    _save(
+        outlook.select("station", *series, "ds", "yhat", "num_bikes_available", "status_message", "is_full"),
+        config,
+        "gold_outlook",
+    )
+    _save(stock, config, "current_stock")
+
+
+def _hourly_state(status: DataFrame, weather: DataFrame, config: PipelineConfig) -> DataFrame:
+    """The last report of each station and recent hour with its weather.
+
+    One row per hour, as in the history the models learned from: an hourly change must be counted once per hour
+    however often a station reports.
+    """
+    seen = inventory.inference_frame(status, weather, config.now, config.hours, by="station")
+    values = ["num_bikes_available", *config.design.regressors]
+    return (
+        inventory.latest_as_of(seen.withColumn("_hour", hour_of(F.col("ds"))), ["station", "_hour"], "ds", values)
+        .drop("ds")
+        .withColumnRenamed("_hour", "ds")
+    )
 
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> None:
