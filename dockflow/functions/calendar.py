@@ -70,22 +70,29 @@ def _falls_on(rule: OnDay | OnWeekday, date: Column) -> Column:
     return (F.month(date) == rule.month) & (F.weekday(date) == rule.weekday) & week
 
 
-def _first_match(rules, date: Column, suffix: str = "") -> Column:
-    named = [F.when(_falls_on(r, date), F.lit(r.name + suffix)) for r in rules]
-    return F.coalesce(*named)
+def _moved_to(rule: OnDay | OnWeekday, date: Column) -> Column:
+    """The Friday before or the Monday after a fixed holiday that falls on a weekend."""
+    if not isinstance(rule, OnDay):
+        return F.lit(False)
+    return ((F.weekday(date) == FRI) & _falls_on(rule, F.date_add(date, 1))) | (
+        (F.weekday(date) == MON) & _falls_on(rule, F.date_sub(date, 1))
+    )
 
 
 def holiday_name(date: Column, rules: str = "federal") -> Column:
     """Name of the holiday on a date, else null. The extended set also has the weekday a weekend holiday moves to."""
     chosen = RULES[rules]
-    name = _first_match(chosen, date)
-    if rules != "extended":
-        return name
-    fixed = [r for r in chosen if isinstance(r, OnDay)]
-    moved = F.when(
-        F.weekday(date) == FRI, _first_match(fixed, F.date_add(date, 1), " (Observed)")
-    ).when(F.weekday(date) == MON, _first_match(fixed, F.date_sub(date, 1), " (Observed)"))
-    return F.coalesce(name, moved)
+    named = [F.when(_falls_on(r, date), F.lit(r.name)) for r in chosen]
+    if rules == "extended":
+        fixed = [r for r in chosen if isinstance(r, OnDay)]
+        named += [F.when(_moved_to(r, date), F.lit(f"{r.name} (Observed)")) for r in fixed]
+    return F.coalesce(*named)
+
+
+def holiday_flags(date: Column, rules: str = "federal") -> list[Column]:
+    """One 0/1 column per holiday of the set; in the extended set a moved holiday counts on both days."""
+    hits = [_falls_on(r, date) | _moved_to(r, date) if rules == "extended" else _falls_on(r, date) for r in RULES[rules]]
+    return [F.coalesce(hit, F.lit(False)).cast("double") for hit in hits]
 
 
 def is_holiday(date: Column, rules: str = "federal") -> Column:

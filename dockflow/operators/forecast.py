@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.functions.calendar import is_holiday
+from dockflow.functions.calendar import RULES, holiday_flags
 from dockflow.functions.timeparts import weekday_name
 from dockflow.operators.series import forward_fill, future_frame
 from dockflow.spec import REGRESSORS
@@ -48,9 +48,13 @@ ALL_HISTORY = -1
 
 @dataclass(frozen=True)
 class Design:
-    """Terms of the regression. A seasonality is (period in days, number of sine and cosine pairs)."""
+    """Terms of the regression.
 
-    changepoints: int = 10
+    A seasonality is (period in days, number of sine and cosine pairs). ``holidays`` names a rule set, one term per
+    holiday; days that follow no rule can be flagged on the frame and named among the regressors.
+    """
+
+    changepoints: int = 25
     seasonalities: tuple[tuple[float, int], ...] = ((365.25, 10), (7.0, 3), (1.0, 4))
     extra: tuple[float, int] | None = (24.0, 15)
     extra_prior: float = 0.1
@@ -65,7 +69,7 @@ class Design:
         """The penalty group of each seasonal term, in column order."""
         names = ["season"] * sum(2 * order for _, order in self.seasonalities)
         names += ["extra"] * (2 * self.extra[1] if self.extra else 0)
-        names += ["holiday"] * (1 if self.holidays else 0)
+        names += ["holiday"] * (len(RULES[self.holidays]) if self.holidays else 0)
         return names + ["regressor"] * len(self.regressors)
 
 
@@ -244,11 +248,11 @@ def seasonal_features(df: DataFrame, design: Design, ts: str = "ds") -> DataFram
     if design.extra:
         season += _waves(ts, *design.extra)
     if design.holidays:
-        season.append(is_holiday(F.col(ts).cast("date"), design.holidays).cast("double"))
+        season += holiday_flags(F.col(ts).cast("date"), design.holidays)
     season += [F.col(r).cast("double") for r in design.regressors]
     return (
         df.withColumn("_t", t)
-        .withColumns({"trend_x": F.array(*trend), "season_x": F.array(*season)})
+        .withColumns({"trend_x": F.array(*trend), "season_x": F.array(*season).cast("array<double>")})
         .drop("_t")
     )
 

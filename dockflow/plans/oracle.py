@@ -195,6 +195,36 @@ gold AS (
   SELECT station, stage, ds, start + moved AS bikes, CAST(num_bikes_available AS INTEGER) AS seen
   FROM moved LEFT JOIN start_stock USING (station) JOIN hourly_status USING (station, ds))"""
 
+
+
+def _ridge_line(groups: str, rows: str) -> str:
+    """Ridge line of ``y`` on scaled time per group, from ``rows`` (groups, t, y): the slope alone is penalised.
+
+    The noise in the penalty is that of a first, loosely penalised line.
+    """
+    return f"""
+sums AS (
+  SELECT {groups}, count(*) AS n, sum(t) AS t1, sum(t * t) AS t2, sum(CAST(y AS DOUBLE)) AS y1, sum(t * y) AS ty,
+         sum(CAST(y * y AS DOUBLE)) AS y2, max(abs(y)) AS top, (count(*) + sum(t * t)) / 2 AS size
+  FROM {rows} GROUP BY {groups}),
+loose AS (
+  SELECT *, n + size * 1.001e-6 AS a, t2 + size * 1.001e-6 AS d FROM sums),
+first_line AS (
+  SELECT *, (y1 * d - t1 * ty) / (a * d - t1 * t1) AS b0, (a * ty - t1 * y1) / (a * d - t1 * t1) AS b1 FROM loose),
+noisy AS (
+  SELECT *, greatest(y2 - 2 * (b0 * y1 + b1 * ty) + b0 * b0 * n + 2 * b0 * b1 * t1 + b1 * b1 * t2, 0) / n AS noise
+  FROM first_line),
+tight AS (
+  SELECT *, n + size * 1e-9 AS a2, t2 + size * 1e-9 + greatest(noise, 1e-12) / (25 * top * top) AS d2 FROM noisy),
+line AS (
+  SELECT {groups}, n, (y1 * d2 - t1 * ty) / (a2 * d2 - t1 * t1) AS c0, (a2 * ty - t1 * y1) / (a2 * d2 - t1 * t1) AS c1
+  FROM tight)"""
+
+
+SCALED = CUTOFFS + """,
+scaled AS (
+  SELECT f.station, f.ds, f.y, epoch(f.ds - first) / epoch(last - first) AS t FROM frame f JOIN spans USING (station))"""
+
 DURATION = """date_diff('second', started_at, ended_at)"""
 
 LIVE = HOURLY_WEATHER + """,
@@ -412,7 +442,7 @@ SELECT station, ds, round(yhat, 6) + 0.0 AS yhat, 50 + CAST(sum(round_even(yhat,
 SELECT *, CAST(sum(num_bikes_available) OVER (
   PARTITION BY station ORDER BY last_reported, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS bikes_so_far
 FROM status""",
-    "stock_messages": f"""
+    "stock_status": f"""
 {_with(STATUS)}, s AS (SELECT event_id, num_bikes_available AS bikes FROM status)
 SELECT event_id, bikes AS num_bikes_available, {STOCK_MESSAGE} AS status_message, bikes >= 105 AS is_full FROM s""",
     "forecast_vs_actual": f"""
@@ -476,6 +506,17 @@ CROSS JOIN (SELECT unnest([0.001, 0.01, 0.1, 0.5]::DOUBLE[]) AS v) cps
 CROSS JOIN (SELECT unnest([0.01, 0.1, 1.0, 10.0]::DOUBLE[]) AS v) sps
 CROSS JOIN (SELECT unnest([0.01, 0.1, 1.0, 10.0]::DOUBLE[]) AS v) hps
 CROSS JOIN (SELECT unnest(['additive', 'multiplicative']) AS v) sm""",
+    "ridge_trend_forecast": f"""
+{_with(SCALED, FUTURE, _ridge_line("station", "scaled"))}
+SELECT f.station, f.ds, f.is_future, round(c0 + c1 * epoch(f.ds - first) / epoch(last - first), 6) + 0.0 AS yhat
+FROM future f JOIN spans USING (station) JOIN line USING (station)""",
+    "ridge_trend_cv": f"""
+{_with(SCALED)}, seen AS (
+  SELECT c.station, c.fold, t, y FROM cutoffs c JOIN scaled s ON s.station = c.station AND s.ds <= c.cutoff),
+{_ridge_line("station, fold", "seen")}
+SELECT s.station, c.fold, s.ds, s.y, round(c0 + c1 * s.t, 6) + 0.0 AS yhat, n AS train_rows
+FROM cutoffs c JOIN scaled s ON s.station = c.station AND s.ds > c.cutoff AND s.ds <= c.cutoff + INTERVAL 4 DAY
+JOIN line l ON l.station = c.station AND l.fold = c.fold""",
     "forecast_residuals": f"""
 {_with(FITTED)} SELECT station, ds, round(yhat, 6) + 0.0 AS yhat, y, round(yhat - y, 6) + 0.0 AS residual FROM fitted""",
     "residual_trend": f"""

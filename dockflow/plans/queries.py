@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.functions import calendar as cal
-from dockflow.functions.stock import is_full, stock_status
+from dockflow.functions import stock
 from dockflow.functions.timeparts import epoch_to_text, epoch_to_ts, with_duration, with_time_parts
 from dockflow.operators import evaluation, explore, flows, forecast, inventory, quality, registry, series
 from dockflow.plans import bindings as b
@@ -24,6 +24,8 @@ QUERIES: dict[str, Query] = {}
 NOW = "2024-01-20 12:00:00"
 PANEL_DESIGN = forecast.Design(changepoints=3, seasonalities=((7.0, 3), (1.0, 4)), extra=None, regressors=())
 WEATHER_DESIGN = forecast.Design(changepoints=2, seasonalities=((1.0, 2),), extra=None)
+TREND_DESIGN = forecast.Design(changepoints=0, seasonalities=(), extra=None, holidays=None, regressors=())
+TREND_SETTING = {**forecast.DEFAULT_SETTING, "seasonality_mode": "additive"}
 PANEL_GRID = forecast.param_grid(
     {
         "changepoint_prior_scale": [0.01, 0.5],
@@ -372,7 +374,7 @@ def latest_rows(spark, sf):
 @query()
 def status_with_weather(spark, sf):
     hourly = inventory.live_hourly_weather(b.weather(spark, sf))
-    return inventory.status_with_weather(b.status(spark, sf), hourly)
+    return inventory.status_with_weather(b.status(spark, sf), writers.settle(hourly, "hourly"))
 
 
 @query()
@@ -384,7 +386,7 @@ def _status_rain(spark, sf):
     rain = b.weather(spark, sf).groupBy(F.date_trunc("hour", "dt").alias("date_hour")).agg(
         F.avg("rain_1h").alias("avg_rain"), F.avg("snow_1h").alias("avg_snow")
     )
-    return inventory.status_with_weather(b.status(spark, sf), rain)
+    return inventory.status_with_weather(b.status(spark, sf), writers.settle(rain, "hourly"))
 
 
 @query()
@@ -410,13 +412,13 @@ def running_bikes(spark, sf):
 
 
 @query()
-def stock_messages(spark, sf):
+def stock_status(spark, sf):
     bikes = F.col("num_bikes_available")
     return b.status(spark, sf).select(
         "event_id",
         "num_bikes_available",
-        stock_status(bikes, F.lit(105)).alias("status_message"),
-        is_full(bikes, F.lit(105)).alias("is_full"),
+        stock.stock_status(bikes, F.lit(105)).alias("status_message"),
+        stock.is_full(bikes, F.lit(105)).alias("is_full"),
     )
 
 
@@ -561,6 +563,23 @@ def ridge_forecast(spark, sf):
     )
 
 
+@query()
+def ridge_trend_forecast(spark, sf):
+    """Trend only: two coefficients, few enough to state in SQL."""
+    frame = b.flow_frame(spark, sf)
+    models = forecast.fit_panel(frame, ["station"], [TREND_SETTING], TREND_DESIGN, **b.SCHEME)
+    return forecast.forecast(frame, models, ["station"], TREND_DESIGN).select("station", "ds", "is_future", "yhat")
+
+
+@query()
+def ridge_trend_cv(spark, sf):
+    """The same on every fold."""
+    frame = b.flow_frame(spark, sf)
+    models = forecast.fit_panel(frame, ["station"], [TREND_SETTING], TREND_DESIGN, folds=True, **b.SCHEME)
+    held_out = forecast.cv_predict(frame, models, ["station"], TREND_DESIGN, **b.SCHEME)
+    return held_out.select("station", "fold", "ds", "y", "yhat", "train_rows")
+
+
 @query()
 def ridge_weather_forecast(spark, sf):
     frame = writers.settle(b.weather_frame(spark, sf), "features")

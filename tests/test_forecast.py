@@ -64,7 +64,8 @@ def test_profile_forecast_of_unseen_slot_is_null(spark):
 def brute_force(pdf, setting, design, cutoff=None):
     """The same penalised regression from the full design matrix of one station."""
     first, last = pdf.ds.min(), pdf.ds.max()
-    holidays = {datetime(2022, 1, 17), datetime(2022, 2, 21)}
+    # Terms of the ten federal holidays; only the second and third fall into the history.
+    holidays = {1: datetime(2022, 1, 17), 2: datetime(2022, 2, 21)}
 
     def terms(d):
         t = (d.ds - first).dt.total_seconds().to_numpy() / (last - first).total_seconds()
@@ -75,7 +76,7 @@ def brute_force(pdf, setting, design, cutoff=None):
         for period, order in [*design.seasonalities, design.extra]:
             for k in range(1, order + 1):
                 season += [np.sin(2 * np.pi * k * days / period), np.cos(2 * np.pi * k * days / period)]
-        season.append(d.ds.dt.normalize().isin(holidays).to_numpy().astype(float))
+        season += [(d.ds.dt.normalize() == holidays.get(i)).to_numpy().astype(float) for i in range(10)]
         season.append(d.avg_temp.to_numpy())
         return np.stack(trend, 1), np.stack(season, 1), t
 
@@ -91,7 +92,7 @@ def brute_force(pdf, setting, design, cutoff=None):
     prior = np.array(
         [setting["seasonality_prior_scale"]] * (2 * sum(o for _, o in design.seasonalities))
         + [design.extra_prior] * (2 * design.extra[1])
-        + [setting["holidays_prior_scale"]] * 2
+        + [setting["holidays_prior_scale"]] * 11
     ) * (scale if additive else 1)
     trend_prior = np.array([5 * scale] * 2 + [setting["changepoint_prior_scale"] * scale] * design.changepoints)
     weights = noise / np.concatenate([trend_prior, prior]) ** 2
