@@ -18,6 +18,7 @@ from datetime import timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -275,22 +276,26 @@ def with_settings(df: DataFrame, axes: Mapping[str, Sequence] = GRID) -> DataFra
 # -- fitting ------------------------------------------------------------------------------------------------------
 
 
-def _block_sums(pdf: pd.DataFrame) -> pd.DataFrame:
+def _matrix(table: pa.Table, column: str, width: int) -> np.ndarray:
+    """An array column of fixed length as a matrix, without making an object per row."""
+    return table[column].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, width)
+
+
+def _block_sums(table: pa.Table, design: Design) -> dict:
     """Cross-products of the terms in one series and block, plain and weighted by the trend time and its square."""
-    x = np.hstack([np.stack(pdf["trend_x"]), np.stack(pdf["season_x"])])
-    y = pdf["y"].to_numpy(float)
+    season = _matrix(table, "season_x", len(design.season_groups()))
+    x = np.hstack([_matrix(table, "trend_x", design.trend_width), season])
+    y = table["y"].to_numpy().astype(float)
     t = x[:, 1:2]
     upper = np.triu_indices(x.shape[1])
     crosses = [(x.T @ (x * w))[upper] for w in (1.0, t, t * t)]
     sides = [x.T @ y, x.T @ (y * t[:, 0])]
-    return pd.DataFrame(
-        {
-            "n": [len(y)],
-            "y_max": [np.abs(y).max()],
-            "y_squares": [y @ y],
-            "sums": [np.concatenate(crosses + sides)],
-        }
-    )
+    return {
+        "n": len(y),
+        "y_max": float(np.abs(y).max()),
+        "y_squares": float(y @ y),
+        "sums": np.concatenate(crosses + sides),
+    }
 
 
 class _Sums:
@@ -417,13 +422,11 @@ def fit_panel(
     keys = ", ".join(f"`{k}` {types[k]}" for k in by)
     group = [*by, "_first", "_last", "_folds", "_block"]
 
-    def block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = _block_sums(pdf)
-        for name, value in zip(reversed(group), reversed(key)):
-            out.insert(0, name, value)
-        return out
+    def block(key: tuple, table: pa.Table) -> pa.Table:
+        names = {name: pa.array([value.as_py()], value.type) for name, value in zip(group, key)}
+        return pa.table({**names, **{name: [value] for name, value in _block_sums(table, design).items()}})
 
-    sums = placed.select(*group, "y", "trend_x", "season_x").groupBy(*group).applyInPandas(
+    sums = placed.select(*group, "y", "trend_x", "season_x").groupBy(*group).applyInArrow(
         block,
         f"{keys}, _first long, _last long, _folds int, _block int, "
         "n long, y_max double, y_squares double, sums array<double>",
