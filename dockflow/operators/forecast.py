@@ -237,25 +237,25 @@ def _waves(ts: str, period: float, order: int) -> list[Column]:
 
 
 def seasonal_features(df: DataFrame, design: Design, ts: str = "ds") -> DataFrame:
-    """Add the term arrays ``trend_x`` and ``season_x``.
-
-    The input carries ``_first`` and ``_last``, the span of the series' history in epoch seconds; the trend runs from
-    0 to 1 over it and may bend at changepoints spread over its first four fifths.
-    """
-    t = (_epoch(ts) - F.col("_first")) / F.greatest(F.col("_last") - F.col("_first"), F.lit(1)).cast("double")
-    bends = [0.8 * (i + 1) / (design.changepoints + 1) for i in range(design.changepoints)]
-    trend = [F.lit(1.0), F.col("_t"), *[F.greatest(F.col("_t") - b, F.lit(0.0)) for b in bends]]
+    """Add ``season_x``, the seasonal, holiday and regressor terms of a row."""
     season = [w for period, order in design.seasonalities for w in _waves(ts, period, order)]
     if design.extra:
         season += _waves(ts, *design.extra)
     if design.holidays:
         season += holiday_flags(F.col(ts).cast("date"), design.holidays)
     season += [F.col(r).cast("double") for r in design.regressors]
-    return (
-        df.withColumn("_t", t)
-        .withColumns({"trend_x": F.array(*trend), "season_x": F.array(*season).cast("array<double>")})
-        .drop("_t")
-    )
+    return df.withColumn("season_x", F.array(*season).cast("array<double>"))
+
+
+def trend_features(df: DataFrame, design: Design, ts: str = "ds") -> DataFrame:
+    """Add ``trend_x``. The input carries ``_first`` and ``_last``, the span of the series' history in epoch seconds.
+
+    The trend runs from 0 to 1 over the span and may bend at changepoints spread over its first four fifths.
+    """
+    t = (_epoch(ts) - F.col("_first")) / F.greatest(F.col("_last") - F.col("_first"), F.lit(1)).cast("double")
+    bends = [0.8 * (i + 1) / (design.changepoints + 1) for i in range(design.changepoints)]
+    terms = [F.lit(1.0), F.col("_t"), *[F.greatest(F.col("_t") - b, F.lit(0.0)) for b in bends]]
+    return df.withColumn("_t", t).withColumn("trend_x", F.array(*terms)).drop("_t")
 
 
 # -- settings -----------------------------------------------------------------------------------------------------
@@ -417,7 +417,8 @@ def fit_panel(
     known = frame.where(F.col("y").isNotNull())
     for name in design.regressors:
         known = known.where(F.col(name).isNotNull())
-    placed = seasonal_features(with_folds(known, by, ts, initial, horizon, period), design, ts)
+    placed = with_folds(known, by, ts, initial, horizon, period)
+    placed = trend_features(seasonal_features(placed, design, ts), design, ts)
     types = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
     keys = ", ".join(f"`{k}` {types[k]}" for k in by)
     group = [*by, "_first", "_last", "_folds", "_block"]
@@ -464,10 +465,11 @@ def _dot(a: str, b: str) -> Column:
 def predict(rows: DataFrame, models: DataFrame, on: Sequence[str], design: Design, ts: str = "ds") -> DataFrame:
     """Forecast and 80 % interval of each row under the models it joins to.
 
-    The weather and time terms are computed in Spark expressions, so forecasting needs no Python worker.
+    The seasonal terms depend on the row alone and are made before the join, once for all models of its series. All
+    terms are Spark expressions, so forecasting needs no Python worker.
     """
     on = list(on)
-    terms = seasonal_features(rows.join(models, on), design, ts)
+    terms = trend_features(seasonal_features(rows, design, ts).join(models, on), design, ts)
     lift = F.col("lift_base") + F.col("lift_slope") * F.col("trend_x")[1]
     yhat = _dot("trend_x", "trend_coef") + lift * _dot("season_x", "season_coef")
     width = F.col("sigma") * HALF_WIDTH
