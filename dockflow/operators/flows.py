@@ -132,20 +132,26 @@ def hourly_flows_joined(trips: DataFrame, spec: TripSpec = TripSpec()) -> DataFr
     return _net(_split_hour(joined, "start_date_column", "start_hour"))
 
 
-def hourly_net_flow(trips: DataFrame, spec: TripSpec = TripSpec(), densify: bool = False) -> DataFrame:
+def hourly_net_flow(
+    trips: DataFrame, spec: TripSpec = TripSpec(), densify: bool = False, station=None
+) -> DataFrame:
     """Rides in, rides out and net change of every station and hour, in one pass over the trips.
 
     Each trip is an arrival at one station and a departure from another. Both are counted under one (station, hour)
     key, and partial sums are formed before the shuffle, so what moves is at most one row per station, hour and
-    task however many trips a station has. ``densify`` adds hours without any ride.
+    task however many trips a station has. ``densify`` adds hours without any ride; ``station`` keeps one station
+    and reads its trips only.
     """
-    flows = _flows_by_hour(trips, spec)
+    flows = _flows_by_hour(trips, spec, station)
     if densify:
         flows = _with_quiet_hours(flows)
     return _net(_split_hour(flows, "start_date_column", "start_hour"))
 
 
-def _flows_by_hour(trips: DataFrame, spec: TripSpec) -> DataFrame:
+def _flows_by_hour(trips: DataFrame, spec: TripSpec, station=None) -> DataFrame:
+    if station is not None:
+        trips = touching_station(trips, station, spec)
+    here = F.col("station").isNotNull() if station is None else F.col("station") == station
     counted = F.col(spec.ride).isNotNull().cast("long")
     arrival, departure = (
         F.struct(F.col(side.station).alias("station"), F.col(side.at).alias("at"), F.lit(arrives).alias("arrives"))
@@ -153,7 +159,7 @@ def _flows_by_hour(trips: DataFrame, spec: TripSpec) -> DataFrame:
     )
     return (
         trips.select(counted.alias("rides"), F.inline(F.array(arrival, departure)))
-        .where(F.col("station").isNotNull() & F.col("at").isNotNull())
+        .where(here & F.col("at").isNotNull())
         .groupBy("station", hour_of(F.col("at")).alias("_hour"))
         .agg(
             F.sum(F.when(F.col("arrives"), F.col("rides")).otherwise(0)).alias("num_rides_in"),
@@ -216,7 +222,9 @@ def enrich_with_weather(flows: DataFrame, weather: DataFrame) -> DataFrame:
     return flows.join(weather, same_hour, "left")
 
 
-def silver_hourly(trips: DataFrame, weather: DataFrame, spec: TripSpec = TripSpec(), ts: str = "dt") -> DataFrame:
+def silver_hourly(
+    trips: DataFrame, weather: DataFrame, spec: TripSpec = TripSpec(), ts: str = "dt", station=None
+) -> DataFrame:
     """Hourly flows with complete weather: the table models and reports read.
 
     The rows of :func:`enrich_with_weather` that are complete, joined on the hour itself. Dates and labels are only
@@ -225,7 +233,7 @@ def silver_hourly(trips: DataFrame, weather: DataFrame, spec: TripSpec = TripSpe
     """
     means = _means_by_hour(weather, ts, HOURLY_READINGS)
     averages = [f"avg_{c}" for c in HOURLY_READINGS]
-    joined = _flows_by_hour(trips, spec).join(complete_rows(means, averages), "_hour")
+    joined = _flows_by_hour(trips, spec, station).join(complete_rows(means, averages), "_hour")
     date, label = F.to_date("_hour"), hour_label(F.col("_hour"))
     return joined.select(
         "station",

@@ -568,4 +568,5 @@ SELECT date_trunc('second', dt) AS dt, round(temp, 6) AS temp, pressure, humidit
 SELECT DISTINCT CAST(station AS VARCHAR) AS station_id, date_trunc('second', last_reported) AS last_reported
 FROM status""",
 }
+ORACLE["silver_station"] = ORACLE["silver_hourly"] + " AND station = 3"
 ORACLE["csv_union"] = ORACLE["csv_round_trip"]

@@ -112,6 +112,12 @@ def silver_hourly(spark, sf):
     return flows.silver_hourly(b.event_trips(spark, sf), b.weather(spark, sf))
 
 
+@query()
+def silver_station(spark, sf):
+    """The silver table of one station, its filter applied in the scan."""
+    return flows.silver_hourly(b.event_trips(spark, sf), b.weather(spark, sf), station=3)
+
+
 @query()
 def model_frame(spark, sf):
     return b.weather_frame(spark, sf)

@@ -59,6 +59,13 @@ def test_property_single_pass_equals_outer_join(spark, data):
     assert sum(r[3] for r in single) == arrivals
 
 
+def test_one_station_is_its_part_of_all(spark):
+    whole = flows.hourly_net_flow(trips(spark))
+    assert rows(flows.hourly_net_flow(trips(spark), station="A")) == rows(whole.where("station = 'A'"))
+    silver = flows.silver_hourly(trips(spark), weather(spark))
+    assert rows(flows.silver_hourly(trips(spark), weather(spark), station="B")) == rows(silver.where("station = 'B'"))
+
+
 def test_densify_adds_only_quiet_hours(spark):
     dense = flows.hourly_net_flow(trips(spark), densify=True)
     kept = dense.where("num_rides_in + num_rides_out > 0")
