@@ -16,7 +16,8 @@ def forecast_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Errors of ``yhat`` against ``y``, and the share of ``y`` inside ``yhat_lower``..``yhat_upper``.
 
     Means come from partial sums. The median relative error is exact and found without bringing a group together;
-    rows with ``y = 0`` have no relative error.
+    rows with ``y = 0`` have no relative error. The rows are read once for the means and once for the median, so
+    predictions that are costly to make are better written first.
     """
     by = list(by)
     error = F.col("yhat") - F.col("y")
@@ -30,19 +31,9 @@ def forecast_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     relative = F.abs(F.try_divide(error.cast("double"), F.col("y").cast("double")))
     median = exact_percentiles(df.select(*by, relative.alias("_ape")), by, "_ape", [0.5])
     median = median.withColumn("mdape", F.element_at("percentiles", 1)).drop("percentiles")
-    return _beside(means, median, by).select(*by, *METRICS)
-
-
-def _beside(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Left join of two results with one row per group; without groups, of two single rows."""
-    if not by:
-        left, right = left.withColumn("_one", F.lit(1)), right.withColumn("_one", F.lit(1))
-    keys = by or ["_one"]
-    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    match = F.lit(True)
-    for k in keys:
-        match = match & left[k].eqNullSafe(right[f"_r_{k}"])
-    return left.join(right, match, "left").drop(*[f"_r_{k}" for k in keys])
+    # One row per group on either side: a union and an aggregate bring them together, null groups included.
+    both = means.unionByName(median, allowMissingColumns=True)
+    return both.groupBy(*by).agg(*[F.max(m).alias(m) for m in METRICS])
 
 
 def best_params(results: DataFrame, params: Sequence[str], by: Sequence[str] = (), metric: str = "mae") -> DataFrame:

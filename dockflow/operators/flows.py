@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockflow.functions.timeparts import hour_label, hour_of, model_time
@@ -169,22 +170,21 @@ def _flows_by_hour(trips: DataFrame, spec: TripSpec, station=None) -> DataFrame:
 
 
 def _with_quiet_hours(flows: DataFrame) -> DataFrame:
-    """Add zero rows for the hours between a station's first and last ride that have none."""
-    hours = F.sequence("first", "last", F.expr("INTERVAL 1 HOUR"))
-    grid = (
-        flows.groupBy("station")
-        .agg(F.min("_hour").alias("first"), F.max("_hour").alias("last"))
-        .select(
-            "station",
-            F.explode(hours).alias("_hour"),
-            F.lit(0).cast("long").alias("num_rides_in"),
-            F.lit(0).cast("long").alias("num_rides_out"),
-        )
-    )
-    return (
-        flows.unionByName(grid)
-        .groupBy("station", "_hour")
-        .agg(F.sum("num_rides_in").alias("num_rides_in"), F.sum("num_rides_out").alias("num_rides_out"))
+    """Add zero rows for the hours between a station's first and last ride that have none.
+
+    Each row brings the quiet hours up to the next one. The window runs over hours, not trips, so a station's share of
+    it is bounded by the length of the history.
+    """
+    step = F.expr("INTERVAL 1 HOUR")
+    following = F.lead("_hour").over(W.partitionBy("station").orderBy("_hour"))
+    hours = F.sequence(F.col("_hour"), F.coalesce(F.col("_next") - step, F.col("_hour")), step)
+    spread = flows.withColumn("_next", following).withColumn("_slot", F.explode(hours))
+
+    def only_own(name: str) -> Column:
+        return F.when(F.col("_slot") == F.col("_hour"), F.col(name)).otherwise(0).alias(name)
+
+    return spread.select(
+        "station", F.col("_slot").alias("_hour"), only_own("num_rides_in"), only_own("num_rides_out")
     )
 
 

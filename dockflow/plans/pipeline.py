@@ -109,7 +109,9 @@ def run_train(spark: SparkSession, config: PipelineConfig) -> None:
     fitted = forecast.fit_panel(frame, ["station"], config.grid, config.design, folds=True, **scheme)
     models = _save(fitted, config, "models")
     setting = ["setting_id", *forecast.SETTING_COLUMNS]
-    held_out = forecast.cv_predict(frame, models, ["station"], config.design, **scheme)
+    predicted = forecast.cv_predict(frame, models, ["station"], config.design, **scheme)
+    columns = ["station", *setting, "fold", "ds", "y", "yhat", "yhat_lower", "yhat_upper"]
+    held_out = _save(predicted.select(columns), config, "cv_predictions")
     metrics = _save(evaluation.forecast_metrics(held_out, ["station", *setting]), config, "model_metrics")
     best = evaluation.best_params(metrics, setting, ["station"]).select("station", "setting_id")
     scores = metrics.select("station", "setting_id", *evaluation.METRICS)

@@ -498,12 +498,12 @@ def cv_predictions(spark, sf):
 
 @query()
 def cv_metrics(spark, sf):
-    return evaluation.forecast_metrics(_cv(spark, sf), ["station"])
+    return evaluation.forecast_metrics(writers.settle(_cv(spark, sf), "cv"), ["station"])
 
 
 @query()
 def cv_metrics_overall(spark, sf):
-    return evaluation.forecast_metrics(_cv(spark, sf))
+    return evaluation.forecast_metrics(writers.settle(_cv(spark, sf), "cv"))
 
 
 def _shrunk_metrics(spark, sf):
@@ -543,7 +543,7 @@ def residual_trend(spark, sf):
 
 @query()
 def residual_distribution(spark, sf):
-    return evaluation.residual_distribution(_cv_residuals(spark, sf), ["station"])
+    return evaluation.residual_distribution(writers.settle(_cv_residuals(spark, sf), "cv"), ["station"])
 
 
 @query()
@@ -629,7 +629,8 @@ def registry_lifecycle(spark, sf):
     """Two versions of every station's model; the first goes to production, the second is staged."""
     path = scratch_path(spark, "registry")
     registry.create_registry(spark, path)
-    scores = writers.settle(evaluation.forecast_metrics(_cv(spark, sf), ["station"]), "scores")
+    held_out = writers.settle(_cv(spark, sf), "cv")
+    scores = writers.settle(evaluation.forecast_metrics(held_out, ["station"]), "scores")
     models = scores.select(
         F.format_string("station_%d", "station").alias("model_name"),
         F.create_map(F.lit("kind"), F.lit("profile")).alias("params"),
