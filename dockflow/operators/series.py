@@ -2,7 +2,8 @@
 
 A window over a whole series runs as one task, and one station may hold a large share of all rows. Running totals and
 fills are therefore done within time blocks; only one small row per series and block goes into the window that carries
-state from block to block. The columns that name a series must not be null.
+state from block to block. The input is read twice, for the rows and for the blocks, so a costly one is better written
+first. The columns that name a series must not be null.
 """
 
 from __future__ import annotations
@@ -98,7 +99,8 @@ def exact_percentiles(
 
     The built-in exact ``percentile`` keeps every distinct value of a group in one task's memory. Here equal values
     are counted together first; counts per narrow value slice then tell which slices hold the wanted ranks, and only
-    those slices are ordered. Groups without a value have no row.
+    those slices are ordered. Groups without a value have no row. A slice is ``1/grain`` wide relative to its values;
+    raise ``grain`` for values that are large against their spread, such as epochs.
     """
     by = list(by)
     keys = by or ["_all"]

@@ -568,5 +568,14 @@ SELECT date_trunc('second', dt) AS dt, round(temp, 6) AS temp, pressure, humidit
 SELECT DISTINCT CAST(station AS VARCHAR) AS station_id, date_trunc('second', last_reported) AS last_reported
 FROM status""",
 }
+ORACLE["weather_csv"] = ORACLE["stream_weather"].replace(
+    "SELECT date_trunc", "SELECT CAST(NULL AS DOUBLE) AS snow_1h, CAST(NULL AS VARCHAR) AS main, date_trunc"
+)
+ORACLE["published_table"] = """
+SELECT CAST(user_id % 10 AS VARCHAR) AS station_id, count(*) AS count FROM events WHERE event_type = 'purchase' GROUP BY 1"""
+ORACLE["stream_duplicate_check"] = f"""
+{_with(STATUS)}
+SELECT 2 * count(*) AS total_rows, count(DISTINCT (station, date_trunc('second', last_reported))) AS distinct_rows,
+       true AS has_duplicates FROM status"""
 ORACLE["silver_station"] = ORACLE["silver_hourly"] + " AND station = 3"
 ORACLE["csv_union"] = ORACLE["csv_round_trip"]

@@ -678,6 +678,15 @@ def csv_union(spark, sf):
     return readers.read_trips_csv(spark, path, mixed_headers=True).select(_TRIP_COLUMNS)
 
 
+@query()
+def weather_csv(spark, sf):
+    """Raw weather files, dotted names and epoch seconds, to bronze form."""
+    path = scratch_path(spark, "csv")
+    writers.write_table(b.raw_weather(spark, sf), path, "csv", header=True)
+    bronze = epoch_to_ts(readers.clean_names(readers.read_weather_csv(spark, path)), "dt")
+    return bronze.select("dt", "temp", "pressure", "humidity", "wind_speed", "pop", "rain_1h", "snow_1h", "main")
+
+
 @query()
 def csv_inferred(spark, sf):
     path = scratch_path(spark, "csv")
@@ -705,6 +714,15 @@ def balanced_round_trip(spark, sf):
     return readers.read_table(spark, path, "orc").select("dt", "temp", "pressure", "rain_1h")
 
 
+@query()
+def published_table(spark, sf):
+    """Written once, read by name."""
+    path = scratch_path(spark, "published")
+    name = "published_" + path.rsplit("-", 1)[1]
+    writers.publish(b.raw_status(spark, sf), path, name)
+    return explore.value_counts(spark.table(name), "station_id")
+
+
 @query()
 def table_detail(spark, sf):
     detail = writers.table_detail(b.table(spark, sf, "lineitem"))
@@ -737,3 +755,13 @@ def stream_dedup(spark, sf):
     writers.write_table(reports.unionByName(reports), src)
     streams.stream_status(spark, src, dst, check, trigger=None, dedup_within="60 days").awaitTermination()
     return readers.read_table(spark, dst).select("station_id", "last_reported")
+
+
+@query()
+def stream_duplicate_check(spark, sf):
+    """What a stream without deduplication wrote, checked as a batch."""
+    src, dst, check = (scratch_path(spark, f"check-{part}") for part in ("in", "out", "check"))
+    reports = b.raw_status(spark, sf)
+    writers.write_table(reports.unionByName(reports), src)
+    streams.stream_status(spark, src, dst, check, trigger=None, files_per_batch=100).awaitTermination()
+    return quality.duplicate_check(readers.read_table(spark, dst), ["station_id", "last_reported"])

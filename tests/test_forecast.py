@@ -145,6 +145,19 @@ def test_forecast_covers_history_and_future(spark):
     assert out.where("yhat_lower < yhat and yhat < yhat_upper").count() == out.count()
 
 
+def test_default_design_and_grid_corner_settings(spark):
+    df = panel(spark, days=50)
+    design = forecast.Design(regressors=("avg_temp",))
+    corners = [forecast.param_grid()[i] for i in (0, -1)]
+    models = forecast.fit_panel(df, grid=corners, design=design, **SCHEME)
+    final = models.where("fold = -1").drop("fold", "train_rows")
+    fitted = forecast.predict(df, final, ["station"], design)
+    assert fitted.where("yhat is null or isnan(yhat)").count() == 0
+    scores = evaluation.forecast_metrics(fitted, ["station", "setting_id"]).collect()
+    assert len(scores) == 4 and all(r.mae < 3 for r in scores)
+    assert min(r.mae for r in scores) < 0.5
+
+
 def test_grid(spark):
     grid = forecast.param_grid()
     assert len(grid) == 128 and len({tuple(s.items()) for s in grid}) == 128
