@@ -191,14 +191,16 @@ def _with_quiet_hours(flows: DataFrame) -> DataFrame:
 # -- weather ------------------------------------------------------------------------------------------------------
 
 
-def hourly_weather(weather: DataFrame, ts: str = "dt", readings: Sequence[str] = HOURLY_READINGS) -> DataFrame:
-    """Mean of each reading per hour, missing readings left out."""
-    return _split_hour(_means_by_hour(weather, ts, readings), "weather_date", "weather_hour")
+def weather_by_hour(weather: DataFrame, ts: str = "dt", readings: Sequence[str] = HOURLY_READINGS) -> DataFrame:
+    """Mean of each reading per clock hour ``hour_start``, missing readings left out."""
+    means = [F.avg(c).alias(f"avg_{c}") for c in readings]
+    return weather.groupBy(hour_of(F.col(ts)).alias("hour_start")).agg(*means)
 
 
-def _means_by_hour(weather: DataFrame, ts: str, readings: Sequence[str]) -> DataFrame:
-    means = [F.avg(c).alias(f"avg_{c}") for c in readings]
-    return weather.groupBy(hour_of(F.col(ts)).alias("_hour")).agg(*means)
+def hourly_weather(weather: DataFrame, ts: str = "dt", readings: Sequence[str] = HOURLY_READINGS) -> DataFrame:
+    """The same under a date and an hour label."""
+    means = weather_by_hour(weather, ts, readings).withColumnRenamed("hour_start", "_hour")
+    return _split_hour(means, "weather_date", "weather_hour")
 
 
 def daily_weather(weather: DataFrame, ts: str = "dt") -> DataFrame:
@@ -225,15 +227,23 @@ def enrich_with_weather(flows: DataFrame, weather: DataFrame) -> DataFrame:
 def silver_hourly(
     trips: DataFrame, weather: DataFrame, spec: TripSpec = TripSpec(), ts: str = "dt", station=None
 ) -> DataFrame:
-    """Hourly flows with complete weather: the table models and reports read.
+    """Hourly flows with complete weather: the table models and reports read."""
+    return silver_from_hourly(trips, weather_by_hour(weather, ts), spec, station)
+
+
+def silver_from_hourly(trips: DataFrame, means: DataFrame, spec: TripSpec = TripSpec(), station=None) -> DataFrame:
+    """Silver from trips and :func:`weather_by_hour`.
+
+    Give the means as a written table when trips are many: its size is then known when the join is planned, and the
+    flows are not shuffled a second time while it is small enough to broadcast.
 
-    The rows of :func:`enrich_with_weather` that are complete, joined on the hour itself. Dates and labels are only
-    made for the result: as join keys they would be formatted for every trip, in the null test that Spark derives
-    from a join and moves down to the scan.
+    The result is the complete part of :func:`enrich_with_weather`, joined on the hour itself. Dates and labels are
+    only made for the result: as join keys they would be formatted for every trip, in the null test that Spark
+    derives from a join and moves down to the scan.
     """
-    means = _means_by_hour(weather, ts, HOURLY_READINGS)
     averages = [f"avg_{c}" for c in HOURLY_READINGS]
-    joined = _flows_by_hour(trips, spec, station).join(complete_rows(means, averages), "_hour")
+    complete = complete_rows(means, averages).withColumnRenamed("hour_start", "_hour")
+    joined = _flows_by_hour(trips, spec, station).join(complete, "_hour")
     date, label = F.to_date("_hour"), hour_label(F.col("_hour"))
     return joined.select(
         "station",

@@ -147,9 +147,15 @@ def flow_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(frame, "panel")
 
 
+def silver(spark: SparkSession, sf_dir: str, station=None) -> DataFrame:
+    """Hourly flows with complete weather, the hourly means written first."""
+    means = settle(flows.weather_by_hour(weather(spark, sf_dir)), "weather-hours")
+    return flows.silver_from_hourly(event_trips(spark, sf_dir), means, station=station)
+
+
 def weather_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model rows with complete weather."""
-    return flows.to_model_frame(flows.silver_hourly(event_trips(spark, sf_dir), weather(spark, sf_dir)))
+    return flows.to_model_frame(silver(spark, sf_dir))
 
 
 def fitted_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,7 +75,8 @@ def run_silver(spark: SparkSession, config: PipelineConfig) -> None:
     """Hourly flows with weather, within the configured period."""
     trips = read_table(spark, config.path("bronze_trips"), config.fmt)
     weather = read_table(spark, config.path("bronze_weather"), config.fmt)
-    silver = flows.silver_hourly(trips, weather)
+    means = _save(flows.weather_by_hour(weather), config, "weather_hours")
+    silver = flows.silver_from_hourly(trips, means)
     _save(balance(flows.in_period(silver, "start_date_column", config.start, config.end)), config, "silver_weather_trip")
 
 

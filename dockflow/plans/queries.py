@@ -102,20 +102,19 @@ def hourly_weather(spark, sf):
 
 @query()
 def flows_with_weather(spark, sf):
-    return flows.enrich_with_weather(
-        flows.hourly_net_flow(b.event_trips(spark, sf)), flows.hourly_weather(b.weather(spark, sf))
-    )
+    hourly = writers.settle(flows.hourly_weather(b.weather(spark, sf)), "weather-hours")
+    return flows.enrich_with_weather(flows.hourly_net_flow(b.event_trips(spark, sf)), hourly)
 
 
 @query()
 def silver_hourly(spark, sf):
-    return flows.silver_hourly(b.event_trips(spark, sf), b.weather(spark, sf))
+    return b.silver(spark, sf)
 
 
 @query()
 def silver_station(spark, sf):
     """The silver table of one station, its filter applied in the scan."""
-    return flows.silver_hourly(b.event_trips(spark, sf), b.weather(spark, sf), station=3)
+    return b.silver(spark, sf, station=3)
 
 
 @query()
