@@ -34,14 +34,23 @@ def exclude_round_trips(trips: DataFrame, spec: TripSpec = TripSpec()) -> DataFr
 
 def in_period(df: DataFrame, ts: str, start=None, end=None) -> DataFrame:
     """Rows from ``start`` (included) to ``end`` (excluded); either may be open."""
+    return df.where(_within(df, ts, start, end))
+
+
+def touching_period(trips: DataFrame, start=None, end=None, spec: TripSpec = TripSpec()) -> DataFrame:
+    """Trips that start or end in a period: all that can count in its hours."""
+    return trips.where(_within(trips, spec.started_at, start, end) | _within(trips, spec.ended_at, start, end))
+
+
+def _within(df: DataFrame, ts: str, start, end) -> Column:
     if start is not None and end is not None and str(end) <= str(start):
         raise ValueError(f"the period ends ({end}) before it starts ({start})")
-    at = F.col(ts)
+    inside = F.lit(True)
     if start is not None:
-        df = df.where(at >= _moment(df, ts, start))
+        inside = inside & (F.col(ts) >= _moment(df, ts, start))
     if end is not None:
-        df = df.where(at < _moment(df, ts, end))
-    return df
+        inside = inside & (F.col(ts) < _moment(df, ts, end))
+    return inside
 
 
 def _moment(df: DataFrame, ts: str, value) -> Column:

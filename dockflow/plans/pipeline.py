@@ -72,12 +72,13 @@ def run_bronze(spark: SparkSession, config: PipelineConfig) -> None:
 
 
 def run_silver(spark: SparkSession, config: PipelineConfig) -> None:
-    """Hourly flows with weather, within the configured period."""
-    trips = read_table(spark, config.path("bronze_trips"), config.fmt)
-    weather = read_table(spark, config.path("bronze_weather"), config.fmt)
+    """Hourly flows with weather, within the configured period; the period also limits what is read."""
+    period = (config.start, config.end)
+    trips = flows.touching_period(read_table(spark, config.path("bronze_trips"), config.fmt), *period)
+    weather = flows.in_period(read_table(spark, config.path("bronze_weather"), config.fmt), "dt", *period)
     means = _save(flows.weather_by_hour(weather), config, "weather_hours")
-    silver = flows.silver_from_hourly(trips, means)
-    _save(balance(flows.in_period(silver, "start_date_column", config.start, config.end)), config, "silver_weather_trip")
+    silver = flows.in_period(flows.silver_from_hourly(trips, means), "start_date_column", *period)
+    _save(balance(silver), config, "silver_weather_trip")
 
 
 def run_explore(spark: SparkSession, config: PipelineConfig, station: str | None = None) -> dict[str, DataFrame]:

@@ -128,6 +128,14 @@ def test_time_filters(spark):
         flows.in_period(df, "started_at", "2022-02-02", "2022-02-01")
 
 
+def test_period_of_trips_covers_its_hours(spark):
+    period = ("2022-02-01", "2022-02-02")
+    whole = flows.in_period(flows.hourly_net_flow(trips(spark)), "start_date_column", *period)
+    part = flows.hourly_net_flow(flows.touching_period(trips(spark), *period))
+    assert rows(flows.in_period(part, "start_date_column", *period)) == rows(whole)
+    assert flows.touching_period(trips(spark)).count() == len(rows(trips(spark)))
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "trips")
     trips(spark).write.parquet(path)

@@ -1,5 +1,6 @@
 """From raw files to gold, on a small city."""
 
+import dataclasses
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -119,8 +120,6 @@ def test_explore_results(spark, config):
 
 
 def test_second_training_promotes_a_new_version(spark, config):
-    import dataclasses
-
     again = dataclasses.replace(config, now=NOW + DAY, promote=True)
     pipeline.run_train(spark, again)
     pipeline.run_app(spark, again)
@@ -133,8 +132,14 @@ def test_second_training_promotes_a_new_version(spark, config):
     ]
 
 
-def test_bad_period_is_refused(spark, config):
-    import dataclasses
+def test_period_limits_silver(spark, config):
+    whole = table(spark, config, "silver_weather_trip").where("start_date_column >= '2022-01-10'")
+    expected = rows(whole.where("start_date_column < '2022-01-12'"))
+    limited = dataclasses.replace(config, start="2022-01-10", end="2022-01-12")
+    pipeline.run_silver(spark, limited)
+    assert rows(table(spark, config, "silver_weather_trip")) == expected
 
+
+def test_bad_period_is_refused(spark, config):
     with pytest.raises(ValueError):
         pipeline.run_silver(spark, dataclasses.replace(config, start="2022-02-01", end="2022-01-01"))
