@@ -12,28 +12,31 @@ from dockflow.operators.series import exact_percentiles
 METRICS = ["mse", "rmse", "mae", "mdape", "coverage"]
 
 
-def forecast_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def forecast_metrics(df: DataFrame, by: Sequence[str] = (), metrics: Sequence[str] = METRICS) -> DataFrame:
     """Errors of ``yhat`` against ``y``, and the share of ``y`` inside ``yhat_lower``..``yhat_upper``.
 
     Means come from partial sums. The median relative error is exact and found without bringing a group together;
     rows with ``y = 0`` have no relative error. The rows are read once for the means and once for the median, so
-    predictions that are costly to make are better written first.
+    predictions that are costly to make are better written first, and the median left out where it is not wanted.
     """
     by = list(by)
     error = F.col("yhat") - F.col("y")
     inside = F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper"))
-    means = df.groupBy(*by).agg(
-        F.avg(error * error).alias("mse"),
-        F.sqrt(F.avg(error * error)).alias("rmse"),
-        F.avg(F.abs(error)).alias("mae"),
-        F.avg(inside.cast("double")).alias("coverage"),
-    )
+    means = {
+        "mse": F.avg(error * error),
+        "rmse": F.sqrt(F.avg(error * error)),
+        "mae": F.avg(F.abs(error)),
+        "coverage": F.avg(inside.cast("double")),
+    }
+    scores = df.groupBy(*by).agg(*[c.alias(name) for name, c in means.items()])
+    if "mdape" not in metrics:
+        return scores.select(*by, *metrics)
     relative = F.abs(F.try_divide(error.cast("double"), F.col("y").cast("double")))
     median = exact_percentiles(df.select(*by, relative.alias("_ape")), by, "_ape", [0.5])
     median = median.withColumn("mdape", F.element_at("percentiles", 1)).drop("percentiles")
     # One row per group on either side: a union and an aggregate bring them together, null groups included.
-    both = means.unionByName(median, allowMissingColumns=True)
-    return both.groupBy(*by).agg(*[F.max(m).alias(m) for m in METRICS])
+    both = scores.unionByName(median, allowMissingColumns=True)
+    return both.groupBy(*by).agg(*[F.max(m).alias(m) for m in metrics])
 
 
 def best_params(results: DataFrame, params: Sequence[str], by: Sequence[str] = (), metric: str = "mae") -> DataFrame:

@@ -509,7 +509,7 @@ def _shrunk_metrics(spark, sf):
     sized = forecast.with_settings(_cv(spark, sf), {"shrink": [0.0, 0.25, 0.5, 0.75, 1.0]})
     for name in ("yhat", "yhat_lower", "yhat_upper"):
         sized = sized.withColumn(name, F.col(name) * F.col("shrink"))
-    return evaluation.forecast_metrics(sized, ["station", "shrink"])
+    return evaluation.forecast_metrics(sized, ["station", "shrink"], ["mae"])
 
 
 @query()
@@ -600,7 +600,7 @@ def ridge_grid_search(spark, sf):
     frame = b.flow_frame(spark, sf)
     models = forecast.fit_panel(frame, ["station"], PANEL_GRID, PANEL_DESIGN, folds=True, **b.SCHEME)
     held_out = forecast.cv_predict(frame, models, ["station"], PANEL_DESIGN, **b.SCHEME)
-    scores = evaluation.forecast_metrics(held_out, ["station", *forecast.SETTING_COLUMNS])
+    scores = evaluation.forecast_metrics(held_out, ["station", *forecast.SETTING_COLUMNS], ["mae"])
     return evaluation.best_params(scores, forecast.SETTING_COLUMNS, ["station"])
 
 

@@ -173,6 +173,7 @@ def test_metrics(spark):
     assert (a.mse, a.mae, a.coverage) == pytest.approx((2.0, 4 / 3, 1.0))
     assert a.mdape == pytest.approx(0.75)
     assert b.mdape is None and b.coverage == 0.0
+    assert rows(evaluation.forecast_metrics(df, ["g"], ["mae"]), "g", "mae") == [("a", a.mae), ("b", b.mae)]
     overall = evaluation.forecast_metrics(df).first()
     assert overall.mae == pytest.approx(7 / 4) and overall.rmse == pytest.approx(overall.mse**0.5)
 
