@@ -25,7 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks are arrivals and views are departures at a station."""
     events = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
