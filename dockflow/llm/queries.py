@@ -12,10 +12,12 @@ from dockflow.llm.cascade import quality_rules
 from dockflow.llm.common import table
 from dockflow.llm.fingerprints import fingerprint_edits
 from dockflow.llm.mixing import mix
+from dockflow.llm.overlap import similar_documents
 from dockflow.llm.passages import quality_report
 from dockflow.llm.secrets import secret_report
 from dockflow.llm.token_cache import cached_counts, new_cache
 from dockflow.llm.toxicity import toxicity_report
+from dockflow.llm.windows import repeated_passages
 
 
 def op1_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +44,14 @@ def op6_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op8_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("copies")
 
@@ -60,6 +70,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_attention_quality,
         op5_fuzzy_toxicity,
         op6_secret_automaton,
+        op7_compact_windows,
+        op8_overlap_join,
         op9_fair_mix,
         op10_two_tier_bpe,
     )

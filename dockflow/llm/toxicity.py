@@ -230,11 +230,12 @@ def occurrences(texts: Sequence[str], dfa: Dfa, symbols: np.ndarray, window: int
     return rows, tags[at], quoted
 
 
-def _score(model: Model, dfa: Dfa, meanings: list[tuple[int, int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scored(model: Model, dfa: Dfa, meanings: list[tuple[int, int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, np.ndarray]]]:
+    """Parts of the batches, with the score of each of their rows."""
     term_of = np.array([m[0] for m in meanings])
     worth = np.array([0.0] + [model.misspelled[i] if edits else model.weights[i] for i, edits in meanings[1:]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
         symbols = _symbols(model.terms)
         for batch in batches:
             for part in slices(batch, "text"):
@@ -246,8 +247,7 @@ def _score(model: Model, dfa: Dfa, meanings: list[tuple[int, int]]) -> Callable[
                 first = np.flatnonzero(np.diff(key[order], prepend=-1))
                 best = order[first]
                 evidence = np.bincount(rows[best], value[best], part.num_rows) if len(best) else np.zeros(part.num_rows)
-                score = 1 / (1 + np.exp(-model.slope * (evidence - model.middle)))
-                yield pa.record_batch([*part.columns[:-1], pa.array(score)], names=[*part.schema.names[:-1], "score"])
+                yield part, 1 / (1 + np.exp(-model.slope * (evidence - model.middle)))
 
     return run
 
@@ -259,9 +259,24 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
     A null or empty text has no evidence and gets the lowest score; a long text is read whole; repeated rows repeat;
     an empty table gives an empty result; other columns are ignored. A model without terms scores all alike.
     """
-    dfa, meanings = lexicon_automaton(model.terms, model.shortest_fuzzy)
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(_score(model, dfa, meanings), f"doc_id {kind}, score double")
+    scored = _scored(model, *lexicon_automaton(model.terms, model.shortest_fuzzy))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, score in scored(batches):
+            yield pa.record_batch([part.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows whose text scores below the threshold, with all their columns. Texts do not move."""
+    scored = _scored(model, *lexicon_automaton(model.terms, model.shortest_fuzzy))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, score in scored(batches):
+            yield part.filter(pa.array(score < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, most: int = 20000) -> Model:
