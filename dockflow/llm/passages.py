@@ -142,7 +142,7 @@ class Attention:
             "u": f["h"].T @ du,
             "a": (f["v"] * f["u"]).T @ de,
             "out": f["m"].T @ dy,
-            "out0": np.array(dy.sum()),
+            "out0": np.array([dy.sum()]),
         }
 
 
@@ -156,7 +156,7 @@ def fit(x: np.ndarray, bags: np.ndarray, label: np.ndarray, hidden: int = 16, ep
         "u": rng.normal(0, 0.3, (hidden, 8)),
         "a": rng.normal(0, 0.3, 8),
         "out": rng.normal(0, 0.3, hidden),
-        "out0": np.array(0.0),
+        "out0": np.zeros(1),
     }
     model = Attention(x.mean(axis=0), np.maximum(x.std(axis=0), 0.02), w)
     share = label.mean()

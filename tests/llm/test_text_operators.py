@@ -18,9 +18,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def prose(seed, n, vocabulary=400):
+def prose(seed, n, vocabulary=3600):
     rng = random.Random(seed)
-    return " ".join(f"w{rng.randrange(vocabulary)}x{rng.randrange(9)}" for _ in range(n))
+    return " ".join("w" + "".join(chr(97 + int(d)) for d in str(rng.randrange(vocabulary))) for _ in range(n))
 
 
 BASE = prose(1, 120)
