@@ -177,7 +177,8 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     following = (
         placed.select(
             F.col("before").alias("key"),
-            F.struct(F.expr("substring(body, 1, before_third)").alias("head"), digests(F.col("body")).alias("keys")).alias("next"),
+            # the id is carried so that both sides read the same columns and share one exchange of the texts
+            F.struct(F.expr("substring(body, 1, before_third)").alias("head"), digests(F.col("body")).alias("keys"), "doc_id").alias("next"),
         )
         .groupBy("key")
         .agg(F.min("next").alias("next"))
