@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -131,16 +132,22 @@ class Encoder:
         self.compiled = regex.compile(self.pattern)
         self.pieces = {v: k for k, v in self.ranks.items()}
 
+    def piece(self, piece: str) -> bytes:
+        """Ids of one pre-token: the whole of it if the vocabulary has it, else its merged bytes."""
+        raw = piece.encode()
+        known = self.whole.get(raw)
+        ids = merge(raw, self.ranks) if known is None else [known]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def segment(self, text: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.compiled.findall(text):
-            raw = piece.encode()
-            known = self.whole.get(raw)
-            if known is None:
-                ids += merge(raw, self.ranks)
-            else:
-                ids.append(known)
-        packed = np.array(ids, "<u4").tobytes()
+        # ASCII letters after at most one space are one pre-token
+        if text.isascii() and text[text[0] == " " :].isalpha():
+            return self._keep(text, self.piece(text))
+        kept, piece = self.kept.get, self.piece
+        packed = b"".join([kept(p) or self._keep(p, piece(p)) for p in self.compiled.findall(text)])
+        return self._keep(text, packed)
+
+    def _keep(self, text: str, packed: bytes) -> bytes:
         if len(text) <= _LONGEST_KEPT:
             if len(self.kept) >= _KEPT:
                 self.kept.clear()
