@@ -12,6 +12,7 @@ from dockflow.llm.cascade import quality_rules
 from dockflow.llm.common import table
 from dockflow.llm.fingerprints import fingerprint_edits
 from dockflow.llm.mixing import mix
+from dockflow.llm.oracle import LLM_ORACLE
 from dockflow.llm.overlap import similar_documents
 from dockflow.llm.passages import quality_report
 from dockflow.llm.secrets import secret_report
@@ -76,4 +77,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_two_tier_bpe,
     )
 }
-LLM_ORACLE: dict[str, str] = {}
+
+__all__ = ["LLM_ORACLE", "LLM_QUERIES"]

@@ -438,7 +438,7 @@ def groups_by_hand(rows, percent=90):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"short_run": 1, "block": 600}, {"short_run": 2, "block": 5000}])
+@pytest.mark.parametrize("options", [{}, {"short_run": 1, "long_run": 4, "block": 600}, {"short_run": 2, "block": 5000}])
 def test_overlap_join_against_all_pairs(documents, options):
     rng = random.Random(6)
     rows = list(EDGE)
