@@ -25,6 +25,7 @@ from dockflow.llm.components import components
 
 BUCKETS = 1 << 22
 SHORT_RUN = 16
+LONG_RUN = 4096
 BLOCK = 2_000_000
 
 
@@ -128,58 +129,125 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(tokens), part.column("node").take(owner), part.column("n").take(owner)], names=["token", "node", "n"])
 
 
-def _runs(percent: int, short: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Read inverted lists in order. Short ones give the pairs whose sizes fit; longer ones tie all to their first."""
-    names = ["a", "b", "na", "nb", "tied"]
+_PAIR, _MEMBER, _TIE = 0, 1, 2
+_FOUND = pa.schema([("kind", pa.int32()), ("token", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("na", pa.int64()), ("nb", pa.int64())])
+_FOUND_DDL = "kind int, token long, a binary, b binary, na long, nb long"
+
+
+def _runs(percent: int, short: int, long_: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Read inverted lists in order, holding at most ``long_`` nodes.
+
+    Lists of up to ``short`` nodes give the pairs whose sizes fit. Longer ones are passed on as they are, to be
+    compared by sketch. Those over ``long_`` stream through, each node tied to the first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, held, out = None, [], set()
+        token, held, first, out = None, [], None, set()
 
-        def pairs(final: bool) -> None:
-            if final:
+        def close() -> None:
+            if first is None and len(held) > short:
+                out.update((_MEMBER, token, node, None, n, None) for node, n in held)
+            elif first is None:
                 for j, (b, nb) in enumerate(held):
                     for a, na in held[:j]:
                         if 100 * na >= percent * nb:
-                            out.add((min(a, b), max(a, b), na if a < b else nb, nb if a < b else na, False))
+                            out.add((_PAIR, 0, a, b, na, nb) if a < b else (_PAIR, 0, b, a, nb, na))
+
+        def batch_of(rows: set) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _FOUND, strict=True)], schema=_FOUND)
 
         for batch in batches:
             tokens = batch.column("token").to_numpy(zero_copy_only=False)
             edges = np.flatnonzero(np.diff(tokens)) + 1
             bounds = np.concatenate([[0], edges, [len(tokens)]]).astype(int)
-            single = np.diff(bounds) == 1
             nodes, sizes = batch.column("node"), batch.column("n").to_numpy(zero_copy_only=False)
-            for k in range(len(bounds) - 1):
-                a, b = bounds[k], bounds[k + 1]
+            last = len(bounds) - 2
+            for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
                 if b == a:
                     continue
                 if tokens[a] != token:
-                    pairs(len(held) <= short)
-                    token, held = tokens[a], []
-                    if single[k] and k < len(single) - 1:
+                    close()
+                    token, held, first = int(tokens[a]), [], None
+                    if b - a == 1 and k < last:
                         continue
                 for node, n in zip(nodes.slice(a, b - a).to_pylist(), sizes[a:b].tolist(), strict=True):
                     if held and held[-1][0] == node:
                         continue
-                    if len(held) < short:
+                    if first is None and len(held) == long_:
+                        first = held[0]
+                        out.update((_TIE, 0, first[0], other, first[1], m) for other, m in held[1:])
+                        held = held[-1:]
+                    if first is None:
                         held.append((node, n))
-                        continue
-                    if len(held) == short:
-                        for other, m in held[1:]:
-                            out.add((held[0][0], other, held[0][1], m, True))
-                        held.append(held[0])
-                    out.add((held[0][0], node, held[0][1], n, True))
-                    held[-1] = (node, n)
-            if len(out) > 50_000:
-                yield pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in out], schema=_PAIRS)
-                out.clear()
-        pairs(len(held) <= short)
+                    else:
+                        out.add((_TIE, 0, first[0], node, first[1], n))
+                        held = [(node, n)]
+                if len(out) > 50_000:
+                    yield batch_of(out)
+                    out.clear()
+        close()
         if out:
-            yield pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in out], schema=_PAIRS)
+            yield batch_of(out)
 
     return run
 
 
-_PAIRS = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("na", pa.int64()), ("nb", pa.int64()), ("tied", pa.bool_())])
+def _folded(sketch: bytes, bits: int) -> np.ndarray:
+    x = np.frombuffer(sketch, np.uint8)
+    while len(x) * 8 > bits:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.view(np.uint64)
+
+
+def sketch_forest(nodes: list, sizes: np.ndarray, sketches: list[bytes], percent: int) -> list[tuple]:
+    """Edges that connect all nodes of one list, in order of size, whose sketches do not rule a link out."""
+    group = np.arange(len(nodes))
+    bits = np.array([len(x) * 8 for x in sketches])
+    upper = np.searchsorted(sizes, 100 * sizes // percent, "right")
+    edges = []
+    for width in np.unique(bits):
+        rows = np.flatnonzero((bits == width) | (bits == 2 * width))
+        table = np.stack([_folded(sketches[r], int(width)) for r in rows])
+        for k, i in enumerate(rows.tolist()):
+            if bits[i] != width:
+                continue
+            stop = int(np.searchsorted(rows, upper[i]))
+            open_ = k + 1 + np.flatnonzero(group[rows[k + 1 : stop]] != group[i])
+            if not len(open_):
+                continue
+            apart = np.bitwise_count(table[open_] ^ table[k]).sum(axis=1)
+            near = rows[open_[(100 + percent) * apart <= (100 - percent) * (sizes[i] + sizes[rows[open_]])]]
+            for j in near.tolist():
+                if group[j] != group[i]:
+                    edges.append((nodes[i], nodes[j]))
+                    group[group == group[j]] = group[i]
+    return edges
+
+
+def _forests(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lists in order of token and size, compared by sketch within each list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, held, out = None, [], set()
+
+        def close() -> None:
+            if len(held) > 1:
+                sizes = np.array([n for _, n, _ in held])
+                out.update(sketch_forest([x for x, _, _ in held], sizes, [x for _, _, x in held], percent))
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("token", "node", "n", "sketch"))
+            for t, node, n, sketch in zip(*columns, strict=True):
+                if t != token:
+                    close()
+                    token, held = t, []
+                held.append((node, n, sketch))
+            yield pa.record_batch([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
+            out.clear()
+        close()
+        yield pa.record_batch([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return run
 
 
 def _near(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -286,7 +354,7 @@ def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
 
 def similar_documents(
-    docs: DataFrame, width: int = 3, percent: int = 90, short_run: int = SHORT_RUN, block: int = BLOCK
+    docs: DataFrame, width: int = 3, percent: int = 90, short_run: int = SHORT_RUN, long_run: int = LONG_RUN, block: int = BLOCK
 ) -> DataFrame:
     """Components of documents under Jaccard similarity of word shingles: (doc_id, n_shingles, component_id).
 
@@ -294,8 +362,9 @@ def similar_documents(
     ``width`` words, or the whole of a shorter text. Sets A and B link when ``100 |A & B| >= percent |A | B|``;
     ``component_id`` is the smallest id reachable. Shingles are compared by 64-bit hashes.
 
-    Inverted lists of up to ``short_run`` documents are paired; ``block`` bounds the shingles one task holds of each
-    side. Neither changes the result.
+    Inverted lists of up to ``short_run`` documents are paired, those of up to ``long_run`` are compared by sketch in
+    one task, longer ones tie all their documents; ``block`` bounds the shingles one task holds of each side. None of
+    them changes the result.
 
     Null and empty texts have no shingles, link with nothing and are their own component. Documents with equal sets
     are one node of the search. A repeated id with different texts is so many documents; a null id can be linked but
@@ -317,14 +386,18 @@ def similar_documents(
         .mapInArrow(_entries, "token long, node binary, n long")
         .repartition("token")
         .sortWithinPartitions("token", "n", "node")
-        .mapInArrow(_runs(percent, short_run), "a binary, b binary, na long, nb long, tied boolean")
+        .mapInArrow(_runs(percent, short_run, long_run), _FOUND_DDL)
     )
-    pairs = settle(runs.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.max("tied").alias("tied")), "overlap-pairs")
+    found = settle(runs, "overlap-runs")
     sketches = nodes.select("node", "sketch").dropDuplicates(["node"])
     left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
     right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
-    near = pairs.filter("not tied").join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_near(percent), "a binary, b binary")
-    clusters = settle(components(near.unionAll(pairs.filter("tied").select("a", "b")), "overlap-clusters"), "overlap-members")
+    pairs = found.filter(F.col("kind") == _PAIR).groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"))
+    near = pairs.join(left, "a").join(right, "b").select("na", "nb", "sa", "sb", "a", "b").mapInArrow(_near(percent), "a binary, b binary")
+    listed = found.filter(F.col("kind") == _MEMBER).select("token", F.col("a").alias("node"), F.col("na").alias("n")).join(sketches, "node")
+    forests = listed.repartition("token").sortWithinPartitions("token", "n", "node").mapInArrow(_forests(percent), "a binary, b binary")
+    ties = found.filter(F.col("kind") == _TIE).select("a", "b")
+    clusters = settle(components(near.unionAll(forests).unionAll(ties), "overlap-clusters"), "overlap-members")
 
     members = rows.join(heads, "node").filter(F.col("doc_id").eqNullSafe(F.col("head"))).select("node", "doc_id", "n").distinct()
     members = members.join(clusters, "node").select("node", "doc_id", "n", F.col("root").alias("cluster"))
