@@ -48,7 +48,8 @@ def daily_trips_weather(daily: DataFrame, weather: DataFrame) -> DataFrame:
 def weather_correlation(daily: DataFrame, nulls: str = "zero", columns: Sequence[str] = WEATHER_MEANS) -> DataFrame:
     """Pearson correlation of daily trips with each weather mean.
 
-    ``nulls="zero"`` reads a missing mean as 0, as ``DataFrame.stat.corr`` does; ``"skip"`` leaves the day out.
+    ``nulls="zero"`` reads a missing mean as 0, as ``DataFrame.stat.corr`` does; ``"skip"`` leaves the day out. A
+    column that does not vary has no correlation, null.
     """
     if nulls not in ("zero", "skip"):
         raise ValueError("nulls is 'zero' or 'skip'")
@@ -57,7 +58,12 @@ def weather_correlation(daily: DataFrame, nulls: str = "zero", columns: Sequence
         c = F.col(name).cast("double")
         return F.coalesce(c, F.lit(0.0)) if nulls == "zero" else c
 
-    return daily.agg(*[F.corr(value("trip_count"), value(c)).alias(f"corr_{c}") for c in columns])
+    def pearson(x: Column, y: Column) -> Column:
+        # the built-in corr divides by the spreads and stops on 0 in ANSI mode
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+
+    return daily.agg(*[pearson(value("trip_count"), value(c)).alias(f"corr_{c}") for c in columns])
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

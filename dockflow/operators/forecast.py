@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockflow.functions.calendar import RULES, holiday_flags
@@ -59,7 +60,7 @@ class Design:
     seasonalities: tuple[tuple[float, int], ...] = ((365.25, 10), (7.0, 3), (1.0, 4))
     extra: tuple[float, int] | None = (24.0, 15)
     extra_prior: float = 0.1
-    holidays: str | None = "federal"
+    holidays: str | None = "extended"
     regressors: tuple[str, ...] = tuple(REGRESSORS)
 
     @property
@@ -128,10 +129,19 @@ def _fold_cutoff(horizon: timedelta, period: timedelta) -> Column:
     return F.timestamp_seconds(F.col("_last") - _seconds(horizon) - F.col("fold") * _seconds(period))
 
 
-def _to_folds(blocks: DataFrame) -> DataFrame:
-    """Repeat per-block rows for every fold they train. For block sums only, never for data rows."""
-    folds = F.sequence(F.lit(0), F.least(F.col("_block"), F.col("_folds") - 1))
-    return blocks.where((F.col("_block") >= 0) & (F.col("_folds") > 0)).withColumn("fold", F.explode(folds))
+def _running_folds(blocks: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Training sums of every fold, from sums per block (``_block``, ``_folds``).
+
+    Sums run from the oldest block on. A block's running sum is that of all folds down to the next newer block of the
+    same keys, so each fold gets one row, and blocks are never repeated for the folds they train.
+    """
+    older = W.partitionBy(*keys).orderBy(F.col("_block").desc())
+    upto = older.rowsBetween(W.unboundedPreceding, 0)
+    run = blocks.where((F.col("_block") >= 0) & (F.col("_folds") > 0)).withColumns(
+        {**{c: F.sum(c).over(upto) for c in sums}, "_newer": F.coalesce(F.lead("_block").over(older), F.lit(-1))}
+    )
+    oldest = F.least(F.col("_block"), F.col("_folds") - 1)
+    return run.where(F.col("_newer") < oldest).withColumn("fold", F.explode(F.sequence(F.col("_newer") + 1, oldest)))
 
 
 def cv_folds(
@@ -147,11 +157,8 @@ def cv_folds(
     keys = [*by, "fold"]
     placed = with_folds(frame.select(*by, ts), by, ts, initial, horizon, period)
     per_block = placed.groupBy(*by, "_last", "_folds", "_block").agg(F.count(F.lit(1)).alias("_n"))
-    train = (
-        _to_folds(per_block)
-        .groupBy(*keys, "_last")
-        .agg(F.sum("_n").alias("train_rows"))
-        .select(*keys, _fold_cutoff(horizon, period).alias("cutoff"), "train_rows")
+    train = _running_folds(per_block, by, ["_n"]).select(
+        *keys, _fold_cutoff(horizon, period).alias("cutoff"), F.col("_n").alias("train_rows")
     )
     test = (
         placed.select(*by, F.explode("_tests").alias("fold"))
@@ -212,19 +219,25 @@ def cv_profile(
     horizon: timedelta = HORIZON,
     period: timedelta | None = None,
 ) -> DataFrame:
-    """Held-out rows of every fold with the forecast of the profile fitted before its cutoff."""
-    keys = [*by, "fold", "_weekday", "hour"]
-    placed = with_folds(history.select(*by, ts, "y"), by, ts, initial, horizon, period).withColumns(_slot(ts))
-    per_block = placed.groupBy(*by, "_folds", "_block", "_weekday", "hour").agg(*_slot_sums())
-    fitted = (
-        _to_folds(per_block)
-        .groupBy(*keys)
-        .agg(*[F.sum(c).alias(c) for c in ("_n", "_sum", "_squares")])
-        .where(F.col("_n") > 0)
-        .select(*keys, *_profile_of_sums())
-    )
-    held_out = placed.select(*by, ts, "y", "_weekday", "hour", F.explode("_tests").alias("fold"))
-    return held_out.join(fitted, keys).select(*by, "fold", ts, "y", "yhat", "yhat_lower", "yhat_upper")
+    """Held-out rows of every fold with the forecast of the profile fitted before its cutoff.
+
+    Every held-out row stays. Where its weekday and hour were not seen before the cutoff, the forecast is the mean of
+    the whole series up to then, with that mean's interval. Rows without ``y`` neither train nor are held out.
+    """
+    sums = ["_n", "_sum", "_squares"]
+    slot = ["_weekday", "hour"]
+    known = history.select(*by, ts, "y").where(F.col("y").isNotNull())
+    placed = with_folds(known, by, ts, initial, horizon, period).withColumns(_slot(ts))
+    per_slot = placed.groupBy(*by, "_folds", "_block", *slot).agg(*_slot_sums())
+    per_series = per_slot.groupBy(*by, "_folds", "_block").agg(*[F.sum(c).alias(c) for c in sums])
+    names = ["yhat", "yhat_lower", "yhat_upper"]
+    fitted = _running_folds(per_slot, [*by, *slot], sums).select(*by, "fold", *slot, *_profile_of_sums())
+    overall = _running_folds(per_series, by, sums).select(*by, "fold", *_profile_of_sums())
+    overall = overall.withColumnsRenamed({c: f"_all_{c}" for c in names})
+    held_out = placed.select(*by, ts, "y", *slot, F.explode("_tests").alias("fold"))
+    scored = held_out.join(fitted, [*by, "fold", *slot], "left").join(overall, [*by, "fold"], "left")
+    seen = F.col("yhat").isNotNull()
+    return scored.select(*by, "fold", ts, "y", *[F.when(seen, F.col(c)).otherwise(F.col(f"_all_{c}")).alias(c) for c in names])
 
 
 # -- regression terms ---------------------------------------------------------------------------------------------
@@ -371,11 +384,13 @@ def _rss(sums: _Sums, left: np.ndarray, right: np.ndarray, coef: np.ndarray) ->
 
 def _fit_all(sums: _Sums, design: Design, grid: Sequence[Mapping]):
     """Coefficients of every setting from one set of sums."""
-    systems = {m: sums.system(m, design.trend_width) for m in {s["seasonality_mode"] for s in grid}}
-    for number, setting in enumerate(grid):
-        left, right, lift = systems[setting["seasonality_mode"]]
+    systems = {}
+    for mode in {s["seasonality_mode"] for s in grid}:
+        left, right, lift = sums.system(mode, design.trend_width)
         loose = _solve(left, right, np.full(sums.width, 1e-6 * np.trace(left) / sums.width))
-        noise = max(_rss(sums, left, right, loose) / sums.n, 1e-12)
+        systems[mode] = left, right, lift, max(_rss(sums, left, right, loose) / sums.n, 1e-12)
+    for number, setting in enumerate(grid):
+        left, right, lift, noise = systems[setting["seasonality_mode"]]
         coef = _solve(left, right, _penalties(design, setting, sums, noise))
         yield {
             "setting_id": number,
@@ -396,6 +411,13 @@ _MODEL_TYPES = (
 )
 
 
+def complete(frame: DataFrame, design: Design) -> DataFrame:
+    """Rows that can train and be scored: those with ``y`` and every regressor."""
+    for name in ("y", *design.regressors):
+        frame = frame.where(F.col(name).isNotNull())
+    return frame
+
+
 def fit_panel(
     frame: DataFrame,
     by: Sequence[str] = ("station",),
@@ -409,15 +431,16 @@ def fit_panel(
 ) -> DataFrame:
     """Models of every series and setting: on all history, and with ``folds`` also before every cutoff.
 
+    Rows without ``y`` or without one of the regressors neither train nor count for the placement of folds; the
+    evaluation in :func:`cv_predict` places its folds on the same rows. Trend time runs over the whole history in
+    every fold, so an early fold has fewer bends before its cutoff than a fit of that part alone would get.
+
     ``frame`` has at most one row per series and hour, so a block holds at most one ``period`` of hours and a series
     at most one block per ``period`` of its history, whatever the number of trips behind them.
     """
     by = list(by)
     grid = [dict(s) for s in grid]
-    known = frame.where(F.col("y").isNotNull())
-    for name in design.regressors:
-        known = known.where(F.col(name).isNotNull())
-    placed = with_folds(known, by, ts, initial, horizon, period)
+    placed = with_folds(complete(frame, design), by, ts, initial, horizon, period)
     placed = trend_features(seasonal_features(placed, design, ts), design, ts)
     types = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
     keys = ", ".join(f"`{k}` {types[k]}" for k in by)
@@ -490,8 +513,8 @@ def cv_predict(
     horizon: timedelta = HORIZON,
     period: timedelta | None = None,
 ) -> DataFrame:
-    """Held-out rows of every fold under every setting's model of that fold."""
-    placed = with_folds(frame, by, ts, initial, horizon, period).drop("_first", "_last", "_folds", "_block")
+    """Held-out rows of every fold under every setting's model of that fold, folds placed as :func:`fit_panel` does."""
+    placed = with_folds(complete(frame, design), by, ts, initial, horizon, period).drop("_first", "_last", "_folds", "_block")
     held_out = placed.withColumn("fold", F.explode("_tests")).drop("_tests")
     return predict(held_out, models.where(F.col("fold") >= 0), [*by, "fold"], design, ts)
 

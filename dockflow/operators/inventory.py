@@ -11,20 +11,27 @@ from dockflow.functions.stock import is_full, stock_status
 from dockflow.functions.timeparts import hour_of
 from dockflow.operators.flows import as_of, recent
 from dockflow.operators.series import forward_fill, running_total
+from dockflow.sources.writers import settle
 from dockflow.spec import DEFAULT_CAPACITY
 
 LIVE_READINGS = ["temp", "pressure", "humidity", "wind_speed", "pop", "rain_1h"]
 
 
 def latest_as_of(df: DataFrame, by: Sequence[str], ts: str, columns: Sequence[str], now=None) -> DataFrame:
-    """Each key's newest row no later than ``now``. One pass for all keys, one row per key and task in the shuffle.
+    """Each key's newest row no later than ``now``.
 
-    Rows of the same instant are told apart by the carried columns, the larger first.
+    The newest times come from a hash aggregate, one row per key and task in its shuffle. Only rows of those times
+    are compared further: rows of the same instant are told apart by the carried columns, the larger first. A key
+    whose times are all null has its largest row.
     """
     if now is not None:
         df = as_of(df, ts, now)
-    newest = F.max(F.struct(ts, *columns)).alias("_newest")
-    return df.groupBy(*by).agg(newest).select(*by, *[f"_newest.{c}" for c in [ts, *columns]])
+    newest = df.groupBy(*by).agg(F.max(ts).alias("_ts")).withColumnsRenamed({c: f"_of_{c}" for c in by})
+    match = F.col(ts).eqNullSafe(F.col("_ts"))
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    tied = df.select(*by, ts, *columns).join(newest, match, "left_semi")
+    return tied.groupBy(*by, ts).agg(F.max(F.struct(*columns)).alias("_newest")).select(*by, ts, *[f"_newest.{c}" for c in columns])
 
 
 def live_hourly_weather(weather: DataFrame, ts: str = "dt") -> DataFrame:
@@ -58,7 +65,9 @@ def inference_frame(
     """Reports of the last hours with the regressors a model needs, gaps filled from the report before."""
     window = recent(status, ts, now, hours)
     readings = recent(weather, weather_ts, now, hours + 1)
-    joined = status_with_weather(window, live_hourly_weather(readings, weather_ts), ts)
+    # written first, the few hours of weather have a known size, and Spark sends them to the reports
+    hourly = settle(live_hourly_weather(readings, weather_ts), "live-hours")
+    joined = status_with_weather(window, hourly, ts)
     regressors = [c for c in joined.columns if c.startswith("avg_")]
     filled = forward_fill(joined, [by], ts, regressors, ties=["num_bikes_available"])
     return filled.withColumnRenamed(ts, "ds").drop("date_hour")
@@ -74,12 +83,12 @@ def running_inventory(
 ) -> DataFrame:
     """Stock after each forecast step: the stock at the start plus the rounded changes so far.
 
-    Halves round to the even neighbour. ``stock`` is a constant, a column, or a table of one
+    Halves round to the even neighbour. From the first missing forecast on, the stock is unknown and null. ``stock`` is a constant, a column, or a table of one
     ``num_bikes_available`` per series.
     """
     by = list(by)
     steps = forecast.withColumn("_change", F.bround(F.col(change)).cast("long"))
-    moved = running_total(steps, by, ts, "_change", "_moved", block=block).drop("_change")
+    moved = running_total(steps, by, ts, "_change", "_moved", block=block, strict=True).drop("_change")
     if isinstance(stock, DataFrame):
         start = stock.select(*by, F.col("num_bikes_available").alias("_start"))
         moved = moved.join(start, by, "left")

@@ -44,7 +44,13 @@ def next_versions(registry: DataFrame, models: DataFrame) -> DataFrame:
 def register_versions(registry_path: str, models: DataFrame, at: datetime) -> None:
     """Register one new version of every row of ``models``: model_name, params and metrics; names differ."""
     registry = open_registry(models.sparkSession, registry_path)
-    events = next_versions(registry, models).select(
+    register_numbered(registry_path, next_versions(registry, models), at)
+
+
+def register_numbered(registry_path: str, numbered: DataFrame, at: datetime) -> None:
+    """Register the versions that ``numbered`` already carries, but none twice: a repeated run adds nothing."""
+    known = open_registry(numbered.sparkSession, registry_path).where("event = 'register'").select("model_name", "version")
+    events = numbered.join(known, ["model_name", "version"], "left_anti").select(
         "model_name",
         "version",
         F.lit("register").alias("event"),

@@ -1,33 +1,42 @@
 """Ordered computations on station series: running totals, gap filling, exact percentiles, future hours.
 
 A window over a whole series runs as one task, and one station may hold a large share of all rows. Running totals and
-fills are therefore done within time blocks; only one small row per series and block goes into the window that carries
-state from block to block. The input is read twice, for the rows and for the blocks, so a costly one is better written
-first. The columns that name a series must not be null.
+fills are therefore done within blocks; only one small row per series and block goes into the window that carries
+state from block to block. Blocks are ranges of the series' rows, cut by Spark to about equal size, so a station that
+reports a million times a day is spread over many; the ranges are written once and read for rows and for blocks.
+Where rows per series and time are known to be few, as in hourly tables, blocks can be time units instead, which need
+no exchange by range. Null keys are a series of their own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dockflow.sources.writers import settle
 
-def _blocked(df: DataFrame, ts: str, block: str) -> DataFrame:
-    return df.withColumn("_block", F.date_trunc(block, F.col(ts)))
 
+def _blocked(df: DataFrame, by: Sequence[str], ts: str, ties: Sequence[str], block: str | None) -> DataFrame:
+    # one struct key per series: it is never null itself, so plain equality also matches series with null names
+    df = df.withColumn("_series", F.struct(*by) if by else F.lit(0))
+    if block:
+        return df.withColumn("_block", F.date_trunc(block, F.col(ts)))
+    ranged = df.repartitionByRange(*[F.col(c) for c in (*by, ts, *ties)])
+    return settle(ranged.withColumn("_block", F.spark_partition_id()), "series-blocks")
 
-def _carry(blocks: DataFrame, by: Sequence[str], columns: dict) -> DataFrame:
+
+def _carry(blocks: DataFrame, columns: dict) -> DataFrame:
     """Per series, state at the start of each block from the blocks before it."""
-    before = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    return blocks.select(*by, "_block", *[fold.over(before).alias(name) for name, fold in columns.items()])
+    before = W.partitionBy("_series").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    return blocks.select("_series", "_block", *[fold.over(before).alias(name) for name, fold in columns.items()])
 
 
-def _join_carry(rows: DataFrame, carry: DataFrame, by: Sequence[str]) -> DataFrame:
+def _join_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
     """Bring the state to the rows. Plain equality, so rows already placed by series and block stay where they are."""
-    return rows.join(carry, [*by, "_block"], "left")
+    return rows.join(carry, ["_series", "_block"], "left")
 
 
 def running_total(
@@ -37,19 +46,24 @@ def running_total(
     value: str,
     out: str,
     ties: Sequence[str] = (),
-    block: str = "month",
+    block: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """Sum of ``value`` up to and including each row of its series. Missing values add nothing."""
-    rows = _blocked(df, ts, block)
-    inside = W.partitionBy(*by, "_block").orderBy(ts, *ties).rowsBetween(W.unboundedPreceding, 0)
-    local = rows.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    totals = rows.groupBy(*by, "_block").agg(F.sum(value).alias("_total"))
-    carry = _carry(totals, by, {"_before": F.sum("_total")})
-    return (
-        _join_carry(local, carry, by)
-        .withColumn(out, F.col(out) + F.coalesce(F.col("_before"), F.lit(0)))
-        .select(*df.columns, out)
-    )
+    """Sum of ``value`` up to and including each row of its series.
+
+    Missing values add nothing; with ``strict`` the total is unknown, null, from the first missing value on. ``block``
+    names a time unit that holds few rows of a series; without it rows are cut by range.
+    """
+    rows = _blocked(df, by, ts, ties, block)
+    inside = W.partitionBy("_series", "_block").orderBy(ts, *ties).rowsBetween(W.unboundedPreceding, 0)
+    gap = F.when(F.col(value).isNull(), 1).otherwise(0)
+    local = rows.withColumns({out: F.coalesce(F.sum(value).over(inside), F.lit(0)), "_gaps": F.sum(gap).over(inside)})
+    totals = rows.groupBy("_series", "_block").agg(F.sum(value).alias("_total"), F.sum(gap).alias("_missing"))
+    carry = _carry(totals, {"_before": F.sum("_total"), "_lost": F.sum("_missing")})
+    total = F.col(out) + F.coalesce(F.col("_before"), F.lit(0))
+    if strict:
+        total = F.when(F.col("_gaps") + F.coalesce("_lost", F.lit(0)) == 0, total)
+    return _join_carry(local, carry).withColumn(out, total).select(*df.columns, out)
 
 
 def forward_fill(
@@ -58,19 +72,26 @@ def forward_fill(
     ts: str,
     columns: Sequence[str],
     ties: Sequence[str] = (),
-    block: str = "day",
+    block: str | None = None,
 ) -> DataFrame:
-    """Replace nulls by the last earlier value of the same series; leading nulls stay."""
-    rows = _blocked(df, ts, block)
-    inside = W.partitionBy(*by, "_block").orderBy(ts, *ties).rowsBetween(W.unboundedPreceding, 0)
+    """Replace nulls by the last earlier value of the same series; leading nulls stay.
+
+    ``block`` names a time unit that holds few rows of a series; without it rows are cut by range. What a block hands
+    on is its last filled row, so nothing is aggregated over structs.
+    """
+    rows = _blocked(df, by, ts, ties, block)
+    order = W.partitionBy("_series", "_block").orderBy(ts, *ties)
+    inside = order.rowsBetween(W.unboundedPreceding, 0)
     local = rows.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
-    order = F.struct(ts, *ties)
-    tails = rows.groupBy(*by, "_block").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(f"_tail_{c}") for c in columns]
-    )
-    carry = _carry(tails, by, {f"_carry_{c}": F.last(f"_tail_{c}", ignorenulls=True) for c in columns})
+    ends = rows.select(
+        "_series",
+        "_block",
+        F.lead(F.lit(1)).over(order).alias("_more"),
+        *[F.last(c, ignorenulls=True).over(inside).alias(f"_tail_{c}") for c in columns],
+    ).where(F.col("_more").isNull())
+    carry = _carry(ends, {f"_carry_{c}": F.last(f"_tail_{c}", ignorenulls=True) for c in columns})
     filled = {c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in columns}
-    return _join_carry(local, carry, by).withColumns(filled).select(df.columns)
+    return _join_carry(local, carry).withColumns(filled).select(df.columns)
 
 
 def future_hours(df: DataFrame, by: Sequence[str], ts: str, hours: int = 24) -> DataFrame:
@@ -87,9 +108,19 @@ def future_frame(df: DataFrame, by: Sequence[str], ts: str, hours: int = 24) ->
     return past.unionByName(future_hours(df, by, ts, hours).withColumn("is_future", F.lit(True)))
 
 
-def _slice_of(value, grain: int):
-    """Number of a value's slice: monotone in the value, about ``1/grain`` wide relative to its size."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value) * float(1 << 20)) * grain).cast("long")
+def _slice_of(value: Column, grain: int) -> Column:
+    """Number of a value's slice: monotone in the value, about ``1/grain`` wide relative to its size.
+
+    Infinities have the outermost slices, and NaN one after all others, as Spark orders it.
+    """
+    edge = 1 << 62
+    finite = F.floor(F.signum(value) * F.log1p(F.abs(value) * float(1 << 20)) * grain).cast("long")
+    return (
+        F.when(F.isnan(value), F.lit(edge + 1))
+        .when(value == float("inf"), F.lit(edge))
+        .when(value == float("-inf"), F.lit(-edge))
+        .otherwise(finite)
+    )
 
 
 def exact_percentiles(
@@ -98,9 +129,10 @@ def exact_percentiles(
     """Exact, interpolated percentiles of each group, as an array column ``percentiles``.
 
     The built-in exact ``percentile`` keeps every distinct value of a group in one task's memory. Here equal values
-    are counted together first; counts per narrow value slice then tell which slices hold the wanted ranks, and only
-    those slices are ordered. Groups without a value have no row. A slice is ``1/grain`` wide relative to its values;
-    raise ``grain`` for values that are large against their spread, such as epochs.
+    are counted together first, and the counts written; counts per narrow value slice then tell which slices hold the
+    wanted ranks, and only those slices are ordered. NaN and infinities count as values, in Spark's order. Groups
+    without a value have no row. A slice is ``1/grain`` wide relative to its values; raise ``grain`` for values that
+    are large against their spread, such as epochs.
     """
     by = list(by)
     keys = by or ["_all"]
@@ -111,6 +143,7 @@ def exact_percentiles(
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_slice", _slice_of(F.col("_value"), grain))
     )
+    counts = settle(counts, "percentile-counts")
     slices = counts.groupBy(*keys, "_slice").agg(F.sum("_copies").alias("_size"))
     group = W.partitionBy(*keys)
     slices = slices.withColumns(
@@ -151,6 +184,7 @@ def exact_percentiles(
         spot = (F.col("_rows") - 1) * float(p)
         low = F.element_at("_at", F.floor(spot).cast("long"))
         high = F.element_at("_at", F.ceil(spot).cast("long"))
-        return low + (high - low) * (spot - F.floor(spot))
+        part = spot - F.floor(spot)
+        return F.when((part == 0) | (low == high), low).otherwise(low * (1 - part) + high * part)
 
     return found.select(*by, F.array(*[interpolated(p) for p in probabilities]).alias("percentiles"))

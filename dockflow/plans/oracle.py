@@ -72,22 +72,29 @@ future AS (
 
 CUTOFFS = FRAME + """,
 spans AS (SELECT station, min(ds) AS first, max(ds) AS last FROM frame GROUP BY 1),
+numbered AS (
+  SELECT station, first, last,
+         unnest(generate_series(0, greatest(-1, CAST(floor((epoch(last) - epoch(first) - 18 * 86400) / 172800) AS BIGINT)))) AS k
+  FROM spans),
 cutoffs AS (
-  SELECT station, CAST(k AS INTEGER) AS fold, last - INTERVAL 4 DAY - k * INTERVAL 2 DAY AS cutoff
-  FROM spans, range(0, 20) r(k)
-  WHERE last - INTERVAL 4 DAY - k * INTERVAL 2 DAY >= first + INTERVAL 14 DAY)"""
+  SELECT station, CAST(k AS INTEGER) AS fold, last - INTERVAL 4 DAY - k * INTERVAL 2 DAY AS cutoff FROM numbered)"""
 
 CV = CUTOFFS + f""",
 trained AS (
   SELECT c.station, c.fold, dayofweek(f.ds) AS dow, hour(f.ds) AS hh, avg(y) AS m,
          sqrt(greatest(avg(y * y) - avg(y) * avg(y), 0)) * {WIDTH} AS w
   FROM cutoffs c JOIN frame f ON f.station = c.station AND f.ds <= c.cutoff GROUP BY ALL),
+overall AS (
+  SELECT c.station, c.fold, avg(y) AS m, sqrt(greatest(avg(y * y) - avg(y) * avg(y), 0)) * {WIDTH} AS w
+  FROM cutoffs c JOIN frame f ON f.station = c.station AND f.ds <= c.cutoff GROUP BY ALL),
 cv AS (
-  SELECT f.station, c.fold, f.ds, f.y, t.m AS yhat, t.m - t.w AS yhat_lower, t.m + t.w AS yhat_upper,
-         t.m - f.y AS residual
+  SELECT f.station, c.fold, f.ds, f.y, coalesce(t.m, o.m) AS yhat,
+         coalesce(t.m, o.m) - coalesce(t.w, o.w) AS yhat_lower, coalesce(t.m, o.m) + coalesce(t.w, o.w) AS yhat_upper,
+         coalesce(t.m, o.m) - f.y AS residual
   FROM cutoffs c
   JOIN frame f ON f.station = c.station AND f.ds > c.cutoff AND f.ds <= c.cutoff + INTERVAL 4 DAY
-  JOIN trained t ON t.station = c.station AND t.fold = c.fold AND t.dow = dayofweek(f.ds) AND t.hh = hour(f.ds))"""
+  LEFT JOIN trained t ON t.station = c.station AND t.fold = c.fold AND t.dow = dayofweek(f.ds) AND t.hh = hour(f.ds)
+  LEFT JOIN overall o ON o.station = c.station AND o.fold = c.fold)"""
 
 METRICS = """round(avg((yhat - y) * (yhat - y)), 6) AS mse, round(sqrt(avg((yhat - y) * (yhat - y))), 6) AS rmse,
   round(avg(abs(yhat - y)), 6) AS mae, round(median(abs((yhat - y) / nullif(y, 0))), 6) AS mdape,
@@ -535,6 +542,18 @@ SELECT station, CAST(CASE WHEN residual < -2.05 THEN 0 WHEN residual >= 2.05 THE
 SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.05), 6) AS p5,
        round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.95), 6) AS p95,
        round(quantile_cont(l_quantity, 0.5), 6) AS quantity_p50 FROM lineitem GROUP BY 1""",
+    "percentiles_with_nan": """
+WITH odd AS (
+  SELECT l_returnflag, CASE l_linenumber WHEN 1 THEN 4 WHEN 2 THEN 1 WHEN 3 THEN 3 ELSE 2 END AS place, l_quantity AS v
+  FROM lineitem),
+ranked AS (
+  SELECT l_returnflag, CASE place WHEN 4 THEN 'NaN' WHEN 1 THEN '-Infinity' WHEN 3 THEN 'Infinity' ELSE CAST(v AS VARCHAR) END AS t,
+         row_number() OVER (PARTITION BY l_returnflag ORDER BY place, v) - 1 AS r,
+         count(*) OVER (PARTITION BY l_returnflag) - 1 AS n FROM odd)
+SELECT l_returnflag, max(CASE WHEN r = 0 THEN t END) AS p0, max(CASE WHEN r = floor(n * 0.2) THEN t END) AS p20,
+       max(CASE WHEN r = floor(n * 0.45) THEN t END) AS p45, max(CASE WHEN r = floor(n * 0.7) THEN t END) AS p70,
+       max(CASE WHEN r = n THEN t END) AS p100
+FROM ranked GROUP BY 1""",
     "registry_latest": LATEST_STAGE,
     "registry_lifecycle": f"""
 {_with(CV)}

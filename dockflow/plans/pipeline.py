@@ -10,20 +10,25 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.functions.timeparts import epoch_to_ts, hour_of
 from dockflow.operators import evaluation, explore, flows, forecast, inventory, quality, registry
-from dockflow.sources.readers import clean_names, read_table, read_trips_csv, read_weather_csv
-from dockflow.sources.writers import balance, cluster_by, ensure_database, publish, write_table
-from dockflow.spec import TripSpec
+from dockflow.operators.series import forward_fill
+from dockflow.sources.readers import clean_names, read_table, read_trips_csv, read_weather_csv, union_sources, unreadable_cells
+from dockflow.sources.writers import balance, cluster_by, ensure_database, publish
+from dockflow.spec import DEFAULT_CAPACITY, TRIPS_RAW, WEATHER_RAW, TripSpec
 from dockflow.streaming.streams import status_events, weather_events
 
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    """Where the inputs and tables are and what to run."""
+    """Where the inputs and tables are and what to run.
+
+    ``station_info`` is a table of station_id, station_name and capacity; ``stations`` names stations without one.
+    ``extras`` keeps columns of the raw files that the contract does not know.
+    """
 
     trips_csv: str
     weather_csv: str
@@ -44,6 +49,8 @@ class PipelineConfig:
     hours: int = 4
     promote: bool = False
     stations: Mapping[str, str] = field(default_factory=dict)
+    station_info: str | None = None
+    extras: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.base.rstrip('/')}/{table}"
@@ -52,33 +59,47 @@ class PipelineConfig:
         return f"`{self.database}`.{table}"
 
 
-def _save(df: DataFrame, config: PipelineConfig, table: str) -> DataFrame:
+def _save(df: DataFrame, config: PipelineConfig, table: str, by: Sequence[str] = (), parts: bool = False) -> DataFrame:
     """Write a table, register it, and read it back: later stages start from files, not from this plan."""
-    publish(df, config.path(table), config.name(table), config.fmt)
+    publish(df, config.path(table), config.name(table), config.fmt, by, parts)
     return read_table(df.sparkSession, config.path(table), config.fmt)
 
 
 def run_bronze(spark: SparkSession, config: PipelineConfig) -> None:
-    """Raw files to typed tables: weather unique by time, trips clustered by station and time."""
-    weather = epoch_to_ts(clean_names(read_weather_csv(spark, config.weather_csv, mixed_headers=config.mixed_headers)), "dt")
-    weather = quality.dedup(weather.where(F.col("dt").isNotNull()), ["dt"])
-    trips = read_trips_csv(spark, config.trips_csv, mixed_headers=config.mixed_headers)
-    _save(cluster_by(weather, "dt"), config, "bronze_weather")
+    """Raw files to typed tables: weather unique by time, trips clustered by station and time.
+
+    ``ingest_report`` counts, per file kind and column, the cells that could not be read and became null, and the
+    weather rows left out because their time was missing, unreadable or repeated.
+    """
+    options = {"mixed_headers": config.mixed_headers, "extras": config.extras}
+    raw = epoch_to_ts(clean_names(read_weather_csv(spark, config.weather_csv, **options)), "dt")
+    weather = quality.dedup(raw.where(F.col("dt").isNotNull()), ["dt"])
+    trips = read_trips_csv(spark, config.trips_csv, **options)
+    kept = _save(cluster_by(weather, "dt"), config, "bronze_weather")
     _save(
         cluster_by(trips, "start_station_name", spread=["started_at", "ride_id"]),
         config,
         "bronze_trips",
     )
+    cells = [
+        unreadable_cells(spark, path, contract, config.mixed_headers).withColumn("source", F.lit(source))
+        for source, path, contract in (("trips", config.trips_csv, TRIPS_RAW), ("weather", config.weather_csv, WEATHER_RAW))
+    ]
+    left = raw.agg(F.count(F.lit(1)).alias("rows")).withColumns(
+        {"source": F.lit("weather"), "column": F.lit(None).cast("string"), "unreadable": F.lit(0).cast("long"), "left_out": F.col("rows") - F.lit(kept.count())}
+    )
+    _save(union_sources([*cells, left]).select("source", "column", "rows", "unreadable", "left_out"), config, "ingest_report")
 
 
 def run_silver(spark: SparkSession, config: PipelineConfig) -> None:
-    """Hourly flows with weather, within the configured period; the period also limits what is read."""
+    """Hourly flows with weather, a folder per day. A configured period limits what is read and what is replaced."""
     period = (config.start, config.end)
     trips = flows.touching_period(read_table(spark, config.path("bronze_trips"), config.fmt), *period)
     weather = flows.in_period(read_table(spark, config.path("bronze_weather"), config.fmt), "dt", *period)
     means = _save(flows.weather_by_hour(weather), config, "weather_hours")
     silver = flows.in_period(flows.silver_from_hourly(trips, means), "start_date_column", *period)
-    _save(balance(silver), config, "silver_weather_trip")
+    day = ["start_date_column"]
+    _save(balance(silver, by=day), config, "silver_weather_trip", day, parts=any(period))
 
 
 def run_explore(spark: SparkSession, config: PipelineConfig, station: str | None = None) -> dict[str, DataFrame]:
@@ -104,6 +125,12 @@ def run_explore(spark: SparkSession, config: PipelineConfig, station: str | None
     }
 
 
+def save_explore(spark: SparkSession, config: PipelineConfig) -> None:
+    """The exploratory results of all stations as tables named ``explore_*``."""
+    for name, result in run_explore(spark, config).items():
+        _save(result, config, f"explore_{name}")
+
+
 def run_train(spark: SparkSession, config: PipelineConfig) -> None:
     """Fit and evaluate every setting for every station; register, keep and stage each station's best model."""
     frame = flows.to_model_frame(read_table(spark, config.path("silver_weather_trip"), config.fmt))
@@ -112,11 +139,15 @@ def run_train(spark: SparkSession, config: PipelineConfig) -> None:
     models = _save(fitted, config, "models")
     setting = ["setting_id", *forecast.SETTING_COLUMNS]
     predicted = forecast.cv_predict(frame, models, ["station"], config.design, **scheme)
-    columns = ["station", *setting, "fold", "ds", "y", "yhat", "yhat_lower", "yhat_upper"]
-    held_out = _save(predicted.select(columns), config, "cv_predictions")
-    metrics = _save(evaluation.forecast_metrics(held_out, ["station", *setting]), config, "model_metrics")
+    # means of every setting come from one pipelined pass; only the chosen setting's predictions are stored
+    means = [m for m in evaluation.METRICS if m != "mdape"]
+    metrics = _save(evaluation.forecast_metrics(predicted, ["station", *setting], means), config, "model_metrics")
     best = evaluation.best_params(metrics, setting, ["station"]).select("station", "setting_id")
-    scores = metrics.select("station", "setting_id", *evaluation.METRICS)
+    chosen_models = models.join(best, ["station", "setting_id"], "left_semi")
+    of_chosen = forecast.cv_predict(frame, chosen_models, ["station"], config.design, **scheme)
+    columns = ["station", *setting, "fold", "ds", "y", "yhat", "yhat_lower", "yhat_upper"]
+    held_out = _save(of_chosen.select(columns), config, "cv_predictions")
+    scores = _save(evaluation.forecast_metrics(held_out, ["station", "setting_id"]), config, "chosen_metrics")
     chosen = (
         models.where(F.col("fold") == forecast.ALL_HISTORY)
         .drop("fold", "train_rows")
@@ -132,10 +163,12 @@ def run_train(spark: SparkSession, config: PipelineConfig) -> None:
     )
     path = config.path("registry")
     registry.create_registry(spark, path)
-    numbered = registry.next_versions(registry.open_registry(spark, path), chosen)
+    # a run is named by its time: repeated, it finds the same versions, replaces its own models and registers once
+    earlier = registry.open_registry(spark, path).where(F.col("event_ts") < F.lit(config.now))
+    numbered = registry.next_versions(earlier, chosen).withColumn("run_id", F.lit(config.now.strftime("%Y%m%dT%H%M%S%f")))
     latest = _save(numbered, config, "models_latest")
-    write_table(latest, config.path("models_registered"), config.fmt, mode="append")
-    registry.register_versions(path, latest.select("model_name", "params", "metrics"), config.now)
+    _save(latest, config, "models_registered", ["run_id"], parts=True)
+    registry.register_numbered(path, latest, config.now)
     stages = ["Staging", "Production"] if config.promote else ["Staging"]
     for step, stage in enumerate(stages, 1):
         registry.transition_stage(path, latest, stage, config.now + timedelta(seconds=step))
@@ -151,17 +184,31 @@ def staged_models(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     )
 
 
-def _with_station_name(status: DataFrame, stations: Mapping[str, str]) -> DataFrame:
-    """Status reports under the station names that trips use; without a mapping the id is the name."""
-    if not stations:
-        return status.withColumn("station", F.col("station_id"))
-    names = F.create_map(*[F.lit(x) for pair in stations.items() for x in pair])
-    return status.withColumn("station", names[F.col("station_id")]).where(F.col("station").isNotNull())
+def station_table(spark: SparkSession, config: PipelineConfig) -> DataFrame:
+    """(station_id, station, capacity) of the known stations, one row each."""
+    if config.station_info:
+        info = read_table(spark, config.station_info, config.fmt)
+        capacity = F.col("capacity") if "capacity" in info.columns else F.lit(None)
+        info = info.select("station_id", F.col("station_name").alias("station"), capacity.cast("int").alias("capacity"))
+    else:
+        pairs = [(k, v, None) for k, v in config.stations.items()]
+        info = spark.createDataFrame(pairs, "station_id string, station string, capacity int")
+    return info.groupBy("station_id").agg(F.min("station").alias("station"), F.max("capacity").alias("capacity"))
 
 
 def run_app(spark: SparkSession, config: PipelineConfig) -> None:
-    """Current state, gold (the last hours' forecast stock beside the observed) and the outlook of the next hours."""
-    reports = _with_station_name(status_events(read_table(spark, config.status, config.fmt)), config.stations)
+    """Current state, gold (the last hours' forecast stock beside the observed) and the outlook of the next hours.
+
+    Reports of stations that are not in the station table keep their id as the name and are counted in
+    ``unmapped_stations``. The outlook covers the hours after ``now`` for every station with a model, also one that
+    has been silent: its stock is its last report, whenever that was.
+    """
+    known = _save(station_table(spark, config), config, "stations")
+    reports = status_events(read_table(spark, config.status, config.fmt)).join(known, "station_id", "left")
+    unmapped = reports.where(F.col("station").isNull()).groupBy("station_id").agg(F.count(F.lit(1)).alias("reports"))
+    _save(unmapped, config, "unmapped_stations")
+    reports = reports.withColumn("station", F.coalesce("station", "station_id")).drop("capacity")
+    docks = known.groupBy("station").agg(F.max("capacity").alias("capacity"))
     status = flows.as_of(reports, "last_reported", config.now)
     weather = weather_events(read_table(spark, config.live_weather, config.fmt))
     stock = inventory.latest_as_of(status, ["station"], "last_reported", ["num_bikes_available"])
@@ -169,27 +216,47 @@ def run_app(spark: SparkSession, config: PipelineConfig) -> None:
     models = _save(staged_models(spark, config), config, "staged_models")
     series = ["stage", "model_version"]
 
+    def with_docks(df: DataFrame) -> DataFrame:
+        return df.join(docks, "station", "left").withColumn("capacity", F.coalesce("capacity", F.lit(DEFAULT_CAPACITY)))
+
     predicted = forecast.predict(hourly.drop("num_bikes_available"), models, ["station"], config.design)
     earlier = flows.as_of(status, "last_reported", config.now - timedelta(hours=config.hours))
     before = inventory.latest_as_of(earlier, ["station"], "last_reported", ["num_bikes_available"])
-    _save(inventory.gold_inventory(predicted, hourly, before, extra=series), config, "gold_data")
-
-    history = hourly.drop("num_bikes_available")
-    ahead = forecast.future_frame(history, ["station"], "ds", config.hours)
-    known = forecast.attach_regressors(ahead, history).where(F.col("is_future")).drop("is_future")
-    coming = forecast.predict(known, models, ["station"], config.design)
-    now_stock = coming.join(stock.select("station", F.col("num_bikes_available").alias("_stock")), "station", "left")
+    gold = inventory.gold_inventory(with_docks(predicted), hourly, before, extra=series, capacity="capacity")
+    gold = _save(gold, config, "gold_data")
+    _save(evaluation.compare_stages(gold), config, "stage_comparison")
+    _save(evaluation.residual_distribution(gold, ["stage"]), config, "stage_residuals")
+
+    hours = _save(_coming_weather(weather, config), config, "coming_hours")
+    stations = models.select("station").distinct().withColumn("ds", F.explode(_hours_after(config)))
+    coming = forecast.predict(stations.join(hours, "ds"), models, ["station"], config.design)
+    now_stock = with_docks(coming).join(stock.select("station", F.col("num_bikes_available").alias("_stock")), "station", "left")
     outlook = inventory.with_status(
-        inventory.running_inventory(now_stock, F.col("_stock"), ["station", *series])
+        inventory.running_inventory(now_stock, F.col("_stock"), ["station", *series], block="month"), capacity="capacity"
     )
     _save(
-        outlook.select("station", *series, "ds", "yhat", "num_bikes_available", "status_message", "is_full"),
+        outlook.select("station", *series, "ds", "yhat", "num_bikes_available", "capacity", "status_message", "is_full"),
         config,
         "gold_outlook",
     )
     _save(stock, config, "current_stock")
 
 
+def _hours_after(config: PipelineConfig) -> Column:
+    first = config.now.replace(minute=0, second=0, microsecond=0) + timedelta(hours=1)
+    return F.array(*[F.lit(first + timedelta(hours=h)) for h in range(config.hours)])
+
+
+def _coming_weather(weather: DataFrame, config: PipelineConfig) -> DataFrame:
+    """The regressors of the coming hours: those of the newest hour known by then, forecast hours included."""
+    hourly = inventory.live_hourly_weather(weather).withColumnRenamed("date_hour", "ds")
+    hourly = hourly.where(F.col("ds") >= F.lit(config.now - timedelta(days=1)))
+    ahead = weather.sparkSession.range(1).select(F.explode(_hours_after(config)).alias("ds"), F.lit(True).alias("coming"))
+    joined = hourly.join(ahead, "ds", "full").withColumn("place", F.lit(0))
+    filled = forward_fill(joined, ["place"], "ds", list(config.design.regressors), block="month")
+    return filled.where(F.col("coming")).select("ds", *config.design.regressors)
+
+
 def _hourly_state(status: DataFrame, weather: DataFrame, config: PipelineConfig) -> DataFrame:
     """The last report of each station and recent hour with its weather.
 
@@ -208,5 +275,5 @@ def _hourly_state(status: DataFrame, weather: DataFrame, config: PipelineConfig)
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> None:
     """All stages in order; a failure in one stops the run."""
     ensure_database(spark, config.database)
-    for stage in (run_bronze, run_silver, run_train, run_app):
+    for stage in (run_bronze, run_silver, save_explore, run_train, run_app):
         stage(spark, config)

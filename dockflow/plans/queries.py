@@ -554,9 +554,28 @@ def residual_histogram(spark, sf):
 def price_percentiles(spark, sf):
     """Exact percentiles of a column with many distinct values, and of one with few."""
     items = b.table(spark, sf, "lineitem")
-    prices = evaluation.residual_distribution(items, ["l_returnflag"], "l_extendedprice", (0.05, 0.5, 0.95))
-    sizes = evaluation.residual_distribution(items, ["l_returnflag"], "l_quantity", (0.5,))
-    return prices.join(sizes.withColumnRenamed("p50", "quantity_p50"), "l_returnflag")
+    pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("amount")) for c in ("l_extendedprice", "l_quantity")])
+    long = items.select("l_returnflag", F.explode(pairs).alias("m")).select("l_returnflag", "m.*")
+    spread = evaluation.residual_distribution(long, ["l_returnflag", "measure"], "amount", (0.05, 0.5, 0.95))
+    of = lambda name, column: F.max(F.when(F.col("measure") == name, F.col(column)))
+    return spread.groupBy("l_returnflag").agg(
+        *[of("l_extendedprice", c).alias(c) for c in ("p5", "p50", "p95")], of("l_quantity", "p50").alias("quantity_p50")
+    )
+
+
+@query()
+def percentiles_with_nan(spark, sf):
+    """Percentiles where some values are not numbers or infinite, in Spark's order of them."""
+    items = b.table(spark, sf, "lineitem")
+    value = (
+        F.when(F.col("l_linenumber") == 1, float("nan"))
+        .when(F.col("l_linenumber") == 2, float("-inf"))
+        .when(F.col("l_linenumber") == 3, float("inf"))
+        .otherwise(F.col("l_quantity"))
+    )
+    odd = items.select("l_returnflag", value.alias("amount"))
+    found = evaluation.residual_distribution(odd, ["l_returnflag"], "amount", (0.0, 0.2, 0.45, 0.7, 1.0))
+    return found.select("l_returnflag", *[F.col(c).cast("string").alias(c) for c in found.columns[1:]])
 
 
 @query()

@@ -50,14 +50,31 @@ def _text_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """The files under a path, grouped by their header line. Reads one line of each file and no content."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
-    groups: dict[str, list[str]] = {}
-    for row in listing.toLocalIterator():
-        head = spark.read.text(row.path).take(1)
-        if head:
-            groups.setdefault(head[0].value, []).append(row.path)
-    return list(groups.values())
+    """The files under a path, grouped by their header line, in one job over all of them.
+
+    Each task reads its file's first bytes only as far as Spark splits them; what reaches the driver is one list of
+    paths per layout.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    first = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    heads = first.where(F.col("at") == 0).groupBy("path").agg(F.first("value").alias("head"))
+    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return [list(r.paths) for r in groups.orderBy("head").collect()]
+
+
+def unreadable_cells(spark: SparkSession, path: str | list[str], contract: dict[str, str], mixed_headers: bool = False) -> DataFrame:
+    """Rows of a folder and, per contract column, cells with text that is not of the column's type: (column, rows, unreadable).
+
+    Such cells come out null in the typed table; this says how many there are, in one pass over the text.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    groups = [g for p in paths for g in _by_header(spark, p)] if mixed_headers else [paths]
+    text = union_sources([_text_csv(spark, g) for g in groups]) if groups else empty(spark, ", ".join(f"{_quoted(n)} string" for n in contract))
+    have = [n for n in contract if n in text.columns]
+    bad = [F.count_if(F.col(_quoted(n)).isNotNull() & _typed(n, contract[n]).isNull()).alias(f"c{i}") for i, n in enumerate(have)]
+    counts = text.agg(F.count(F.lit(1)).alias("rows"), *bad)
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col("rows"), F.col(f"c{i}").alias("unreadable")) for i, n in enumerate(have)])
+    return counts.select(F.explode(pairs).alias("p")).select("p.*")
 
 
 def read_csv_contract(
@@ -70,8 +87,8 @@ def read_csv_contract(
     """Headered delimited files as one typed table.
 
     All ``.csv`` files under ``path`` are one scan. With ``mixed_headers`` files are first grouped by header and the
-    groups, one scan each, are united by name; that costs one short read per file, so it is for folders whose files
-    changed layout over time, not the default.
+    groups, one scan each, are united by name; that costs one job that looks at first lines, so it is for folders
+    whose files changed layout over time, not the default.
     """
     paths = [path] if isinstance(path, str) else list(path)
     groups = [g for p in paths for g in _by_header(spark, p)] if mixed_headers else [paths]

@@ -45,19 +45,33 @@ def save_managed(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).saveAsTable(name)
 
 
-def publish(df: DataFrame, path: str, name: str, fmt: str = "parquet", by: Sequence[str] = ()) -> None:
-    """Write a table once and register it by name over the same files."""
+def publish(df: DataFrame, path: str, name: str, fmt: str = "parquet", by: Sequence[str] = (), parts: bool = False) -> None:
+    """Write a table once and register it by name over the same files.
+
+    With ``parts`` only the ``by`` folders that ``df`` has rows for are replaced; a run that is repeated replaces what
+    it wrote before.
+    """
     spark = df.sparkSession
-    write_table(df, path, fmt, by=by)
+    write_table(df, path, fmt, by=by, **({"partitionOverwriteMode": "dynamic"} if parts else {}))
     drop_table(spark, name)
     spark.catalog.createTable(name, path=path, source=fmt)
     if by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def balance(df: DataFrame, n: int | None = None) -> DataFrame:
-    """Even out the files of a write: to ``n`` of them, or to the advised size when no number is given."""
-    return df.repartition(n) if n else df.hint("rebalance")
+def balance(df: DataFrame, n: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Even out the files of a write: to ``n`` of them, or to the advised size when no number is given.
+
+    ``by`` brings the rows of a folder together, so that a partitioned write makes few files in each.
+    """
+    return df.repartition(n, *by) if n else df.hint("rebalance", *by)
+
+
+def files_for(df: DataFrame, file_bytes: int = 512 << 20) -> int:
+    """Number of files of about ``file_bytes`` for a frame, from the bytes of the tables and files that its plan reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(1, -(-size // file_bytes))
 
 
 def cluster_by(
@@ -66,11 +80,12 @@ def cluster_by(
     """Order files by columns, so a filter on the leading one skips most files and row groups.
 
     Ranges are cut over ``columns`` and then ``spread``: a value of the leading columns that holds a large share of
-    the rows is cut along the ``spread`` columns instead of landing in one file.
+    the rows is cut along the ``spread`` columns instead of landing in one file. Without ``n`` the number of files
+    follows from the size of the input, and is at least the session's shuffle width.
     """
     keys = ([columns] if isinstance(columns, str) else list(columns)) + list(spread)
-    ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n or max(least, files_for(df)), *keys).sortWithinPartitions(*keys)
 
 
 def table_detail(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from dockflow.functions.timeparts import epoch_to_ts
 from dockflow.sources.readers import clean_names, stream_table
@@ -24,6 +25,13 @@ def weather_events(raw: DataFrame) -> DataFrame:
     return epoch_to_ts(clean_names(raw), "dt")
 
 
+def feed_schema(spark: SparkSession, src: str, contract: str, fmt: str = "parquet") -> StructType:
+    """The contract's columns and all others that the feed's table has now."""
+    fields = StructType.fromDDL(contract).fields
+    known = {f.name for f in fields}
+    return StructType([*fields, *(f for f in spark.read.format(fmt).load(src).schema.fields if f.name not in known)])
+
+
 def drop_repeats(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
     """Drop repeats of a key that arrive within ``delay`` of the first.
 
@@ -57,8 +65,13 @@ def stream_status(
     schema=STATUS_RAW,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
+    extras: bool = False,
 ) -> StreamingQuery:
-    """Station status from a growing table to an append table, optionally without repeated reports."""
+    """Station status from a growing table to an append table, optionally without repeated reports.
+
+    With ``extras`` columns of the feed that the contract does not know are kept; the source must hold a file then.
+    """
+    schema = feed_schema(spark, src, schema, fmt) if extras else schema
     rows = status_events(stream_table(spark, src, schema, fmt, files_per_batch))
     if dedup_within:
         rows = drop_repeats(rows, ["station_id"], "last_reported", dedup_within)
@@ -75,8 +88,10 @@ def stream_weather(
     schema=LIVE_WEATHER_RAW,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
+    extras: bool = False,
 ) -> StreamingQuery:
     """Live weather, likewise."""
+    schema = feed_schema(spark, src, schema, fmt) if extras else schema
     rows = weather_events(stream_table(spark, src, schema, fmt, files_per_batch))
     if dedup_within:
         rows = drop_repeats(rows, [], "dt", dedup_within)

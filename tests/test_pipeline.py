@@ -113,6 +113,12 @@ def test_gold_and_outlook(spark, config):
     assert outlook.where("status_message is null").count() == 0
 
 
+def test_stage_tables(spark, config):
+    assert {r.stage for r in table(spark, config, "stage_comparison").collect()} >= {"Staging"}
+    assert table(spark, config, "stage_residuals").count() > 0
+    assert table(spark, config, "explore_monthly_trips").count() == 1
+
+
 def test_explore_results(spark, config):
     results = pipeline.run_explore(spark, config, "North")
     assert all(df.count() > 0 for df in results.values())
@@ -136,8 +142,65 @@ def test_period_limits_silver(spark, config):
     whole = table(spark, config, "silver_weather_trip").where("start_date_column >= '2022-01-10'")
     expected = rows(whole.where("start_date_column < '2022-01-12'"))
     limited = dataclasses.replace(config, start="2022-01-10", end="2022-01-12")
+    before = rows(table(spark, config, "silver_weather_trip"))
     pipeline.run_silver(spark, limited)
-    assert rows(table(spark, config, "silver_weather_trip")) == expected
+    after = table(spark, config, "silver_weather_trip")
+    assert rows(after.where("start_date_column >= '2022-01-10' and start_date_column < '2022-01-12'")) == expected
+    # what lies outside the period stays
+    assert rows(after) == before
+
+
+def test_ingest_report_counts_what_was_lost(spark, config):
+    report = {(r.source, r.column): r for r in table(spark, config, "ingest_report").collect()}
+    assert report["weather", None].left_out == 5
+    assert report["trips", "ride_id"].rows == table(spark, config, "bronze_trips").count()
+    assert all(r.unreadable == 0 for r in report.values())
+
+
+def test_silent_and_unmapped_stations_and_capacity(spark, config, tmp_path):
+    now = int((NOW - datetime(1970, 1, 1)).total_seconds())
+    status = [("id-n", now - 600, 20, "active"), ("id-s", now - 90000, 2, "active"), ("ghost", now - 60, 1, "active"), ("ghost", now - 30, 1, "active")]
+    spark.createDataFrame(status, STATUS_RAW).write.parquet(str(tmp_path / "status"))
+    info = [("id-n", "North", 20), ("id-s", "South", None)]
+    spark.createDataFrame(info, "station_id string, station_name string, capacity int").write.parquet(str(tmp_path / "info"))
+    other = dataclasses.replace(config, status=str(tmp_path / "status"), station_info=str(tmp_path / "info"), stations={})
+    pipeline.run_app(spark, other)
+    assert rows(table(spark, other, "unmapped_stations")) == [("ghost", 2)]
+    outlook = table(spark, other, "gold_outlook").where("stage = 'Staging'")
+    assert outlook.where("ds <= '2022-01-29 10:30:00'").count() == 0
+    hours = {r.station: r["count"] for r in outlook.groupBy("station").count().collect()}
+    assert hours == {"North": 4, "South": 4}
+    assert rows(outlook.select("station", "capacity").distinct()) == [("North", 20), ("South", 105)]
+    assert "ghost" in {r.station for r in table(spark, other, "current_stock").collect()}
+
+
+def test_interrupted_training_is_repeated_safely(spark, config, monkeypatch):
+    later = dataclasses.replace(config, now=NOW + 2 * DAY)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline.registry, "register_numbered", fail)
+        with pytest.raises(RuntimeError):
+            pipeline.run_train(spark, later)
+    pipeline.run_train(spark, later)
+    pipeline.run_train(spark, later)
+    kept = table(spark, config, "models_registered")
+    assert kept.groupBy("model_name", "version").count().where("count > 1").count() == 0
+    log = pipeline.registry.open_registry(spark, later.path("registry")).where("event = 'register'")
+    assert log.groupBy("model_name", "version").count().where("count > 1").count() == 0
+
+
+def test_extra_columns_reach_bronze(spark, config, tmp_path):
+    (tmp_path / "trips").mkdir()
+    (tmp_path / "trips" / "a.csv").write_text("ride_id,started_at,helmet\n1,2022-01-03 10:00:00,yes\n2,not a time,no\n")
+    other = dataclasses.replace(config, trips_csv=str(tmp_path / "trips"), base=str(tmp_path / "lake"), database="dock_extra", extras=True, mixed_headers=True)
+    spark.sql("CREATE DATABASE IF NOT EXISTS dock_extra")
+    pipeline.run_bronze(spark, other)
+    assert rows(table(spark, other, "bronze_trips"), "helmet") == [("no",), ("yes",)]
+    bad = table(spark, other, "ingest_report").where("source = 'trips' and column = 'started_at'").first()
+    assert (bad.rows, bad.unreadable) == (2, 1)
 
 
 def test_bad_period_is_refused(spark, config):
