@@ -598,3 +598,23 @@ SELECT 2 * count(*) AS total_rows, count(DISTINCT (station, date_trunc('second',
        true AS has_duplicates FROM status"""
 ORACLE["silver_station"] = ORACLE["silver_hourly"] + " AND station = 3"
 ORACLE["csv_union"] = ORACLE["csv_round_trip"]
+ORACLE["stream_dedup_batches"] = ORACLE["stream_dedup"]
+ORACLE["stream_counts"] = f"""
+{_with(STATUS)}
+SELECT CAST(0 AS INTEGER) AS batch, count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows FROM status"""
+ORACLE["managed_table"] = f"""
+{_with(STATUS)}
+SELECT CASE WHEN num_bikes_available > 0 THEN 'active' ELSE 'out_of_service' END AS station_status, count(*) AS count
+FROM status GROUP BY 1"""
+ORACLE["table_files"] = """
+SELECT CAST(3 AS BIGINT) AS num_files, count(*) AS num_rows, CAST(2 AS INTEGER) AS num_columns FROM lineitem"""
+ORACLE["ordered_months"] = """
+SELECT strftime(min(o_orderdate), '%Y-%m') AS year_month, count(o_orderkey) AS trip_count,
+       row_number() OVER (ORDER BY min(o_orderdate)) - 1 AS place
+FROM orders GROUP BY year(o_orderdate), month(o_orderdate)"""
+ORACLE["first_rows"] = "SELECT least(count(*), 100) AS rows FROM orders"
+ORACLE["unreadable_cells"] = f"""
+{_with(WEATHER)}, seconds AS (SELECT CAST(epoch(date_trunc('second', dt)) AS BIGINT) AS s FROM weather)
+SELECT v.name AS column, count(*) AS rows,
+       count(*) FILTER (WHERE (v.name = 'dt' AND s % 5 = 0) OR (v.name = 'temp' AND s % 3 = 0)) AS unreadable
+FROM seconds CROSS JOIN (VALUES ('dt'), ('temp'), ('pressure')) v(name) GROUP BY 1"""

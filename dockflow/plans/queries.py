@@ -783,3 +783,81 @@ def stream_duplicate_check(spark, sf):
     writers.write_table(reports.unionByName(reports), src)
     streams.stream_status(spark, src, dst, check, trigger=None, files_per_batch=100).awaitTermination()
     return quality.duplicate_check(readers.read_table(spark, dst), ["station_id", "last_reported"])
+
+
+@query()
+def stream_dedup_batches(spark, sf):
+    """The same over several micro-batches: the repeats come in a later file than the reports."""
+    src, dst, check = (scratch_path(spark, f"batches-{part}") for part in ("in", "out", "check"))
+    reports = b.raw_status(spark, sf)
+    for _ in range(3):
+        writers.write_table(reports.coalesce(1), src, mode="append")
+    streams.stream_status(spark, src, dst, check, None, dedup_within="60 days", files_per_batch=1).awaitTermination()
+    return readers.read_table(spark, dst).select("station_id", "last_reported")
+
+
+@query()
+def stream_counts(spark, sf):
+    """What a finished stream reports of its last micro-batch."""
+    src, dst, check = (scratch_path(spark, f"progress-{part}") for part in ("in", "out", "check"))
+    writers.write_table(b.raw_status(spark, sf).coalesce(1), src)
+    running = streams.stream_status(spark, src, dst, check, trigger=None)
+    running.awaitTermination()
+    progress = streams.stream_progress(running)
+    return spark.range(1).select(
+        F.lit(progress["batch"]).cast("int").alias("batch"),
+        F.lit(progress["input_rows"]).cast("long").alias("input_rows"),
+        F.lit(progress["late_rows"]).cast("long").alias("late_rows"),
+    )
+
+
+@query()
+def managed_table(spark, sf):
+    """A table that the catalog owns, in a database of its own, replaced once and read by name."""
+    name = "dock_" + scratch_path(spark, "managed").rsplit("-", 1)[1]
+    before = spark.catalog.currentDatabase()
+    writers.ensure_database(spark, name)
+    try:
+        writers.save_managed(b.raw_status(spark, sf).limit(0), "status")
+        writers.save_managed(b.raw_status(spark, sf), "status")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    return explore.value_counts(spark.table(f"`{name}`.status"), "station_status")
+
+
+@query()
+def table_files(spark, sf):
+    """Files and rows of a table balanced to three files."""
+    path = scratch_path(spark, "files")
+    writers.write_table(writers.balance(b.table(spark, sf, "lineitem").select("l_orderkey", "l_tax"), 3), path)
+    return writers.table_detail(readers.read_table(spark, path)).select("num_files", "num_rows", "num_columns")
+
+
+@query()
+def ordered_months(spark, sf):
+    """Months in order of time, each with its place."""
+    months = explore.monthly_trips(b.table(spark, sf, "orders"), spec=b.ORDERS).orderBy("year", "month")
+    path = scratch_path(spark, "ordered")
+    writers.write_table(months.coalesce(1), path)
+    placed = readers.read_table(spark, path).withColumn("place", F.monotonically_increasing_id())
+    return placed.select("year_month", "trip_count", "place")
+
+
+@query()
+def first_rows(spark, sf):
+    """How many of any hundred orders there are."""
+    return explore.first_rows(b.table(spark, sf, "orders"), 100).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query()
+def unreadable_cells(spark, sf):
+    """Cells that a typed read turns into nulls, per column: here every third temperature and every fifth time."""
+    path = scratch_path(spark, "csv")
+    raw = b.raw_weather(spark, sf).withColumn("n", F.col("dt"))
+    damaged = raw.select(
+        F.when(F.col("n") % 5 == 0, "yesterday").otherwise(F.col("dt").cast("string")).alias("dt"),
+        F.when(F.col("n") % 3 == 0, "mild").otherwise(F.col("temp").cast("string")).alias("temp"),
+        "pressure",
+    )
+    writers.write_table(damaged, path, "csv", header=True)
+    return readers.unreadable_cells(spark, path, {"dt": "bigint", "temp": "double", "pressure": "int"})

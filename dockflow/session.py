@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,12 +33,19 @@ def build_session(name: str = "dockflow", master: str | None = None, **conf: str
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names it. Where that is unset only a local session may fall back to the machine's own
-    temporary folder; on a cluster the executors would not see it.
+    ``spark.checkpoint.dir`` names it. Where that is unset, the folder is one below the session's warehouse, which
+    executors share as well; a machine's temporary folder is never used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/dockflow-{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this library wrote for the session's scratch folder.
+
+    For the end of a run: frames that still read them cannot be used afterwards.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x").rsplit("/", 1)[0] + "/dockflow-*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(pattern) or []:
+        files.delete(found.getPath(), True)
