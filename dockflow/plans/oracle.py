@@ -618,3 +618,13 @@ ORACLE["unreadable_cells"] = f"""
 SELECT v.name AS column, count(*) AS rows,
        count(*) FILTER (WHERE (v.name = 'dt' AND s % 5 = 0) OR (v.name = 'temp' AND s % 3 = 0)) AS unreadable
 FROM seconds CROSS JOIN (VALUES ('dt'), ('temp'), ('pressure')) v(name) GROUP BY 1"""
+ORACLE["regression_terms"] = f"""
+{_with(FRAME)}, t AS (
+  SELECT station, ds, epoch(ds) / 86400.0 * 2 * pi() AS turns, CAST(ds AS DATE) AS day,
+         CAST(epoch(ds) - min(epoch(ds)) OVER w AS DOUBLE) / greatest(max(epoch(ds)) OVER w - min(epoch(ds)) OVER w, 1) AS part
+  FROM frame WINDOW w AS (PARTITION BY station))
+SELECT station, ds, round(sin(turns / 7), 6) + 0.0 AS sin_week, round(cos(turns / 7), 6) + 0.0 AS cos_week,
+       round(sin(turns), 6) + 0.0 AS sin_day, round(cos(turns), 6) + 0.0 AS cos_day,
+       CASE WHEN {_extended("day")} IS NOT NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS holidays,
+       round(part, 6) + 0.0 AS trend, round(greatest(part - 0.4, 0), 6) + 0.0 AS bend
+FROM t"""

@@ -578,6 +578,25 @@ def percentiles_with_nan(spark, sf):
     return found.select("l_returnflag", *[F.col(c).cast("string").alias(c) for c in found.columns[1:]])
 
 
+@query()
+def regression_terms(spark, sf):
+    """Seasonal, holiday and trend terms of every row, as the regression sees them."""
+    design = forecast.Design(changepoints=1, seasonalities=((7.0, 1), (1.0, 1)), extra=None, regressors=())
+    frame = b.flow_frame(spark, sf)
+    spans = forecast.series_spans(frame, ["station"], "ds", **b.SCHEME)
+    terms = forecast.trend_features(forecast.seasonal_features(frame.join(spans, "station"), design), design)
+    season, trend = F.col("season_x"), F.col("trend_x")
+    names = ["sin_week", "cos_week", "sin_day", "cos_day"]
+    return terms.select(
+        "station",
+        "ds",
+        *[F.get(season, F.lit(i)).alias(n) for i, n in enumerate(names)],
+        F.aggregate(F.slice(season, 5, 1000), F.lit(0.0), lambda a, x: a + x).alias("holidays"),
+        F.get(trend, F.lit(1)).alias("trend"),
+        F.get(trend, F.lit(2)).alias("bend"),
+    )
+
+
 @query()
 def ridge_forecast(spark, sf):
     frame = b.flow_frame(spark, sf)
