@@ -138,10 +138,15 @@ def calendar(spark: SparkSession, start: str, end: str, rules: str = "federal")
     return _describe(days, rules)
 
 
-def calendar_of(df: DataFrame, ts: str, rules: str = "federal") -> DataFrame:
-    """One row per day of the span a table covers, days without rows included."""
+def calendar_of(df: DataFrame, ts: str, rules: str = "federal", most_days: int = 73_200) -> DataFrame:
+    """One row per day of the span a table covers, days without rows included.
+
+    A span of over ``most_days`` comes from a wrong date and stops the run; :func:`calendar` takes the span instead.
+    """
     span = df.agg(F.min(ts).cast("date").alias("first"), F.max(ts).cast("date").alias("last"))
-    days = span.where(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias("date"))
+    message = F.concat(F.lit("dates from "), F.col("first").cast("string"), F.lit(" to "), F.col("last").cast("string"))
+    last = F.when(F.datediff("last", "first") > most_days, F.raise_error(message).cast("date")).otherwise(F.col("last"))
+    days = span.where(F.col("first").isNotNull()).select(F.explode(F.sequence(F.col("first"), last)).alias("date"))
     return _describe(days, rules)
 
 

@@ -178,14 +178,21 @@ def _flows_by_hour(trips: DataFrame, spec: TripSpec, station=None) -> DataFrame:
     )
 
 
+LONGEST_GAP_DAYS = 3660
+
+
 def _with_quiet_hours(flows: DataFrame) -> DataFrame:
     """Add zero rows for the hours between a station's first and last ride that have none.
 
     Each row brings the quiet hours up to the next one. The window runs over hours, not trips, so a station's share of
-    it is bounded by the length of the history.
+    it is bounded by the length of the history. A gap of over ``LONGEST_GAP_DAYS`` is taken for a wrong date: it stops
+    the run instead of becoming millions of hours.
     """
     step = F.expr("INTERVAL 1 HOUR")
-    following = F.lead("_hour").over(W.partitionBy("station").orderBy("_hour"))
+    after = F.lead("_hour").over(W.partitionBy("station").orderBy("_hour"))
+    too_far = F.datediff(after, F.col("_hour")) > LONGEST_GAP_DAYS
+    message = F.concat(F.lit("no rides for years before "), after.cast("string"), F.lit("; remove wrong dates first"))
+    following = F.when(too_far, F.raise_error(message)).otherwise(after)
     hours = F.sequence(F.col("_hour"), F.coalesce(F.col("_next") - step, F.col("_hour")), step)
     spread = flows.withColumn("_next", following).withColumn("_slot", F.explode(hours))
 

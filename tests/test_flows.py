@@ -4,6 +4,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from dockflow.functions.calendar import calendar_of
 from dockflow.operators import flows
 from tests.data import TRIP_DDL, at, rows, trips
 
@@ -145,3 +148,11 @@ def test_filters_reach_the_scan(spark, tmp_path):
     pushed = plan[plan.index("PushedFilters") :]
     assert "EqualTo(start_station_name,A)" in pushed and "GreaterThanOrEqual(started_at" in pushed
     assert "rideable_type" not in plan[plan.index("ReadSchema") :]
+
+
+def test_a_wrong_date_stops_densifying(spark):
+    early = trips(spark).limit(1).select(*[F.lit(at("0001-01-01 00:00:00")).alias(c) if c == "started_at" else F.col(c) for c in trips(spark).columns])
+    with pytest.raises(Exception, match="no rides for years"):
+        flows.hourly_net_flow(trips(spark).unionByName(early), densify=True).collect()
+    with pytest.raises(Exception, match="dates from 0001"):
+        calendar_of(trips(spark).unionByName(early), "started_at").collect()
