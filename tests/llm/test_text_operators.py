@@ -516,6 +516,25 @@ def test_repeated_passages_are_found(documents):
     assert windows.repeated_passages(documents(EDGE).filter("false")).collect() == []
 
 
+def test_a_frequent_passage_is_found_in_every_document(documents):
+    passage = prose(78, 70, 100000)
+    rows = [(i, " ".join([prose(5000 + i, 30, 100000), passage, prose(9000 + i, 30, 100000)])) for i in range(1500)]
+    got = windows.repeated_passages(documents(rows)).collect()
+    assert {r["doc_id"] for r in got} | {r["other_id"] for r in got} == set(range(1500))
+    # few enough others: one document ties all
+    parent = list(range(1500))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in got:
+        parent[find(r["doc_id"])] = find(r["other_id"])
+    assert len({find(i) for i in range(1500)}) == 1
+    assert len(got) < 10 * 1500
+
+
 def test_ranks_file_is_read_whole():
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as f:
