@@ -535,6 +535,13 @@ def test_a_frequent_passage_is_found_in_every_document(documents):
     assert len(got) < 10 * 1500
 
 
+def test_a_document_wanted_by_many_is_cut(spark):
+    wanted = spark.range(5000).selectExpr("cast(id % 3 = 0 as long) as doc", "id as pair", "0 as side", "id as start", "id + 60 as stop")
+    rows = windows._by_document(wanted, ["pair", "side", "start", "stop"], chunk=64).collect()
+    assert max(len(r["wanted"]) for r in rows) < 128
+    assert sorted((r["doc"], w["pair"]) for r in rows for w in r["wanted"]) == sorted((int(i % 3 == 0), i) for i in range(5000))
+
+
 def test_ranks_file_is_read_whole():
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as f:
