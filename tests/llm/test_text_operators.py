@@ -542,6 +542,18 @@ def test_a_document_wanted_by_many_is_cut(spark):
     assert sorted((r["doc"], w["pair"]) for r in rows for w in r["wanted"]) == sorted((int(i % 3 == 0), i) for i in range(5000))
 
 
+def test_most_edited_passages_at_the_least_similarity_are_found(documents):
+    rows = []
+    for k in range(300):
+        words = prose(60000 + k, 50, 100000).split()
+        rows.append((2 * k, " ".join([prose(70000 + k, 30, 100000), *words, prose(80000 + k, 30, 100000)])))
+        words[24] = "changed"
+        rows.append((2 * k + 1, " ".join([prose(90000 + k, 30, 100000), *words, prose(95000 + k, 30, 100000)])))
+    got = {tuple(sorted((r["doc_id"], r["other_id"]))) for r in windows.repeated_passages(documents(rows)).collect()}
+    found = sum((2 * k, 2 * k + 1) in got for k in range(300))
+    assert found >= 294
+
+
 def test_ranks_file_is_read_whole():
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as f:
