@@ -535,11 +535,33 @@ def test_a_frequent_passage_is_found_in_every_document(documents):
     assert len(got) < 10 * 1500
 
 
-def test_a_document_wanted_by_many_is_cut(spark):
-    wanted = spark.range(5000).selectExpr("cast(id % 3 = 0 as long) as doc", "id as pair", "0 as side", "id as start", "id + 60 as stop")
-    rows = windows._by_document(wanted, ["pair", "side", "start", "stop"], chunk=64).collect()
-    assert max(len(r["wanted"]) for r in rows) < 128
-    assert sorted((r["doc"], w["pair"]) for r in rows for w in r["wanted"]) == sorted((int(i % 3 == 0), i) for i in range(5000))
+def test_passages_around_a_frequent_line_meet(documents):
+    # each passage is in two documents; all passages hold the same stock phrase, so most minima are in it
+    stock = prose(55, 34, 100000)
+    rows = []
+    for k in range(60):
+        passage = " ".join([prose(20000 + k, 13, 100000), stock, prose(30000 + k, 13, 100000)])
+        rows += [(2 * k + j, " ".join([prose(40000 + 2 * k + j, 30, 100000), passage, prose(50000 + 2 * k + j, 30, 100000)])) for j in (0, 1)]
+    order = list(range(len(rows)))
+    random.Random(4).shuffle(order)
+    got = windows.repeated_passages(documents([rows[i] for i in order])).collect()
+    runs = {}
+    for i, text in rows:
+        words = WORD.findall(text)
+        for a in range(len(words) - 49):
+            runs.setdefault(tuple(words[a : a + 50]), set()).add(i)
+    want = {tuple(sorted(x)) for x in runs.values() if len(x) > 1}
+    assert len(want) == 60
+    assert want <= {tuple(sorted((r["doc_id"], r["other_id"]))) for r in got if r["end_word"] - r["start_word"] >= 60}
+
+
+def test_runs_of_shingles_have_one_hash():
+    values = np.random.default_rng(3).integers(0, 2**63, 200, dtype=np.uint64)
+    for least in (1, 2, 7, 46):
+        hashes = windows.run_hashes(np.concatenate([values, values[50:150]]), least)
+        assert len(hashes) == 300 - least + 1 and len(np.unique(hashes)) == 200 - least + 1 + least - 1
+        assert (hashes[200 : 300 - least + 1] == hashes[50 : 150 - least + 1]).all()
+    assert all(len(windows.run_hashes(values[:n], 46)) == 0 for n in range(46))
 
 
 def test_most_edited_passages_at_the_least_similarity_are_found(documents):
@@ -554,6 +576,13 @@ def test_most_edited_passages_at_the_least_similarity_are_found(documents):
     assert found >= 294
 
 
+def test_a_document_wanted_by_many_is_cut(spark):
+    wanted = spark.range(5000).selectExpr("cast(id % 3 = 0 as long) as doc", "id as pair", "0 as side", "id as start", "id + 60 as stop")
+    rows = windows._by_document(wanted, ["pair", "side", "start", "stop"], chunk=64).collect()
+    assert max(len(r["wanted"]) for r in rows) < 128
+    assert sorted((r["doc"], w["pair"]) for r in rows for w in r["wanted"]) == sorted((int(i % 3 == 0), i) for i in range(5000))
+
+
 def test_ranks_file_is_read_whole():
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as f:
