@@ -15,6 +15,7 @@ from dockflow.llm.automata import Dfa, Nfa, determinise
 from dockflow.llm.common import column_text, settle, slices
 
 _TERM = r"[\p{L}\p{M}]+"
+_MASKS = "0123456789@$!*#%+|€£¡"
 _QUOTES = "\"'“”„«»‘’‚‹›「」『』"
 _tables: dict[str, np.ndarray] = {}
 
@@ -58,14 +59,14 @@ def held(doc_id: Column, folds: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == remainder, F.lit(False))
 
 
-def learn_lexicon(sample: DataFrame, least: int = 3, most: int = 4096, stem: int = 5, fuzzy: float = 0.6) -> Model:
+def learn_lexicon(sample: DataFrame, least: int = 3, most: int = 4096, stem: int = 5, fuzzy: float = 1.0) -> Model:
     """Terms that mark toxic documents, from a bounded labelled sample: words, and word beginnings of ``stem`` letters.
 
     A term needs ``least`` toxic documents and as many different words before it, so that copies of one document do
     not turn all its words into terms. Nine tenths of its documents must be toxic, and that must be less likely than
     chance allows among so many candidates; what it exceeds that by is its weight, up to 1. The ``most`` strongest
-    are kept; that bounds the automaton, whose size is a model parameter. How much a misspelled occurrence of a term
-    counts falls with the number of clean documents of the sample that have one.
+    are kept; that bounds the automaton, whose size is a model parameter. A misspelled occurrence of a term counts as
+    much as the term if no clean document of the sample has one, and less the more of them do.
     """
     words = F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0))
     split_ = sample.select("doc_id", "label", words.alias("w"))
@@ -96,7 +97,7 @@ def learn_lexicon(sample: DataFrame, least: int = 3, most: int = 4096, stem: int
     rows = sorted(rows, key=lambda r: r["term"])
     weights = [round(min(1.0, (r["surprise"] - chance) / 2), 4) for r in rows]
     model = Model(tuple(r["term"] for r in rows), tuple(weights), tuple(weights))
-    dfa, meanings = lexicon_automaton(model.terms, model.shortest_fuzzy)
+    dfa, meanings = lexicon_automaton(model.terms, model.shortest_fuzzy, spread=True)
     hits = sample.select("label", "text").mapInArrow(_tags(model, dfa), "label int, tag int")
     clean = {r["tag"]: r["n"] for r in hits.filter("label = 0").groupBy("tag").agg(F.count(F.lit(1)).alias("n")).collect()}
     seen = {i: clean.get(tag, 0) for tag, (i, edits) in enumerate(meanings) if edits}
@@ -130,12 +131,14 @@ def _tags(model: Model, dfa: Dfa) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     return run
 
 
-def lexicon_automaton(terms: Sequence[str], shortest_fuzzy: int = 5) -> tuple[Dfa, list[tuple[int, int]]]:
+def lexicon_automaton(terms: Sequence[str], shortest_fuzzy: int = 5, spread: bool = False) -> tuple[Dfa, list[tuple[int, int]]]:
     """The trie of the terms intersected with the automaton of all strings within one edit, made deterministic.
 
     States of the product are (trie node, edits used). A move on the node's letter keeps the edits; any letter at the
     same node is an insertion; any letter to a child is a substitution; a free move to a child is a deletion. Terms
-    shorter than ``shortest_fuzzy`` and terms for any ending match only exactly. Tags number (term, edits) from 1, the exact ones first.
+    shorter than ``shortest_fuzzy`` match only exactly, and so do terms for any ending, unless ``spread`` is set: then
+    the beginning may have an edit too, and two letters that changed places are one edit. Tags number (term, edits)
+    from 1, the exact ones first.
     """
     letters = _letters(terms)
     symbol = {c: i + 1 for i, c in enumerate(letters)}
@@ -152,7 +155,7 @@ def lexicon_automaton(terms: Sequence[str], shortest_fuzzy: int = 5) -> tuple[Df
             meanings.append((i, edits))
 
     def grow(start: tuple[int, int], term: str, fuzzy: bool, salt: str) -> tuple[int, int]:
-        at = start
+        at = parent = start
         for k in range(len(term)):
             name = (0, salt + term[: k + 1])
             if name not in nodes:
@@ -164,7 +167,11 @@ def lexicon_automaton(terms: Sequence[str], shortest_fuzzy: int = 5) -> tuple[Df
                     nfa.moves[at[1]].append((one, edited))
                     nfa.moves[at[0]].append((everything & ~one, edited))
                     nfa.free[at[0]].append(edited)
-            at = nodes[name]
+                    if spread and k and term[k] != term[k - 1]:
+                        swapped = nfa.state()
+                        nfa.moves[parent[0]].append((one, swapped))
+                        nfa.moves[swapped].append((1 << symbol[term[k - 1]], edited))
+            parent, at = at, nodes[name]
         if fuzzy:
             for node in [start, *(nodes[0, salt + term[: k + 1]] for k in range(len(term)))]:
                 if (everything, node[1]) not in nfa.moves[node[0]]:
@@ -175,7 +182,7 @@ def lexicon_automaton(terms: Sequence[str], shortest_fuzzy: int = 5) -> tuple[Df
     start = nfa.state()
     nfa.free[start] += [root[0], strict_root[0]]
     for i, term in enumerate(terms):
-        fuzzy = len(term) >= shortest_fuzzy and not term.endswith("*")
+        fuzzy = len(term.removesuffix("*")) >= shortest_fuzzy and (spread or not term.endswith("*"))
         end = grow(root if fuzzy else strict_root, term.removesuffix("*"), fuzzy, "~" if fuzzy else "=")
         if term.endswith("*"):
             loop = nfa.state()
@@ -184,19 +191,26 @@ def lexicon_automaton(terms: Sequence[str], shortest_fuzzy: int = 5) -> tuple[Df
             nfa.accepts[loop] = tags[i, 0]
         else:
             nfa.accepts[end[0]] = tags[i, 0]
-        if fuzzy:
+        if fuzzy and term.endswith("*"):
+            loop = nfa.state()
+            nfa.moves[loop].append((everything, loop))
+            nfa.free[end[1]].append(loop)
+            nfa.accepts[loop] = tags[i, 1]
+        elif fuzzy:
             nfa.accepts[end[1]] = tags[i, 1]
     dfa = determinise(nfa, start, n_symbols, search=False, tag=lambda states: min((nfa.accepts[s] for s in states if s in nfa.accepts), default=0))
     return Dfa(dfa.table, dfa.classes, dfa.n_classes, dfa.tags.astype(np.int32)), meanings
 
 
 def _table(kind: str) -> np.ndarray:
-    """Per code point, whether it is part of a word, or a quotation mark."""
+    """Per code point, whether it is part of a word, a quotation mark, or a digit or sign that may mask a letter."""
     if kind not in _tables:
         n = 0x110000
         out = np.zeros(n, bool)
         if kind == "quote":
             out[[ord(c) for c in _QUOTES]] = True
+        elif kind == "mask":
+            out[[ord(c) for c in _MASKS]] = True
         else:
             import unicodedata
 
@@ -208,7 +222,9 @@ def _table(kind: str) -> np.ndarray:
 def occurrences(texts: Sequence[str], dfa: Dfa, symbols: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, tag and quotation flag of every word that the automaton accepts.
 
-    A word is quoted when quotation marks stand within ``window`` words on both of its sides.
+    A word is a run of letters; two runs with one digit or sign between them, and nothing else, are also read as one
+    word, as are more runs joined that way. A word is quoted when quotation marks stand within ``window`` words on
+    both of its sides.
     """
     lowered = [t.lower() for t in texts]
     points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -219,14 +235,22 @@ def occurrences(texts: Sequence[str], dfa: Dfa, symbols: np.ndarray, window: int
     if len(starts) == 0:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty.astype(bool)
-    tags = dfa.run(symbols[points], starts, stops - starts, sticky=False)
+    joined = np.zeros(len(starts) + 1, bool)
+    joined[1:-1] = (starts[1:] - stops[:-1] == 1) & _table("mask")[points[stops[:-1]]]
+    # the first and last part of each word: all single ones, then the joined ones
+    heads = np.flatnonzero(~joined[:-1] & joined[1:])
+    tails = np.flatnonzero(joined[:-1] & ~joined[1:])
+    single = np.arange(len(starts))
+    head, tail = np.concatenate([single, heads]), np.concatenate([single, tails])
+    tags = dfa.run(symbols[points], starts[head], stops[tail] - starts[head], sticky=False)
     at = np.flatnonzero(tags)
-    rows = np.searchsorted(ends, starts[at], "right")
+    head, tail = head[at], tail[at]
+    rows = np.searchsorted(ends, starts[head], "right")
     quotes = np.concatenate([[0], np.cumsum(_table("quote")[points])])
     row_start = np.concatenate([[0], ends[:-1]])[rows]
-    lead = np.maximum(starts[np.maximum(at - window, 0)], row_start)
-    trail = np.minimum(stops[np.minimum(at + window, len(stops) - 1)], ends[rows] - 1)
-    quoted = (quotes[starts[at]] > quotes[lead]) & (quotes[trail] > quotes[stops[at]])
+    lead = np.maximum(starts[np.maximum(head - window, 0)], row_start)
+    trail = np.minimum(stops[np.minimum(tail + window, len(stops) - 1)], ends[rows] - 1)
+    quoted = (quotes[starts[head]] > quotes[lead]) & (quotes[trail] > quotes[stops[tail]])
     return rows, tags[at], quoted
 
 
@@ -255,11 +279,12 @@ def _scored(model: Model, dfa: Dfa, meanings: list[tuple[int, int]]) -> Callable
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
     """Score every text from 0 to 1: (doc_id, score).
 
-    Each lexicon term counts by its best occurrence: less if misspelled by one edit, less if inside a quotation.
+    Each lexicon term counts by its best occurrence: as learned if misspelled by one edit (a letter more, less or
+    other, two that changed places, or a digit or sign for a letter), less if inside a quotation.
     A null or empty text has no evidence and gets the lowest score; a long text is read whole; repeated rows repeat;
     an empty table gives an empty result; other columns are ignored. A model without terms scores all alike.
     """
-    scored = _scored(model, *lexicon_automaton(model.terms, model.shortest_fuzzy))
+    scored = _scored(model, *lexicon_automaton(model.terms, model.shortest_fuzzy, spread=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, score in scored(batches):
@@ -270,7 +295,7 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The rows whose text scores below the threshold, with all their columns. Texts do not move."""
-    scored = _scored(model, *lexicon_automaton(model.terms, model.shortest_fuzzy))
+    scored = _scored(model, *lexicon_automaton(model.terms, model.shortest_fuzzy, spread=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, score in scored(batches):

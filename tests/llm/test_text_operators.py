@@ -337,6 +337,45 @@ def test_misspelled_and_quoted_terms(documents):
     assert score[5] == score[1] and score[4] < score[7] < 0.5
 
 
+def test_one_misspelled_term_decides(documents, spark):
+    rows, labels = toxic_corpus()
+    table_ = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = toxicity.learn_toxicity(documents(rows), table_)
+    exact = ["scumbag", "vermin", "worthless", "moronic"]
+    wrong = ["scubmag", "vremin", "vermni", "wrothless", "mor0nic", "v*rmin", "scumb@g", "w0rthlessly", "mornoically", "vermn", "moroniic"]
+    inside = ["scumbag@home", "x*vermin"]
+    found = [prose(3000 + k, 30) + f" {w} " + prose(4000 + k, 30) for k, w in enumerate(exact + wrong + inside)]
+    clean = [prose(5000, 60), "you said 'vremin' once", "3*4 a@b.c 0x1f 5", "scxbga", ""]
+    score = [r["score"] for r in toxicity.toxicity_scores(documents(list(enumerate(found + clean))).orderBy("doc_id").coalesce(1), model).collect()]
+    missed = [w for w, s in zip(exact + wrong + inside, score) if s < 0.5]
+    assert not missed
+    assert all(s < 0.5 for s in score[len(found) :])
+
+
+def test_spread_automaton_against_edits():
+    rng = random.Random(3)
+    terms = ["abcab", "bacca", "caabbc", "abc", "ccbab*"]
+    dfa, meanings = toxicity.lexicon_automaton(terms, spread=True)
+    symbols = np.zeros(0x110000, np.uint16)
+    for i, c in enumerate("abc"):
+        symbols[ord(c)] = i + 1
+
+    def near(word, term):
+        swaps = {term[:k] + term[k + 1] + term[k] + term[k + 2 :] for k in range(len(term) - 1)}
+        return edits(word, term) <= 1 or word in swaps
+
+    for _ in range(4000):
+        word = "".join(rng.choice("abcz") for _ in range(rng.randrange(1, 9)))
+        codes = np.array([symbols[ord(c)] for c in word])
+        tag = int(dfa.run(codes, np.array([0]), np.array([len(word)]), sticky=False)[0])
+        exact = word in terms or word.startswith("ccbab")
+        edited = any(near(word, t) for t in terms if len(t) == 5 or len(t) == 6 and "*" not in t)
+        edited |= any(near(word[:k], "ccbab") for k in range(len(word) + 1))
+        assert (tag > 0) == (exact or edited), word
+        if tag:
+            assert (meanings[tag][1] == 0) == exact
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
