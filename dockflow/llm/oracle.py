@@ -89,4 +89,71 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
        CAST(coalesce(taken, 0) AS BIGINT) AS taken
 FROM q LEFT JOIN taken USING (rank, place)"""
 
-LLM_ORACLE = {"op3_quality_cascade": QUALITY, "op8_overlap_join": OVERLAP, "op9_fair_mix": MIX}
+
+
+def _then(state: str, cost: str, mark: str, line: str = "''") -> str:
+    """A repair carried on: ten digits of cost and the audit in ``k``, the repaired rows in ``t``; null stays null."""
+    key = f"lpad(CAST(CAST(left({state}.k, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || substr({state}.k, 11) || '{mark}'"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'k': {key}, 't': {state}.t || {line}}} END"
+
+
+_USER, _ASSISTANT = "E'user:\\n'", "E'assistant:\\n'"
+REPAIR = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS key
+  FROM conversations),
+kinds AS (
+  SELECT source.*, xor(list_reduce(list_prepend(4294967295, list_transform(key, lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM source, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS time
+  FROM kinds),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         rtrim(text, E' \t\n\x0b\x0c\r') AS body
+  FROM damaged),
+checked AS (
+  SELECT *, left(role, 1) AS initial, body = '' AS blank,
+         body <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS duplicate,
+         body <> '' AND right(body, 1) NOT IN ('.', '!', '?') AS short,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+         role || ':' || text || E'\n' AS line
+  FROM ordered),
+steps AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS pos, {{'k': '0000000000', 't': ''}} AS q0, CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR)) AS q1,
+         {{'k': '0000000005I', 't': {_USER}}} AS q2, {{'k': '0000000010II', 't': {_USER} || {_ASSISTANT}}} AS q3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, pos, q0, q1, best_u AS q2, least(best_a, {_then("best_u", "5", "I", _ASSISTANT)}) AS q3
+  FROM (
+    SELECT *, least(q2, {_then("q0", "5", "I", _USER)}, {_then("q1", "5", "I", _USER)}, {_then("q3", "5", "I", _USER)}) AS best_u, q3 AS best_a
+    FROM (
+      SELECT conv_id, pos, {_then("q0", "2", "D")} AS q0,
+        least({_then("q1", "2", "D")}, CASE WHEN stays AND initial = 's' THEN {_then("q0", "late", "K", "line")} END) AS q1,
+        least({_then("q2", "2", "D")}, CASE WHEN stays AND initial = 'u' THEN {_then("open", "late", "K", "line")}
+              WHEN stays THEN {_then("open", "late + 1", "R", "'user:' || text || E'\n'")} END) AS q2,
+        least({_then("q3", "2", "D")}, CASE WHEN stays AND initial = 'a' THEN {_then("q2", "late", "K", "line")}
+              WHEN stays THEN {_then("q2", "late + 1", "R", "'assistant:' || text || E'\n'")} END) AS q3
+      FROM (
+        SELECT s.conv_id, r.pos, q0, q1, q2, q3, least(q0, q1, q3) AS open, NOT (blank OR duplicate) AS stays,
+               CASE WHEN short THEN 5 ELSE 0 END AS late, initial, line, text
+        FROM steps s JOIN checked r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.pos = s.pos + 1)))),
+ends AS (SELECT conv_id, least(q0, q3) AS best FROM steps QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) = 1),
+counts AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (short AND NOT duplicate) AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM checked GROUP BY conv_id)
+SELECT ends.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(left(best.k, 10) AS BIGINT) AS cost,
+       substr(best.k, 11) AS audit, sha256(left(best.t, greatest(length(best.t) - 1, 0))) AS repaired_sha256
+FROM ends LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ends.conv_id"""
+
+LLM_ORACLE = {"op3_quality_cascade": QUALITY, "op8_overlap_join": OVERLAP, "op9_fair_mix": MIX, "op12_branch_and_bound_repair": REPAIR}

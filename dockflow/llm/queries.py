@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dockflow.llm.bpe import encode_documents
 from dockflow.llm.cascade import quality_rules
 from dockflow.llm.common import table
+from dockflow.llm.conversations import damaged, repair_report
 from dockflow.llm.fingerprints import fingerprint_edits
 from dockflow.llm.mixing import mix
 from dockflow.llm.oracle import LLM_ORACLE
@@ -62,6 +63,11 @@ def op10_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_branch_and_bound_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(damaged(conversations), conversations).drop("repaired_rows")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +81,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_overlap_join,
         op9_fair_mix,
         op10_two_tier_bpe,
+        op12_branch_and_bound_repair,
     )
 }
 
