@@ -156,4 +156,26 @@ SELECT ends.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coa
        substr(best.k, 11) AS audit, sha256(left(best.t, greatest(length(best.t) - 1, 0))) AS repaired_sha256
 FROM ends LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ends.conv_id"""
 
-LLM_ORACLE = {"op3_quality_cascade": QUALITY, "op8_overlap_join": OVERLAP, "op9_fair_mix": MIX, "op12_branch_and_bound_repair": REPAIR}
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"regexp_extract_all(translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{TERM}')"
+RANKED = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ts FROM documents),
+sizes AS (SELECT count(*) AS documents, CAST(sum(len(ts)) AS BIGINT) AS words FROM d WHERE len(ts) > 0),
+held AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ts) AS t FROM d) GROUP BY 1, 2),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, sizes GROUP BY t, documents),
+impacts AS (
+  SELECT rid, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(ts) * documents) // words))) AS impact
+  FROM held JOIN weights USING (t) JOIN d USING (rid), sizes),
+items AS (SELECT row_number() OVER () AS iid, item_id, unnest({_TERMS}) AS t FROM benchmark),
+scores AS (SELECT iid, item_id, rid, CAST(sum(impact) AS BIGINT) AS score FROM items JOIN impacts USING (t) GROUP BY 1, 2, 3)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+FROM scores JOIN d USING (rid) WHERE score > 0 QUALIFY rank <= 20"""
+
+LLM_ORACLE = {
+    "op3_quality_cascade": QUALITY,
+    "op8_overlap_join": OVERLAP,
+    "op9_fair_mix": MIX,
+    "op12_branch_and_bound_repair": REPAIR,
+    "op13_k2_treap_search": RANKED,
+}

@@ -16,6 +16,7 @@ from dockflow.llm.mixing import mix
 from dockflow.llm.oracle import LLM_ORACLE
 from dockflow.llm.overlap import similar_documents
 from dockflow.llm.passages import quality_report
+from dockflow.llm.ranked import best_documents
 from dockflow.llm.secrets import secret_report
 from dockflow.llm.token_cache import cached_counts, new_cache
 from dockflow.llm.toxicity import toxicity_report
@@ -68,6 +69,10 @@ def op12_branch_and_bound_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damaged(conversations), conversations).drop("repaired_rows")
 
 
+def op13_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,6 +87,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_fair_mix,
         op10_two_tier_bpe,
         op12_branch_and_bound_repair,
+        op13_k2_treap_search,
     )
 }
 
