@@ -16,6 +16,7 @@ from dockflow.llm.mixing import mix
 from dockflow.llm.oracle import LLM_ORACLE
 from dockflow.llm.overlap import similar_documents
 from dockflow.llm.passages import quality_report
+from dockflow.llm.private import private_report
 from dockflow.llm.ranked import best_documents
 from dockflow.llm.secrets import secret_report
 from dockflow.llm.token_cache import cached_counts, new_cache
@@ -64,6 +65,10 @@ def op10_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_disclosed_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_report(table(spark, sf_dir, "documents"))
+
+
 def op12_branch_and_bound_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return repair_report(damaged(conversations), conversations).drop("repaired_rows")
@@ -86,6 +91,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_overlap_join,
         op9_fair_mix,
         op10_two_tier_bpe,
+        op11_disclosed_terms,
         op12_branch_and_bound_repair,
         op13_k2_treap_search,
     )
