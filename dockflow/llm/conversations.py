@@ -229,13 +229,17 @@ def cheapest_edits(marked: DataFrame) -> DataFrame:
 
     Blocks of consecutive rows are searched on their own, wherever they lie; a second step strings the blocks of a
     conversation together, state by state. An audit has one letter per row and insertion, the length of its result.
+    Blocks are dealt to the session's full number of shuffle partitions: they are small, but searching them takes time.
     """
+    wide = int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     letter = F.when(F.col("initial").isin("s", "u", "a"), F.col("initial")).otherwise("x")
     symbol = F.when(F.col("fault").isin("blank", "duplicate"), "_").when(F.col("fault") == "truncated", F.upper(letter)).otherwise(letter)
     row = F.struct("at", symbol.alias("symbol"), letter.alias("letter"))
     text = lambda name: F.array_join(F.transform("rows", lambda r: r[name]), "")
     blocks = (
-        marked.groupBy("conv_id", F.shiftright("at", BLOCK_BITS).alias("block"))
+        marked.withColumn("block", F.shiftright("at", BLOCK_BITS))
+        .repartition(wide, "conv_id", "block")
+        .groupBy("conv_id", "block")
         .agg(F.sort_array(F.collect_list(row)).alias("rows"))
         .select("conv_id", "block", text("symbol").alias("symbols"), text("letter").alias("initials"))
     )
