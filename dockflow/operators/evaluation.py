@@ -39,6 +39,19 @@ def forecast_metrics(df: DataFrame, by: Sequence[str] = (), metrics: Sequence[st
     return both.groupBy(*by).agg(*[F.max(m).alias(m) for m in metrics])
 
 
+def coverage_by_horizon(
+    df: DataFrame, by: Sequence[str] = (), ts: str = "ds", cutoff: str = "cutoff"
+) -> DataFrame:
+    """Rows, share of ``y`` inside the interval and mean width of it, per begun day between the cutoff and the row."""
+    ahead = F.unix_timestamp(F.col(ts).cast("timestamp")) - F.unix_timestamp(F.col(cutoff).cast("timestamp"))
+    inside = F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper"))
+    return df.groupBy(*by, F.ceil(ahead / 86400).cast("int").alias("horizon_days")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.avg(inside.cast("double")).alias("coverage"),
+        F.avg(F.col("yhat_upper") - F.col("yhat_lower")).alias("width"),
+    )
+
+
 def best_params(results: DataFrame, params: Sequence[str], by: Sequence[str] = (), metric: str = "mae") -> DataFrame:
     """The setting with the smallest metric in each group; ties by setting."""
     best = F.min(F.struct(metric, *params)).alias("_best")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from dockflow.functions.calendar import RULES, holiday_flags
 from dockflow.functions.timeparts import weekday_name
+from dockflow.operators import trend as bent
 from dockflow.operators.series import forward_fill, future_frame
 from dockflow.spec import REGRESSORS
 
@@ -54,6 +55,10 @@ class Design:
 
     A seasonality is (period in days, number of sine and cosine pairs). ``holidays`` names a rule set, one term per
     holiday; days that follow no rule can be flagged on the frame and named among the regressors.
+
+    ``trend_prior`` is ``"normal"`` or ``"laplace"``: the latter makes most trend changes exactly 0. With ``own_trend``
+    the trend of a fold runs over that fold's history and bends there, at multiples of ``knot_grain`` seconds, as a fit
+    of that history alone would; without it all folds share the trend time of the whole history.
     """
 
     changepoints: int = 25
@@ -62,6 +67,17 @@ class Design:
     extra_prior: float = 0.1
     holidays: str | None = "extended"
     regressors: tuple[str, ...] = tuple(REGRESSORS)
+    trend_prior: str = "normal"
+    own_trend: bool = False
+    knot_grain: int = bent.DAY
+
+    def __post_init__(self):
+        if self.trend_prior not in ("normal", "laplace"):
+            raise ValueError(f"a trend prior is normal or laplace, not {self.trend_prior!r}")
+
+    def bends(self) -> list[float]:
+        """Changepoints spread over the first four fifths of trend time."""
+        return [0.8 * (i + 1) / (self.changepoints + 1) for i in range(self.changepoints)]
 
     @property
     def trend_width(self) -> int:
@@ -75,6 +91,10 @@ class Design:
         return names + ["regressor"] * len(self.regressors)
 
 
+#: All terms, sparse trend changes, and changepoints in every fold's own history: what training uses.
+FULL_DESIGN = Design(trend_prior="laplace", own_trend=True)
+
+
 # -- folds --------------------------------------------------------------------------------------------------------
 
 
@@ -263,12 +283,16 @@ def seasonal_features(df: DataFrame, design: Design, ts: str = "ds") -> DataFram
 def trend_features(df: DataFrame, design: Design, ts: str = "ds") -> DataFrame:
     """Add ``trend_x``. The input carries ``_first`` and ``_last``, the span of the series' history in epoch seconds.
 
-    The trend runs from 0 to 1 over the span and may bend at changepoints spread over its first four fifths.
+    The trend runs from 0 to 1 over the span and may bend at changepoints: those in a column ``knots``, where the input
+    has one from a model, or else those spread over its first four fifths.
     """
     t = (_epoch(ts) - F.col("_first")) / F.greatest(F.col("_last") - F.col("_first"), F.lit(1)).cast("double")
-    bends = [0.8 * (i + 1) / (design.changepoints + 1) for i in range(design.changepoints)]
-    terms = [F.lit(1.0), F.col("_t"), *[F.greatest(F.col("_t") - b, F.lit(0.0)) for b in bends]]
-    return df.withColumn("_t", t).withColumn("trend_x", F.array(*terms)).drop("_t")
+    start = F.array(F.lit(1.0), F.col("_t"))
+    if "knots" in df.columns:
+        hinges = F.transform("knots", lambda b: F.greatest(F.col("_t") - b, F.lit(0.0)))
+    else:
+        hinges = F.array(*[F.greatest(F.col("_t") - b, F.lit(0.0)) for b in design.bends()]).cast("array<double>")
+    return df.withColumn("_t", t).withColumn("trend_x", F.concat(start, hinges)).drop("_t")
 
 
 # -- settings -----------------------------------------------------------------------------------------------------
@@ -312,10 +336,11 @@ def _block_sums(table: pa.Table, design: Design) -> dict:
 
 
 class _Sums:
-    """Block sums of one series, added up."""
+    """Block sums of one series, added up; the trend time is that of the whole history."""
 
-    def __init__(self, width: int):
+    def __init__(self, width: int, span: tuple[int, int] = (0, 1), bends: Sequence[float] = ()):
         self.width, self.n, self.y_max, self.y_squares = width, 0, 0.0, 0.0
+        self.first, self.last, self._bends = *span, list(bends)
         self.flat = np.zeros(3 * (width * (width + 1) // 2) + 2 * width)
 
     def add(self, block) -> None:
@@ -324,6 +349,9 @@ class _Sums:
         self.y_squares += block.y_squares
         self.flat += block.sums
 
+    def knots(self) -> list[float]:
+        return self._bends
+
     def system(self, mode: str, trend_width: int):
         """Normal equations for a mode, and the line that multiplies the seasonal terms in it."""
         size = self.width * (self.width + 1) // 2
@@ -351,8 +379,11 @@ class _Sums:
         return np.maximum(np.diag(m) / self.n - (m[0] / self.n) ** 2, 0.0)
 
 
-def _penalties(design: Design, setting: Mapping, sums: _Sums, noise: float) -> np.ndarray:
-    """Ridge weights: noise variance over prior variance, terms in units of ``y`` scaled by its largest size."""
+def _penalties(design: Design, setting: Mapping, sums: _Sums | bent.OwnSums, noise: float) -> np.ndarray:
+    """Ridge weights: noise variance over prior variance, terms in units of ``y`` scaled by its largest size.
+
+    Under a Laplace prior the trend's changes have no ridge weight; their absolute penalty comes on top.
+    """
     prior = {
         "season": setting["seasonality_prior_scale"],
         "extra": design.extra_prior,
@@ -368,6 +399,8 @@ def _penalties(design: Design, setting: Mapping, sums: _Sums, noise: float) -> n
         season = season * scale
     weights = noise / np.concatenate([trend, season]) ** 2
     weights[0] = 0.0
+    if design.trend_prior == "laplace":
+        weights[2 : design.trend_width] = 0.0
     standard = np.array([False] * design.trend_width + [g == "regressor" for g in groups])
     weights[standard] *= sums.variances()[standard]
     return weights
@@ -382,7 +415,7 @@ def _rss(sums: _Sums, left: np.ndarray, right: np.ndarray, coef: np.ndarray) ->
     return max(float(sums.y_squares - 2 * coef @ right + coef @ left @ coef), 0.0)
 
 
-def _fit_all(sums: _Sums, design: Design, grid: Sequence[Mapping]):
+def _fit_all(sums: _Sums | bent.OwnSums, design: Design, grid: Sequence[Mapping]):
     """Coefficients of every setting from one set of sums."""
     systems = {}
     for mode in {s["seasonality_mode"] for s in grid}:
@@ -391,7 +424,12 @@ def _fit_all(sums: _Sums, design: Design, grid: Sequence[Mapping]):
         systems[mode] = left, right, lift, max(_rss(sums, left, right, loose) / sums.n, 1e-12)
     for number, setting in enumerate(grid):
         left, right, lift, noise = systems[setting["seasonality_mode"]]
-        coef = _solve(left, right, _penalties(design, setting, sums, noise))
+        weights = _penalties(design, setting, sums, noise)
+        if design.trend_prior == "laplace" and design.changepoints:
+            by = noise / (setting["changepoint_prior_scale"] * (sums.y_max or 1.0))
+            coef = bent.solve_sparse(left, right, weights, design.trend_width, by)
+        else:
+            coef = _solve(left, right, weights)
         yield {
             "setting_id": number,
             **setting,
@@ -400,6 +438,8 @@ def _fit_all(sums: _Sums, design: Design, grid: Sequence[Mapping]):
             "lift_base": lift[0],
             "lift_slope": lift[1],
             "sigma": math.sqrt(_rss(sums, left, right, coef) / sums.n),
+            "drift": bent.drift(coef[2 : design.trend_width]),
+            "knots": sums.knots(),
             "train_rows": sums.n,
         }
 
@@ -407,7 +447,8 @@ def _fit_all(sums: _Sums, design: Design, grid: Sequence[Mapping]):
 _MODEL_TYPES = (
     "fold int, setting_id int, changepoint_prior_scale double, seasonality_prior_scale double, "
     "holidays_prior_scale double, seasonality_mode string, trend_coef array<double>, season_coef array<double>, "
-    "lift_base double, lift_slope double, sigma double, train_rows long, _first long, _last long"
+    "lift_base double, lift_slope double, sigma double, drift double, knots array<double>, train_rows long, "
+    "_first long, _last long"
 )
 
 
@@ -432,40 +473,55 @@ def fit_panel(
     """Models of every series and setting: on all history, and with ``folds`` also before every cutoff.
 
     Rows without ``y`` or without one of the regressors neither train nor count for the placement of folds; the
-    evaluation in :func:`cv_predict` places its folds on the same rows. Trend time runs over the whole history in
-    every fold, so an early fold has fewer bends before its cutoff than a fit of that part alone would get.
+    evaluation in :func:`cv_predict` places its folds on the same rows. Unless ``design.own_trend`` is set, trend time
+    runs over the whole history in every fold, so an early fold has fewer bends before its cutoff than a fit of that
+    part alone would get.
 
     ``frame`` has at most one row per series and hour, so a block holds at most one ``period`` of hours and a series
     at most one block per ``period`` of its history, whatever the number of trips behind them.
     """
     by = list(by)
     grid = [dict(s) for s in grid]
-    placed = with_folds(complete(frame, design), by, ts, initial, horizon, period)
-    placed = trend_features(seasonal_features(placed, design, ts), design, ts)
+    placed = seasonal_features(with_folds(complete(frame, design), by, ts, initial, horizon, period), design, ts)
     types = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
     keys = ", ".join(f"`{k}` {types[k]}" for k in by)
     group = [*by, "_first", "_last", "_folds", "_block"]
+    seasons = len(design.season_groups())
+    if design.own_trend:
+        placed, terms = placed.withColumn("seconds", _epoch(ts)), ["seconds", "season_x"]
+        more = "newest long, bins array<long>, bin_sums array<double>, "
+    else:
+        placed, terms, more = trend_features(placed, design, ts), ["trend_x", "season_x"], ""
+
+    def block_sums(key: tuple, table: pa.Table) -> dict:
+        if not design.own_trend:
+            return _block_sums(table, design)
+        y, seconds = table["y"].to_numpy().astype(float), bent.seconds_of(table, "seconds")
+        return bent.own_block_sums(y, _matrix(table, "season_x", seasons), seconds, key[len(by)].as_py(), design.knot_grain)
 
     def block(key: tuple, table: pa.Table) -> pa.Table:
         names = {name: pa.array([value.as_py()], value.type) for name, value in zip(group, key)}
-        return pa.table({**names, **{name: [value] for name, value in _block_sums(table, design).items()}})
+        return pa.table({**names, **{name: [value] for name, value in block_sums(key, table).items()}})
 
-    sums = placed.select(*group, "y", "trend_x", "season_x").groupBy(*group).applyInArrow(
+    sums = placed.select(*group, "y", *terms).groupBy(*group).applyInArrow(
         block,
         f"{keys}, _first long, _last long, _folds int, _block int, "
-        "n long, y_max double, y_squares double, sums array<double>",
+        f"n long, y_max double, y_squares double, {more}sums array<double>",
     )
-    width = design.trend_width + len(design.season_groups())
 
     def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        total, rows = _Sums(width), []
-        pending = list(pdf.sort_values("block_no", ascending=False).itertuples(index=False))
         first, last, count = (int(pdf[c].iloc[0]) for c in ("span_first", "span_last", "fold_count"))
+        if design.own_trend:
+            total = bent.OwnSums(seasons, design.changepoints, first, design.knot_grain)
+        else:
+            total = _Sums(design.trend_width + seasons, (first, last), design.bends())
+        rows = []
+        pending = list(pdf.sort_values("block_no", ascending=False).itertuples(index=False))
         for fold in [*range(count - 1 if folds else -1, -1, -1), ALL_HISTORY]:
             while pending and (fold == ALL_HISTORY or pending[0].block_no >= fold):
                 total.add(pending.pop(0))
             if total.n:
-                rows += [{"fold": fold, "_first": first, "_last": last, **m} for m in _fit_all(total, design, grid)]
+                rows += [{"fold": fold, "_first": total.first, "_last": total.last, **m} for m in _fit_all(total, design, grid)]
         out = pd.DataFrame(rows)
         for name, value in zip(reversed(by), reversed(key)):
             out.insert(0, name, value)
@@ -490,16 +546,23 @@ def predict(rows: DataFrame, models: DataFrame, on: Sequence[str], design: Desig
 
     The seasonal terms depend on the row alone and are made before the join, once for all models of its series. All
     terms are Spark expressions, so forecasting needs no Python worker.
+
+    The interval is that of the residuals, and widens beyond the history by the trend changes still to come (see
+    :func:`dockflow.operators.trend.drift`); where the seasonal terms multiply the trend, they multiply those too.
     """
     on = list(on)
     terms = trend_features(seasonal_features(rows, design, ts).join(models, on), design, ts)
     lift = F.col("lift_base") + F.col("lift_slope") * F.col("trend_x")[1]
-    yhat = _dot("trend_x", "trend_coef") + lift * _dot("season_x", "season_coef")
-    width = F.col("sigma") * HALF_WIDTH
+    terms = terms.withColumn("_season", _dot("season_x", "season_coef"))
+    yhat = _dot("trend_x", "trend_coef") + lift * F.col("_season")
+    ahead = F.greatest(F.col("trend_x")[1] - 1, F.lit(0.0))
+    grown = F.when(F.col("seasonality_mode") == "multiplicative", 1 + F.col("_season")).otherwise(F.lit(1.0))
+    width = F.sqrt(F.col("sigma") * F.col("sigma") + F.col("drift") * ahead * ahead * ahead * grown * grown) * HALF_WIDTH
+    made = ["trend_x", "season_x", "_season", "trend_coef", "season_coef", "lift_base", "lift_slope", "sigma", "drift", "knots"]
     return (
         terms.withColumn("yhat", yhat)
         .withColumns({"yhat_lower": F.col("yhat") - width, "yhat_upper": F.col("yhat") + width})
-        .drop("trend_x", "season_x", "trend_coef", "season_coef", "lift_base", "lift_slope", "sigma", "_first", "_last")
+        .drop(*made, "_first", "_last")
     )
 
 

@@ -228,10 +228,68 @@ line AS (
   FROM tight)"""
 
 
+def _bent_line(groups: str, rows: str, sparse: bool, scale: str = "0.05") -> str:
+    """A line with one bend per group, from ``rows`` (groups, t, h, y) with ``h`` the hinge: (c0, c1, c2, n, sigma).
+
+    Level and slope are eliminated, which leaves the bend alone: a quotient under a ridge penalty, and the same after
+    soft thresholding under an absolute one.
+    """
+
+    def solved(name: str, source: str, a: str, d: str, e: str, bend: str) -> str:
+        return f"""
+{name}0 AS (SELECT *, {a} AS a, {d} AS d, {e} AS e FROM {source}),
+{name}1 AS (
+  SELECT *, (d * h1 - t1 * th) / (a * d - t1 * t1) AS p0, (a * th - t1 * h1) / (a * d - t1 * t1) AS p1,
+         (d * y1 - t1 * ty) / (a * d - t1 * t1) AS q0, (a * ty - t1 * y1) / (a * d - t1 * t1) AS q1 FROM {name}0),
+{name}2 AS (SELECT *, e - p0 * h1 - p1 * th AS gram, hy - p0 * y1 - p1 * ty AS side FROM {name}1),
+{name}3 AS (SELECT *, {bend} AS g FROM {name}2),
+{name}4 AS (SELECT *, q0 - p0 * g AS b0, q1 - p1 * g AS b1 FROM {name}3),
+{name} AS (
+  SELECT * EXCLUDE (a, d, e, p0, p1, q0, q1, gram, side, g, b0, b1), b0 AS {name}_0, b1 AS {name}_1, g AS {name}_2,
+         greatest(y2 - 2 * (b0 * y1 + b1 * ty + g * hy) + b0 * b0 * n + b1 * b1 * t2 + g * g * h2
+                  + 2 * b0 * b1 * t1 + 2 * b0 * g * h1 + 2 * b1 * g * th, 0) / n AS {name}_rest FROM {name}4)"""
+
+    noise = "greatest(loose_rest, 1e-12)"
+    ridge = "0" if sparse else f"{noise} / pow({scale} * top, 2)"
+    bend = f"sign(side) * greatest(abs(side) - {noise} / ({scale} * top), 0) / gram" if sparse else "side / gram"
+    return f"""
+sums AS (
+  SELECT {groups}, count(*) AS n, sum(t) AS t1, sum(t * t) AS t2, sum(h) AS h1, sum(t * h) AS th, sum(h * h) AS h2,
+         sum(CAST(y AS DOUBLE)) AS y1, sum(t * y) AS ty, sum(h * y) AS hy, sum(CAST(y * y AS DOUBLE)) AS y2,
+         max(abs(y)) AS top, (count(*) + sum(t * t) + sum(h * h)) / 3 AS size
+  FROM {rows} GROUP BY {groups}),
+{solved("loose", "sums", "n + size * 1.001e-6", "t2 + size * 1.001e-6", "h2 + size * 1.001e-6", "side / gram")},
+{solved("tight", "loose", "n + size * 1e-9", f"t2 + size * 1e-9 + {noise} / (25 * top * top)", f"h2 + size * 1e-9 + {ridge}", bend)},
+line AS (SELECT {groups}, n, tight_0 AS c0, tight_1 AS c1, tight_2 AS c2, sqrt(tight_rest) AS sigma FROM tight)"""
+
+
 SCALED = CUTOFFS + """,
 scaled AS (
   SELECT f.station, f.ds, f.y, epoch(f.ds - first) / epoch(last - first) AS t FROM frame f JOIN spans USING (station))"""
 
+BENT = SCALED + """,
+bent AS (SELECT station, t, greatest(t - 0.4, 0) AS h, y FROM scaled)"""
+
+OWN_TREND = (
+    CUTOFFS
+    + """,
+ends AS (
+  SELECT c.station, c.fold, c.cutoff, epoch(min(f.ds)) AS first, epoch(max(f.ds)) AS last
+  FROM cutoffs c JOIN frame f ON f.station = c.station AND f.ds <= c.cutoff GROUP BY ALL),
+own AS (SELECT *, (floor((first + 0.4 * (last - first)) / 86400 + 0.5) * 86400 - first) / (last - first) AS knot FROM ends),
+placed AS (
+  SELECT o.station, o.fold, o.cutoff, f.ds, f.y, (epoch(f.ds) - first) / (last - first) AS t,
+         greatest((epoch(f.ds) - first) / (last - first) - knot, 0) AS h
+  FROM own o JOIN frame f USING (station)),
+seen AS (SELECT * FROM placed WHERE ds <= cutoff),"""
+    + _bent_line("station, fold", "seen", False)
+    + f""",
+held AS (
+  SELECT p.*, c0 + c1 * t + c2 * h AS yhat, n,
+         {WIDTH} * sqrt(sigma * sigma + 2.0 / 3 * c2 * c2 * pow(greatest(t - 1, 0), 3)) AS wide
+  FROM placed p JOIN line USING (station, fold) WHERE ds > cutoff AND ds <= cutoff + INTERVAL 4 DAY)"""
+)
+
 DURATION = """date_diff('second', started_at, ended_at)"""
 
 LIVE = HOURLY_WEATHER + """,
@@ -618,6 +676,27 @@ ORACLE["unreadable_cells"] = f"""
 SELECT v.name AS column, count(*) AS rows,
        count(*) FILTER (WHERE (v.name = 'dt' AND s % 5 = 0) OR (v.name = 'temp' AND s % 3 = 0)) AS unreadable
 FROM seconds CROSS JOIN (VALUES ('dt'), ('temp'), ('pressure')) v(name) GROUP BY 1"""
+ORACLE["sparse_trend_forecast"] = f"""
+{_with(BENT, FUTURE, _bent_line("station", "bent", True))}, timed AS (
+  SELECT f.*, epoch(f.ds - first) / epoch(last - first) AS t FROM future f JOIN spans USING (station))
+SELECT station, ds, is_future, round(c0 + c1 * t + c2 * greatest(t - 0.4, 0), 6) + 0.0 AS yhat
+FROM timed JOIN line USING (station)"""
+ORACLE["sparse_trend_models"] = f"""
+{_with(BENT)}, settings AS (
+  SELECT b.*, scale FROM bent b CROSS JOIN (VALUES (0.001::DOUBLE), (0.02), (0.5)) v(scale)),
+{_bent_line("station, scale", "settings", True, "scale")}
+SELECT station, scale AS changepoint_prior_scale, round(c0, 6) + 0.0 AS level, round(c1, 6) + 0.0 AS slope,
+       round(c2, 6) + 0.0 AS bend, round(sigma, 6) AS sigma FROM line"""
+ORACLE["own_trend_cv"] = f"""
+{_with(OWN_TREND)} SELECT station, fold, ds, y, round(yhat, 6) + 0.0 AS yhat, n AS train_rows FROM held"""
+ORACLE["forecast_intervals"] = f"""
+{_with(OWN_TREND)}
+SELECT station, fold, ds, round(yhat - wide, 6) + 0.0 AS yhat_lower, round(yhat + wide, 6) + 0.0 AS yhat_upper FROM held"""
+ORACLE["interval_coverage"] = f"""
+{_with(OWN_TREND)}
+SELECT CAST(ceil(epoch(ds - cutoff) / 86400) AS INTEGER) AS horizon_days, count(*) AS rows,
+       round(avg(CASE WHEN y BETWEEN yhat - wide AND yhat + wide THEN 1.0 ELSE 0.0 END), 6) AS coverage,
+       round(avg(2 * wide), 6) AS width FROM held GROUP BY 1"""
 ORACLE["regression_terms"] = f"""
 {_with(FRAME)}, t AS (
   SELECT station, ds, epoch(ds) / 86400.0 * 2 * pi() AS turns, CAST(ds AS DATE) AS day,

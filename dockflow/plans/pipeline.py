@@ -42,7 +42,7 @@ class PipelineConfig:
     end: str | None = None
     fmt: str = "parquet"
     grid: Sequence[Mapping] = field(default_factory=lambda: [dict(forecast.DEFAULT_SETTING)])
-    design: forecast.Design = forecast.Design()
+    design: forecast.Design = forecast.FULL_DESIGN
     initial: timedelta = forecast.INITIAL
     horizon: timedelta = forecast.HORIZON
     period: timedelta | None = None
@@ -178,7 +178,7 @@ def staged_models(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     """The model behind the latest version of every station in every stage."""
     versions = registry.latest_versions(registry.open_registry(spark, config.path("registry")))
     kept = read_table(spark, config.path("models_registered"), config.fmt)
-    columns = ["trend_coef", "season_coef", "lift_base", "lift_slope", "sigma", "_first", "_last"]
+    columns = ["seasonality_mode", "trend_coef", "season_coef", "lift_base", "lift_slope", "sigma", "drift", "knots", "_first", "_last"]
     return versions.join(kept, ["model_name", "version"]).select(
         "station", "stage", F.col("version").alias("model_version"), *columns
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,9 @@ PANEL_DESIGN = forecast.Design(changepoints=3, seasonalities=((7.0, 3), (1.0, 4)
 WEATHER_DESIGN = forecast.Design(changepoints=2, seasonalities=((1.0, 2),), extra=None)
 TREND_DESIGN = forecast.Design(changepoints=0, seasonalities=(), extra=None, holidays=None, regressors=())
 TREND_SETTING = {**forecast.DEFAULT_SETTING, "seasonality_mode": "additive"}
+BENT_DESIGN = replace(TREND_DESIGN, changepoints=1)
+SPARSE_DESIGN = replace(BENT_DESIGN, trend_prior="laplace")
+OWN_DESIGN = replace(BENT_DESIGN, own_trend=True)
 PANEL_GRID = forecast.param_grid(
     {
         "changepoint_prior_scale": [0.01, 0.5],
@@ -623,6 +627,52 @@ def ridge_trend_cv(spark, sf):
     return held_out.select("station", "fold", "ds", "y", "yhat", "train_rows")
 
 
+@query()
+def sparse_trend_forecast(spark, sf):
+    """A trend that bends once, under an absolute penalty on the bend: soft thresholding, as SQL can state it."""
+    frame = b.flow_frame(spark, sf)
+    models = forecast.fit_panel(frame, ["station"], [TREND_SETTING], SPARSE_DESIGN, **b.SCHEME)
+    return forecast.forecast(frame, models, ["station"], SPARSE_DESIGN).select("station", "ds", "is_future", "yhat")
+
+
+@query()
+def sparse_trend_models(spark, sf):
+    """Coefficients of that trend for three widths of the prior: the narrower, the more bends are exactly 0."""
+    frame = b.flow_frame(spark, sf)
+    grid = [{**TREND_SETTING, "changepoint_prior_scale": scale} for scale in (0.001, 0.02, 0.5)]
+    models = forecast.fit_panel(frame, ["station"], grid, SPARSE_DESIGN, **b.SCHEME)
+    coef = [F.get("trend_coef", F.lit(i)).alias(name) for i, name in enumerate(("level", "slope", "bend"))]
+    return models.select("station", "changepoint_prior_scale", *coef, "sigma")
+
+
+@query()
+def own_trend_cv(spark, sf):
+    """A bend in the first four fifths of every fold's own history, on the grid of days that all folds share."""
+    frame = b.flow_frame(spark, sf)
+    models = forecast.fit_panel(frame, ["station"], [TREND_SETTING], OWN_DESIGN, folds=True, **b.SCHEME)
+    held_out = forecast.cv_predict(frame, models, ["station"], OWN_DESIGN, **b.SCHEME)
+    return held_out.select("station", "fold", "ds", "y", "yhat", "train_rows")
+
+
+@query()
+def forecast_intervals(spark, sf):
+    """Intervals of held-out rows, which widen with the distance from each fold's cutoff."""
+    frame = b.flow_frame(spark, sf)
+    models = forecast.fit_panel(frame, ["station"], [TREND_SETTING], OWN_DESIGN, folds=True, **b.SCHEME)
+    held_out = forecast.cv_predict(frame, models, ["station"], OWN_DESIGN, **b.SCHEME)
+    return held_out.select("station", "fold", "ds", "yhat_lower", "yhat_upper")
+
+
+@query()
+def interval_coverage(spark, sf):
+    """Share of held-out rows inside the interval, and its mean width, per day after the cutoff."""
+    frame = b.flow_frame(spark, sf)
+    models = forecast.fit_panel(frame, ["station"], [TREND_SETTING], OWN_DESIGN, folds=True, **b.SCHEME)
+    held_out = forecast.cv_predict(frame, models, ["station"], OWN_DESIGN, **b.SCHEME)
+    cutoffs = forecast.cv_folds(frame, ["station"], **b.SCHEME).select("station", "fold", "cutoff")
+    return evaluation.coverage_by_horizon(held_out.join(cutoffs, ["station", "fold"]))
+
+
 @query()
 def ridge_weather_forecast(spark, sf):
     frame = writers.settle(b.weather_frame(spark, sf), "features")
@@ -642,6 +692,17 @@ def ridge_grid_search(spark, sf):
     return evaluation.best_params(scores, forecast.SETTING_COLUMNS, ["station"])
 
 
+@query()
+def full_grid_search(spark, sf):
+    """The whole grid with the terms, the prior and the fold trends that training uses, apart from weather."""
+    design = replace(forecast.FULL_DESIGN, regressors=())
+    frame = b.flow_frame(spark, sf)
+    models = writers.settle(forecast.fit_panel(frame, ["station"], forecast.param_grid(), design, folds=True, **b.SCHEME), "models")
+    held_out = forecast.cv_predict(frame, models, ["station"], design, **b.SCHEME)
+    scores = evaluation.forecast_metrics(held_out, ["station", *forecast.SETTING_COLUMNS], ["mae"])
+    return evaluation.best_params(scores, forecast.SETTING_COLUMNS, ["station"])
+
+
 # -- registry -----------------------------------------------------------------------------------------------------
 
 
