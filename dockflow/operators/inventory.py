@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.functions.stock import is_full, stock_status
 from dockflow.functions.timeparts import hour_of
+from dockflow.operators.asof import asof_join
 from dockflow.operators.flows import as_of, recent
 from dockflow.operators.series import forward_fill, running_total
 from dockflow.sources.writers import settle
@@ -61,13 +63,24 @@ def inference_frame(
     by: str = "station_id",
     ts: str = "last_reported",
     weather_ts: str = "dt",
+    within: timedelta | None = None,
 ) -> DataFrame:
-    """Reports of the last hours with the regressors a model needs, gaps filled from the report before."""
+    """Reports of the last hours with the regressors a model needs, gaps filled from the report before.
+
+    A report has the weather of its own hour. With ``within`` an hour without weather has that of the newest earlier
+    hour, if it is no older than that.
+    """
     window = recent(status, ts, now, hours)
-    readings = recent(weather, weather_ts, now, hours + 1)
+    older = -(-int(within.total_seconds()) // 3600) if within else 0
+    readings = recent(weather, weather_ts, now, hours + 1 + older)
     # written first, the few hours of weather have a known size, and Spark sends them to the reports
     hourly = settle(live_hourly_weather(readings, weather_ts), "live-hours")
-    joined = status_with_weather(window, hourly, ts)
+    if within:
+        hourly_reports = window.withColumn("date_hour", hour_of(F.col(ts)))
+        columns = [c for c in hourly.columns if c != "date_hour"]
+        joined = asof_join(hourly_reports, hourly, "date_hour", "date_hour", columns=columns, tolerance=within)
+    else:
+        joined = status_with_weather(window, hourly, ts)
     regressors = [c for c in joined.columns if c.startswith("avg_")]
     filled = forward_fill(joined, [by], ts, regressors, ties=["num_bikes_available"])
     return filled.withColumnRenamed(ts, "ds").drop("date_hour")

@@ -697,6 +697,22 @@ ORACLE["interval_coverage"] = f"""
 SELECT CAST(ceil(epoch(ds - cutoff) / 86400) AS INTEGER) AS horizon_days, count(*) AS rows,
        round(avg(CASE WHEN y BETWEEN yhat - wide AND yhat + wide THEN 1.0 ELSE 0.0 END), 6) AS coverage,
        round(avg(2 * wide), 6) AS width FROM held GROUP BY 1"""
+ORACLE["asof_weather"] = f"""
+{_with(STATUS, WEATHER)}, readings AS (
+  SELECT dt, temp, pressure, rain_1h FROM weather
+  QUALIFY row_number() OVER (PARTITION BY dt ORDER BY temp DESC, pressure DESC, rain_1h DESC NULLS LAST) = 1),
+matched AS (
+  SELECT s.*, w.dt, w.temp, w.pressure, w.rain_1h, s.last_reported <= w.dt + INTERVAL 30 MINUTE AS near
+  FROM status s ASOF LEFT JOIN readings w ON s.last_reported >= w.dt)
+SELECT event_id, station, last_reported, num_bikes_available, CASE WHEN near THEN dt END AS dt,
+       round(CASE WHEN near THEN temp END, 6) AS temp, CASE WHEN near THEN pressure END AS pressure,
+       round(CASE WHEN near THEN rain_1h END, 6) AS rain_1h FROM matched"""
+ORACLE["asof_stock"] = f"""
+{_with(STATUS)}, reports AS (
+  SELECT station, last_reported, max(num_bikes_available) AS num_bikes_available FROM status GROUP BY 1, 2)
+SELECT event_id AS ride_id, user_id % 10 AS start_station_name, ts AS started_at,
+       r.last_reported AS seen_last_reported, r.num_bikes_available AS seen_num_bikes_available
+FROM events e ASOF LEFT JOIN reports r ON e.user_id % 10 = r.station AND e.ts >= r.last_reported"""
 ORACLE["regression_terms"] = f"""
 {_with(FRAME)}, t AS (
   SELECT station, ds, epoch(ds) / 86400.0 * 2 * pi() AS turns, CAST(ds AS DATE) AS day,

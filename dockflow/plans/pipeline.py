@@ -263,7 +263,7 @@ def _hourly_state(status: DataFrame, weather: DataFrame, config: PipelineConfig)
     One row per hour, as in the history the models learned from: an hourly change must be counted once per hour
     however often a station reports.
     """
-    seen = inventory.inference_frame(status, weather, config.now, config.hours, by="station")
+    seen = inventory.inference_frame(status, weather, config.now, config.hours, by="station", within=timedelta(days=1))
     values = ["num_bikes_available", *config.design.regressors]
     return (
         inventory.latest_as_of(seen.withColumn("_hour", hour_of(F.col("ds"))), ["station", "_hour"], "ds", values)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dockflow.functions import calendar as cal
 from dockflow.functions import stock
 from dockflow.functions.timeparts import epoch_to_text, epoch_to_ts, with_duration, with_time_parts
-from dockflow.operators import evaluation, explore, flows, forecast, inventory, quality, registry, series
+from dockflow.operators import asof, evaluation, explore, flows, forecast, inventory, quality, registry, series
 from dockflow.plans import bindings as b
 from dockflow.session import scratch_path
 from dockflow.sources import readers, writers
@@ -406,6 +406,23 @@ def forward_fill(spark, sf):
     return filled.drop("date_hour")
 
 
+@query()
+def asof_weather(spark, sf):
+    """Every report with the newest weather reading before it, if that is at most half an hour old."""
+    return asof.asof_join(
+        b.status(spark, sf), b.weather(spark, sf), "last_reported", "dt", columns=["dt", "temp", "pressure", "rain_1h"], tolerance=timedelta(minutes=30)
+    )
+
+
+@query()
+def asof_stock(spark, sf):
+    """Every departure with the station's last report, whenever that was."""
+    reports = b.status(spark, sf).withColumnRenamed("station", "start_station_name")
+    return asof.asof_join(
+        b.all_event_trips(spark, sf), reports, "started_at", "last_reported", ["start_station_name"], ["last_reported", "num_bikes_available"], prefix="seen_"
+    )
+
+
 @query()
 def running_inventory(spark, sf):
     forecasts = b.fitted_profile(spark, sf)
