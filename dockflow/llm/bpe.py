@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from dockflow.llm.common import column_text, slices
 
 _SEGMENT = re.compile(r"(?<=\S)(?= )")
-_KEPT = 300_000
+_KEPT = 600_000
 _LONGEST_KEPT = 64
 _HASH = xxhash.xxh3_64_intdigest
 
@@ -83,39 +83,64 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Merge the bytes of one pre-token: lowest rank first, leftmost of equals, over a linked list with a heap."""
+_WIDE = 1 << 20
+
+
+def joins(ranks: dict[bytes, int]) -> dict[int, int]:
+    """The id of every two tokens whose bytes together are a token, under ``left * 2**20 + right``."""
+    out = {}
+    for whole, rank in ranks.items():
+        for cut in range(1, len(whole)):
+            left, right = ranks.get(whole[:cut]), ranks.get(whole[cut:])
+            if left is not None and right is not None:
+                out[left * _WIDE + right] = rank
+    return out
+
+
+def merge(piece: bytes, ranks: dict[bytes, int], joined: dict[int, int] | None = None) -> list[int]:
+    """Merge the bytes of one pre-token: lowest rank first, leftmost of equals, over a linked list with a heap.
+
+    A heap entry is one number made of the rank, the place and the end of what would be merged. ``ids`` holds the token
+    at a live place, ``after`` its next place; the last place and those merged away are followed by the end.
+    """
     n = len(piece)
+    get = (joins(ranks) if joined is None else joined).get
+    base = n + 1
+    square = base * base
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    alive = [True] * n
+    ids = [ranks[piece[i : i + 1]] for i in range(n)]
     heap = []
-    for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
+    left = -1
+    for i, right in enumerate(ids):
+        rank = get(left * _WIDE + right)
         if rank is not None:
-            heap.append((rank, i, i + 2))
+            heap.append(rank * square + (i - 1) * base + i + 1)
+        left = right
     heapq.heapify(heap)
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        rank, i, stop = heapq.heappop(heap)
+        top = pop(heap)
+        i, stop = divmod(top % square, base)
         j = after[i]
-        if not alive[i] or j >= n or after[j] != stop:
+        if j >= n or after[j] != stop:
             continue
-        alive[j] = False
+        after[j] = n
         after[i] = stop
+        mine = ids[i] = top // square
         if stop < n:
             before[stop] = i
-            end = after[stop]
-            rank = ranks.get(piece[i:end])
+            rank = get(mine * _WIDE + ids[stop])
             if rank is not None:
-                heapq.heappush(heap, (rank, i, end))
+                push(heap, rank * square + i * base + after[stop])
         h = before[i]
         if h >= 0:
-            rank = ranks.get(piece[h:stop])
+            rank = get(ids[h] * _WIDE + mine)
             if rank is not None:
-                heapq.heappush(heap, (rank, h, stop))
+                push(heap, rank * square + h * base + stop)
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i : after[i]]])
+        out.append(ids[i])
         i = after[i]
     return out
 
@@ -131,12 +156,13 @@ class Encoder:
         self.whole = PerfectHash.of(self.ranks)
         self.compiled = regex.compile(self.pattern)
         self.pieces = {v: k for k, v in self.ranks.items()}
+        self.joined = joins(self.ranks)
 
     def piece(self, piece: str) -> bytes:
         """Ids of one pre-token: the whole of it if the vocabulary has it, else its merged bytes."""
         raw = piece.encode()
         known = self.whole.get(raw)
-        ids = merge(raw, self.ranks) if known is None else [known]
+        ids = merge(raw, self.ranks, self.joined) if known is None else [known]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def segment(self, text: str) -> bytes:
