@@ -42,11 +42,13 @@ class Dfa:
     classes: np.ndarray
     n_classes: int
     tags: np.ndarray
+    _plain: tuple | None = field(default=None, repr=False, compare=False)
 
     def run(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, sticky: bool) -> np.ndarray:
         """Accept masks of many strings in one pass over their symbols: of the last state, or if sticky of all states.
 
-        Strings advance together, one symbol a step, longest first, so the arrays shrink as strings end.
+        Strings advance together, one symbol a step, longest first, so the arrays shrink as strings end. The last few,
+        which are much longer than the others, go on one at a time.
         """
         order = np.argsort(-lengths, kind="stable")
         at, long = starts[order], lengths[order]
@@ -55,6 +57,12 @@ class Dfa:
         counts = np.searchsorted(-long, -np.arange(1, int(long[0]) + 1 if len(long) else 1), "right")
         mapped = self.classes[symbols]
         for p, n in enumerate(counts):
+            if n <= 16:
+                for k in range(n):
+                    body = mapped[at[k] + p : at[k] + long[k]].tolist()
+                    state[k], seen = self._alone(int(state[k]), body, sticky)
+                    hits[k] |= seen
+                break
             state[:n] = self.table[state[:n] * self.n_classes + mapped[at[:n] + p]]
             if sticky:
                 hits[:n] |= self.tags[state[:n]]
@@ -62,6 +70,22 @@ class Dfa:
         out[order] = hits if sticky else self.tags[state]
         return out
 
+    def _alone(self, state: int, classes: list[int], sticky: bool) -> tuple[int, int]:
+        """The state after one string, and what was accepted on the way."""
+        table, tags, width, seen = self._lists()
+        hits = 0
+        for c in classes:
+            state = table[state * width + c]
+            if sticky and seen[state]:
+                hits |= tags[state]
+        return state, hits
+
+    def _lists(self) -> tuple[list[int], list[int], int, list[bool]]:
+        if self._plain is None:
+            tags = self.tags.tolist()
+            self._plain = self.table.tolist(), tags, self.n_classes, [bool(t) for t in tags]
+        return self._plain
+
     def resets(self) -> np.ndarray:
         """For each symbol, whether every state returns to the start on it, so that no match contains it."""
         return (self.table.reshape(-1, self.n_classes) == 0).all(axis=0)[self.classes]

@@ -21,7 +21,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _powers: dict[str, np.ndarray] = {}
 
-__all__ = ["WORD", "column_text", "let", "mixed", "mixed_long", "settle", "slices", "table", "word_hashes", "word_spans", "windows_of"]
+__all__ = ["WORD", "column_text", "let", "map_texts", "mixed", "mixed_long", "settle", "slices", "table", "word_hashes", "word_spans", "windows_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def map_texts(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """Batches of all columns through a function that needs ``text`` only and keeps the columns; names may hold dots."""
+    plain = docs.toDF(*("text" if c == "text" else f"column{i}" for i, c in enumerate(docs.columns)))
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into row ranges of about ``most`` text bytes, so that work arrays stay small; a longer text is alone."""
     ends = text_bytes(batch.column(column))[1][1:]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.llm.automata import Dfa, Nfa, add_regex, determinise
-from dockflow.llm.common import slices, text_bytes
+from dockflow.llm.common import map_texts, slices, text_bytes
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 
@@ -58,10 +58,25 @@ def spans_of(segment: str, hits: int, rules: tuple[Rule, ...], exact: list[re.Pa
                     yield m.start(), i, m.end()
 
 
-def _scan(dfa: Dfa, rules: tuple[Rule, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+class _Chars:
+    """Code points before a byte position, asked in rising order within each text: every byte is counted once."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, body: np.ndarray):
+        self.heads = (body & 0xC0) != 0x80
+        self.at = self.count = 0
+
+    def upto(self, start: int, position: int) -> int:
+        if self.at < start:
+            self.at, self.count = start, 0
+        self.count += int(np.count_nonzero(self.heads[self.at : position]))
+        self.at = position
+        return self.count
+
+
+def _scan(dfa: Dfa, rules: tuple[Rule, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, list[list[dict]]]]]:
+    """Row ranges of the batches, with the spans of each of their rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[dict]]]]:
         exact = [re.compile(r.exact) for r in rules]
         resets = dfa.resets()
         for batch in batches:
@@ -82,12 +97,23 @@ def _scan(dfa: Dfa, rules: tuple[Rule, ...]) -> Callable[[Iterator[pa.RecordBatc
                 found: list[list[tuple[int, int, int]]] = [[] for _ in range(part.num_rows)]
                 flagged = np.flatnonzero(hits)
                 rows = np.searchsorted(ends, starts[flagged], "right") - 1
+                chars = _Chars(body)
                 for j, row in zip(flagged.tolist(), rows.tolist(), strict=True):
-                    before = len(body[ends[row] : starts[j]].tobytes().decode())
+                    before = chars.upto(int(ends[row]), int(starts[j]))
                     segment = body[starts[j] : stops[j]].tobytes().decode()
                     found[row] += [(before + a, i, before + b) for a, i, b in spans_of(segment, int(hits[j]), rules, exact)]
-                spans = [[{"kind": rules[i].kind, "start": a, "end": b} for a, i, b in sorted(f)] for f in found]
-                yield pa.record_batch([*(part.column(c) for c in part.schema.names if c != "text"), pa.array(spans, kind)], names=[*(c for c in part.schema.names if c != "text"), "spans"])
+                yield part, [[{"kind": rules[i].kind, "start": a, "end": b} for a, i, b in sorted(f)] for f in found]
+
+    return run
+
+
+def _spans(dfa: Dfa, rules: tuple[Rule, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    scan = _scan(dfa, rules)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, spans in scan(batches):
+            yield pa.record_batch([part.column("doc_id"), pa.array(spans, kind)], names=["doc_id", "spans"])
 
     return run
 
@@ -104,7 +130,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     dfa = automaton(rules)
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(_scan(dfa, rules), f"doc_id {kind}, spans {SPANS}")
+    return docs.select("doc_id", "text").mapInArrow(_spans(dfa, rules), f"doc_id {kind}, spans {SPANS}")
 
 
 def joined(spans: Column) -> Column:
@@ -128,11 +154,9 @@ def _redact(dfa: Dfa, rules: tuple[Rule, ...], mark: str) -> Callable[[Iterator[
     scan = _scan(dfa, rules)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
-                spans = next(scan(iter([part]))).column("spans").to_pylist()
-                texts = [t if not s else masked(t, s, mark) for t, s in zip(part.column("text").to_pylist(), spans, strict=True)]
-                yield part.set_column(part.schema.names.index("text"), "text", pa.array(texts, pa.string()))
+        for part, spans in scan(batches):
+            texts = [t if not s else masked(t, s, mark) for t, s in zip(part.column("text").to_pylist(), spans, strict=True)]
+            yield part.set_column(part.schema.names.index("text"), "text", pa.array(texts, pa.string()))
 
     return run
 
@@ -148,5 +172,8 @@ def masked(text: str, spans: list[dict], mark: str) -> str:
 
 
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
-    """The same rows with every secret replaced by a mark; all columns stay, null texts stay null."""
-    return docs.mapInArrow(_redact(automaton(rules), rules, mark), docs.schema)
+    """The same rows with every secret replaced by a mark; see :func:`find_secrets` for long and repeated texts.
+
+    All columns stay, whatever their names; null texts stay null, and an empty table stays empty.
+    """
+    return map_texts(docs, _redact(automaton(rules), rules, mark))
