@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.llm.automata import Dfa, Nfa, determinise
-from dockflow.llm.common import column_text, settle, slices
+from dockflow.llm.common import column_text, map_texts, settle, slices
 
 _TERM = r"[\p{L}\p{M}]+"
 _MASKS = "0123456789@$!*#%+|€£¡"
-_QUOTES = "\"'“”„«»‘’‚‹›「」『』"
+# Families of quotation marks; which one opens and which one closes shows in the characters around it.
+_QUOTES = ('"', "'‘’‚", "“”„", "«»", "‹›", "「」", "『』")
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -203,12 +204,14 @@ def lexicon_automaton(terms: Sequence[str], shortest_fuzzy: int = 5, spread: boo
 
 
 def _table(kind: str) -> np.ndarray:
-    """Per code point, whether it is part of a word, a quotation mark, or a digit or sign that may mask a letter."""
+    """Per code point, whether it is part of a word, its family of quotation marks, or whether it may mask a letter."""
     if kind not in _tables:
         n = 0x110000
         out = np.zeros(n, bool)
         if kind == "quote":
-            out[[ord(c) for c in _QUOTES]] = True
+            out = np.zeros(n, np.int8)
+            for family, marks in enumerate(_QUOTES, 1):
+                out[[ord(c) for c in marks]] = family
         elif kind == "mask":
             out[[ord(c) for c in _MASKS]] = True
         else:
@@ -223,8 +226,8 @@ def occurrences(texts: Sequence[str], dfa: Dfa, symbols: np.ndarray, window: int
     """Row, tag and quotation flag of every word that the automaton accepts.
 
     A word is a run of letters; two runs with one digit or sign between them, and nothing else, are also read as one
-    word, as are more runs joined that way. A word is quoted when quotation marks stand within ``window`` words on
-    both of its sides.
+    word, as are more runs joined that way. A word is quoted when the nearest quotation mark on its left opens, the
+    nearest on its right closes, both are of one family, and both stand within ``window`` words.
     """
     lowered = [t.lower() for t in texts]
     points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -246,12 +249,35 @@ def occurrences(texts: Sequence[str], dfa: Dfa, symbols: np.ndarray, window: int
     at = np.flatnonzero(tags)
     head, tail = head[at], tail[at]
     rows = np.searchsorted(ends, starts[head], "right")
-    quotes = np.concatenate([[0], np.cumsum(_table("quote")[points])])
     row_start = np.concatenate([[0], ends[:-1]])[rows]
-    lead = np.maximum(starts[np.maximum(head - window, 0)], row_start)
-    trail = np.minimum(stops[np.minimum(tail + window, len(stops) - 1)], ends[rows] - 1)
-    quoted = (quotes[starts[head]] > quotes[lead]) & (quotes[trail] > quotes[stops[tail]])
-    return rows, tags[at], quoted
+    lead = np.maximum(np.where(head >= window, stops[np.maximum(head - window, 0)], 0), row_start)
+    trail = np.minimum(np.where(tail + window < len(starts), starts[np.minimum(tail + window, len(starts) - 1)], len(points)), ends[rows] - 1)
+    return rows, tags[at], _quoted(points, inside, starts[head], stops[tail], lead, trail)
+
+
+def _quoted(points: np.ndarray, inside: np.ndarray, starts: np.ndarray, stops: np.ndarray, lead: np.ndarray, trail: np.ndarray) -> np.ndarray:
+    """Whether ``lead``..``starts`` ends inside a quotation that ``stops``..``trail`` closes.
+
+    A mark opens when something other than a space follows it, or its shape says so, and no letter or digit comes
+    before it, and closes the other way round; a mark between letters, as in a contraction, does neither.
+    """
+    family = _table("quote")[points]
+    marks = np.flatnonzero(family)
+    solid = points > 32
+    wordlike = inside | (points >= 48) & (points <= 57)
+    around = lambda flags: (np.concatenate([[False], flags])[marks], np.concatenate([flags, [False]])[marks + 1])
+    (before, after), (word_before, word_after) = around(solid), around(wordlike)
+    left_hand, right_hand = (np.isin(points[marks], [ord(c) for c in hand]) for hand in ("«‹「『“„", "»›」』”"))
+    opens, closes = (after | left_hand) & ~word_before, (before | right_hand) & ~word_after
+    both = opens | closes
+    marks, opens, closes = marks[both], opens[both], closes[both]
+    if len(marks) == 0:
+        return np.zeros(len(starts), bool)
+    left, right = np.searchsorted(marks, starts) - 1, np.searchsorted(marks, stops)
+    there = (left >= 0) & (right < len(marks))
+    left, right = np.maximum(left, 0), np.minimum(right, len(marks) - 1)
+    near = (marks[left] >= lead) & (marks[right] < trail)
+    return there & near & opens[left] & closes[right] & (family[marks[left]] == family[marks[right]])
 
 
 def _scored(model: Model, dfa: Dfa, meanings: list[tuple[int, int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, np.ndarray]]]:
@@ -294,14 +320,18 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows whose text scores below the threshold, with all their columns. Texts do not move."""
+    """The rows whose text scores below the threshold, with all their columns. Texts do not move.
+
+    Null, empty, long and repeated texts score as in :func:`toxicity_scores`; a row without any term stays. An empty
+    table stays empty, and columns may have any name.
+    """
     scored = _scored(model, *lexicon_automaton(model.terms, model.shortest_fuzzy, spread=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, score in scored(batches):
             yield part.filter(pa.array(score < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_texts(docs, run)
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, most: int = 20000) -> Model:
