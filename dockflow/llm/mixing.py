@@ -109,9 +109,10 @@ def _small(table: DataFrame, most: int = 100_000) -> bool:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, whole, as often as it takes them (``copies``). Columns are those of ``docs``.
 
-    Rows that repeat an id share the highest count among them.
+    Rows that repeat an id share the highest count among them. Null texts and texts without words are not taken, an
+    empty table gives an empty result, and columns may have any name.
     """
-    counts = mix(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("_times"))
-    keyed = counts.withColumnRenamed("doc_id", "_doc_id")
-    joined = docs.join(keyed, docs.doc_id.eqNullSafe(keyed["_doc_id"])).filter("_times > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*(docs[c] for c in docs.columns))
+    counts = mix(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("times"))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"))
+    joined = packed.join(counts, F.col("kept.doc_id").eqNullSafe(counts["doc_id"])).filter("times > 0")
+    return joined.select("kept", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("kept.*")

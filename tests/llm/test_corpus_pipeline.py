@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+from functools import partial
 
 import numpy as np
 import public_tokenizers
@@ -84,7 +85,8 @@ def test_pipeline_against_brute_force(spark, folder):
         times = (2 * taken[k] + size[k]) // (2 * size[k]) if size[k] else 0
         if times:
             want[i, len(ids), np.array(ids, "<u4").tobytes(), hashlib.sha256((t or "").encode()).hexdigest()] += times
-    got = corpus_pipeline.run(spark, path).collect()
+    stages = [(n, partial(f, width=3, percent=90) if f is corpus_pipeline.near_duplicates else f) for n, f in corpus_pipeline.STAGES]
+    got = corpus_pipeline.run(spark, path, stages).collect()
     assert collections.Counter((r[0], r[1], bytes(r[2]), r[3]) for r in got) == want
     kept = {r[0] for r in rows}
     assert not any(toxic and i in kept for i, _, toxic in labels)
@@ -110,3 +112,91 @@ def test_repeated_and_unnamed_rows(spark, folder):
     assert kept == sorted([(1, text), (0, text), (0, ""), (5, "short")])
     assert [r["text"] for r in corpus_pipeline.secrets(spark, docs.filter("text is null"), path).collect()] == [None]
     assert secrets.BASE == ("assign", "access", "hex")
+
+
+def near_by_hand(rows, width=5, least=80):
+    """What stays of (doc_id, text) rows: the smallest id of each group; ids and texts decide, as a set of both."""
+    sets = []
+    for _, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        runs = {tuple(words[k : k + width]) for k in range(len(words) - width + 1)} or ({tuple(words)} if words else set())
+        sets.append(runs)
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    kept = {}
+    for i, (doc, text) in enumerate(rows):
+        if doc is not None:
+            key = group[i] if sets[i] else ("alone", doc, text)
+            kept[key] = min(kept.get(key, (doc, text or "", i)), (doc, text or "", i))
+    return sorted([(d, rows[i][1]) for d, _, i in kept.values()] + [r for r in rows if r[0] is None], key=str)
+
+
+def test_near_duplicates_at_five_words_and_four_fifths(spark, folder):
+    rng = random.Random(4)
+    rows = []
+    for k in range(60):
+        words = prose(700 + k // 5, rng.choice([6, 30, 120])).split()
+        for _ in range(rng.randrange(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(["edit", "other", "more"])
+        rows.append((k, " ".join(words)))
+    rows += [(3, prose(1, 50)), (5, prose(1, 50)), (5, prose(2, 50)), (5, prose(2, 50)), (70, ""), (70, ""), (70, None), (71, "Two words"), (72, "two WORDS"), (None, prose(2, 50))]
+    path = folder([(i, t, "s") for i, t in rows], [(1, 1, 0)])
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    got = sorted([(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, path).collect()], key=str)
+    assert got == near_by_hand(rows)
+    assert (3, prose(1, 50)) in got
+    assert got.count((5, prose(2, 50))) == 1
+    assert len(got) < len(rows) - 5
+
+
+CLASHES = (
+    "spans", "_version", "_times", "_copy", "_doc_id", "times", "kept", "own", "id", "place", "first", "component_id", "n_shingles", "copies", "size",
+    "source_size", "target", "taken", "rank", "node", "root", "score", "label", "held_out", "ids", "n_tokens", "decoded", "row", "base", "hits",
+)
+
+
+def test_stages_pass_columns_of_any_name(spark, folder):
+    from pyspark.sql import functions as F
+
+    rows, labels = corpus()
+    path = folder(rows[:40], labels)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    wide = docs.withColumns({c: F.lit("text of its own") for c in CLASHES}).withColumn("a.b", F.lit(1)).withColumn("pairs", F.create_map(F.lit(1), F.lit(2)))
+    for name, stage in corpus_pipeline.STAGES:
+        got, plain = stage(spark, wide, path), stage(spark, docs, path)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert got.columns == wide.columns
+            assert {r["spans"] for r in got.collect()} == {"text of its own"}
+        assert sorted(map(str, got.select(plain.columns).collect())) == sorted(map(str, plain.collect())), name
+
+
+def test_apostrophes_do_not_quote(spark):
+    model = toxicity.Model(("moron",), (1.0,), (0.5,))
+    texts = {
+        "you're a moron and i don't care": False, "the dogs' owner is a moron, isn't he": False, 'he said "you moron"': True, "‘moron’ he said": True,
+        'a "b" moron "c"': False, "« quel moron » dit-il": True, "“you moron": False, "„du moron“": True, "'you' are a moron 'here'": False,
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    scores = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, model).collect()}
+    assert {t: scores[i] < 0.5 for i, t in enumerate(texts)} == texts
+
+
+def test_secrets_of_long_texts_in_proportional_time():
+    import time
+
+    import pyarrow as pa
+
+    scan = secrets._scan(secrets.automaton(), secrets.RULES)
+
+    def took(text):
+        start = time.perf_counter()
+        found = [len(s) for _, spans in scan(iter([pa.record_batch([pa.array([text])], names=["text"])])) for s in spans]
+        return time.perf_counter() - start, found
+
+    assert took("é key password = 'abcdefgh12' so. " * 40_000)[1] == [40_000]
+    assert took("é key password = 'abcdefgh12' so. " * 40_000)[0] < 2
+    assert took("Ab3/" * 400_000)[0] < 2

@@ -164,6 +164,7 @@ def test_sanitised_keeps_rows_and_columns(documents):
     docs = documents(rows)
     for name in names:
         docs = docs.withColumn(name, F.lit("other"))
+    docs = docs.withColumn("a.b", F.lit(1))
     out = sanitised(docs, Disclosure(contexts=3))
     assert out.columns == docs.columns
     texts = sorted((r.doc_id is None, r.doc_id or 0, str(r.text)) for r in out.collect())
