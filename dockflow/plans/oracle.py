@@ -657,6 +657,8 @@ SELECT 2 * count(*) AS total_rows, count(DISTINCT (station, date_trunc('second',
 ORACLE["silver_station"] = ORACLE["silver_hourly"] + " AND station = 3"
 ORACLE["csv_union"] = ORACLE["csv_round_trip"]
 ORACLE["stream_dedup_batches"] = ORACLE["stream_dedup"]
+ORACLE["stream_silver"] = ORACLE["silver_hourly"]
+ORACLE["ingest_twice"] = ORACLE["csv_round_trip"]
 ORACLE["stream_counts"] = f"""
 {_with(STATUS)}
 SELECT CAST(0 AS INTEGER) AS batch, count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows FROM status"""

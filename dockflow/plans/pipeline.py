@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from dockflow.functions.timeparts import epoch_to_ts, hour_of
 from dockflow.operators import evaluation, explore, flows, forecast, inventory, quality, registry
 from dockflow.operators.series import forward_fill
+from dockflow.sources.ingest import ingest_new_files, read_ingested
 from dockflow.sources.readers import clean_names, read_table, read_trips_csv, read_weather_csv, union_sources, unreadable_cells
-from dockflow.sources.writers import balance, cluster_by, ensure_database, publish
+from dockflow.sources.writers import balance, cluster_by, ensure_database, publish, register
 from dockflow.spec import DEFAULT_CAPACITY, TRIPS_RAW, WEATHER_RAW, TripSpec
 from dockflow.streaming.streams import status_events, weather_events
 
@@ -27,7 +28,8 @@ class PipelineConfig:
     """Where the inputs and tables are and what to run.
 
     ``station_info`` is a table of station_id, station_name and capacity; ``stations`` names stations without one.
-    ``extras`` keeps columns of the raw files that the contract does not know.
+    ``extras`` keeps columns of the raw files that the contract does not know. With ``incremental`` a run reads only raw
+    files that came since the last one, and silver is rebuilt for the days they touch.
     """
 
     trips_csv: str
@@ -50,7 +52,8 @@ class PipelineConfig:
     promote: bool = False
     stations: Mapping[str, str] = field(default_factory=dict)
     station_info: str | None = None
-    extras: bool = False
+    extras: bool = True
+    incremental: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.base.rstrip('/')}/{table}"
@@ -91,15 +94,50 @@ def run_bronze(spark: SparkSession, config: PipelineConfig) -> None:
     _save(union_sources([*cells, left]).select("source", "column", "rows", "unreadable", "left_out"), config, "ingest_report")
 
 
-def run_silver(spark: SparkSession, config: PipelineConfig) -> None:
-    """Hourly flows with weather, a folder per day. A configured period limits what is read and what is replaced."""
+def run_ingest(spark: SparkSession, config: PipelineConfig) -> list:
+    """Raw files that came since the last run to the bronze tables; returns the days that their rows touch.
+
+    Trips are appended, each batch in its folder. Weather is appended likewise and made unique by time from there, which
+    is small work. ``ingest_log`` lists the batches of this run.
+    """
+    sources = {"trips": (config.trips_csv, TRIPS_RAW, "bronze_trips"), "weather": (config.weather_csv, WEATHER_RAW, "ingested_weather")}
+    batches = {}
+    for source, (path, contract, name) in sources.items():
+        ledger = config.path(f"_ledger/{source}")
+        batches[source] = ingest_new_files(spark, path, config.path(name), ledger, contract, config.extras)
+        if batches[source]:
+            register(spark, config.path(name), config.name(name), "parquet", ["batch"])
+    log = [(source, b["batch"], b["files"], b["bytes"]) for source, found in batches.items() for b in found]
+    _save(spark.createDataFrame(log, "source string, batch long, files long, bytes long"), config, "ingest_log")
+    days = []
+    if batches["trips"]:
+        new = read_ingested(spark, config.path("bronze_trips"), [b["batch"] for b in batches["trips"]])
+        days += [new.select(F.to_date(c).alias("day")) for c in ("started_at", "ended_at")]
+    if batches["weather"]:
+        whole = epoch_to_ts(clean_names(read_ingested(spark, config.path("ingested_weather"))), "dt").where(F.col("dt").isNotNull())
+        _save(cluster_by(quality.dedup(whole, ["dt"]), "dt"), config, "bronze_weather")
+        new = read_ingested(spark, config.path("ingested_weather"), [b["batch"] for b in batches["weather"]])
+        days.append(epoch_to_ts(new.select("dt"), "dt").select(F.to_date("dt").alias("day")))
+    return [r.day for r in union_sources(days).where("day is not null").distinct().collect()] if days else []
+
+
+def run_silver(spark: SparkSession, config: PipelineConfig, days: Sequence[date] | None = None) -> None:
+    """Hourly flows with weather, a folder per day. A configured period limits what is read and what is replaced.
+
+    So do ``days``, where they are given: only their folders are rebuilt, from all trips that touch them.
+    """
     period = (config.start, config.end)
     trips = flows.touching_period(read_table(spark, config.path("bronze_trips"), config.fmt), *period)
+    if days is not None:
+        spec = TripSpec()
+        trips = trips.where(F.to_date(spec.started_at).isin(list(days)) | F.to_date(spec.ended_at).isin(list(days)))
     weather = flows.in_period(read_table(spark, config.path("bronze_weather"), config.fmt), "dt", *period)
     means = _save(flows.weather_by_hour(weather), config, "weather_hours")
     silver = flows.in_period(flows.silver_from_hourly(trips, means), "start_date_column", *period)
     day = ["start_date_column"]
-    _save(balance(silver, by=day), config, "silver_weather_trip", day, parts=any(period))
+    if days is not None:
+        silver = silver.where(F.col("start_date_column").isin(list(days)))
+    _save(balance(silver, by=day), config, "silver_weather_trip", day, parts=any(period) or days is not None)
 
 
 def run_explore(spark: SparkSession, config: PipelineConfig, station: str | None = None) -> dict[str, DataFrame]:
@@ -275,5 +313,10 @@ def _hourly_state(status: DataFrame, weather: DataFrame, config: PipelineConfig)
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> None:
     """All stages in order; a failure in one stops the run."""
     ensure_database(spark, config.database)
-    for stage in (run_bronze, run_silver, save_explore, run_train, run_app):
+    if config.incremental:
+        run_silver(spark, config, run_ingest(spark, config))
+    else:
+        run_bronze(spark, config)
+        run_silver(spark, config)
+    for stage in (save_explore, run_train, run_app):
         stage(spark, config)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.functions import calendar as cal
@@ -15,9 +15,9 @@ from dockflow.functions.timeparts import epoch_to_text, epoch_to_ts, with_durati
 from dockflow.operators import asof, evaluation, explore, flows, forecast, inventory, quality, registry, series
 from dockflow.plans import bindings as b
 from dockflow.session import scratch_path
-from dockflow.sources import readers, writers
+from dockflow.sources import ingest, readers, writers
 from dockflow.spec import TRIPS_RAW
-from dockflow.streaming import streams
+from dockflow.streaming import silver, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -908,6 +908,43 @@ def stream_counts(spark, sf):
     )
 
 
+def _arrival(ts: str, key: str) -> Column:
+    """Which of five deliveries a row comes with: that of its week, or for every seventh row the one after."""
+    return F.least(F.floor((F.dayofmonth(ts) - 1) / 8), F.lit(3)) + F.when(F.col(key) % 7 == 3, 1).otherwise(0)
+
+
+@query()
+def stream_silver(spark, sf):
+    """Silver from five deliveries of trips and weather, a seventh of each late, worked off as they come."""
+    trips_in, weather_in = (scratch_path(spark, f"silver-{part}") for part in ("trips", "weather"))
+    log, table, check = silver.work_folders(spark)
+    at = F.coalesce("started_at", "ended_at")
+    trips = b.event_trips(spark, sf).withColumn("at", at).withColumn("delivery", _arrival("at", "ride_id")).drop("at")
+    weather = b.weather(spark, sf).withColumn("delivery", _arrival("dt", "pressure"))
+    station = trips.schema["start_station_name"].dataType.simpleString()
+    for number in range(5):
+        for rows, path in ((trips, trips_in), (weather, weather_in)):
+            writers.write_table(rows.where(F.col("delivery") == number).drop("delivery"), path, mode="append")
+        sources = [readers.stream_table(spark, path, rows.drop("delivery").schema) for rows, path in ((trips, trips_in), (weather, weather_in))]
+        silver.stream_silver(*sources, log, table, check, delay="24 days", station=station).awaitTermination()
+    return silver.read_silver(spark, table)
+
+
+@query()
+def ingest_twice(spark, sf):
+    """Trips in two deliveries of files with different headers; the second run reads the new files only."""
+    src, dst, check = (scratch_path(spark, f"ingest-{part}") for part in ("in", "out", "check"))
+    trips = b.event_trips(spark, sf)
+    columns = ["ride_id", "start_station_name", "end_station_name", "started_at", "ended_at"]
+    first = trips.where("ride_id % 3 = 0").select([F.col(c).cast("string") for c in columns])
+    second = trips.where("ride_id % 3 != 0").select([F.col(c).cast("string") for c in reversed(columns)])
+    contract = {c: TRIPS_RAW[c] for c in columns}
+    for part in (first, second):
+        writers.write_table(part, src, "csv", "append", header=True)
+        ingest.ingest_new_files(spark, src, dst, check, contract)
+    return ingest.read_ingested(spark, dst)
+
+
 @query()
 def managed_table(spark, sf):
     """A table that the catalog owns, in a database of its own, replaced once and read by name."""

@@ -22,10 +22,11 @@ def _typed(name: str, type_name: str) -> Column:
     return F.col(_quoted(name)).try_cast(type_name)
 
 
-def to_contract(df: DataFrame, contract: dict[str, str], extras: bool = False) -> DataFrame:
+def to_contract(df: DataFrame, contract: dict[str, str], extras: bool = True) -> DataFrame:
     """Pick and type the contract's columns by name.
 
-    A contract column the input lacks comes out null; a column the contract lacks is dropped unless ``extras``.
+    A contract column the input lacks comes out null; a column the contract lacks is kept as it is, unless ``extras``
+    is off.
     """
     have = set(df.columns)
     picked = [
@@ -49,8 +50,8 @@ def _text_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reader.option("enforceSchema", False).schema(schema).csv(paths)
 
 
-def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """The files under a path, grouped by their header line, in one job over all of them.
+def _by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The files under some paths, grouped by their header line, in one job over all of them.
 
     Each task reads its file's first bytes only as far as Spark splits them; what reaches the driver is one list of
     paths per layout.
@@ -68,7 +69,7 @@ def unreadable_cells(spark: SparkSession, path: str | list[str], contract: dict[
     Such cells come out null in the typed table; this says how many there are, in one pass over the text.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    groups = [g for p in paths for g in _by_header(spark, p)] if mixed_headers else [paths]
+    groups = _by_header(spark, paths) if mixed_headers else [paths]
     text = union_sources([_text_csv(spark, g) for g in groups]) if groups else empty(spark, ", ".join(f"{_quoted(n)} string" for n in contract))
     have = [n for n in contract if n in text.columns]
     bad = [F.count_if(F.col(_quoted(n)).isNotNull() & _typed(n, contract[n]).isNull()).alias(f"c{i}") for i, n in enumerate(have)]
@@ -82,7 +83,7 @@ def read_csv_contract(
     path: str | list[str],
     contract: dict[str, str],
     mixed_headers: bool = False,
-    extras: bool = False,
+    extras: bool = True,
 ) -> DataFrame:
     """Headered delimited files as one typed table.
 
@@ -91,7 +92,7 @@ def read_csv_contract(
     whose files changed layout over time, not the default.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    groups = [g for p in paths for g in _by_header(spark, p)] if mixed_headers else [paths]
+    groups = _by_header(spark, paths) if mixed_headers else [paths]
     if not groups:
         return empty(spark, ", ".join(f"{_quoted(n)} {t}" for n, t in contract.items()))
     return union_sources([to_contract(_text_csv(spark, g), contract, extras) for g in groups])

@@ -53,6 +53,11 @@ def publish(df: DataFrame, path: str, name: str, fmt: str = "parquet", by: Seque
     """
     spark = df.sparkSession
     write_table(df, path, fmt, by=by, **({"partitionOverwriteMode": "dynamic"} if parts else {}))
+    register(spark, path, name, fmt, by)
+
+
+def register(spark: SparkSession, path: str, name: str, fmt: str = "parquet", by: Sequence[str] = ()) -> None:
+    """Name a table over files that are there, replacing an entry of that name; ``by`` are its folder columns."""
     drop_table(spark, name)
     spark.catalog.createTable(name, path=path, source=fmt)
     if by:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -25,11 +26,15 @@ def weather_events(raw: DataFrame) -> DataFrame:
     return epoch_to_ts(clean_names(raw), "dt")
 
 
-def feed_schema(spark: SparkSession, src: str, contract: str, fmt: str = "parquet") -> StructType:
-    """The contract's columns and all others that the feed's table has now."""
-    fields = StructType.fromDDL(contract).fields
+def feed_schema(spark: SparkSession, src: str, contract: str | StructType, fmt: str = "parquet") -> StructType:
+    """The contract's columns and all others that the feed's table has now; just the contract's while it has no files."""
+    fields = StructType.fromDDL(contract).fields if isinstance(contract, str) else contract.fields
     known = {f.name for f in fields}
-    return StructType([*fields, *(f for f in spark.read.format(fmt).load(src).schema.fields if f.name not in known)])
+    try:
+        found = spark.read.format(fmt).load(src).schema.fields
+    except AnalysisException:
+        found = []
+    return StructType([*fields, *(f for f in found if f.name not in known)])
 
 
 def drop_repeats(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
@@ -65,11 +70,12 @@ def stream_status(
     schema=STATUS_RAW,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
-    extras: bool = False,
+    extras: bool = True,
 ) -> StreamingQuery:
     """Station status from a growing table to an append table, optionally without repeated reports.
 
-    With ``extras`` columns of the feed that the contract does not know are kept; the source must hold a file then.
+    Columns of the feed that the contract does not know are kept, as far as the source's files have them when the stream
+    starts, unless ``extras`` is off.
     """
     schema = feed_schema(spark, src, schema, fmt) if extras else schema
     rows = status_events(stream_table(spark, src, schema, fmt, files_per_batch))
@@ -88,7 +94,7 @@ def stream_weather(
     schema=LIVE_WEATHER_RAW,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
-    extras: bool = False,
+    extras: bool = True,
 ) -> StreamingQuery:
     """Live weather, likewise."""
     schema = feed_schema(spark, src, schema, fmt) if extras else schema
