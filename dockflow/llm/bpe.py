@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from dockflow.llm.common import column_text, slices
 
 _SEGMENT = re.compile(r"(?<=\S)(?= )")
-_KEPT = 600_000
+_KEPT = 300_000
 _LONGEST_KEPT = 64
 _HASH = xxhash.xxh3_64_intdigest
 
