@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.operators.series import exact_percentiles
+from dockflow.operators.series import exact_percentiles, sketch_columns
+from dockflow.sources.writers import settle
 
 METRICS = ["mse", "rmse", "mae", "mdape", "coverage"]
 
@@ -16,8 +17,8 @@ def forecast_metrics(df: DataFrame, by: Sequence[str] = (), metrics: Sequence[st
     """Errors of ``yhat`` against ``y``, and the share of ``y`` inside ``yhat_lower``..``yhat_upper``.
 
     Means come from partial sums. The median relative error is exact and found without bringing a group together;
-    rows with ``y = 0`` have no relative error. The rows are read once for the means and once for the median, so
-    predictions that are costly to make are better written first, and the median left out where it is not wanted.
+    rows with ``y = 0`` have no relative error. The rows are read twice: once for the means and a sketch of the relative
+    errors, and once to count the few errors that the sketch leaves open.
     """
     by = list(by)
     error = F.col("yhat") - F.col("y")
@@ -28,11 +29,14 @@ def forecast_metrics(df: DataFrame, by: Sequence[str] = (), metrics: Sequence[st
         "mae": F.avg(F.abs(error)),
         "coverage": F.avg(inside.cast("double")),
     }
-    scores = df.groupBy(*by).agg(*[c.alias(name) for name, c in means.items()])
+    columns = [c.alias(name) for name, c in means.items()]
     if "mdape" not in metrics:
-        return scores.select(*by, *metrics)
+        return df.groupBy(*by).agg(*columns).select(*by, *metrics)
     relative = F.abs(F.try_divide(error.cast("double"), F.col("y").cast("double")))
-    median = exact_percentiles(df.select(*by, relative.alias("_ape")), by, "_ape", [0.5])
+    scores = settle(df.groupBy(*by).agg(*columns, *sketch_columns(relative)), "metric-sketches")
+    ape = df.select(*by, relative.alias("_ape"))
+    median = exact_percentiles(ape, by, "_ape", [0.5], sketches=scores.select(*by, "_rows", "_plain", "_sketch"))
+    scores = scores.drop("_rows", "_plain", "_sketch")
     median = median.withColumn("mdape", F.element_at("percentiles", 1)).drop("percentiles")
     # One row per group on either side: a union and an aggregate bring them together, null groups included.
     both = scores.unionByName(median, allowMissingColumns=True)
@@ -97,6 +101,54 @@ def residual_histogram(
     return df.where(value.isNotNull()).groupBy(*by, spot.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
 
 
+#: Chance that a Poisson variable of mean 1 is at most 0, 1, 2, ..., in units of 1/65536.
+_POISSON = (24109, 48219, 60273, 64292, 65296, 65497, 65531, 65535)
+
+
+def bootstrap_weights(keys: Sequence[Column], replicates: int) -> Column:
+    """An array of Poisson weights of mean 1, one per replicate, from the MD5 of a row's keys: the same in every run."""
+    name = F.concat_ws("|", *[k.cast("string") for k in keys])
+    digests = [F.md5(F.concat(name, F.lit(f"|{n}"))) for n in range(-(-replicates // 8))]
+    spots = [F.conv(F.substring(digests[r // 8], 4 * (r % 8) + 1, 4), 16, 10).cast("int") for r in range(replicates)]
+    return F.array(*[sum((F.when(s >= edge, 1).otherwise(0) for edge in _POISSON), F.lit(0)) for s in spots])
+
+
+def stage_difference(
+    gold: DataFrame,
+    by: Sequence[str] = (),
+    on: Sequence[str] = ("station", "ds"),
+    stages: tuple[str, str] = ("Staging", "Production"),
+    replicates: int = 64,
+    level: float = 0.9,
+) -> DataFrame:
+    """How much the mean absolute residual of one stage differs from the other's, with a bootstrap interval.
+
+    The stages are paired at the same ``on``; times that only one of them has, or whose residual is null, are left out.
+    ``better`` is the share of replicates in which the first stage has the smaller error. Each replicate weighs every
+    pair by a hashed Poisson number, so all of them come from one aggregate and no pair is copied. Rows of one stage
+    and time that repeat are averaged. Ends of the interval are the replicates nearest below and above its ranks.
+    """
+    by, on = list(by), list(on)
+    size = [F.avg(F.when(F.col("stage") == s, F.abs(F.col("residual").cast("double")))).alias(f"_{i}") for i, s in enumerate(stages)]
+    pairs = gold.groupBy(*dict.fromkeys([*by, *on])).agg(*size).where(F.col("_0").isNotNull() & F.col("_1").isNotNull())
+    moment = lambda c: F.unix_timestamp(F.col(c).cast("timestamp")) if dict(gold.dtypes)[c].startswith("timestamp") else F.col(c)
+    weighed = pairs.select(*by, (F.col("_0") - F.col("_1")).alias("_d"), bootstrap_weights([moment(c) for c in on], replicates).alias("_w"))
+    drawn = [F.try_divide(F.sum(F.get("_w", F.lit(r)) * F.col("_d")), F.sum(F.get("_w", F.lit(r)))) for r in range(replicates)]
+    found = weighed.groupBy(*by).agg(F.count(F.lit(1)).alias("pairs"), F.avg("_d").alias("difference"), F.array(*drawn).alias("_draws"))
+    # a replicate that gives no pair any weight, as happens with very few pairs, draws nothing
+    found = found.where("pairs > 0").withColumn("_draws", F.array_sort(F.filter("_draws", lambda x: x.isNotNull())))
+    last, tail = F.size("_draws") - 1, (1 - level) / 2
+    smaller = F.size(F.filter("_draws", lambda x: x < 0)).cast("double")
+    return found.select(
+        *by,
+        "pairs",
+        "difference",
+        F.get("_draws", F.floor(last * tail).cast("int")).alias("low"),
+        F.get("_draws", F.ceil(last * (1 - tail)).cast("int")).alias("high"),
+        F.try_divide(smaller, F.size("_draws").cast("double")).alias("better"),
+    )
+
+
 def compare_stages(gold: DataFrame, by: Sequence[str] = ("stage",)) -> DataFrame:
     """Size and trend of the residual of each model stage."""
     error = F.col("residual").cast("double")

@@ -123,62 +123,80 @@ def _slice_of(value: Column, grain: int) -> Column:
     )
 
 
+#: Items a sketch keeps at its widest; its rank error is then about 0.2 % of the rows.
+SKETCH_SIZE = 1600
+
+
+def sketch_columns(value: Column, k: int = SKETCH_SIZE) -> list[Column]:
+    """Aggregates from which :func:`exact_percentiles` starts: values, those that are numbers, and a KLL sketch of these.
+
+    They can stand beside other aggregates, so that one pass serves both. Sketches of parts, such as days, merge with
+    ``kll_merge_agg_double`` into that of the whole.
+    """
+    plain = F.when(~F.isnan(value), value)
+    return [F.count(value).alias("_rows"), F.count(plain).alias("_plain"), F.kll_sketch_agg_double(plain, k).alias("_sketch")]
+
+
+def _brackets(sketches: DataFrame, keys: Sequence[str], probabilities: Sequence[float], k: int, slack: float) -> DataFrame:
+    """For each probability the two ranks it lies between, and values that enclose them as far as a sketch can tell."""
+    error = slack * 2.3 / k**0.97
+    # ranks move by one row at most between all rows and the sketch's share, and by any number where there are NaNs
+    narrow = (F.col("_plain") == F.col("_rows")) & (F.col("_plain") * error > 4)
+    found = []
+    for p in probabilities:
+        spot = (F.col("_rows") - 1) * float(p)
+        at = lambda rank: F.kll_sketch_get_quantile_double("_sketch", F.lit(rank))
+        low, high = F.lit(float("-inf")), F.lit(float("nan"))
+        if p - error > 0:
+            low = F.when(narrow, at(p - error)).otherwise(low)
+        if p + error < 1:
+            high = F.when(narrow, at(p + error)).otherwise(high)
+        found.append(F.struct(F.floor(spot).cast("long").alias("first"), F.ceil(spot).cast("long").alias("last"), low.alias("low"), high.alias("high")))
+    return sketches.where("_rows > 0").select(*keys, "_rows", F.array(*found).alias("_wanted"))
+
+
 def exact_percentiles(
-    df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], grain: int = 4096
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    probabilities: Sequence[float],
+    grain: int = 4096,
+    sketches: DataFrame | None = None,
+    k: int = SKETCH_SIZE,
 ) -> DataFrame:
     """Exact, interpolated percentiles of each group, as an array column ``percentiles``.
 
-    The built-in exact ``percentile`` keeps every distinct value of a group in one task's memory. Here equal values
-    are counted together first, and the counts written; counts per narrow value slice then tell which slices hold the
-    wanted ranks, and only those slices are ordered. NaN and infinities count as values, in Spark's order. Groups
-    without a value have no row. A slice is ``1/grain`` wide relative to its values; raise ``grain`` for values that
-    are large against their spread, such as epochs.
+    The built-in exact ``percentile`` keeps every distinct value of a group in one task's memory. Here a first pass
+    makes a quantile sketch of each group, which says between which values a wanted rank lies; give ``sketches``, one
+    row per group with :func:`sketch_columns`, to spare it. A second pass counts what is below, and counts equal values
+    together only between: well under one percent of the rows are ordered and written, by narrow value slices if they
+    are still many. A rank that a sketch missed is looked for again between wider bounds, so results are exact.
+
+    NaN and infinities count as values, in Spark's order. Groups without a value have no row. A slice is ``1/grain``
+    wide relative to its values; raise ``grain`` for values that are large against their spread, such as epochs.
     """
     by = list(by)
     keys = by or ["_all"]
-    counts = (
-        df.select(*(by or [F.lit(0).alias("_all")]), F.col(value).cast("double").alias("_value"))
-        .where(F.col("_value").isNotNull())
-        .groupBy(*keys, "_value")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_slice", _slice_of(F.col("_value"), grain))
-    )
-    counts = settle(counts, "percentile-counts")
-    slices = counts.groupBy(*keys, "_slice").agg(F.sum("_copies").alias("_size"))
-    group = W.partitionBy(*keys)
-    slices = slices.withColumns(
-        {
-            "_upto": F.sum("_size").over(group.orderBy("_slice")),
-            "_rows": F.sum("_size").over(group),
-        }
-    )
-    spots = [(F.col("_rows") - 1) * float(p) for p in probabilities]
-    ranks = F.array_distinct(F.array(*[f(s).cast("long") for s in spots for f in (F.floor, F.ceil)]))
-    held = F.filter(ranks, lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("_size")))
-    wanted = (
-        slices.withColumn("_ranks", held)
-        .where(F.size("_ranks") > 0)
-        .select(
-            *[F.col(k).alias(f"_w_{k}") for k in [*keys, "_slice"]],
-            "_ranks",
-            "_rows",
-            (F.col("_upto") - F.col("_size")).alias("_skip"),
-        )
-    )
-    match = F.lit(True)
-    for k in [*keys, "_slice"]:
-        match = match & counts[k].eqNullSafe(wanted[f"_w_{k}"])
-    upto = F.sum("_copies").over(W.partitionBy(*keys, "_slice").orderBy("_value")) + F.col("_skip")
-    placed = counts.join(wanted, match).withColumn("_upto", upto)
-    hit = F.filter("_ranks", lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("_copies")))
-    found = (
-        placed.select(*keys, "_rows", "_value", F.explode(hit).alias("_rank"))
-        .groupBy(*keys)
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"),
-            F.max("_rows").alias("_rows"),
-        )
-    )
+    rows = df.select(*(by or [F.lit(0).alias("_all")]), F.col(value).cast("double").alias("_value")).where(F.col("_value").isNotNull())
+    if sketches is None:
+        sketches = rows.groupBy(*keys).agg(*sketch_columns(F.col("_value"), k))
+    elif not by:
+        sketches = sketches.withColumn("_all", F.lit(0))
+    sketches = settle(sketches.select(*keys, "_rows", "_plain", "_sketch"), "percentile-sketches")
+    parts, slack = [], 2.0
+    while True:
+        bounds = settle(_brackets(sketches, keys, probabilities, k, slack), "percentile-bounds")
+        found = settle(_ranked_values(rows, bounds, keys, grain), "percentile-ranks")
+        whole = F.size("_at") == F.size(F.array_distinct(F.flatten(F.transform("_wanted", lambda w: F.array(w["first"], w["last"])))))
+        parts.append(found.where(whole))
+        rest = found.where(~whole)
+        if rest.isEmpty():
+            break
+        match = _same(sketches, rest.select(*[F.col(c).alias(f"_w_{c}") for c in keys]), keys)
+        sketches, slack = sketches.join(rest.select(*[F.col(c).alias(f"_w_{c}") for c in keys]), match, "left_semi"), slack * 16
+    done = parts[0]
+    for more in parts[1:]:
+        done = done.unionAll(more)
 
     def interpolated(p: float):
         spot = (F.col("_rows") - 1) * float(p)
@@ -187,4 +205,52 @@ def exact_percentiles(
         part = spot - F.floor(spot)
         return F.when((part == 0) | (low == high), low).otherwise(low * (1 - part) + high * part)
 
-    return found.select(*by, F.array(*[interpolated(p) for p in probabilities]).alias("percentiles"))
+    return done.select(*by, F.array(*[interpolated(p) for p in probabilities]).alias("percentiles"))
+
+
+def _same(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> Column:
+    match = F.lit(True)
+    for c in keys:
+        match = match & rows[c].eqNullSafe(other[f"_w_{c}"])
+    return match
+
+
+def _ranked_values(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], grain: int) -> DataFrame:
+    """(keys, _rows, _wanted, _at): the values at the wanted ranks that lie between their bounds, by rank.
+
+    Every value is below, between or above the bounds of each probability. Those below are counted, those above left
+    out, and those between counted by value, in one aggregate whose partial sums take in what is below at once.
+    """
+    plain = bounds.select(*[F.col(c).alias(f"_w_{c}") for c in keys], F.col("_rows"), F.col("_wanted"))
+    near = rows.join(plain, _same(rows, plain, keys))
+    v = F.col("_value")
+    spots = F.transform(
+        "_wanted",
+        lambda w, i: F.when(v < w["low"], F.struct(i.alias("_spot"), F.lit(None).cast("double").alias("_value"))).when(
+            v <= w["high"], F.struct(i.alias("_spot"), v.alias("_value"))
+        ),
+    )
+    counts = near.select(*keys, F.explode(F.filter(spots, lambda x: x.isNotNull())).alias("_s")).select(*keys, "_s.*")
+    counts = settle(
+        counts.groupBy(*keys, "_spot", "_value").agg(F.count(F.lit(1)).alias("_copies")).withColumn("_slice", _slice_of(F.col("_value"), grain)),
+        "percentile-counts",
+    )
+    slices = counts.groupBy(*keys, "_spot", "_slice").agg(F.sum("_copies").alias("_size"))
+    upto = F.sum("_size").over(W.partitionBy(*keys, "_spot").orderBy(F.col("_slice").asc_nulls_first()))
+    slices = slices.withColumn("_upto", upto).where(F.col("_slice").isNotNull())
+    ranked = slices.join(plain, _same(slices, plain, keys)).withColumn("_w", F.get("_wanted", F.col("_spot")))
+    ranks = F.array_distinct(F.array("_w.first", "_w.last"))
+    held = F.filter(ranks, lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("_size")))
+    wanted = (
+        ranked.withColumn("_ranks", held)
+        .where(F.size("_ranks") > 0)
+        .select(*[F.col(c).alias(f"_w_{c}") for c in [*keys, "_spot", "_slice"]], "_ranks", (F.col("_upto") - F.col("_size")).alias("_skip"))
+    )
+    inside = F.sum("_copies").over(W.partitionBy(*keys, "_spot", "_slice").orderBy("_value")) + F.col("_skip")
+    placed = counts.join(wanted, _same(counts, wanted, [*keys, "_spot", "_slice"])).withColumn("_upto", inside)
+    hit = F.filter("_ranks", lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("_copies")))
+    hits = placed.select(*keys, F.explode(hit).alias("_rank"), "_value").distinct()
+    at = hits.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"))
+    nothing = F.map_from_arrays(F.array().cast("array<bigint>"), F.array().cast("array<double>"))
+    whole = plain.join(at, _same(at, plain, keys), "left").withColumn("_at", F.coalesce("_at", nothing))
+    return whole.select(*[F.col(f"_w_{c}").alias(c) for c in keys], "_rows", "_wanted", "_at")

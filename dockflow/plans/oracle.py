@@ -715,6 +715,40 @@ ORACLE["asof_stock"] = f"""
 SELECT event_id AS ride_id, user_id % 10 AS start_station_name, ts AS started_at,
        r.last_reported AS seen_last_reported, r.num_bikes_available AS seen_num_bikes_available
 FROM events e ASOF LEFT JOIN reports r ON e.user_id % 10 = r.station AND e.ts >= r.last_reported"""
+_BOUNDED = f"""WITH RECURSIVE {_with(FITTED).lstrip()[5:]}, numbered AS (
+  SELECT station, ds, yhat * 3 AS yhat, CAST(round_even(yhat * 3, 0) AS BIGINT) AS change,
+         row_number() OVER (PARTITION BY station ORDER BY ds) AS place FROM fitted),
+steps AS (
+  SELECT station, CAST(0 AS BIGINT) AS place, CAST(NULL AS TIMESTAMP) AS ds, CAST(NULL AS DOUBLE) AS yhat,
+         CAST(50 AS BIGINT) AS bikes, CAST(50 AS BIGINT) AS wish FROM (SELECT DISTINCT station FROM numbered)
+  UNION ALL
+  SELECT n.station, n.place, n.ds, n.yhat, least(greatest(s.bikes + n.change, 0), 53), s.bikes + n.change
+  FROM steps s JOIN numbered n ON n.station = s.station AND n.place = s.place + 1)"""
+ORACLE["bounded_inventory"] = f"""
+{_BOUNDED}
+SELECT station, ds, round(yhat, 6) + 0.0 AS yhat, bikes AS num_bikes_available, greatest(-wish, 0) AS lost_departures,
+       greatest(wish - 53, 0) AS lost_arrivals, {STOCK_MESSAGE.replace("105", "53")} AS status_message, bikes >= 53 AS is_full
+FROM steps WHERE place > 0"""
+ORACLE["stage_difference"] = f"""
+{_with(GOLD)}, pairs AS (
+  SELECT station, epoch(ds) AS sec, avg(abs(bikes - seen)) FILTER (stage = 'Staging')
+         - avg(abs(bikes - seen)) FILTER (stage = 'Production') AS d FROM gold GROUP BY station, ds),
+digests AS (
+  SELECT station, d, n, md5(station || '|' || CAST(CAST(sec AS BIGINT) AS VARCHAR) || '|' || n) AS m
+  FROM pairs CROSS JOIN range(8) r(n) WHERE d IS NOT NULL),
+spots AS (
+  SELECT station, d, n * 8 + k AS r, CAST('0x' || substr(m, CAST(4 * k + 1 AS BIGINT), 4) AS INTEGER) AS s
+  FROM digests CROSS JOIN range(8) r(k)),
+weights AS (
+  SELECT station, d, r, len(list_filter([24109, 48219, 60273, 64292, 65296, 65497, 65531, 65535], lambda e: s >= e)) AS w FROM spots),
+draws AS (SELECT station, r, sum(w * d) / sum(w) AS v FROM weights GROUP BY 1, 2 HAVING sum(w) > 0),
+listed AS (SELECT station, list_sort(list(v)) AS vs FROM draws GROUP BY 1),
+means AS (SELECT station, count(*) AS pairs, avg(d) AS difference FROM pairs WHERE d IS NOT NULL GROUP BY 1)
+SELECT station, pairs, round(difference, 6) + 0.0 AS difference,
+       round(vs[1 + CAST(floor((len(vs) - 1) * 0.05) AS BIGINT)], 6) + 0.0 AS low,
+       round(vs[1 + CAST(ceil((len(vs) - 1) * 0.95) AS BIGINT)], 6) + 0.0 AS high,
+       round(len(list_filter(vs, lambda x: x < 0)) / len(vs), 6) AS better
+FROM means JOIN listed USING (station)"""
 ORACLE["regression_terms"] = f"""
 {_with(FRAME)}, t AS (
   SELECT station, ds, epoch(ds) / 86400.0 * 2 * pi() AS turns, CAST(ds AS DATE) AS day,

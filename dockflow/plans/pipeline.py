@@ -177,15 +177,15 @@ def run_train(spark: SparkSession, config: PipelineConfig) -> None:
     models = _save(fitted, config, "models")
     setting = ["setting_id", *forecast.SETTING_COLUMNS]
     predicted = forecast.cv_predict(frame, models, ["station"], config.design, **scheme)
-    # means of every setting come from one pipelined pass; only the chosen setting's predictions are stored
-    means = [m for m in evaluation.METRICS if m != "mdape"]
-    metrics = _save(evaluation.forecast_metrics(predicted, ["station", *setting], means), config, "model_metrics")
+    # all measures of every setting come from two pipelined passes; only the chosen setting's predictions are stored
+    metrics = _save(evaluation.forecast_metrics(predicted, ["station", *setting]), config, "model_metrics")
     best = evaluation.best_params(metrics, setting, ["station"]).select("station", "setting_id")
     chosen_models = models.join(best, ["station", "setting_id"], "left_semi")
     of_chosen = forecast.cv_predict(frame, chosen_models, ["station"], config.design, **scheme)
     columns = ["station", *setting, "fold", "ds", "y", "yhat", "yhat_lower", "yhat_upper"]
-    held_out = _save(of_chosen.select(columns), config, "cv_predictions")
-    scores = _save(evaluation.forecast_metrics(held_out, ["station", "setting_id"]), config, "chosen_metrics")
+    _save(of_chosen.select(columns), config, "cv_predictions")
+    measured = metrics.select("station", "setting_id", *evaluation.METRICS)
+    scores = _save(measured.join(best, ["station", "setting_id"], "left_semi"), config, "chosen_metrics")
     chosen = (
         models.where(F.col("fold") == forecast.ALL_HISTORY)
         .drop("fold", "train_rows")
@@ -263,6 +263,7 @@ def run_app(spark: SparkSession, config: PipelineConfig) -> None:
     gold = inventory.gold_inventory(with_docks(predicted), hourly, before, extra=series, capacity="capacity")
     gold = _save(gold, config, "gold_data")
     _save(evaluation.compare_stages(gold), config, "stage_comparison")
+    _save(evaluation.stage_difference(gold), config, "stage_difference")
     _save(evaluation.residual_distribution(gold, ["stage"]), config, "stage_residuals")
 
     hours = _save(_coming_weather(weather, config), config, "coming_hours")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dockflow.functions import calendar as cal
 from dockflow.functions import stock
 from dockflow.functions.timeparts import epoch_to_text, epoch_to_ts, with_duration, with_time_parts
-from dockflow.operators import asof, evaluation, explore, flows, forecast, inventory, quality, registry, series
+from dockflow.operators import asof, bounded, evaluation, explore, flows, forecast, inventory, quality, registry, series
 from dockflow.plans import bindings as b
 from dockflow.session import scratch_path
 from dockflow.sources import ingest, readers, writers
@@ -470,6 +470,19 @@ def gold_inventory(spark, sf):
     return _gold(spark, sf)
 
 
+@query()
+def bounded_inventory(spark, sf):
+    """Forecast stock of stations with 53 docks that start with 50 bikes, and the riders whom the bounds turn away."""
+    steps = b.fitted_profile(spark, sf).withColumn("yhat", F.col("yhat") * 3)
+    return bounded.bounded_inventory(steps, 50, capacity=53)
+
+
+@query()
+def stage_difference(spark, sf):
+    """The stages' errors compared per station, with an interval from 64 weighted replicates."""
+    return evaluation.stage_difference(_gold(spark, sf), ["station"])
+
+
 @query()
 def compare_stages(spark, sf):
     return evaluation.compare_stages(_gold(spark, sf), ["station", "stage"])
