@@ -192,8 +192,8 @@ def exact_percentiles(
         rest = found.where(~whole)
         if rest.isEmpty():
             break
-        match = _same(sketches, rest.select(*[F.col(c).alias(f"_w_{c}") for c in keys]), keys)
-        sketches, slack = sketches.join(rest.select(*[F.col(c).alias(f"_w_{c}") for c in keys]), match, "left_semi"), slack * 16
+        missed = rest.select(*[F.col(c).alias(f"_w_{c}") for c in keys])
+        sketches, slack = sketches.join(missed, _same(sketches, missed, keys), "left_semi"), slack * 16
     done = parts[0]
     for more in parts[1:]:
         done = done.unionAll(more)
