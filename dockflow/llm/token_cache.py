@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from dockflow.llm.common import column_text, slices
 from dockflow.session import scratch_path
 
+PIECE_MODEL = "piece_bpe_32k.model"
 CACHE = "digest binary, version string, n_tokens long"
 _loaded: dict[str, Callable[[list[str]], list[int]]] = {}
 
@@ -22,10 +23,23 @@ def piece_normalised(text: Column) -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit(" "), F.lit("▁"))
 
 
-def tokenizer_version(path: str) -> str:
-    """Digest of a tokenizer file, read on the driver; the file is a few megabytes at most."""
+def as_given(text: Column) -> Column:
+    """The normal form that holds for any tokenizer: the text itself."""
+    return F.coalesce(text, F.lit(""))
+
+
+def normal_form(path: str) -> Callable[[Column], Column]:
+    """Texts that a tokenizer cannot tell apart, as far as that is known of it; for any other one, the text itself."""
+    return piece_normalised if path.rsplit("/", 1)[-1] == PIECE_MODEL else as_given
+
+
+def tokenizer_version(path: str, normalised: Callable[[Column], Column]) -> str:
+    """Digest of a tokenizer file and the name of the normal form that texts are looked up by.
+
+    The file is read on the driver; it is a few megabytes at most.
+    """
     with open(path, "rb") as f:
-        return hashlib.sha256(f.read()).hexdigest()
+        return f"{hashlib.sha256(f.read()).hexdigest()}/{normalised.__name__}"
 
 
 def counter(path: str) -> Callable[[list[str]], list[int]]:
@@ -64,20 +78,21 @@ def cached_counts(
     cache: str,
     tokenizer: str | None = None,
     limit: int = 4096,
-    normalised: Callable[[Column], Column] = piece_normalised,
+    normalised: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Token counts of every text: (doc_id, n_bytes, n_tokens, over_limit).
 
     ``cache`` is a folder of (digest, version, n_tokens). Texts are looked up by the SHA-256 of their normal form and
-    of the tokenizer file; each distinct miss is encoded once, and its count appended before the result is read from
+    of the tokenizer file and the normal form's name; each distinct miss is encoded once, and its count appended before the result is read from
     the cache. A run that stops half-way leaves counts that hold, and a cache with a repeated key is read correctly.
 
     A null text is empty. Equal texts, repeated rows included, share one entry. An empty table gives an empty result
     and appends nothing. Other columns are ignored. Only digests move for the lookup; texts move once, and only misses.
     """
     spark = docs.sparkSession
-    path = tokenizer or public_tokenizers.path("piece_bpe_32k.model")
-    version = tokenizer_version(path)
+    path = tokenizer or public_tokenizers.path(PIECE_MODEL)
+    normalised = normalised or normal_form(path)
+    version = tokenizer_version(path, normalised)
     body = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", body.alias("text"), F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest"))
     known = stored(spark, cache, version)
