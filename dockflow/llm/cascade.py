@@ -32,7 +32,8 @@ def repeated_words(tokens: Column) -> Column:
     """Words inside 3-word windows that occur twice or more, the first time included.
 
     Windows of one text are sorted by hash with the position in the low bits (as many as the word count needs), so
-    equal ones are neighbours; covered words are counted from the sorted positions.
+    equal ones are neighbours; neighbours with equal bits are compared word by word, and covered words are counted from
+    the sorted positions.
     """
 
     def of(w: Column) -> Column:
@@ -45,7 +46,10 @@ def repeated_words(tokens: Column) -> Column:
             )
 
             def positions(s: Column) -> Column:
-                same = lambda x, y: y.isNotNull() & (x.bitwiseXOR(y).bitwiseAND(F.bitwise_not(mask)) == 0)
+                word = lambda x, k: F.get(w, x.bitwiseAND(mask).cast("int") + k)
+                alike = lambda x, y: y.isNotNull() & (x.bitwiseXOR(y).bitwiseAND(F.bitwise_not(mask)) == 0)
+                equal = lambda x, y: (word(x, 0) == word(y, 0)) & (word(x, 1) == word(y, 1)) & (word(x, 2) == word(y, 2))
+                same = lambda x, y: F.when(alike(x, y), equal(x, y)).otherwise(False)
                 twice = F.filter(s, lambda x, i: same(x, F.get(s, i - 1)) | same(x, F.get(s, i + 1)))
                 return F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask)))
 
