@@ -74,6 +74,9 @@ def passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         same_next[1:] = (hashes[1:] == hashes[:-1]) & (row_of_word[1:] == row_of_word[:-1])
         keys = hashes.copy()
         keys[1:] = keys[1:] * np.uint64(3) + hashes[:-1]
+        # a text's first word has none before it, whatever text the batch has before this one
+        begin = words[:-1][n_words > 0]
+        keys[begin] = hashes[begin] * np.uint64(5) + np.uint64(1)
         order = np.lexsort((keys, row_of_word))
         again = np.zeros(len(keys), bool)
         again[order[1:]] = (keys[order[1:]] == keys[order[:-1]]) & (row_of_word[order[1:]] == row_of_word[order[:-1]])
@@ -177,25 +180,36 @@ def fit(x: np.ndarray, bags: np.ndarray, label: np.ndarray, hidden: int = 16, ep
     return model
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "text"):
-            x, bags = passages(part.column("text"))
-            packed = [x[a:b].astype("<f4").tobytes() for a, b in zip(bags[:-1], bags[1:], strict=True)]
-            yield pa.record_batch([part.column("label").cast(pa.int32()), pa.array(packed, pa.binary())], names=["label", "bag"])
+def pooled(bag: np.ndarray, most: int) -> np.ndarray:
+    """The features of a document's passages, those of neighbours averaged where there are more than ``most`` of them."""
+    if len(bag) <= most:
+        return bag
+    edges = np.linspace(0, len(bag), most, endpoint=False).astype(int)
+    return np.add.reduceat(bag, edges, axis=0) / np.diff([*edges, len(bag)])[:, None]
+
+
+def _features(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                x, bags = passages(part.column("text"))
+                packed = [pooled(x[a:b], most).astype("<f4").tobytes() for a, b in zip(bags[:-1], bags[1:], strict=True)]
+                yield pa.record_batch([part.column("label").cast(pa.int32()), pa.array(packed, pa.binary())], names=["label", "bag"])
+
+    return run
 
 
 def learn_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, most: int = 2000, longest: int = 200) -> Attention:
     """Fit on at most about ``most`` labelled documents of each label outside the held-out fold.
 
-    Only passage features leave the tasks, and fitting uses at most ``longest`` evenly spaced passages of a document,
-    so what the driver holds is bounded by the sample. Without both labels the model is not fitted.
+    Only features leave the tasks, ``longest`` rows of them for a document at most: in a longer one every row is the
+    mean of several passages, so all passages take part, and what the driver holds is bounded by the sample whatever the
+    length of its texts. Without both labels the model is not fitted.
     """
     sample = labelled_sample(docs, labels, "quality", folds, held_out, most).select("text", "label")
-    rows = sample.mapInArrow(_features, "label int, bag binary").collect()
+    rows = sample.mapInArrow(_features(longest), "label int, bag binary").collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["bag"])))
     parts = [np.frombuffer(r["bag"], "<f4").reshape(-1, FEATURES).astype(float) for r in rows]
-    parts = [p if len(p) <= longest else p[np.linspace(0, len(p) - 1, longest).astype(int)] for p in parts]
     if len({r["label"] for r in rows}) < 2:
         parts, truth = [np.zeros((1, FEATURES)), np.ones((1, FEATURES))], np.array([0.0, 1.0])
         return fit(np.vstack(parts), np.array([0, 1, 2]), truth, epochs=0)
