@@ -6,7 +6,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from dockflow.plans.queries import QUERIES
@@ -64,8 +63,7 @@ def main() -> None:
         "dockflow-bench",
         f"local[{cpus}]",
         **{
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="dockflow-bench-"),
-            "spark.sql.shuffle.partitions": cpus, 
+            "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
@@ -74,14 +72,15 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    seconds = {}
+    seconds, first = {}, {}
     for name in names:
         took = []
         for _ in range(runs + 1):
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             took.append(time.perf_counter() - start)
-        # the first run compiles code and warms caches; the median of the others counts
+        # the first run compiles code and warms caches, and stands beside; the median of the others counts
+        first[name] = round(took[0], 3)
         seconds[name] = round(statistics.median(took[1:]), 3)
     clear_scratch(spark)
     spark.stop()
@@ -92,6 +91,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "first_runs": first,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
             }
         )

@@ -400,7 +400,7 @@ SELECT (dayofweek(date) IN (0, 6) AND date BETWEEN DATE '1996-01-01' AND DATE '1
        round(avg(trip_count), 6) AS average_trip_count FROM daily GROUP BY 1""",
     "holiday_effect_table": f"""
 {_with(DAILY)}
-SELECT date IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1) AS is_holiday,
+SELECT date IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem GROUP BY 1 HAVING count(*) % 5 = 0) AS is_holiday,
        round(avg(trip_count), 6) AS average_trip_count FROM daily GROUP BY 1""",
     "holiday_flag": f"""
 {_with(DAILY)} SELECT date, trip_count, ({_holiday("date")}) IS NOT NULL AS is_holiday FROM daily""",
@@ -749,6 +749,7 @@ SELECT station, pairs, round(difference, 6) + 0.0 AS difference,
        round(vs[1 + CAST(ceil((len(vs) - 1) * 0.95) AS BIGINT)], 6) + 0.0 AS high,
        round(len(list_filter(vs, lambda x: x < 0)) / len(vs), 6) AS better
 FROM means JOIN listed USING (station)"""
+ORACLE["ingest_report"] = ORACLE["unreadable_cells"]
 ORACLE["regression_terms"] = f"""
 {_with(FRAME)}, t AS (
   SELECT station, ds, epoch(ds) / 86400.0 * 2 * pi() AS turns, CAST(ds AS DATE) AS day,

@@ -17,8 +17,8 @@ from dockflow.functions.timeparts import epoch_to_ts, hour_of
 from dockflow.operators import evaluation, explore, flows, forecast, inventory, quality, registry
 from dockflow.operators.series import forward_fill
 from dockflow.sources.ingest import ingest_new_files, read_ingested
-from dockflow.sources.readers import clean_names, read_table, read_trips_csv, read_weather_csv, union_sources, unreadable_cells
-from dockflow.sources.writers import balance, cluster_by, ensure_database, publish, register
+from dockflow.sources.readers import clean_names, counted_cells, read_csv_counted, read_table, union_sources
+from dockflow.sources.writers import balance, cluster_by, ensure_database, publish, register, settle
 from dockflow.spec import DEFAULT_CAPACITY, TRIPS_RAW, WEATHER_RAW, TripSpec
 from dockflow.streaming.streams import status_events, weather_events
 
@@ -75,19 +75,20 @@ def run_bronze(spark: SparkSession, config: PipelineConfig) -> None:
     weather rows left out because their time was missing, unreadable or repeated.
     """
     options = {"mixed_headers": config.mixed_headers, "extras": config.extras}
-    raw = epoch_to_ts(clean_names(read_weather_csv(spark, config.weather_csv, **options)), "dt")
+    # the text is read once, into typed tables; what cannot be read is counted on the way
+    typed, seen = {}, {}
+    for source, path, contract in (("trips", config.trips_csv, TRIPS_RAW), ("weather", config.weather_csv, WEATHER_RAW)):
+        rows, seen[source] = read_csv_counted(spark, path, contract, **options)
+        typed[source] = settle(clean_names(rows), f"typed-{source}")
+    raw, trips = epoch_to_ts(typed["weather"], "dt"), typed["trips"]
     weather = quality.dedup(raw.where(F.col("dt").isNotNull()), ["dt"])
-    trips = read_trips_csv(spark, config.trips_csv, **options)
     kept = _save(cluster_by(weather, "dt"), config, "bronze_weather")
     _save(
         cluster_by(trips, "start_station_name", spread=["started_at", "ride_id"]),
         config,
         "bronze_trips",
     )
-    cells = [
-        unreadable_cells(spark, path, contract, config.mixed_headers).withColumn("source", F.lit(source))
-        for source, path, contract in (("trips", config.trips_csv, TRIPS_RAW), ("weather", config.weather_csv, WEATHER_RAW))
-    ]
+    cells = [counted_cells(spark, seen[source], contract).withColumn("source", F.lit(source)) for source, contract in (("trips", TRIPS_RAW), ("weather", WEATHER_RAW))]
     left = raw.agg(F.count(F.lit(1)).alias("rows")).withColumns(
         {"source": F.lit("weather"), "column": F.lit(None).cast("string"), "unreadable": F.lit(0).cast("long"), "left_out": F.col("rows") - F.lit(kept.count())}
     )

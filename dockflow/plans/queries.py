@@ -226,8 +226,9 @@ def holiday_effect_limited(spark, sf):
 @query()
 def holiday_effect_table(spark, sf):
     daily = explore.daily_trips(b.table(spark, sf, "orders"), spec=b.ORDERS)
-    special = b.table(spark, sf, "lineitem").where("l_quantity = 50 and l_discount = 0.1")
-    days = special.select(F.to_date("l_shipdate").alias("date"))
+    # days off from a table: here those on which the number of shipped lines is a multiple of five
+    shipped = b.table(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(F.count(F.lit(1)).alias("lines"))
+    days = shipped.where("lines % 5 = 0").select("date")
     return explore.holiday_effect(cal.flag_holidays(daily, "date", days), F.col("is_holiday"))
 
 
@@ -897,12 +898,12 @@ def stream_duplicate_check(spark, sf):
 
 @query()
 def stream_dedup_batches(spark, sf):
-    """The same over several micro-batches: the repeats come in a later file than the reports."""
+    """The same over several micro-batches: the repeats come in a later delivery than the reports."""
     src, dst, check = (scratch_path(spark, f"batches-{part}") for part in ("in", "out", "check"))
     reports = b.raw_status(spark, sf)
     for _ in range(3):
-        writers.write_table(reports.coalesce(1), src, mode="append")
-    streams.stream_status(spark, src, dst, check, None, dedup_within="60 days", files_per_batch=1).awaitTermination()
+        writers.write_table(reports, src, mode="append")
+        streams.stream_status(spark, src, dst, check, None, dedup_within="60 days").awaitTermination()
     return readers.read_table(spark, dst).select("station_id", "last_reported")
 
 
@@ -910,7 +911,7 @@ def stream_dedup_batches(spark, sf):
 def stream_counts(spark, sf):
     """What a finished stream reports of its last micro-batch."""
     src, dst, check = (scratch_path(spark, f"progress-{part}") for part in ("in", "out", "check"))
-    writers.write_table(b.raw_status(spark, sf).coalesce(1), src)
+    writers.write_table(b.raw_status(spark, sf), src)
     running = streams.stream_status(spark, src, dst, check, trigger=None)
     running.awaitTermination()
     progress = streams.stream_progress(running)
@@ -967,9 +968,10 @@ def managed_table(spark, sf):
     try:
         writers.save_managed(b.raw_status(spark, sf).limit(0), "status")
         writers.save_managed(b.raw_status(spark, sf), "status")
+        return writers.settle(explore.value_counts(spark.table(f"`{name}`.status"), "station_status"), "status-counts")
     finally:
         spark.catalog.setCurrentDatabase(before)
-    return explore.value_counts(spark.table(f"`{name}`.status"), "station_status")
+        spark.sql(f"DROP DATABASE `{name}` CASCADE")
 
 
 @query()
@@ -996,9 +998,8 @@ def first_rows(spark, sf):
     return explore.first_rows(b.table(spark, sf, "orders"), 100).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query()
-def unreadable_cells(spark, sf):
-    """Cells that a typed read turns into nulls, per column: here every third temperature and every fifth time."""
+def _damaged_csv(spark, sf) -> str:
+    """Weather as text in which every third temperature and every fifth time is no number."""
     path = scratch_path(spark, "csv")
     raw = b.raw_weather(spark, sf).withColumn("n", F.col("dt"))
     damaged = raw.select(
@@ -1007,4 +1008,21 @@ def unreadable_cells(spark, sf):
         "pressure",
     )
     writers.write_table(damaged, path, "csv", header=True)
-    return readers.unreadable_cells(spark, path, {"dt": "bigint", "temp": "double", "pressure": "int"})
+    return path
+
+
+DAMAGED = {"dt": "bigint", "temp": "double", "pressure": "int"}
+
+
+@query()
+def unreadable_cells(spark, sf):
+    """Cells that a typed read turns into nulls, per column."""
+    return readers.unreadable_cells(spark, _damaged_csv(spark, sf), DAMAGED)
+
+
+@query()
+def ingest_report(spark, sf):
+    """The same counts, taken while the typed table is written."""
+    typed, seen = readers.read_csv_counted(spark, _damaged_csv(spark, sf), DAMAGED)
+    writers.settle(typed, "typed")
+    return readers.counted_cells(spark, seen, DAMAGED)

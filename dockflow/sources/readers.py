@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.spec import TRIPS_RAW, WEATHER_RAW
@@ -78,6 +78,39 @@ def unreadable_cells(spark: SparkSession, path: str | list[str], contract: dict[
     return counts.select(F.explode(pairs).alias("p")).select("p.*")
 
 
+def _bad_cells(text: DataFrame, contract: dict[str, str]) -> list[Column]:
+    """Rows, and cells of each contract column that hold text which is not of its type."""
+    have = set(text.columns)
+    none = F.sum(F.lit(0).cast("long"))
+    bad = [F.count_if(F.col(_quoted(n)).isNotNull() & _typed(n, kind).isNull()) if n in have else none for n, kind in contract.items()]
+    return [F.count(F.lit(1)).alias("rows"), *[c.alias(f"c{i}") for i, c in enumerate(bad)]]
+
+
+def read_csv_counted(
+    spark: SparkSession, path: str | list[str], contract: dict[str, str], mixed_headers: bool = False, extras: bool = True
+) -> tuple[DataFrame, Observation | None]:
+    """:func:`read_csv_contract`, and an observation that fills with counts while the table is first read to its end.
+
+    So the report on unreadable cells costs no read of its own. Let that first read be a plain write (:func:`settle`): a
+    plan that looks at its input twice, as one that cuts ranges does, would count twice. Without files there is nothing
+    to observe, and the observation is None.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    groups = _by_header(spark, paths) if mixed_headers else [paths]
+    if not groups:
+        return empty(spark, ", ".join(f"{_quoted(n)} {t}" for n, t in contract.items())), None
+    text = union_sources([_text_csv(spark, g) for g in groups])
+    seen = Observation()
+    return to_contract(text.observe(seen, *_bad_cells(text, contract)), contract, extras), seen
+
+
+def counted_cells(spark: SparkSession, seen: Observation | None, contract: dict[str, str]) -> DataFrame:
+    """(column, rows, unreadable) of a finished observation, like :func:`unreadable_cells`."""
+    counts = seen.get if seen else {}
+    rows = [(name, counts.get("rows", 0), counts.get(f"c{i}") or 0) for i, name in enumerate(contract)]
+    return spark.createDataFrame(rows, "column string, rows long, unreadable long")
+
+
 def read_csv_contract(
     spark: SparkSession,
     path: str | list[str],

@@ -144,3 +144,18 @@ def test_settled_result_starts_from_files(spark):
     df = writers.settle(spark.range(5).groupBy().count(), "n")
     assert df.first()[0] == 5
     assert "Aggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_of_the_writing_pass_are_those_of_a_read_of_its_own(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("dt,temp\n1,mild\nx,2.5\n,\n")
+    (tmp_path / "in" / "b.csv").write_text("temp,humidity,dt\n1.5,wet,7\n1.5,wet,7\n")
+    contract = {"dt": "bigint", "temp": "double", "humidity": "int", "pop": "double"}
+    typed, seen = readers.read_csv_counted(spark, str(tmp_path / "in"), contract, mixed_headers=True)
+    kept = writers.settle(typed, "typed")
+    got = {r.column: (r.rows, r.unreadable) for r in readers.counted_cells(spark, seen, contract).collect()}
+    assert got == {"dt": (5, 1), "temp": (5, 1), "humidity": (5, 2), "pop": (5, 0)}
+    assert rows(kept) == rows(readers.read_csv_contract(spark, str(tmp_path / "in"), contract, mixed_headers=True))
+    (tmp_path / "none").mkdir()
+    typed, seen = readers.read_csv_counted(spark, str(tmp_path / "none"), contract, mixed_headers=True)
+    assert typed.count() == 0 and {r.rows for r in readers.counted_cells(spark, seen, contract).collect()} == {0}
