@@ -19,6 +19,7 @@ from dockflow.llm.ordering import blocks
 PARAGRAPH = r"(?s).{1,200}?(?:[.!?]+\s|\n|\z)|.{1,200}"
 BASE_CELLS = 24
 BLOCK_CELLS = (12, 24, 48, 96, 192, 384, 768)
+RECOVERED = "array<struct<k:bigint,n:int>>"
 _LOWEST = -(2**63)
 
 
@@ -68,7 +69,7 @@ def subtract(left: Column, right: Column) -> Column:
 
 
 def peeled(cells: Column, n: int, steps: Column) -> Column:
-    """How many digests peeling recovers, or null where it gets stuck."""
+    """The digests that peeling recovers, as (k, n) with the sign of their side, or null where it gets stuck."""
 
     def step(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (F.hash(c["k"]) == c["c"]))
@@ -86,7 +87,7 @@ def peeled(cells: Column, n: int, steps: Column) -> Column:
                             ).otherwise(c),
                         ),
                     ).alias("cells"),
-                    (state["found"] + 1).alias("found"),
+                    F.concat(state["found"], F.array(F.struct(one["k"].alias("k"), one["n"].alias("n")))).alias("found"),
                 )
             ),
         )
@@ -95,12 +96,20 @@ def peeled(cells: Column, n: int, steps: Column) -> Column:
         left = F.exists(state["cells"], lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["c"] != 0))
         return F.when(~left, state["found"])
 
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("found"))
+    start = F.struct(cells.alias("cells"), F.array().cast(RECOVERED).alias("found"))
     return F.aggregate(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), start, step, finish)
 
 
 def difference(left: Column, right: Column, left_cells: Column, right_cells: Column) -> Column:
-    """Number of digests that only one of two texts has, by peeling their subtracted sketches."""
+    """Number of digests that only one of two texts has."""
+    return F.size(recovered_digests(left, right, left_cells, right_cells))
+
+
+def recovered_digests(left: Column, right: Column, left_cells: Column, right_cells: Column) -> Column:
+    """The digests that only one of two texts has, by peeling their subtracted sketches: (k, n), n is 1 on the left.
+
+    A block that even 768 cells do not peel, for about five digests, stops the run: equal 96-bit keys would be needed.
+    """
     signed = F.array_sort(
         F.concat(
             F.transform(left, lambda k: F.struct(k.alias("k"), F.lit(1).alias("s"))),
@@ -120,19 +129,23 @@ def difference(left: Column, right: Column, left_cells: Column, right_cells: Col
                 s,
                 lambda i, j: let(
                     F.slice(all_, i + 1, F.coalesce(F.get(s, j + 1), F.size(all_)) - i),
-                    lambda items: F.coalesce(*(peeled(_build(items, n), n, F.size(items)) for n in BLOCK_CELLS)),
+                    lambda items: F.coalesce(
+                        *(peeled(_build(items, n), n, F.size(items)) for n in BLOCK_CELLS),
+                        F.raise_error(F.lit("a block of paragraph digests does not peel")).cast(RECOVERED),
+                    ),
                 ),
             ),
         )
-        return F.aggregate(found, F.lit(0), lambda a, x: a + x)
+        return F.flatten(found)
 
     whole = peeled(subtract(left_cells, right_cells), BASE_CELLS, F.lit(BASE_CELLS))
-    return F.coalesce(whole, F.when(F.size(left) + F.size(right) == 0, F.lit(0)).otherwise(let(signed, by_block)))
+    nothing = F.array().cast(RECOVERED)
+    return F.coalesce(whole, F.when(F.size(left) + F.size(right) == 0, nothing).otherwise(let(signed, by_block)))
 
 
-def likeness(left: Column, right: Column, differ: Column) -> Column:
+def likeness(left: Column, right: Column, recovered: Column) -> Column:
     """Shared share of all distinct paragraphs of two texts; 1 for two empty ones."""
-    total = F.size(left) + F.size(right)
+    total, differ = F.size(left) + F.size(right), F.size(recovered)
     return F.when(total == 0, F.lit(1.0)).otherwise((total - differ) / (total + differ))
 
 
@@ -143,6 +156,12 @@ def as_text(cells: Column) -> Column:
     return F.array_join(F.transform(cells, lambda c: F.concat(two(c), F.lpad(F.hex(c["k"]), 16, "0"), eight(c))), "")
 
 
+def of_side(recovered: Column, sign: int) -> Column:
+    """The recovered digests of one side in hexadecimal, sorted, comma-joined."""
+    mine = F.transform(F.filter(recovered, lambda x: x["n"] == sign), lambda x: F.lpad(F.hex(x["k"]), 16, "0"))
+    return F.array_join(F.sort_array(mine), ",")
+
+
 def followers(ids: DataFrame) -> DataFrame:
     """For each key, the key before it in descending order and that key's ``third``; the last comes before the first.
 
@@ -164,7 +183,8 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
     The edited text of a document has its last third (rounded down) replaced by as many leading characters of the
     next document in descending id. Result: (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next), one row per input row.
+    near_edited, near_next, removed, added), one row per input row; the last two are the paragraph digests that
+    peeling recovered, of the text and of its edited version.
 
     A null text is empty; two empty texts are alike (1.0). A null id comes after all others. Where rows repeat an
     id, they share their next document, and the one before takes its text from the row with the smallest start of
@@ -172,13 +192,16 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """
     body = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("key"), body.alias("body"))
+    # made before the texts move, so a document's digests and sketch serve it and the document before it
+    base = base.withColumn("keys", digests(F.col("body")))
+    base = base.withColumn("cells", sketch(F.col("keys")))
     order = followers(base.select("key", F.floor(F.length("body") / 3).cast("int").alias("third")))
     placed = base.join(order, "key")
     following = (
         placed.select(
             F.col("before").alias("key"),
             # the id is carried so that both sides read the same columns and share one exchange of the texts
-            F.struct(F.expr("substring(body, 1, before_third)").alias("head"), digests(F.col("body")).alias("keys"), "doc_id").alias("next"),
+            F.struct(F.expr("substring(body, 1, before_third)").alias("head"), "keys", "cells", "doc_id").alias("next"),
         )
         .groupBy("key")
         .agg(F.min("next").alias("next"))
@@ -187,7 +210,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.expr("substring(body, 1, n_chars - third)"), F.expr("substring(next.head, 1, third)"))
     texts = (
         placed.join(following, "key")
-        .select("doc_id", "body", "next", n.cast("long").alias("n_chars"), F.floor(n / 3).alias("third"))
+        .select("doc_id", "body", "keys", "cells", "next", n.cast("long").alias("n_chars"), F.floor(n / 3).alias("third"))
         .withColumn("third", F.col("third").cast("int"))
         .withColumn("n_chars", F.col("n_chars").cast("int"))
         .withColumn("edited", edited)
@@ -196,17 +219,17 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        digests(F.col("body")).alias("own"),
+        F.col("keys").alias("own"),
         digests(F.col("edited")).alias("other"),
         F.col("next.keys").alias("following"),
+        F.col("cells").alias("own_cells"),
+        F.col("next.cells").alias("next_cells"),
     )
-    sketched = keyed.select(
-        "*", sketch(F.col("own")).alias("own_cells"), sketch(F.col("other")).alias("other_cells"), sketch(F.col("following")).alias("next_cells")
-    )
+    sketched = keyed.select("*", sketch(F.col("other")).alias("other_cells"))
     compared = sketched.select(
         "*",
-        difference(F.col("own"), F.col("other"), F.col("own_cells"), F.col("other_cells")).alias("differ_edited"),
-        difference(F.col("own"), F.col("following"), F.col("own_cells"), F.col("next_cells")).alias("differ_next"),
+        recovered_digests(F.col("own"), F.col("other"), F.col("own_cells"), F.col("other_cells")).alias("differ_edited"),
+        recovered_digests(F.col("own"), F.col("following"), F.col("own_cells"), F.col("next_cells")).alias("differ_next"),
     )
     return compared.select(
         "doc_id",
@@ -216,4 +239,6 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         as_text(F.col("other_cells")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other"), F.col("differ_edited")).alias("near_edited"),
         likeness(F.col("own"), F.col("following"), F.col("differ_next")).alias("near_next"),
+        of_side(F.col("differ_edited"), 1).alias("removed"),
+        of_side(F.col("differ_edited"), -1).alias("added"),
     )

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from dockflow.llm import cascade, passages
+from dockflow.llm import cascade, fingerprints, passages
 from dockflow.llm.token_cache import cached_counts, counter, new_cache
 
 
@@ -136,3 +136,24 @@ def test_scores_equal_plain_loops_over_bytes_words_and_passages(spark, documents
     model = passages.fit(x, bags, np.array([float(k % 2) for k in range(len(texts))]), epochs=3)
     got = {r.doc_id: r.score for r in passages.quality_scores(documents(list(enumerate(texts))), model).collect()}
     assert np.allclose([got[i] for i in range(len(texts))], [plain_score(model, w) for w in want])
+
+
+def test_peeling_returns_the_digests_of_each_side(spark, documents):
+    pick = random.Random(12)
+    rows = [(i, " ".join(f"Sentence {pick.randrange(60)} is here." for _ in range(pick.choice([0, 3, 30, 200])))) for i in range(40)] + [(50, None)]
+    got = fingerprints.fingerprint_edits(documents(rows))
+    edited = {i: t or "" for i, t in rows}
+    order = sorted(edited, reverse=True)
+    for k, i in enumerate(order):
+        text, after = dict(rows)[i] or "", dict(rows)[order[(k + 1) % len(order)]] or ""
+        third = len(text) // 3
+        edited[i] = text[: len(text) - third] + after[:third]
+    both = spark.createDataFrame([(i, t or "", edited[i]) for i, t in rows], "doc_id bigint, a string, b string")
+    digests = {
+        r.doc_id: (set(r.a), set(r.b))
+        for r in both.select("doc_id", *[fingerprints.digests(F.col(c)).alias(c) for c in "ab"]).collect()
+    }
+    text = lambda keys: ",".join(sorted(f"{k & 2**64 - 1:016X}" for k in keys))
+    for r in got.collect():
+        a, b = digests[r.doc_id]
+        assert (r.removed, r.added) == (text(a - b), text(b - a))
