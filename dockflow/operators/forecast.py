@@ -582,6 +582,56 @@ def cv_predict(
     return predict(held_out, models.where(F.col("fold") >= 0), [*by, "fold"], design, ts)
 
 
+def score_settings(
+    frame: DataFrame,
+    models: DataFrame,
+    by: Sequence[str] = ("station",),
+    design: Design = Design(),
+    ts: str = "ds",
+    initial: timedelta = INITIAL,
+    horizon: timedelta = HORIZON,
+    period: timedelta | None = None,
+) -> DataFrame:
+    """The rows of :func:`cv_predict` for many settings: (by, setting, fold, ts, y, yhat, yhat_lower, yhat_upper).
+
+    Where that one pairs every row with every setting's coefficients, here the held-out rows of a series and fold, at
+    most one horizon of hours, meet the coefficients of all settings once, as two matrices. Nothing but the narrow
+    result is repeated per setting.
+    """
+    by = list(by)
+    placed = with_folds(complete(frame, design), by, ts, initial, horizon, period)
+    rows = seasonal_features(placed, design, ts).withColumn("seconds", _epoch(ts)).withColumn("fold", F.explode("_tests"))
+    rows = rows.select(*by, "fold", ts, F.col("y").cast("double").alias("y"), "seconds", "season_x")
+    setting = ["setting_id", *SETTING_COLUMNS]
+    columns = [*by, "fold", *setting, "trend_coef", "season_coef", "lift_base", "lift_slope", "sigma", "drift", "knots", "_first", "_last"]
+    fitted = models.where(F.col("fold") >= 0).select(*columns)
+    types = dict(rows.dtypes) | dict(fitted.dtypes)
+    narrow = [*by, *setting, "fold", ts, "y", "yhat", "yhat_lower", "yhat_upper"]
+    schema = ", ".join(f"`{c}` {types.get(c, 'double')}" for c in narrow)
+    seasons = len(design.season_groups())
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({c: pa.array([], left.schema.field(c).type if c in left.column_names else right.schema.field(c).type if c in right.column_names else pa.float64()) for c in narrow})
+        first, last = right["_first"][0].as_py(), right["_last"][0].as_py()
+        t = (left["seconds"].to_numpy() - first) / max(last - first, 1)
+        knots = np.array(right["knots"][0].as_py() or [], float)
+        head = np.hstack([np.ones((len(t), 1)), t[:, None], np.maximum(t[:, None] - knots, 0.0)])
+        season = _matrix(left, "season_x", seasons) @ _matrix(right, "season_coef", seasons).T
+        of = lambda c: right[c].to_numpy()[None, :]
+        yhat = head @ _matrix(right, "trend_coef", head.shape[1]).T + (of("lift_base") + of("lift_slope") * t[:, None]) * season
+        product = np.array(right["seasonality_mode"].to_pylist())[None, :] == "multiplicative"
+        ahead = np.maximum(t - 1, 0.0)[:, None] ** 3
+        width = HALF_WIDTH * np.sqrt(of("sigma") ** 2 + of("drift") * ahead * np.where(product, 1 + season, 1.0) ** 2)
+        n, k = yhat.shape
+        row, model = pa.array(np.repeat(np.arange(n), k)), pa.array(np.tile(np.arange(k), n))
+        made = {"yhat": yhat, "yhat_lower": yhat - width, "yhat_upper": yhat + width}
+        parts = {c: left[c].take(row) if c in left.column_names else right[c].take(model) for c in narrow if c not in made}
+        return pa.table({c: parts[c] if c in parts else pa.array(made[c].ravel()) for c in narrow})
+
+    return rows.groupBy(*by, "fold").cogroup(fitted.groupBy(*by, "fold")).applyInArrow(score, schema)
+
+
 def attach_regressors(
     future: DataFrame, features: DataFrame, by: Sequence[str] = ("station",), ts: str = "ds", block: str = "day"
 ) -> DataFrame:

@@ -270,7 +270,7 @@ scaled AS (
 BENT = SCALED + """,
 bent AS (SELECT station, t, greatest(t - 0.4, 0) AS h, y FROM scaled)"""
 
-OWN_TREND = (
+_OWN = (
     CUTOFFS
     + """,
 ends AS (
@@ -281,7 +281,11 @@ placed AS (
   SELECT o.station, o.fold, o.cutoff, f.ds, f.y, (epoch(f.ds) - first) / (last - first) AS t,
          greatest((epoch(f.ds) - first) / (last - first) - knot, 0) AS h
   FROM own o JOIN frame f USING (station)),
-seen AS (SELECT * FROM placed WHERE ds <= cutoff),"""
+seen AS (SELECT * FROM placed WHERE ds <= cutoff)"""
+)
+OWN_TREND = (
+    _OWN
+    + ","
     + _bent_line("station, fold", "seen", False)
     + f""",
 held AS (
@@ -689,6 +693,20 @@ ORACLE["sparse_trend_models"] = f"""
 {_bent_line("station, scale", "settings", True, "scale")}
 SELECT station, scale AS changepoint_prior_scale, round(c0, 6) + 0.0 AS level, round(c1, 6) + 0.0 AS slope,
        round(c2, 6) + 0.0 AS bend, round(sigma, 6) AS sigma FROM line"""
+ORACLE["sparse_grid_search"] = f"""
+{_with(_OWN)}, settings AS (SELECT s.*, scale FROM seen s CROSS JOIN (VALUES (0.001::DOUBLE), (0.02), (0.5)) v(scale)),
+{_bent_line("station, fold, scale", "settings", True, "scale")},
+held AS (
+  SELECT p.station, l.scale, p.y, c0 + c1 * t + c2 * h AS yhat,
+         {WIDTH} * sqrt(sigma * sigma + 2.0 / 3 * c2 * c2 * pow(greatest(t - 1, 0), 3)) AS wide
+  FROM placed p JOIN line l USING (station, fold) WHERE ds > cutoff AND ds <= cutoff + INTERVAL 4 DAY),
+scores AS (
+  SELECT station, scale, avg(pow(yhat - y, 2)) AS mse, sqrt(avg(pow(yhat - y, 2))) AS rmse, round(avg(abs(yhat - y)), 9) AS mae,
+         median(abs((yhat - y) / y)) FILTER (y <> 0) AS mdape,
+         avg(CASE WHEN y BETWEEN yhat - wide AND yhat + wide THEN 1.0 ELSE 0.0 END) AS coverage
+  FROM held GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY station ORDER BY round(avg(abs(yhat - y)), 9), scale) = 1)
+SELECT station, scale AS changepoint_prior_scale, round(mse, 6) AS mse, round(rmse, 6) AS rmse, round(mae, 6) AS mae,
+       round(mdape, 6) AS mdape, round(coverage, 6) AS coverage FROM scores"""
 ORACLE["own_trend_cv"] = f"""
 {_with(OWN_TREND)} SELECT station, fold, ds, y, round(yhat, 6) + 0.0 AS yhat, n AS train_rows FROM held"""
 ORACLE["forecast_intervals"] = f"""

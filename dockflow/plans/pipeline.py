@@ -177,7 +177,7 @@ def run_train(spark: SparkSession, config: PipelineConfig) -> None:
     fitted = forecast.fit_panel(frame, ["station"], config.grid, config.design, folds=True, **scheme)
     models = _save(fitted, config, "models")
     setting = ["setting_id", *forecast.SETTING_COLUMNS]
-    predicted = forecast.cv_predict(frame, models, ["station"], config.design, **scheme)
+    predicted = forecast.score_settings(frame, models, ["station"], config.design, **scheme)
     # all measures of every setting come from two pipelined passes; only the chosen setting's predictions are stored
     metrics = _save(evaluation.forecast_metrics(predicted, ["station", *setting]), config, "model_metrics")
     best = evaluation.best_params(metrics, setting, ["station"]).select("station", "setting_id")

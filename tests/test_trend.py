@@ -209,3 +209,18 @@ def test_nothing_missing_and_tied_rows(spark):
 def test_an_unknown_prior_is_refused():
     with pytest.raises(ValueError, match="cauchy"):
         forecast.Design(trend_prior="cauchy")
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_scores_of_all_settings_are_those_of_each(spark, own):
+    design = replace(SPARSE, own_trend=own)
+    frame = panel(spark).withColumn("y", F.when(F.hour("ds") != 5, F.col("y")))
+    models = forecast.fit_panel(frame, grid=GRID, design=design, folds=True, **SCHEME).cache()
+    columns = ["station", "setting_id", "seasonality_mode", "fold", "ds", "y", "yhat", "yhat_lower", "yhat_upper"]
+    one = forecast.cv_predict(frame, models, design=design, **SCHEME).select(columns).orderBy(columns[:5]).collect()
+    many = forecast.score_settings(frame, models, design=design, **SCHEME).select(columns).orderBy(columns[:5]).collect()
+    assert len(one) == len(many) > 2000
+    for a, b in zip(one[::37], many[::37], strict=True):
+        assert a[:6] == b[:6] and list(b[6:]) == pytest.approx(list(a[6:]), rel=1e-9, abs=1e-9)
+    assert forecast.score_settings(frame.limit(0), models, design=design, **SCHEME).count() == 0
+    assert forecast.score_settings(frame, models.limit(0), design=design, **SCHEME).count() == 0
