@@ -51,16 +51,17 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(held[k : k + (1 << 16)], pa.int32()), pa.array(counts[held[k : k + (1 << 16)]])], names=["bucket", "n"])
 
 
-def frequent_words(docs: DataFrame) -> dict[int, float]:
+def frequent_words(docs: DataFrame) -> dict[int, int]:
     """Logarithm of the count of each hash bucket of words that holds over four times the mean of all buckets.
 
     Counts cover all words of all documents. By that bound there are fewer than a quarter as many entries as buckets,
-    whatever the input. They only decide the order of shingles, never a result.
+    whatever the input. They only decide the order of shingles, never a result; they are whole numbers (in 1024ths), so
+    that a shingle has the same place in that order in every text.
     """
     counts = settle(docs.select("text").mapInArrow(_count_words, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "overlap-words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     rows = counts.filter(F.col("n") * F.lit(BUCKETS) > F.lit(4 * total)).collect()
-    return {r["bucket"]: float(np.log2(r["n"])) for r in rows}
+    return {r["bucket"]: int(round(np.log2(r["n"]) * 1024)) for r in rows}
 
 
 def parity_sketch(keys: np.ndarray) -> bytes:
@@ -83,11 +84,11 @@ def sketch_distance(a: bytes, b: bytes) -> int:
 
 
 def shingle_rows(
-    frequent: dict[int, float], width: int, percent: int
+    frequent: dict[int, int], width: int, percent: int
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Size, digest, first shingles in rare-to-frequent order, and parity sketch of every text's shingle set."""
     ids = np.array(sorted(frequent), np.int64)
-    logs = np.array([frequent[i] for i in ids.tolist()])
+    logs = np.array([frequent[i] for i in ids.tolist()], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,19 +97,19 @@ def shingle_rows(
                 bucket = (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
                 at = np.searchsorted(ids, bucket)
                 at[at == len(ids)] = 0
-                weight = np.where(ids[at] == bucket, logs[at], 0.0) if len(ids) else np.zeros(len(bucket))
-                run_ = np.concatenate([[0.0], np.cumsum(weight)])
+                weight = np.where(ids[at] == bucket, logs[at], 0) if len(ids) else np.zeros(len(bucket), np.int64)
+                run_ = np.concatenate([[0], np.cumsum(weight)])
                 size, node, prefix, sketch = [], [], [], []
                 for a, b in zip(words[:-1].tolist(), words[1:].tolist(), strict=True):
                     keys = windows_of(hashes[a:b], width)
                     wide = min(width, b - a)
-                    common = run_[a + wide : b + 1] - run_[a : b + 1 - wide] if b > a else np.zeros(0)
+                    common = run_[a + wide : b + 1] - run_[a : b + 1 - wide] if b > a else np.zeros(0, np.int64)
                     keys, first = np.unique(keys, return_index=True)
                     n = len(keys)
                     size.append(n)
                     node.append(hashlib.md5(keys.tobytes()).digest())
                     least = ceil_div(percent * n, 100)
-                    order = np.lexsort((keys, np.round(common[first], 3)))[: n - least + 1] if n else []
+                    order = np.lexsort((keys, common[first]))[: n - least + 1] if n else []
                     prefix.append(keys[order].tobytes() if n else b"")
                     sketch.append(parity_sketch(keys))
                 yield pa.record_batch(
@@ -368,7 +369,8 @@ def similar_documents(
 
     Null and empty texts have no shingles, link with nothing and are their own component. Documents with equal sets
     are one node of the search. A repeated id with different texts is so many documents; a null id can be linked but
-    names a component only if all its members are null. An empty table gives an empty result; other columns are
+    names a component only if all its members are null. Where short lists hold over 512 entries together, DivideSkip
+    counts them by sorting instead of merging by a heap, with the same result. An empty table gives an empty result; other columns are
     ignored.
     """
     kind = dict(docs.dtypes)["doc_id"]
@@ -412,7 +414,8 @@ def similar_documents(
     roots = components(links, "overlap-roots")
     named = rows.select("doc_id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = settle(named.select("doc_id", "n", F.when(F.col("n") > 0, F.col("root")).alias("root")), "overlap-named")
-    smallest = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join has nothing but two exchanges below it and Spark can split a component of very many rows
+    smallest = settle(named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), "overlap-smallest")
     return named.join(smallest, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
