@@ -459,6 +459,14 @@ def complete(frame: DataFrame, design: Design) -> DataFrame:
     return frame
 
 
+def training_rows(frame: DataFrame, by: Sequence[str] = ("station",), design: Design = Design()) -> DataFrame:
+    """Rows of each series, and how many of them lack ``y`` or a regressor and so neither train nor are scored."""
+    lacking = F.lit(False)
+    for name in ("y", *design.regressors):
+        lacking = lacking | F.col(name).isNull()
+    return frame.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(lacking).alias("left_out"))
+
+
 def fit_panel(
     frame: DataFrame,
     by: Sequence[str] = ("station",),

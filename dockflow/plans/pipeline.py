@@ -171,8 +171,12 @@ def save_explore(spark: SparkSession, config: PipelineConfig) -> None:
 
 
 def run_train(spark: SparkSession, config: PipelineConfig) -> None:
-    """Fit and evaluate every setting for every station; register, keep and stage each station's best model."""
+    """Fit and evaluate every setting for every station; register, keep and stage each station's best model.
+
+    ``model_metrics`` has all measures of every setting, ``training_rows`` the rows that could not be used.
+    """
     frame = flows.to_model_frame(read_table(spark, config.path("silver_weather_trip"), config.fmt))
+    _save(forecast.training_rows(frame, ["station"], config.design), config, "training_rows")
     scheme = {"initial": config.initial, "horizon": config.horizon, "period": config.period}
     fitted = forecast.fit_panel(frame, ["station"], config.grid, config.design, folds=True, **scheme)
     models = _save(fitted, config, "models")

@@ -99,6 +99,24 @@ def test_models_are_scored_registered_and_staged(spark, config):
     assert rows(staged, "station", "stage", "model_version") == [("North", "Staging", 1), ("South", "Staging", 1)]
 
 
+def test_every_setting_has_all_measures_and_unused_rows_are_counted(spark, config):
+    metrics = table(spark, config, "model_metrics")
+    for name in evaluation.METRICS:
+        assert metrics.where(f"{name} is null").count() == 0, name
+    chosen = table(spark, config, "chosen_metrics")
+    assert rows(chosen, "station", "mdape") == rows(metrics.where("setting_id = 0"), "station", "mdape")
+    held_out = evaluation.forecast_metrics(table(spark, config, "cv_predictions"), ["station"]).collect()
+    for r in held_out:
+        want = chosen.where(f"station = '{r.station}'").first()
+        assert [r[m] for m in evaluation.METRICS] == pytest.approx([want[m] for m in evaluation.METRICS])
+    assert {r.left_out for r in table(spark, config, "training_rows").collect()} == {0}
+    gap = spark.createDataFrame([("A", 1.0, 2.0), ("A", None, 2.0), ("A", 1.0, None), ("B", None, None)], "station string, y double, avg_temp double")
+    design = forecast.Design(regressors=("avg_temp",))
+    assert rows(forecast.training_rows(gap, ["station"], design)) == [("A", 3, 2), ("B", 1, 1)]
+    compared = table(spark, config, "stage_difference").collect()
+    assert all(r.low <= r.difference <= r.high for r in compared)
+
+
 def test_gold_and_outlook(spark, config):
     gold = table(spark, config, "gold_data")
     # Reports from 06:30 to 10:30 fall into five clock hours.
