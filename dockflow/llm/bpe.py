@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from dockflow.llm.common import column_text, slices
 
 _SEGMENT = re.compile(r"(?<=\S)(?= )")
-_KEPT = 300_000
+_KEPT = 150_000
 _LONGEST_KEPT = 64
 _HASH = xxhash.xxh3_64_intdigest
 
@@ -151,6 +151,7 @@ class Encoder:
     pattern: str
     whole: PerfectHash = field(init=False)
     kept: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.whole = PerfectHash.of(self.ranks)
@@ -166,16 +167,21 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def segment(self, text: str) -> bytes:
+        known = self.older.get(text)
+        if known:
+            return self._keep(text, known)
         # ASCII letters after at most one space are one pre-token
         if text.isascii() and text[text[0] == " " :].isalpha():
             return self._keep(text, self.piece(text))
-        kept, piece = self.kept.get, self.piece
-        packed = b"".join([kept(p) or self._keep(p, piece(p)) for p in self.compiled.findall(text)])
+        kept, older, piece = self.kept.get, self.older.get, self.piece
+        packed = b"".join([kept(p) or self._keep(p, older(p) or piece(p)) for p in self.compiled.findall(text)])
         return self._keep(text, packed)
 
     def _keep(self, text: str, packed: bytes) -> bytes:
+        """Keep what was encoded; of what was kept before, what is asked for again goes on, the rest goes in its turn."""
         if len(text) <= _LONGEST_KEPT:
             if len(self.kept) >= _KEPT:
+                self.older = dict(self.kept)
                 self.kept.clear()
             self.kept[text] = packed
         return packed
