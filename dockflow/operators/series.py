@@ -168,7 +168,7 @@ def exact_percentiles(
 
     The built-in exact ``percentile`` keeps every distinct value of a group in one task's memory. Here a first pass
     makes a quantile sketch of each group, which says between which values a wanted rank lies; give ``sketches``, one
-    row per group with :func:`sketch_columns`, to spare it. A second pass counts what is below, and counts equal values
+    row per group with :func:`sketch_columns` and better a written table, to spare it. A second pass counts what is below, and counts equal values
     together only between: well under one percent of the rows are ordered and written, by narrow value slices if they
     are still many. A rank that a sketch missed is looked for again between wider bounds, so results are exact.
 
@@ -179,13 +179,13 @@ def exact_percentiles(
     keys = by or ["_all"]
     rows = df.select(*(by or [F.lit(0).alias("_all")]), F.col(value).cast("double").alias("_value")).where(F.col("_value").isNotNull())
     if sketches is None:
-        sketches = rows.groupBy(*keys).agg(*sketch_columns(F.col("_value"), k))
+        sketches = settle(rows.groupBy(*keys).agg(*sketch_columns(F.col("_value"), k)), "percentile-sketches")
     elif not by:
         sketches = sketches.withColumn("_all", F.lit(0))
-    sketches = settle(sketches.select(*keys, "_rows", "_plain", "_sketch"), "percentile-sketches")
+    sketches = sketches.select(*keys, "_rows", "_plain", "_sketch")
     parts, slack = [], 2.0
     while True:
-        bounds = settle(_brackets(sketches, keys, probabilities, k, slack), "percentile-bounds")
+        bounds = _brackets(sketches, keys, probabilities, k, slack)
         found = settle(_ranked_values(rows, bounds, keys, grain), "percentile-ranks")
         whole = F.size("_at") == F.size(F.array_distinct(F.flatten(F.transform("_wanted", lambda w: F.array(w["first"], w["last"])))))
         parts.append(found.where(whole))
