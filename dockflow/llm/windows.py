@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from numpy.lib.stride_tricks import sliding_window_view
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow.llm.common import mixed, settle, slices, text_bytes, windows_of, word_hashes, word_spans
@@ -14,11 +18,15 @@ from dockflow.llm.common import mixed, settle, slices, text_bytes, windows_of, w
 SHINGLE = 5
 FUNCTIONS = 4
 CHUNK = 128
+FEW = 4
+NEAR = 100
 SEGMENT_BYTES = 4 << 20
 _LINK = "doc long, other long, fn int, at int, shift int, left int, right int"
 _ROW = ["signature", "doc", "fn", "at", "left", "right"]
 _ROW_DDL = "signature long, doc long, fn int, at int, left int, right int"
 _RUN, _SPAN = -1, -2
+_ANCHOR = ["anchor", "doc", "at", "left", "right", "ahead", "behind", "around"]
+_ANCHOR_DDL = "anchor long, doc long, at int, left int, right int, ahead long, behind long, around long"
 
 
 def compact_windows(values: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -97,8 +105,8 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Rows come ordered by signature and document. Of an unfinished signature at most five rows are carried on, so a
     signature that a third of all documents share streams through. Up to three windows all meet each other. Windows
-    of the first function whose signature has more are also given out as they are (``_SPAN``): having the minimum in
-    common does not mean having the passage in common, so those are joined again by their runs of shingles.
+    whose signature has more are also given out as they are (``_SPAN``): having the minimum in common does not mean
+    having the passage in common, so those are joined again by the anchors around their centres.
     """
     carry = np.zeros((0, 6), np.int64)
     for batch in batches:
@@ -126,7 +134,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other = np.concatenate([first[later], before[chained]])
         a, b = rows[mine], rows[other]
         out = [a[:, 1], b[:, 1], a[:, 2], a[:, 3], b[:, 3] - a[:, 3], np.minimum(a[:, 4], b[:, 4]), np.minimum(a[:, 5], b[:, 5])]
-        many = (index >= kept) & (index - first >= 3) & (rows[:, 2] == 0)
+        many = (index >= kept) & (index - first >= 3) & (rows[:, 2] >= 0)
         fourth = index[many & (index - first == 3)]
         spans = rows[np.concatenate([index[many], fourth - 1, fourth - 2, fourth - 3])]
         kind = np.full(len(spans), _SPAN)
@@ -153,38 +161,173 @@ def run_hashes(shingles: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
-def _runs(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row for each run of ``least`` shingles of the wanted windows that holds the window's centre.
+def anchor_shape(least: int, share: float) -> tuple[int, int, int]:
+    """(size, every, need): what two passages of ``least`` shingles with a similarity of ``share`` have in common.
 
-    Any run is in one window of a function that way, at the same distance from its centre in every text.
+    They have ``need`` shingles in common. A change of one word breaks as many shingles as a shingle has words, one
+    fewer where a word is left out, so few changes fit in and one common run is long. The smallest hash of ``every``
+    neighbouring runs of ``size`` shingles is an anchor: each common run of that length holds an anchor of both texts,
+    and so do the first and the last places of a common run of ``least`` shingles.
     """
+    need = min(least, math.ceil(2 * least * share / (1 + share) - 1e-9))
+    longest = -(-need // ((least - need) // (SHINGLE - 1) + 1))
+    every = max(1, min(6, longest // 3, least - need + 1))
+    return longest - every + 1, every, need
+
+
+def _anchors(least: int, share: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row for each anchor that a passage of ``least`` shingles around the centre of a wanted window may hold.
+
+    ``left`` and ``right`` are the widest extents of the windows it is in; ``ahead`` and ``behind`` the hashes of the
+    runs of ``need`` shingles that begin and end with the anchor, 0 where the text is too short; ``around`` that of all
+    shingles that a passage of ``least`` with the anchor may have.
+    """
+    size, every, need = anchor_shape(least, share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 out: list[np.ndarray] = []
                 held = 0
-                for doc, shingles, wanted in zip(part.column("doc").to_pylist(), _shingles(part), part.column("wanted").to_pylist(), strict=True):
-                    runs = run_hashes(shingles, least).view(np.int64)
-                    for w in wanted:
-                        found = runs[max(w["at"] - w["left"], w["at"] - least + 1) : min(w["at"], w["at"] + w["right"] - least) + 1]
-                        rows = np.empty((len(found), 6), np.int64)
-                        rows[:, 0] = found
-                        rows[:, 1:] = (doc, _RUN, w["at"], w["left"], w["right"])
-                        out.append(rows)
-                        held += len(found)
-                        if held > 100_000:
-                            yield _run_batch(out)
-                            out, held = [], 0
-                yield _run_batch(out)
+                wanted = part.column("wanted")
+                ends = np.cumsum(pc.list_value_length(wanted).to_numpy(zero_copy_only=False)).tolist()
+                centre, left, right = (wanted.flatten().field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "left", "right"))
+                left, right = centre - left, centre + right
+                for doc, shingles, begin, end in zip(part.column("doc").to_pylist(), _shingles(part), [0, *ends[:-1]], ends, strict=True):
+                    keys = mixed(run_hashes(shingles, size))
+                    at = np.unique(np.arange(len(keys) - every + 1) + sliding_window_view(keys, every).argmin(axis=1))
+                    own = slice(begin, end)
+                    first = np.searchsorted(at, np.maximum(left[own], centre[own] - least + 1))
+                    count = np.maximum(np.searchsorted(at, np.minimum(right[own], centre[own] + least) - size, "right") - first, 0)
+                    place = np.arange(int(count.sum())) + np.repeat(first - np.cumsum(count) + count, count)
+                    low, high = np.full(len(at), len(shingles)), np.zeros(len(at), np.int64)
+                    np.minimum.at(low, place, np.repeat(left[own], count))
+                    np.maximum.at(high, place, np.repeat(right[own], count))
+                    at, low, high = (x[high > 0] for x in (at, low, high))
+                    runs = run_hashes(shingles, need).view(np.int64)
+                    rows = np.empty((len(at), 8), np.int64)
+                    rows[:, 0], rows[:, 1], rows[:, 2] = keys[at].view(np.int64), doc, at
+                    rows[:, 3], rows[:, 4] = at - low, high - at
+                    rows[:, 5] = np.where(at + need <= len(shingles), runs[np.minimum(at, len(runs) - 1)], 0)
+                    rows[:, 6] = np.where(at + size >= need, runs[np.maximum(at + size - need, 0)], 0)
+                    edge = np.zeros(least, np.uint64)
+                    wide = run_hashes(np.concatenate([edge, shingles, edge]), least)
+                    rows[:, 7] = mixed(wide[at + least] * np.uint64(0xC2B2AE3D27D4EB4F) + wide[at + size]).view(np.int64)
+                    # where words repeat over and over, the first and last of equal anchors side by side tell its place
+                    inner = np.zeros(len(at), bool)
+                    inner[1:-1] = (rows[1:-1, 0] == rows[:-2, 0]) & (rows[1:-1, 0] == rows[2:, 0])
+                    out.append(rows[~inner])
+                    held += len(at)
+                    if held > 100_000:
+                        yield _batch_of(np.vstack(out), _ANCHOR)
+                        out, held = [], 0
+                yield _batch_of(np.vstack([np.zeros((0, 8), np.int64), *out]), _ANCHOR)
 
     return run
 
 
-def _run_batch(rows: list[np.ndarray]) -> pa.RecordBatch:
-    columns = np.vstack([np.zeros((0, 6), np.int64), *rows])
-    kinds = [np.int64, np.int64, *[np.int32] * 4]
-    return pa.record_batch([pa.array(columns[:, i].astype(k)) for i, k in enumerate(kinds)], names=_ROW)
+def _batch_of(rows: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    short = {"fn", "at", "shift", "left", "right"}
+    return pa.record_batch([pa.array(rows[:, i].astype(np.int32 if c in short else np.int64)) for i, c in enumerate(names)], names=names)
+
+
+def _meet(few: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """All pairs of documents that share an anchor, without those that a longer run ties already.
+
+    Rows come ordered by anchor, document and place. The rows of anchors with more than ``few`` are given out as they
+    are (``_SPAN``).
+    """
+    names = ["doc", "other", "fn", "at", "shift", "left", "right", "anchor", "ahead", "behind", "around"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = np.zeros((0, 8), np.int64)
+        for batch in itertools.chain(batches, [None]):
+            rows = rest
+            if batch is not None:
+                rows = np.vstack([rest, np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in _ANCHOR])])
+            if not len(rows):
+                continue
+            # copies of a document have equal rows
+            fresh = np.ones(len(rows), bool)
+            fresh[1:] = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
+            rows = rows[fresh]
+            whole = len(rows) if batch is None else int(np.searchsorted(rows[:, 0], rows[-1, 0], "left"))
+            rows, rest = rows[:whole], rows[whole:]
+            if not len(rows):
+                continue
+            begin = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+            sizes = np.diff(np.append(begin, len(rows)))
+            size = np.repeat(sizes, sizes)
+            place = np.arange(len(rows)) - np.repeat(begin, sizes)
+            spans = rows[size > few]
+            zero = np.zeros(len(spans), np.int64)
+            out = [np.column_stack([spans[:, 1], spans[:, 1], zero + _SPAN, spans[:, 2], zero, spans[:, 3], spans[:, 4], spans[:, 0], spans[:, 5], spans[:, 6], spans[:, 7]])]
+            for back in range(1, few):
+                mine = np.flatnonzero((size <= few) & (place >= back))
+                a, b = rows[mine], rows[mine - back]
+                tied = ((a[:, 5:7] == b[:, 5:7]) & (a[:, 5:7] != 0)).any(axis=1)
+                kept = (a[:, 1] != b[:, 1]) & ~tied
+                a, b = a[kept], b[kept]
+                zero = np.zeros(len(a), np.int64)
+                out.append(np.column_stack([a[:, 1], b[:, 1], zero + _RUN, a[:, 2], b[:, 2] - a[:, 2], np.minimum(a[:, 3], b[:, 3]), np.minimum(a[:, 4], b[:, 4]), zero, zero, zero, zero]))
+            yield _batch_of(np.vstack(out), names)
+
+    return run
+
+
+def _classes(spans: DataFrame, least: int, share: float) -> DataFrame:
+    """(anchor, class, doc, place, around, left, right): the documents that hold an anchor of many, by the runs of ``need`` shingles around it.
+
+    Of the first documents of the runs that others share, in reach of its anchor, each document goes to the smallest, that
+    one to its own, and so on: documents of a class are tied there by exact runs, which are joined elsewhere. One without
+    a shared run is a class alone.
+    """
+    size, _, need = anchor_shape(least, share)
+    runs = spans.select(
+        "doc",
+        F.explode(F.array(F.struct(F.col("ahead").alias("run"), F.col("at").alias("place")), F.struct(F.col("behind").alias("run"), (F.col("at") + size - need).alias("place")))).alias("r"),
+    )
+    runs = runs.select("doc", "r.*").filter(F.col("run") != 0).distinct()
+    shared = runs.groupBy("run").agg(F.min("doc").alias("head"), F.max("doc").alias("last")).filter(F.col("head") != F.col("last"))
+    ties = runs.join(shared, "run").select("doc", "place", "head")
+    both = spans.select("doc", F.col("at").alias("place"), "anchor", "around", "left", "right").unionByName(ties, allowMissingColumns=True)
+    near = Window.partitionBy("doc").orderBy("place").rangeBetween(size - need - NEAR, NEAR)
+    tied = settle(both.withColumn("head", F.min("head").over(near)).filter(F.col("anchor").isNotNull()), "passage-ties")
+    up = tied.groupBy("anchor", "doc").agg(F.min("head").alias("up")).filter(F.col("up") < F.col("doc"))
+    while True:
+        up = settle(up, "passage-roots")
+        next_up = up.select("anchor", F.col("doc").alias("up"), F.col("up").alias("next"))
+        if up.join(next_up, ["anchor", "up"], "left_semi").isEmpty():
+            break
+        up = up.join(next_up, ["anchor", "up"], "left").select("anchor", "doc", F.coalesce("next", "up").alias("up"))
+    return tied.join(up, ["anchor", "doc"], "left").withColumn("class", F.coalesce("up", "doc"))
+
+
+def _members(classes: DataFrame) -> DataFrame:
+    """(anchor, class, one, members): documents equal wherever a passage may reach are one member, ``one`` is the smallest."""
+    equal = classes.groupBy("anchor", "class", "around").agg(F.min(F.struct("doc", "place", "left", "right")).alias("member"))
+    return equal.groupBy("anchor", "class").agg(F.min("member").alias("one"), F.collect_list("member").alias("members"))
+
+
+def _between(members: DataFrame) -> DataFrame:
+    """Pairs of classes of an anchor, with their smallest documents as ``doc`` and ``other``."""
+    a, b = (members.select("anchor", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "one", "members"))) for side in "ab")
+    pairs = a.join(b, "anchor").filter(F.col("one_a.doc") > F.col("one_b.doc"))
+    return pairs.withColumn("doc", F.col("one_a.doc")).withColumn("other", F.col("one_b.doc"))
+
+
+def _joined(pairs: DataFrame) -> DataFrame:
+    """Links of (a, b), two places of an anchor."""
+    pairs = pairs.filter(F.col("a.doc") != F.col("b.doc")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return pairs.select(
+        F.col("a.doc").alias("doc"),
+        F.col("b.doc").alias("other"),
+        F.lit(_RUN).alias("fn"),
+        F.col("a.place").alias("at"),
+        (F.col("b.place") - F.col("a.place")).alias("shift"),
+        F.least("a.left", "b.left").alias("left"),
+        F.least("a.right", "b.right").alias("right"),
+    )
 
 
 def _regions(least: int, enough: int, drift: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -328,6 +471,30 @@ def _verify(least: int, share: float) -> Callable[[Iterator[pa.RecordBatch]], It
     return run
 
 
+def _compared(texts: DataFrame, links: DataFrame, least: int, share: float, enough: int, drift: int) -> DataFrame:
+    """(doc, other, bounds, similarity) of the passages that the documents of the links have in common."""
+    paired = links.groupBy("doc", "other").agg(F.collect_list(F.struct("fn", "at", "shift", "left", "right")).alias("pairs"))
+    regions = paired.mapInArrow(_regions(least, enough, drift), "doc long, other long, start long, stop long, other_start long, other_stop long")
+    regions = settle(regions.withColumn("pair", F.monotonically_increasing_id()), "passage-regions")
+    wanted = regions.select(
+        F.explode(
+            F.array(
+                F.struct("doc", "pair", F.lit(0).alias("side"), F.greatest(F.col("start"), F.lit(0)).alias("start"), "stop"),
+                F.struct(F.col("other").alias("doc"), "pair", F.lit(1).alias("side"), F.greatest(F.col("other_start"), F.lit(0)).alias("start"), F.col("other_stop").alias("stop")),
+            )
+        ).alias("w")
+    )
+    wanted = _by_document(wanted.select("w.*"), ["pair", "side", "start", "stop"])
+    read = texts.select("doc", "text").join(wanted, "doc").select("text", "wanted").mapInArrow(_segments, "pair long, side int, start long, segment binary")
+    both = read.groupBy("pair").agg(
+        F.max(F.when(F.col("side") == 0, F.struct("start", "segment"))).alias("a"), F.max(F.when(F.col("side") == 1, F.struct("start", "segment"))).alias("b")
+    )
+    verified = both.select("pair", F.col("a.start").alias("start"), F.col("a.segment").alias("segment"), F.col("b.start").alias("other_start"), F.col("b.segment").alias("other_segment")).mapInArrow(
+        _verify(least, share), "pair long, start_word long, end_word long, other_start long, other_end long, similarity double"
+    )
+    return verified.join(regions.select("pair", "doc", "other"), "pair").drop("pair")
+
+
 def repeated_passages(
     docs: DataFrame, words: int = 50, share: float = 0.8, functions: int = FUNCTIONS, enough: int = 1, drift: int = 16
 ) -> DataFrame:
@@ -350,36 +517,34 @@ def repeated_passages(
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("doc", F.xxhash64("text"))
     linked = lambda rows: rows.repartition("signature").sortWithinPartitions("signature", "fn", "doc", "at").mapInArrow(_links, _LINK)
     links = settle(linked(texts.select("doc", "text").mapInArrow(_windows(least, functions), _ROW_DDL)), "passage-links")
-    spans = _by_document(links.filter(F.col("fn") == _SPAN).select("doc", "at", "left", "right").distinct(), ["at", "left", "right"])
-    runs = texts.select("doc", "text").join(spans, "doc").select("doc", "text", "wanted").mapInArrow(_runs(least), _ROW_DDL)
-    links = links.filter(F.col("fn") >= 0).unionByName(linked(runs).distinct())
-    paired = links.groupBy("doc", "other").agg(F.collect_list(F.struct("fn", "at", "shift", "left", "right")).alias("pairs"))
-    regions = paired.mapInArrow(_regions(least, enough, drift), "doc long, other long, start long, stop long, other_start long, other_stop long")
-    regions = settle(regions.withColumn("pair", F.monotonically_increasing_id()), "passage-regions")
-    wanted = regions.select(
-        F.explode(
-            F.array(
-                F.struct("doc", "pair", F.lit(0).alias("side"), F.greatest(F.col("start"), F.lit(0)).alias("start"), "stop"),
-                F.struct(F.col("other").alias("doc"), "pair", F.lit(1).alias("side"), F.greatest(F.col("other_start"), F.lit(0)).alias("start"), F.col("other_stop").alias("stop")),
-            )
-        ).alias("w")
-    )
-    wanted = _by_document(wanted.select("w.*"), ["pair", "side", "start", "stop"])
-    read = texts.select("doc", "text").join(wanted, "doc").select("text", "wanted").mapInArrow(_segments, "pair long, side int, start long, segment binary")
-    both = read.groupBy("pair").agg(
-        F.max(F.when(F.col("side") == 0, F.struct("start", "segment"))).alias("a"), F.max(F.when(F.col("side") == 1, F.struct("start", "segment"))).alias("b")
-    )
-    verified = both.select("pair", F.col("a.start").alias("start"), F.col("a.segment").alias("segment"), F.col("b.start").alias("other_start"), F.col("b.segment").alias("other_segment")).mapInArrow(
-        _verify(least, share), "pair long, start_word long, end_word long, other_start long, other_end long, similarity double"
+    spans = _by_document(links.filter(F.col("fn") == _SPAN).select("doc", "at", "left", "right").distinct(), ["at", "left", "right"], chunk=1 << 40)
+    anchors = settle(texts.select("doc", "text").join(spans, "doc").select("doc", "text", "wanted").mapInArrow(_anchors(least, share), _ANCHOR_DDL), "passage-anchors")
+    runs = anchors.select(F.explode(F.array("ahead", "behind")).alias("signature"), "doc", F.lit(_RUN).alias("fn"), "at", "left", "right").filter(F.col("signature") != 0)
+    met = settle(
+        anchors.repartition("anchor").sortWithinPartitions("anchor", "doc", "at").mapInArrow(_meet(FEW), _LINK + ", anchor long, ahead long, behind long, around long"), "passage-anchors-met"
     )
+    names = links.columns
+    links = links.filter(F.col("fn") >= 0).unionByName(linked(runs)).unionByName(met.filter(F.col("fn") == _RUN).select(*names))
+    classes = settle(_classes(met.filter(F.col("fn") == _SPAN), least, share), "passage-classes")
+    between = settle(_between(_members(classes)), "passage-class-pairs")
+    links = links.unionByName(_joined(between.select(F.col("one_a").alias("a"), F.col("one_b").alias("b")))).distinct()
+    found = settle(_compared(texts, links, least, share, enough, drift), "passages-found")
+    # classes that no pair of their documents ties yet: where the smallest are not alike, others may be
+    pairs = found.select("doc", "other").distinct()
+    a, b = (classes.select("anchor", F.col("doc").alias(name), F.col("class").alias(f"class_{name}")).distinct() for name in ("doc", "other"))
+    tied = pairs.join(a, "doc").join(b, ["anchor", "other"]).select("anchor", F.greatest("class_doc", "class_other").alias("upper"), F.least("class_doc", "class_other").alias("lower"))
+    apart = between.withColumn("upper", F.greatest("class_a", "class_b")).withColumn("lower", F.least("class_a", "class_b"))
+    apart = apart.filter((F.size("members_a") > 1) | (F.size("members_b") > 1)).join(tied.distinct(), ["anchor", "upper", "lower"], "left_anti")
+    apart = apart.select(F.explode("members_a").alias("a"), "members_b").select("a", F.explode("members_b").alias("b"))
+    more = _joined(apart).distinct().join(pairs, ["doc", "other"], "left_anti").select(*names)
+    found = found.unionByName(settle(_compared(texts, more, least, share, enough, drift), "passages-found"))
     heads = settle(
         texts.select("doc", "doc_id", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_words")).distinct(),
         "passage-documents",
     )
     ids = heads.groupBy("doc").agg(F.min("doc_id").alias("head"))
     named = (
-        verified.join(regions.select("pair", "doc", "other"), "pair")
-        .join(ids.select("doc", F.col("head").alias("doc_id")), "doc")
+        found.join(ids.select("doc", F.col("head").alias("doc_id")), "doc")
         .join(ids.select(F.col("doc").alias("other"), F.col("head").alias("other_id")), "other")
     )
     copies = heads.filter(F.col("n_words") >= words).join(ids, "doc").filter(~F.col("doc_id").eqNullSafe(F.col("head")))

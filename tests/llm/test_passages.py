@@ -106,3 +106,20 @@ def test_a_passage_need_not_be_unbroken_on_its_longer_side():
         edited = [*words[:place], "changed", *words[place + 1 :]]
         a, b = (np.array([hash(s) & 0xFFFFFFFF for s in (tuple(x[k : k + 5]) for k in range(len(x) - 4))], np.uint32) for x in (words, edited))
         assert [round(x[-1], 2) >= 0.8 for x in windows.common_passages(a, b, 46, 0.8)] == [True]
+
+
+def test_edited_passages_meet_where_many_documents_share_a_phrase(documents):
+    # edited pairs, each around the phrase of all: neither the first document of a minimum nor the one before is the other
+    stock = prose(56, 24, 100000).split()
+    rows = []
+    for k in range(60):
+        passage = [*prose(120000 + k, 20, 100000).split(), *stock, *prose(130000 + k, 16, 100000).split()]
+        for j in (0, 1):
+            words = list(passage)
+            if j:
+                words[12] = "changed"
+            rows.append((2 * k + j, " ".join([prose(140000 + 2 * k + j, 30, 100000), *words, prose(150000 + 2 * k + j, 30, 100000)])))
+    random.Random(5).shuffle(rows)
+    got = {tuple(sorted((r["doc_id"], r["other_id"]))) for r in windows.repeated_passages(documents(rows)).collect()}
+    missed = [k for k in range(60) if (2 * k, 2 * k + 1) not in got]
+    assert not missed
