@@ -56,8 +56,13 @@ class PerfectHash:
                 break
             seed = 1
             while True:
-                at = [_HASH(k, seed) % n for k in held]
-                if len(set(at)) == len(at) and all(keys[i] is None for i in at):
+                at = []
+                for k in held:
+                    i = _HASH(k, seed) % n
+                    if keys[i] is not None or i in at:
+                        break
+                    at.append(i)
+                if len(at) == len(held):
                     break
                 seed += 1
             for k, i in zip(held, at, strict=True):
@@ -97,7 +102,12 @@ def joins(ranks: dict[bytes, int]) -> dict[int, int]:
     return out
 
 
-def merge(piece: bytes, ranks: dict[bytes, int], joined: dict[int, int] | None = None) -> list[int]:
+def single_bytes(ranks: dict[bytes, int]) -> list[int | None]:
+    """The id of each byte."""
+    return [ranks.get(bytes([i])) for i in range(256)]
+
+
+def merge(piece: bytes, ranks: dict[bytes, int], joined: dict[int, int] | None = None, single: list[int | None] | None = None) -> list[int]:
     """Merge the bytes of one pre-token: lowest rank first, leftmost of equals, over a linked list with a heap.
 
     A heap entry is one number made of the rank, the place and the end of what would be merged. ``ids`` holds the token
@@ -109,14 +119,9 @@ def merge(piece: bytes, ranks: dict[bytes, int], joined: dict[int, int] | None =
     square = base * base
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    ids = [ranks[piece[i : i + 1]] for i in range(n)]
-    heap = []
-    left = -1
-    for i, right in enumerate(ids):
-        rank = get(left * _WIDE + right)
-        if rank is not None:
-            heap.append(rank * square + (i - 1) * base + i + 1)
-        left = right
+    single = single or single_bytes(ranks)
+    ids = [single[b] for b in piece]
+    heap = [rank * square + i * base + i + 2 for i, (left, right) in enumerate(zip(ids, ids[1:])) if (rank := get(left * _WIDE + right)) is not None]
     heapq.heapify(heap)
     pop, push = heapq.heappop, heapq.heappush
     while heap:
@@ -156,14 +161,16 @@ class Encoder:
     def __post_init__(self) -> None:
         self.whole = PerfectHash.of(self.ranks)
         self.compiled = regex.compile(self.pattern)
-        self.pieces = {v: k for k, v in self.ranks.items()}
+        pieces = {v: k for k, v in self.ranks.items()}
+        self.tokens = pa.array([pieces.get(i) for i in range(max(pieces, default=-1) + 1)], pa.binary())
         self.joined = joins(self.ranks)
+        self.single = single_bytes(self.ranks)
 
     def piece(self, piece: str) -> bytes:
         """Ids of one pre-token: the whole of it if the vocabulary has it, else its merged bytes."""
         raw = piece.encode()
         known = self.whole.get(raw)
-        ids = merge(raw, self.ranks, self.joined) if known is None else [known]
+        ids = merge(raw, self.ranks, self.joined, self.single) if known is None else [known]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def segment(self, text: str) -> bytes:
@@ -192,7 +199,18 @@ class Encoder:
         return b"".join([kept(s) or segment(s) for s in _SEGMENT.split(text)]) if text else b""
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.decode_all([ids])[0].as_py()
+
+    def decode_all(self, ids: list[bytes]) -> pa.Array:
+        """The bytes of each list of ids: the tokens of all lists are put side by side at once, then cut by list."""
+        tokens = np.frombuffer(b"".join(ids), "<u4")
+        taken = self.tokens.take(pa.array(tokens))
+        if taken.null_count:
+            raise KeyError("an id without a token")
+        _, offsets, body = pa.concat_arrays([taken, pa.array([b""], pa.binary())]).buffers()
+        ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
+        cuts = np.frombuffer(offsets, np.int32)[ends]
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(np.ascontiguousarray(cuts)), body])
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -216,7 +234,7 @@ def _run(path: str, pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                         part.column("doc_id"),
                         pa.array([len(x) // 4 for x in ids], pa.int64()),
                         pa.array(ids, pa.binary()),
-                        pa.array([coder.decode(x) for x in ids], pa.binary()),
+                        coder.decode_all(ids),
                     ],
                     names=["doc_id", "n_tokens", "ids", "decoded"],
                 )

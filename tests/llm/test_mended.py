@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from dockflow.llm import cascade, fingerprints, passages
+from dockflow.llm import bpe, cascade, fingerprints, passages
 from dockflow.llm.token_cache import cached_counts, counter, new_cache
 
 
@@ -157,3 +157,12 @@ def test_peeling_returns_the_digests_of_each_side(spark, documents):
     for r in got.collect():
         a, b = digests[r.doc_id]
         assert (r.removed, r.added) == (text(a - b), text(b - a))
+
+
+def test_ids_of_a_batch_are_decoded_at_once():
+    coder = bpe.Encoder({bytes([i]): i for i in range(256)} | {b"ab": 256, b"abab": 257}, r"\S+|\s+")
+    texts = ["abab ab", "", "aabé", "b" * 70]
+    ids = [coder.encode(t) for t in texts]
+    assert np.frombuffer(ids[0], "<u4").tolist() == [257, 32, 256] and np.frombuffer(ids[2], "<u4").tolist() == [97, 256, 195, 169]
+    assert coder.decode_all(ids).to_pylist() == [t.encode() for t in texts]
+    assert coder.decode_all([]).to_pylist() == [] and coder.decode(b"") == b""
