@@ -507,8 +507,8 @@ def repeated_passages(
     once, as its smallest id; each copy of at least ``words`` words has a row for the whole text.
 
     A passage repeated word for word has the same minimum in both texts under every hash function. Where more than
-    three windows share a minimum, which may lie in a stock phrase, the runs of as many shingles as a passage needs
-    are joined in the same way, so all documents with that very run are tied. An edited passage is a candidate if
+    three windows share a minimum, which may lie in a stock phrase, anchors and runs around
+    their centres are joined too (``_meet``, ``_classes``); pairs inside a class are not expanded. An edited passage is a candidate if
     ``enough`` of ``functions`` bring its two windows together. Null, empty and short texts have no passages. Rows
     that repeat an id and text are one document; a null id is reported as null. An empty table gives an empty
     result; other columns are ignored. Documents are told apart by a 64-bit hash of their text.
