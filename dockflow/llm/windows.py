@@ -9,11 +9,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow.llm.common import mixed, settle, slices, text_bytes, windows_of, word_hashes, word_spans
+from dockflow.session import shuffles_dropped
 
 SHINGLE = 5
 FUNCTIONS = 4
@@ -29,6 +29,12 @@ _ANCHOR = ["anchor", "doc", "at", "left", "right", "ahead", "behind", "around"]
 _ANCHOR_DDL = "anchor long, doc long, at int, left int, right int, ahead long, behind long, around long"
 
 
+def _settled(df: DataFrame, label: str) -> DataFrame:
+    """``settle``, and what its query shuffled goes when it is written: the windows, anchors and texts move many times."""
+    with shuffles_dropped(df.sparkSession):
+        return settle(df, label)
+
+
 def compact_windows(values: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """(left, centre, right) for every subtree of the Cartesian tree of ``values`` that spans ``least`` or more."""
     found = cut_windows(values, least, np.zeros(1, np.int64), np.full(1, len(values), np.int64))
@@ -69,12 +75,21 @@ def cut_windows(values: np.ndarray, least: int, left: np.ndarray, right: np.ndar
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _shingles(part: pa.RecordBatch) -> Iterator[np.ndarray]:
+def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``count`` consecutive places from each of ``first``, one range after the other."""
+    return np.arange(int(count.sum())) + np.repeat(first - np.cumsum(count) + count, count)
+
+
+def _shingles(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all texts one after the other, and the offsets of each text's shingles among them."""
     body, ends = text_bytes(part.column("text"))
     starts, stops, words = word_spans(body, ends)
-    hashes = word_hashes(body, starts, stops, lower=True)
-    for a, b in zip(words[:-1].tolist(), words[1:].tolist(), strict=True):
-        yield windows_of(hashes[a:b], SHINGLE) if b - a >= SHINGLE else np.zeros(0, np.uint64)
+    count = np.maximum(np.diff(words) - SHINGLE + 1, 0)
+    offsets = np.concatenate([[0], np.cumsum(count)])
+    if not offsets[-1]:
+        return np.zeros(0, np.uint64), offsets
+    # runs that go on in the next text are left out
+    return windows_of(word_hashes(body, starts, stops, lower=True), SHINGLE)[_spread(words[:-1], count)], offsets
 
 
 def _windows(least: int, functions: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -84,10 +99,8 @@ def _windows(least: int, functions: int) -> Callable[[Iterator[pa.RecordBatch]],
         for batch in batches:
             for part in slices(batch, "text"):
                 docs = part.column("doc").to_numpy(zero_copy_only=False)
-                listed = list(_shingles(part))
-                stops = np.cumsum([len(x) for x in listed])
-                starts = stops - [len(x) for x in listed]
-                shingles = np.concatenate(listed)
+                shingles, offsets = _shingles(part)
+                starts, stops = offsets[:-1], offsets[1:]
                 for fn in range(functions):
                     values = mixed(shingles ^ seeds[fn])
                     left, at, right = cut_windows(values, least, starts, stops)
@@ -153,12 +166,21 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def run_hashes(shingles: np.ndarray, least: int) -> np.ndarray:
     """A hash of each run of ``least`` consecutive shingles, from hashes of runs of doubled length that overlap."""
-    out, width = shingles, 1
-    while width < least:
-        step = min(width, least - width)
-        out = mixed(mixed(out[: max(0, len(out) - step)]) * np.uint64(0xC2B2AE3D27D4EB4F) + out[step:])
-        width += step
-    return out
+    return runs_of_lengths(shingles, least)[0]
+
+
+def runs_of_lengths(shingles: np.ndarray, *lengths: int) -> list[np.ndarray]:
+    """``run_hashes`` for several lengths, which share the runs of doubled length."""
+
+    def longer(runs: np.ndarray, step: int) -> np.ndarray:
+        return mixed(mixed(runs[: max(0, len(runs) - step)]) * np.uint64(0xC2B2AE3D27D4EB4F) + runs[step:])
+
+    out, runs, width = {}, shingles, 1
+    for length in sorted(set(lengths)):
+        while 2 * width <= length:
+            runs, width = longer(runs, width), 2 * width
+        out[length] = longer(runs, length - width) if length > width else runs
+    return [out[x] for x in lengths]
 
 
 def anchor_shape(least: int, share: float) -> tuple[int, int, int]:
@@ -187,41 +209,47 @@ def _anchors(least: int, share: float) -> Callable[[Iterator[pa.RecordBatch]], I
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                out: list[np.ndarray] = []
-                held = 0
                 wanted = part.column("wanted")
-                ends = np.cumsum(pc.list_value_length(wanted).to_numpy(zero_copy_only=False)).tolist()
+                asked = pc.list_value_length(wanted).to_numpy(zero_copy_only=False)
                 centre, left, right = (wanted.flatten().field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "left", "right"))
-                left, right = centre - left, centre + right
-                for doc, shingles, begin, end in zip(part.column("doc").to_pylist(), _shingles(part), [0, *ends[:-1]], ends, strict=True):
-                    keys = mixed(run_hashes(shingles, size))
-                    at = np.unique(np.arange(len(keys) - every + 1) + sliding_window_view(keys, every).argmin(axis=1))
-                    own = slice(begin, end)
-                    first = np.searchsorted(at, np.maximum(left[own], centre[own] - least + 1))
-                    count = np.maximum(np.searchsorted(at, np.minimum(right[own], centre[own] + least) - size, "right") - first, 0)
-                    place = np.arange(int(count.sum())) + np.repeat(first - np.cumsum(count) + count, count)
-                    low, high = np.full(len(at), len(shingles)), np.zeros(len(at), np.int64)
-                    np.minimum.at(low, place, np.repeat(left[own], count))
-                    np.maximum.at(high, place, np.repeat(right[own], count))
-                    at, low, high = (x[high > 0] for x in (at, low, high))
-                    runs = run_hashes(shingles, need).view(np.int64)
-                    rows = np.empty((len(at), 8), np.int64)
-                    rows[:, 0], rows[:, 1], rows[:, 2] = keys[at].view(np.int64), doc, at
-                    rows[:, 3], rows[:, 4] = at - low, high - at
-                    rows[:, 5] = np.where(at + need <= len(shingles), runs[np.minimum(at, len(runs) - 1)], 0)
-                    rows[:, 6] = np.where(at + size >= need, runs[np.maximum(at + size - need, 0)], 0)
-                    edge = np.zeros(least, np.uint64)
-                    wide = run_hashes(np.concatenate([edge, shingles, edge]), least)
-                    rows[:, 7] = mixed(wide[at + least] * np.uint64(0xC2B2AE3D27D4EB4F) + wide[at + size]).view(np.int64)
-                    # where words repeat over and over, the first and last of equal anchors side by side tell its place
-                    inner = np.zeros(len(at), bool)
-                    inner[1:-1] = (rows[1:-1, 0] == rows[:-2, 0]) & (rows[1:-1, 0] == rows[2:, 0])
-                    out.append(rows[~inner])
-                    held += len(at)
-                    if held > 100_000:
-                        yield _batch_of(np.vstack(out), _ANCHOR)
-                        out, held = [], 0
-                yield _batch_of(np.vstack([np.zeros((0, 8), np.int64), *out]), _ANCHOR)
+                shingles, offsets = _shingles(part)
+                # all texts in a row, with room between them for a passage that would go beyond a text
+                number = np.diff(offsets)
+                begin = offsets[:-1] + least * np.arange(1, len(number) + 1)
+                end = begin + number
+                row_of = np.zeros(int(offsets[-1]) + least * (len(number) + 1), np.uint64)
+                row_of[_spread(begin, number)] = shingles
+                short, needed, wide = runs_of_lengths(row_of, size, need, least)
+                keys, needed = mixed(short), needed.view(np.int64)
+                start = _spread(begin, np.maximum(number - size - every + 2, 0))
+                lowest, back = keys[start], np.zeros(len(start), np.int64)
+                for k in range(1, every):
+                    less = keys[start + k] < lowest
+                    lowest, back = np.where(less, keys[start + k], lowest), np.where(less, k, back)
+                held = np.zeros(len(row_of), bool)
+                held[start + back] = True
+                at = np.flatnonzero(held)
+                base = np.repeat(begin, asked)
+                centre, left, right = base + centre, base + centre - left, base + centre + right
+                first = np.searchsorted(at, np.maximum(left, centre - least + 1))
+                count = np.maximum(np.searchsorted(at, np.minimum(right, centre + least) - size, "right") - first, 0)
+                place = _spread(first, count)
+                low, high = np.full(len(at), len(row_of)), np.full(len(at), -1)
+                np.minimum.at(low, place, np.repeat(left, count))
+                np.maximum.at(high, place, np.repeat(right, count))
+                at, low, high = (x[high >= 0] for x in (at, low, high))
+                doc = np.searchsorted(begin, at, "right") - 1
+                rows = np.empty((len(at), 8), np.int64)
+                rows[:, 0], rows[:, 1], rows[:, 2] = keys[at].view(np.int64), part.column("doc").to_numpy(zero_copy_only=False)[doc], at - begin[doc]
+                rows[:, 3], rows[:, 4] = at - low, high - at
+                rows[:, 5] = np.where(at + need <= end[doc], needed[at], 0)
+                rows[:, 6] = np.where(at + size - need >= begin[doc], needed[np.maximum(at + size - need, 0)], 0)
+                rows[:, 7] = mixed(wide[at] * np.uint64(0xC2B2AE3D27D4EB4F) + wide[at + size - least]).view(np.int64)
+                # where words repeat over and over, the first and last of equal anchors side by side tell its place
+                equal = (keys[at[1:]] == keys[at[:-1]]) & (doc[1:] == doc[:-1])
+                inner = np.zeros(len(at), bool)
+                inner[1:-1] = equal[1:] & equal[:-1]
+                yield _batch_of(rows[~inner], _ANCHOR)
 
     return run
 
@@ -292,10 +320,10 @@ def _classes(spans: DataFrame, least: int, share: float) -> DataFrame:
     ties = runs.join(shared, "run").select("doc", "place", "head")
     both = spans.select("doc", F.col("at").alias("place"), "anchor", "around", "left", "right").unionByName(ties, allowMissingColumns=True)
     near = Window.partitionBy("doc").orderBy("place").rangeBetween(size - need - NEAR, NEAR)
-    tied = settle(both.withColumn("head", F.min("head").over(near)).filter(F.col("anchor").isNotNull()), "passage-ties")
+    tied = _settled(both.withColumn("head", F.min("head").over(near)).filter(F.col("anchor").isNotNull()), "passage-ties")
     up = tied.groupBy("anchor", "doc").agg(F.min("head").alias("up")).filter(F.col("up") < F.col("doc"))
     while True:
-        up = settle(up, "passage-roots")
+        up = _settled(up, "passage-roots")
         next_up = up.select("anchor", F.col("doc").alias("up"), F.col("up").alias("next"))
         if up.join(next_up, ["anchor", "up"], "left_semi").isEmpty():
             break
@@ -330,6 +358,20 @@ def _joined(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _unions(owner: np.ndarray, start: np.ndarray, stop: np.ndarray, shift: np.ndarray, fn: np.ndarray, enough: int) -> np.ndarray:
+    """(owner, start, stop, other start, other stop) of the unions of overlapping intervals, which come by owner and start."""
+    if not len(owner):
+        return np.zeros((0, 5), np.int64)
+    # later owners lie beyond all intervals of earlier ones
+    room = owner * (int(stop.max() - start.min()) + 1)
+    reach = np.maximum.accumulate(stop + room)
+    begin = np.flatnonzero(np.concatenate([[True], (start + room)[1:] > reach[:-1]]) | np.concatenate([[True], owner[1:] != owner[:-1]]))
+    seen = np.bitwise_or.reduceat(np.left_shift(1, fn - _RUN), begin)
+    met = (np.bitwise_count(seen) >= enough) | (seen & 1 == 1)
+    ends = (np.maximum.reduceat(stop, begin), np.minimum.reduceat(start + shift, begin), np.maximum.reduceat(stop + shift, begin))
+    return np.column_stack([owner[begin], start[begin], *ends])[met]
+
+
 def _regions(least: int, enough: int, drift: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Join the window pairs of two documents that overlap along the text with nearly the same shift.
 
@@ -340,23 +382,36 @@ def _regions(least: int, enough: int, drift: int) -> Callable[[Iterator[pa.Recor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for doc, other, pairs in zip(*(batch.column(c).to_pylist() for c in ("doc", "other", "pairs")), strict=True):
+            pairs = batch.column("pairs")
+            count = pc.list_value_length(pairs).to_numpy(zero_copy_only=False)
+            fn, at, shift, left, right = (pairs.flatten().field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("fn", "at", "shift", "left", "right"))
+            owner = np.repeat(np.arange(len(count)), count)
+            order = np.lexsort((at, at - left, owner))
+            fn, shift, owner, start, stop = fn[order], shift[order], owner[order], (at - left)[order], (at + right)[order]
+            first = np.cumsum(count) - count
+            near = np.maximum.reduceat(shift, first) - np.minimum.reduceat(shift, first) <= drift if len(shift) else np.zeros(0, bool)
+            # all shifts of two documents are near each other: their regions are unions of intervals
+            own = near[owner]
+            rows = _unions(owner[own], start[own], stop[own], shift[own], fn[own], enough)
+            found = [rows[np.minimum(rows[:, 2] - rows[:, 1], rows[:, 4] - rows[:, 3]) >= least]]
+            for k in np.flatnonzero(~near).tolist():
+                part = slice(first[k], first[k] + count[k])
                 open_: list[list] = []
-                for p in sorted(pairs, key=lambda p: (p["at"] - p["left"], p["at"])):
-                    start, stop = p["at"] - p["left"], p["at"] + p["right"]
+                for start_, stop_, shift_, fn_ in zip(*(x[part].tolist() for x in (start, stop, shift, fn)), strict=True):
                     for r in open_:
-                        if start <= r[1] and abs(p["shift"] - r[2]) <= drift:
-                            r[1], r[2] = max(r[1], stop), p["shift"]
-                            r[3], r[4] = min(r[3], start + p["shift"]), max(r[4], stop + p["shift"])
-                            r[5].add(p["fn"])
+                        if start_ <= r[1] and abs(shift_ - r[2]) <= drift:
+                            r[1], r[2] = max(r[1], stop_), shift_
+                            r[3], r[4] = min(r[3], start_ + shift_), max(r[4], stop_ + shift_)
+                            r[5].add(fn_)
                             break
                     else:
-                        open_.append([start, stop, p["shift"], start + p["shift"], stop + p["shift"], {p["fn"]}])
+                        open_.append([start_, stop_, shift_, start_ + shift_, stop_ + shift_, {fn_}])
                 met = [r for r in open_ if len(r[5]) >= enough or _RUN in r[5]]
-                found += [(doc, other, r[0], r[1], r[3], r[4]) for r in met if min(r[1] - r[0], r[4] - r[3]) >= least]
-            columns = np.array(found, np.int64).reshape(-1, 6)
-            yield pa.record_batch([pa.array(columns[:, i]) for i in range(6)], names=names)
+                met = [(k, r[0], r[1], r[3], r[4]) for r in met if min(r[1] - r[0], r[4] - r[3]) >= least]
+                found.append(np.array(met, np.int64).reshape(-1, 5))
+            rows = np.vstack(found)
+            sides = [batch.column(c).take(pa.array(rows[:, 0])) for c in ("doc", "other")]
+            yield pa.record_batch([*sides, *(pa.array(rows[:, i]) for i in range(1, 5))], names=names)
 
     return run
 
@@ -371,8 +426,10 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             out, held = [], 0
-            for shingles, wanted in zip(_shingles(part), part.column("wanted").to_pylist(), strict=True):
-                short = shingles.astype(np.uint32)
+            shingles, offsets = _shingles(part)
+            whole = shingles.astype(np.uint32)
+            for begin, end, wanted in zip(offsets[:-1].tolist(), offsets[1:].tolist(), part.column("wanted").to_pylist(), strict=True):
+                short = whole[begin:end]
                 for w in wanted:
                     out.append((w["pair"], w["side"], w["start"], short[w["start"] : w["stop"]].tobytes()))
                     held += len(out[-1][3])
@@ -396,10 +453,18 @@ def _by_document(wanted: DataFrame, fields: list[str], chunk: int = CHUNK) -> Da
 
 def _among(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which of ``a`` are in ``b``."""
-    known = np.unique(b)
+    known = np.sort(b)
     return known[np.minimum(np.searchsorted(known, a), len(known) - 1)] == a
 
 
+def _distinct(a: np.ndarray) -> np.ndarray:
+    """``np.unique`` for short arrays, without its fixed cost."""
+    a = np.sort(a)
+    fresh = np.ones(len(a), bool)
+    np.not_equal(a[1:], a[:-1], out=fresh[1:])
+    return a[fresh]
+
+
 def _longest(hit: np.ndarray, penalty: float, least: int) -> tuple[int, int]:
     """The longest run in which hits outweigh ``penalty`` times the rest, without misses at its ends beyond ``least``.
 
@@ -436,7 +501,8 @@ def common_passages(a: np.ndarray, b: np.ndarray, least: int, share: float) -> I
     todo = [(0, len(a))]
     while todo:
         left, right = todo.pop()
-        if right - left < least:
+        # a run that is similar enough has so many hits, rounding aside
+        if right - left < least or np.count_nonzero(hit[left:right]) < share * least - 1:
             continue
         for penalty in (loose, 2 * loose, whole):
             s, e = _longest(hit[left:right], penalty, least)
@@ -446,7 +512,7 @@ def common_passages(a: np.ndarray, b: np.ndarray, least: int, share: float) -> I
             t, f = _longest(_among(b, a[s:e]), penalty, least)
             if f - t < least:
                 continue
-            x, y = np.unique(a[s:e]), np.unique(b[t:f])
+            x, y = _distinct(a[s:e]), _distinct(b[t:f])
             both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
             alike = both / (len(x) + len(y) - both)
             if alike >= share:
@@ -475,7 +541,7 @@ def _compared(texts: DataFrame, links: DataFrame, least: int, share: float, enou
     """(doc, other, bounds, similarity) of the passages that the documents of the links have in common."""
     paired = links.groupBy("doc", "other").agg(F.collect_list(F.struct("fn", "at", "shift", "left", "right")).alias("pairs"))
     regions = paired.mapInArrow(_regions(least, enough, drift), "doc long, other long, start long, stop long, other_start long, other_stop long")
-    regions = settle(regions.withColumn("pair", F.monotonically_increasing_id()), "passage-regions")
+    regions = _settled(regions.withColumn("pair", F.monotonically_increasing_id()), "passage-regions")
     wanted = regions.select(
         F.explode(
             F.array(
@@ -516,19 +582,19 @@ def repeated_passages(
     least = words - SHINGLE + 1
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("doc", F.xxhash64("text"))
     linked = lambda rows: rows.repartition("signature").sortWithinPartitions("signature", "fn", "doc", "at").mapInArrow(_links, _LINK)
-    links = settle(linked(texts.select("doc", "text").mapInArrow(_windows(least, functions), _ROW_DDL)), "passage-links")
+    links = _settled(linked(texts.select("doc", "text").mapInArrow(_windows(least, functions), _ROW_DDL)), "passage-links")
     spans = _by_document(links.filter(F.col("fn") == _SPAN).select("doc", "at", "left", "right").distinct(), ["at", "left", "right"], chunk=1 << 40)
-    anchors = settle(texts.select("doc", "text").join(spans, "doc").select("doc", "text", "wanted").mapInArrow(_anchors(least, share), _ANCHOR_DDL), "passage-anchors")
+    anchors = _settled(texts.select("doc", "text").join(spans, "doc").select("doc", "text", "wanted").mapInArrow(_anchors(least, share), _ANCHOR_DDL), "passage-anchors")
     runs = anchors.select(F.explode(F.array("ahead", "behind")).alias("signature"), "doc", F.lit(_RUN).alias("fn"), "at", "left", "right").filter(F.col("signature") != 0)
-    met = settle(
+    met = _settled(
         anchors.repartition("anchor").sortWithinPartitions("anchor", "doc", "at").mapInArrow(_meet(FEW), _LINK + ", anchor long, ahead long, behind long, around long"), "passage-anchors-met"
     )
     names = links.columns
     links = links.filter(F.col("fn") >= 0).unionByName(linked(runs)).unionByName(met.filter(F.col("fn") == _RUN).select(*names))
-    classes = settle(_classes(met.filter(F.col("fn") == _SPAN), least, share), "passage-classes")
-    between = settle(_between(_members(classes)), "passage-class-pairs")
+    classes = _settled(_classes(met.filter(F.col("fn") == _SPAN), least, share), "passage-classes")
+    between = _settled(_between(_members(classes)), "passage-class-pairs")
     links = links.unionByName(_joined(between.select(F.col("one_a").alias("a"), F.col("one_b").alias("b")))).distinct()
-    found = settle(_compared(texts, links, least, share, enough, drift), "passages-found")
+    found = _settled(_compared(texts, links, least, share, enough, drift), "passages-found")
     # classes that no pair of their documents ties yet: where the smallest are not alike, others may be
     pairs = found.select("doc", "other").distinct()
     a, b = (classes.select("anchor", F.col("doc").alias(name), F.col("class").alias(f"class_{name}")).distinct() for name in ("doc", "other"))
@@ -537,8 +603,8 @@ def repeated_passages(
     apart = apart.filter((F.size("members_a") > 1) | (F.size("members_b") > 1)).join(tied.distinct(), ["anchor", "upper", "lower"], "left_anti")
     apart = apart.select(F.explode("members_a").alias("a"), "members_b").select("a", F.explode("members_b").alias("b"))
     more = _joined(apart).distinct().join(pairs, ["doc", "other"], "left_anti").select(*names)
-    found = found.unionByName(settle(_compared(texts, more, least, share, enough, drift), "passages-found"))
-    heads = settle(
+    found = found.unionByName(_settled(_compared(texts, more, least, share, enough, drift), "passages-found"))
+    heads = _settled(
         texts.select("doc", "doc_id", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_words")).distinct(),
         "passage-documents",
     )

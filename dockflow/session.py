@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +42,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/dockflow-{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries planned in here go when their query ends, not when the driver collects its garbage.
+
+    For queries whose result is written: one that is run again from its frame shuffles again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables that this library wrote for the session's scratch folder.
 

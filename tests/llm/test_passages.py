@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dockflow.llm import windows
@@ -123,3 +124,46 @@ def test_edited_passages_meet_where_many_documents_share_a_phrase(documents):
     got = {tuple(sorted((r["doc_id"], r["other_id"]))) for r in windows.repeated_passages(documents(rows)).collect()}
     missed = [k for k in range(60) if (2 * k, 2 * k + 1) not in got]
     assert not missed
+
+
+def test_what_a_written_step_shuffled_goes_with_it(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = held.getAllFiles().size()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting, None)
+    step = windows._settled(spark.range(1000).repartition(7, "id"), "test-step")
+    until = time.monotonic() + 20
+    while held.getAllFiles().size() > before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert held.getAllFiles().size() <= before
+    assert spark.conf.get(setting, None) == was and step.count() == 1000
+
+
+def test_anchors_of_many_texts_are_those_of_each():
+    rng = np.random.Generator(np.random.PCG64(9))
+    least = 46
+    rows = []
+    for doc in range(30):
+        words = rng.integers(0, 4 if doc % 5 == 0 else 3000, int(rng.integers(60, 400)))
+        text = " ".join(f"w{x}" for x in (np.full(300, 1) if doc == 7 else words))
+        n = len(text.split()) - windows.SHINGLE + 1
+        at = rng.integers(0, n, 5)
+        rows.append((doc, text, [{"at": int(c), "left": int(min(c, 30)), "right": int(min(n - c, 50))} for c in at]))
+    wanted = pa.list_(pa.struct([(x, pa.int32()) for x in ("at", "left", "right")]))
+
+    def anchors(some):
+        batch = pa.record_batch([pa.array([r[0] for r in some]), pa.array([r[1] for r in some]), pa.array([r[2] for r in some], wanted)], names=["doc", "text", "wanted"])
+        return [tuple(x.values()) for out in windows._anchors(least, 0.8)(iter([batch])) for x in out.to_pylist()]
+
+    got = anchors(rows)
+    assert got == [x for r in rows for x in anchors([r])] and len(got) > 100
+    size, every, need = windows.anchor_shape(least, 0.8)
+    for doc, text, _ in rows:
+        part = pa.record_batch([pa.array([text])], names=["text"])
+        shingles, offsets = windows._shingles(part)
+        assert offsets.tolist() == [0, len(text.split()) - windows.SHINGLE + 1]
+        keys, runs = windows.mixed(windows.run_hashes(shingles, size)).view(np.int64), windows.run_hashes(shingles, need).view(np.int64)
+        mine = [x for x in got if x[1] == doc]
+        assert all(x[0] == keys[x[2]] for x in mine)
+        assert [x[5] for x in mine] == [int(runs[x[2]]) if x[2] + need <= len(shingles) else 0 for x in mine]
+        assert [x[6] for x in mine] == [int(runs[x[2] + size - need]) if x[2] + size >= need else 0 for x in mine]
