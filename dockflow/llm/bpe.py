@@ -8,11 +8,11 @@ each Python process.
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from heapq import heapify, heappop as pop, heappush as push
 
 import numpy as np
 import public_tokenizers
@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from dockflow.llm.common import column_text, slices
 
 _SEGMENT = re.compile(r"(?<=\S)(?= )")
+_BEHIND_SPACE = re.compile(r"\s ")
+_SIGNS = frozenset("!\"#$%&()*+,-./:;<=>?@[]^_`{|}~")
 _KEPT = 150_000
 _LONGEST_KEPT = 64
 _HASH = xxhash.xxh3_64_intdigest
@@ -83,6 +85,14 @@ class PerfectHash:
         return self.values[slot] if self.keys[slot] == key else None
 
 
+def segments(text: str) -> list[str]:
+    """Cut a text before each space that follows something else."""
+    if not text or "\0" in text or _BEHIND_SPACE.search(text):
+        return _SEGMENT.split(text)
+    cut = text.replace(" ", "\0 ").split("\0")
+    return cut if cut[0] else cut[1:]
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
@@ -115,34 +125,35 @@ def merge(piece: bytes, ranks: dict[bytes, int], joined: dict[int, int] | None =
     """
     n = len(piece)
     get = (joins(ranks) if joined is None else joined).get
-    base = n + 1
-    square = base * base
+    # a place and an end take ``wide`` bits each
+    wide = n.bit_length()
+    low, rankwise = (1 << wide) - 1, 2 * wide
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
     single = single or single_bytes(ranks)
     ids = [single[b] for b in piece]
-    heap = [rank * square + i * base + i + 2 for i, (left, right) in enumerate(zip(ids, ids[1:])) if (rank := get(left * _WIDE + right)) is not None]
-    heapq.heapify(heap)
-    pop, push = heapq.heappop, heapq.heappush
+    heap = [rank << rankwise | i << wide | i + 2 for i, (left, right) in enumerate(zip(ids, ids[1:])) if (rank := get(left << 20 | right)) is not None]
+    heapify(heap)
     while heap:
         top = pop(heap)
-        i, stop = divmod(top % square, base)
+        stop = top & low
+        i = top >> wide & low
         j = after[i]
         if j >= n or after[j] != stop:
             continue
         after[j] = n
         after[i] = stop
-        mine = ids[i] = top // square
+        mine = ids[i] = top >> rankwise
         if stop < n:
             before[stop] = i
-            rank = get(mine * _WIDE + ids[stop])
+            rank = get(mine << 20 | ids[stop])
             if rank is not None:
-                push(heap, rank * square + i * base + after[stop])
-        h = before[i]
-        if h >= 0:
-            rank = get(ids[h] * _WIDE + mine)
+                push(heap, rank << rankwise | i << wide | after[stop])
+        if i:
+            h = before[i]
+            rank = get(ids[h] << 20 | mine)
             if rank is not None:
-                push(heap, rank * square + h * base + stop)
+                push(heap, rank << rankwise | h << wide | stop)
     out, i = [], 0
     while i < n:
         out.append(ids[i])
@@ -161,6 +172,7 @@ class Encoder:
     def __post_init__(self) -> None:
         self.whole = PerfectHash.of(self.ranks)
         self.compiled = regex.compile(self.pattern)
+        self.signs_apart = self.pattern == public_tokenizers.PATTERN
         pieces = {v: k for k, v in self.ranks.items()}
         self.tokens = pa.array([pieces.get(i) for i in range(max(pieces, default=-1) + 1)], pa.binary())
         self.joined = joins(self.ranks)
@@ -177,10 +189,13 @@ class Encoder:
         known = self.older.get(text)
         if known:
             return self._keep(text, known)
-        # ASCII letters after at most one space are one pre-token
-        if text.isascii() and text[text[0] == " " :].isalpha():
+        # letters after at most one space are one pre-token, a sign behind them is another
+        word = text[text[0] == " " :]
+        if word.isalpha():
             return self._keep(text, self.piece(text))
         kept, older, piece = self.kept.get, self.older.get, self.piece
+        if self.signs_apart and word[-1:] in _SIGNS and word[:-1].isalpha():
+            return (kept(text[:-1]) or self.segment(text[:-1])) + (kept(word[-1]) or self._keep(word[-1], older(word[-1]) or piece(word[-1])))
         packed = b"".join([kept(p) or self._keep(p, older(p) or piece(p)) for p in self.compiled.findall(text)])
         return self._keep(text, packed)
 
@@ -196,7 +211,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian 32-bit integers."""
         kept, segment = self.kept.get, self.segment
-        return b"".join([kept(s) or segment(s) for s in _SEGMENT.split(text)]) if text else b""
+        return b"".join([kept(s) or segment(s) for s in segments(text)]) if text else b""
 
     def decode(self, ids: bytes) -> bytes:
         return self.decode_all([ids])[0].as_py()

@@ -166,3 +166,16 @@ def test_ids_of_a_batch_are_decoded_at_once():
     assert np.frombuffer(ids[0], "<u4").tolist() == [257, 32, 256] and np.frombuffer(ids[2], "<u4").tolist() == [97, 256, 195, 169]
     assert coder.decode_all(ids).to_pylist() == [t.encode() for t in texts]
     assert coder.decode_all([]).to_pylist() == [] and coder.decode(b"") == b""
+
+
+def test_words_with_a_sign_behind_share_the_entry_of_the_word():
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    signs = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = ["", " ", "  ", " zzqxv", "zzqxv ", "zzqxv  qy", "zzqxv\n qy", "\0 zzqxv\0 a", "zzqxv\u00a0 qy", " \u00e9\u0142zq, \u00e9\u0142zq. \u00e9\u0142zq's", "e\u0301x, \u4e2d\u6587. x1, 1. \u00b2\u00bd, \u2167."]
+    texts += [f"zzqxv{s} zzqxv{s}{s} zzqxv{s}s {s}zzqxv {s}" for s in signs]
+    for text in texts:
+        assert "".join(bpe.segments(text)) == text and bpe.segments(text) == bpe._SEGMENT.split(text)
+        want = [i for p in coder.compiled.findall(text) for i in ([ranks[p.encode()]] if p.encode() in ranks else bpe.merge(p.encode(), ranks, coder.joined))]
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == want, text
+    assert {"zzqxv", " zzqxv"} <= set(coder.kept) and "zzqxv," not in coder.kept and " zzqxv," not in coder.kept
