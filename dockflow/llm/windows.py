@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,13 @@ SHINGLE = 5
 FUNCTIONS = 4
 CHUNK = 128
 FEW = 4
+CONTEXT = 4
+SMALL = 1 << 20
 NEAR = 100
 SEGMENT_BYTES = 4 << 20
 _LINK = "doc long, other long, fn int, at int, shift int, left int, right int"
-_ROW = ["signature", "doc", "fn", "at", "left", "right"]
-_ROW_DDL = "signature long, doc long, fn int, at int, left int, right int"
+_ROW = ["signature", "doc", "mark", "at", "left", "right"]
+_ROW_DDL = "signature long, doc long, mark int, at int, left int, right int"
 _RUN, _SPAN = -1, -2
 _ANCHOR = ["anchor", "doc", "at", "left", "right", "ahead", "behind", "around"]
 _ANCHOR_DDL = "anchor long, doc long, at int, left int, right int, ahead long, behind long, around long"
@@ -35,6 +38,12 @@ def _settled(df: DataFrame, label: str) -> DataFrame:
         return settle(df, label)
 
 
+def _narrowed(texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The texts of ``docs``, a written table, before they are shuffled, where these are few enough to tell every task; else all texts."""
+    docs = docs.distinct()
+    return texts.join(F.broadcast(docs), "doc", "left_semi") if docs.count() <= SMALL else texts
+
+
 def compact_windows(values: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """(left, centre, right) for every subtree of the Cartesian tree of ``values`` that spans ``least`` or more."""
     found = cut_windows(values, least, np.zeros(1, np.int64), np.full(1, len(values), np.int64))
@@ -92,8 +101,26 @@ def _shingles(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return windows_of(word_hashes(body, starts, stops, lower=True), SHINGLE)[_spread(words[:-1], count)], offsets
 
 
-def _windows(least: int, functions: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _bits(functions: int) -> int:
+    """The low bits of a signature that tell its function."""
+    return (1 << (functions - 1).bit_length()) - 1
+
+
+def _marks(shingles: np.ndarray, offsets: np.ndarray, context: int) -> np.ndarray:
+    """Two 16-bit hashes in one number for each shingle: of the runs of ``context`` shingles that begin and end with it, 0 where the text has none."""
+    short = (run_hashes(shingles, context) >> np.uint64(48)).astype(np.uint32) | np.uint32(1)
+    place, number = np.arange(len(shingles)), np.diff(offsets)
+    out = np.zeros((2, len(shingles)), np.uint32)
+    out[0, : len(short)] = short
+    out[1, len(shingles) - len(short) :] = short
+    out[0, place + context > np.repeat(offsets[1:], number)] = 0
+    out[1, place - context + 1 < np.repeat(offsets[:-1], number)] = 0
+    return (out[0] << np.uint32(16) | out[1]).view(np.int32)
+
+
+def _windows(least: int, functions: int, context: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     seeds = mixed(np.arange(1, functions + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    bits = np.uint64(_bits(functions))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,25 +128,44 @@ def _windows(least: int, functions: int) -> Callable[[Iterator[pa.RecordBatch]],
                 docs = part.column("doc").to_numpy(zero_copy_only=False)
                 shingles, offsets = _shingles(part)
                 starts, stops = offsets[:-1], offsets[1:]
+                marks = _marks(shingles, offsets, context)
                 for fn in range(functions):
                     values = mixed(shingles ^ seeds[fn])
                     left, at, right = cut_windows(values, least, starts, stops)
                     row = np.searchsorted(stops, at, "right")
-                    columns = [np.full(len(at), fn), at - starts[row], at - left, right - at]
+                    signature = values[at] & ~bits | np.uint64(fn)
+                    columns = [marks[at], at - starts[row], at - left, right - at]
                     yield pa.record_batch(
-                        [pa.array(values[at].view(np.int64)), pa.array(docs[row]), *(pa.array(c.astype(np.int32)) for c in columns)], names=_ROW
+                        [pa.array(signature.view(np.int64)), pa.array(docs[row]), *(pa.array(c.astype(np.int32)) for c in columns)], names=_ROW
                     )
 
     return run
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _agreeing(rows: np.ndarray) -> np.ndarray:
+    """Which windows have the text ahead of their centres or behind them in common with another document of their signature."""
+    out = np.zeros(len(rows), bool)
+    for half in (0xFFFF, 0xFFFF0000):
+        part = rows[:, 2] & half
+        order = np.lexsort((rows[:, 1], part, rows[:, 0]))
+        key, doc = np.column_stack([rows[order, 0], part[order]]), rows[order, 1]
+        begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(rows)), bool), (key[1:] != key[:-1]).any(axis=1)]))
+        size = np.diff(np.append(begin, len(rows)))
+        # documents are in order within a key
+        shared = doc[begin] != doc[begin + size - 1]
+        out[order] |= np.repeat(shared, size) & (part[order] != 0)
+    return out
+
+
+def _links(batches: Iterator[pa.RecordBatch], bits: int | None = None) -> Iterator[pa.RecordBatch]:
     """Within each signature, join every window with that of the first document and that of the document before.
 
     Rows come ordered by signature and document. Of an unfinished signature at most five rows are carried on, so a
-    signature that a third of all documents share streams through. Up to three windows all meet each other. Windows
-    whose signature has more are also given out as they are (``_SPAN``): having the minimum in common does not mean
-    having the passage in common, so those are joined again by the anchors around their centres.
+    signature that a third of all documents share streams through. Up to three windows all meet each other, if the
+    text ahead of their centres or behind them is the same (``_marks``): a shingle alone is often a stock phrase.
+    Windows whose signature has more are also given out as they are (``_SPAN``): having the minimum in common does not
+    mean having the passage in common, so those are joined again by the anchors around their centres. ``bits`` are those
+    of the function in a signature; without them the rows are runs (``_RUN``).
     """
     carry = np.zeros((0, 6), np.int64)
     for batch in batches:
@@ -135,7 +181,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = rows[~same]
         index = np.arange(len(rows))
         change = np.ones(len(rows), bool)
-        change[1:] = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 2] != rows[:-1, 2])
+        change[1:] = rows[1:, 0] != rows[:-1, 0]
         fresh = change.copy()
         fresh[1:] |= rows[1:, 1] != rows[:-1, 1]
         first = np.maximum.accumulate(np.where(change, index, 0))
@@ -146,10 +192,19 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = np.concatenate([index[later], index[chained]])
         other = np.concatenate([first[later], before[chained]])
         a, b = rows[mine], rows[other]
-        out = [a[:, 1], b[:, 1], a[:, 2], a[:, 3], b[:, 3] - a[:, 3], np.minimum(a[:, 4], b[:, 4]), np.minimum(a[:, 5], b[:, 5])]
-        many = (index >= kept) & (index - first >= 3) & (rows[:, 2] >= 0)
+        mark, differ = a[:, 2], a[:, 2] ^ b[:, 2]
+        alike = np.zeros(len(a), bool)
+        for half in (0xFFFF, 0xFFFF0000):
+            alike |= (mark & half != 0) & (differ & half == 0)
+        a, b = a[alike], b[alike]
+        fn = np.full(len(a), _RUN) if bits is None else a[:, 0] & bits
+        out = [a[:, 1], b[:, 1], fn, a[:, 3], b[:, 3] - a[:, 3], np.minimum(a[:, 4], b[:, 4]), np.minimum(a[:, 5], b[:, 5])]
+        many = (index >= kept) & (index - first >= 3) & (bits is not None)
         fourth = index[many & (index - first == 3)]
-        spans = rows[np.concatenate([index[many], fourth - 1, fourth - 2, fourth - 3])]
+        picked = np.concatenate([index[many], fourth - 1, fourth - 2, fourth - 3])
+        # of a signature that is here from its beginning to its end, only those that agree with another document
+        inside = (first[picked] >= kept) & (first[picked] < first[-1])
+        spans = rows[np.concatenate([picked[~inside], picked[inside][_agreeing(rows[picked[inside]])]])]
         kind = np.full(len(spans), _SPAN)
         out = [np.concatenate(x) for x in zip(out, [spans[:, 1], spans[:, 1], kind, spans[:, 3], 0 * kind, spans[:, 4], spans[:, 5]], strict=True)]
         kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5]
@@ -221,14 +276,7 @@ def _anchors(least: int, share: float) -> Callable[[Iterator[pa.RecordBatch]], I
                 row_of[_spread(begin, number)] = shingles
                 short, needed, wide = runs_of_lengths(row_of, size, need, least)
                 keys, needed = mixed(short), needed.view(np.int64)
-                start = _spread(begin, np.maximum(number - size - every + 2, 0))
-                lowest, back = keys[start], np.zeros(len(start), np.int64)
-                for k in range(1, every):
-                    less = keys[start + k] < lowest
-                    lowest, back = np.where(less, keys[start + k], lowest), np.where(less, k, back)
-                held = np.zeros(len(row_of), bool)
-                held[start + back] = True
-                at = np.flatnonzero(held)
+                at = _smallest(keys, _spread(begin, np.maximum(number - size - every + 2, 0)), every)
                 base = np.repeat(begin, asked)
                 centre, left, right = base + centre, base + centre - left, base + centre + right
                 first = np.searchsorted(at, np.maximum(left, centre - least + 1))
@@ -255,7 +303,7 @@ def _anchors(least: int, share: float) -> Callable[[Iterator[pa.RecordBatch]], I
 
 
 def _batch_of(rows: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    short = {"fn", "at", "shift", "left", "right"}
+    short = {"fn", "mark", "at", "shift", "left", "right"}
     return pa.record_batch([pa.array(rows[:, i].astype(np.int32 if c in short else np.int64)) for i, c in enumerate(names)], names=names)
 
 
@@ -331,21 +379,114 @@ def _classes(spans: DataFrame, least: int, share: float) -> DataFrame:
     return tied.join(up, ["anchor", "doc"], "left").withColumn("class", F.coalesce("up", "doc"))
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    """(anchor, class, one, members): documents equal wherever a passage may reach are one member, ``one`` is the smallest."""
+def _several(classes: DataFrame) -> DataFrame:
+    """(anchor, class, doc, place, left, right) where an anchor has several classes: of documents equal wherever a passage may reach, the smallest."""
+    several = classes.groupBy("anchor").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("anchor")
     equal = classes.groupBy("anchor", "class", "around").agg(F.min(F.struct("doc", "place", "left", "right")).alias("member"))
-    return equal.groupBy("anchor", "class").agg(F.min("member").alias("one"), F.collect_list("member").alias("members"))
+    return equal.join(several, "anchor").select("anchor", "class", "member.*")
+
 
+def beside_shape(least: int, share: float) -> tuple[int, list[int], int, int, int]:
+    """(run, steps, short, every, reach): what two passages around a common anchor have in common besides it.
 
-def _between(members: DataFrame) -> DataFrame:
-    """Pairs of classes of an anchor, with their smallest documents as ``doc`` and ``other``."""
-    a, b = (members.select("anchor", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "one", "members"))) for side in "ab")
-    pairs = a.join(b, "anchor").filter(F.col("one_a.doc") > F.col("one_b.doc"))
-    return pairs.withColumn("doc", F.col("one_a.doc")).withColumn("other", F.col("one_b.doc"))
+    They have ``need`` shingles in common, which one change cuts into two runs, one of them with the anchor. Either that
+    run is long: then a run of ``run`` shingles that begins one of ``steps`` before the anchor is the same. Or the other
+    one, at most ``reach`` away, is long enough for the smallest hash of ``every`` neighbouring runs of ``short``.
 
+    Similarity is that of sets, so shingles of one word over and over count once: such a run besides the anchor does not
+    make up for what a change costs. An anchor of up to four different shingles, as of one repeated word, says no more
+    than these: passages of nothing else share a run of ``need``, others also have some other shingle in common that is
+    not one repeated word, since four such lie between any two repeated words.
+    """
+    size, _, need = anchor_shape(least, share)
+    other = max(1, (need - size + 1) // 2)
+    more = max(0, need - size - other + 1)
+    step = min(5, more + 1)
+    short = (other + 2) // 3
+    return size + more - step + 1, sorted({min(x, more - step + 1) for x in range(0, more + 1, step)}), short, other - short + 1, math.ceil(least / share)
+
+
+def _smallest(keys: np.ndarray, start: np.ndarray, every: int) -> np.ndarray:
+    """The places of the smallest of ``every`` keys from each of ``start``, the first of equal ones, in order."""
+    lowest, back = keys[start], np.zeros(len(start), np.int64)
+    for k in range(1, every):
+        less = keys[start + k] < lowest
+        lowest, back = np.where(less, keys[start + k], lowest), np.where(less, k, back)
+    held = np.zeros(len(keys), bool)
+    held[start + back] = True
+    return np.flatnonzero(held)
+
+
+def _beside(least: int, share: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The wanted anchors of each text, a row for each hash of what else a passage with the anchor may share (``beside_shape``)."""
+    size = anchor_shape(least, share)[0]
+    length, steps, short, every, reach = beside_shape(least, share)
+    names = ["anchor", "class"]
 
-def _joined(pairs: DataFrame) -> DataFrame:
-    """Links of (a, b), two places of an anchor."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                wanted = part.column("wanted")
+                row = np.repeat(np.arange(part.num_rows), pc.list_value_length(wanted).to_numpy(zero_copy_only=False))
+                fields = wanted.flatten()
+                shingles, offsets = _shingles(part)
+                begin, end = offsets[row], offsets[row + 1]
+                at = begin + fields.field("place").to_numpy(zero_copy_only=False)
+                runs, long = runs_of_lengths(shingles, short, length)
+                runs = mixed(runs)
+                owner, keys = [], []
+                same = np.zeros(len(shingles), bool)
+                same[1:] = shingles[1:] == shingles[:-1]
+                same[:-1] |= same[1:].copy()
+                own = np.sort(shingles[at[:, None] + np.arange(size)], axis=1)
+                fresh = np.ones(own.shape, bool)
+                fresh[:, 1:] = own[:, 1:] != own[:, :-1]
+                plain = fresh.sum(axis=1) <= FEW
+                for step in steps:
+                    mine = np.flatnonzero(~plain & (at - step >= begin) & (at - step + length <= end))
+                    owner.append(mine)
+                    keys.append(mixed(long[at[mine] - step] ^ np.uint64(step + 2)))
+                place = _smallest(runs, _spread(offsets[:-1], np.maximum(np.diff(offsets) - short - every + 2, 0)), every)
+                place = place[~same[place] | (shingles[place] != shingles[place + short - 1])]
+                sides = [(np.maximum(at + size - reach, begin), at), (at + size, np.minimum(at + reach, end))]
+                for side, (low, high) in enumerate(sides):
+                    first = np.searchsorted(place, low)
+                    count = np.where(plain, 0, np.maximum(np.searchsorted(place, high - short, "right") - first, 0))
+                    owner.append(np.repeat(np.arange(len(at)), count))
+                    keys.append(mixed(runs[place[_spread(first, count)]] ^ np.uint64(side)))
+                place = np.flatnonzero(~same)
+                first = np.searchsorted(place, sides[0][0])
+                count = np.where(plain, np.searchsorted(place, sides[1][1]) - first, 0)
+                mine, other = np.repeat(np.arange(len(at)), count), shingles[place[_spread(first, count)]]
+                beyond = (own[mine] != other[:, None]).all(axis=1)
+                pairs = np.unique(np.column_stack([mine[beyond].astype(np.uint64), mixed(other[beyond])]), axis=0)
+                owner, keys = np.concatenate([*owner, pairs[:, 0].astype(np.int64)]), np.concatenate([*keys, pairs[:, 1]]).view(np.int64)
+                kept = fields.take(pa.array(owner))
+                yield pa.record_batch([*(kept.field(c) for c in names), part.column("doc").take(pa.array(row[owner])), pa.array(keys)], names=[*names, "doc", "key"])
+
+    return run
+
+
+def _between(beside: DataFrame) -> DataFrame:
+    """(anchor, class_a, class_b, doc_a, doc_b): classes of an anchor that share more than it, with the smallest documents that do."""
+    ones = beside.groupBy("anchor", "key", "class").agg(F.min("doc").alias("doc"))
+    a, b = (ones.select("anchor", "key", F.col("class").alias(f"class_{side}"), F.col("doc").alias(f"doc_{side}")) for side in "ab")
+    pairs = a.join(b, ["anchor", "key"]).filter(F.col("class_a") > F.col("class_b"))
+    return pairs.groupBy("anchor", "class_a", "class_b").agg(F.min(F.struct("doc_a", "doc_b")).alias("best")).select("anchor", "class_a", "class_b", "best.*")
+
+
+def _apart(beside: DataFrame, between: DataFrame) -> DataFrame:
+    """The same for all documents of the pairs of classes of ``between``, besides those that are there."""
+    a, b = (beside.select("anchor", "key", F.col("class").alias(f"class_{side}"), F.col("doc").alias(f"doc_{side}")) for side in "ab")
+    wanted = between.select("anchor", "class_a", "class_b").join(a, ["anchor", "class_a"])
+    return wanted.join(b, ["anchor", "key", "class_b"]).select(*between.columns).distinct().join(between, between.columns, "left_anti")
+
+
+def _joined(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Links of the documents of ``between`` at the places that they have the anchor."""
+    for side in "ab":
+        there = members.select("anchor", F.col("class").alias(f"class_{side}"), F.col("doc").alias(f"doc_{side}"), F.struct("doc", "place", "left", "right").alias(side))
+        pairs = pairs.join(there, ["anchor", f"class_{side}", f"doc_{side}"])
     pairs = pairs.filter(F.col("a.doc") != F.col("b.doc")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     return pairs.select(
         F.col("a.doc").alias("doc"),
@@ -470,6 +611,11 @@ def _longest(hit: np.ndarray, penalty: float, least: int) -> tuple[int, int]:
 
     For every place the farthest one whose running sum is no smaller is found among the largest sums from there on.
     """
+    hits = int(np.count_nonzero(hit))
+    if hits == len(hit) and hits >= least:
+        return 0, hits
+    if hits * (1 + 1 / penalty) < least - 1:
+        return 0, 0
     total = np.concatenate([[0.0], np.cumsum(np.where(hit, 1.0, -penalty))])
     ahead = np.maximum.accumulate(total[::-1])[::-1]
     far = np.searchsorted(-ahead, -total, "right") - 1
@@ -551,6 +697,7 @@ def _compared(texts: DataFrame, links: DataFrame, least: int, share: float, enou
         ).alias("w")
     )
     wanted = _by_document(wanted.select("w.*"), ["pair", "side", "start", "stop"])
+    texts = _narrowed(texts, regions.select("doc").unionByName(regions.select(F.col("other").alias("doc"))))
     read = texts.select("doc", "text").join(wanted, "doc").select("text", "wanted").mapInArrow(_segments, "pair long, side int, start long, segment binary")
     both = read.groupBy("pair").agg(
         F.max(F.when(F.col("side") == 0, F.struct("start", "segment"))).alias("a"), F.max(F.when(F.col("side") == 1, F.struct("start", "segment"))).alias("b")
@@ -581,39 +728,46 @@ def repeated_passages(
     """
     least = words - SHINGLE + 1
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).withColumn("doc", F.xxhash64("text"))
-    linked = lambda rows: rows.repartition("signature").sortWithinPartitions("signature", "fn", "doc", "at").mapInArrow(_links, _LINK)
-    links = _settled(linked(texts.select("doc", "text").mapInArrow(_windows(least, functions), _ROW_DDL)), "passage-links")
+    # a passage has a common run of four times so many shingles
+    size, every, _ = anchor_shape(least, share)
+    context = max(1, min(CONTEXT, (size + every - 1) // 4))
+    linked = lambda rows, bits: rows.repartition("signature").sortWithinPartitions("signature", "doc", "at").mapInArrow(partial(_links, bits=bits), _LINK)
+    links = _settled(linked(texts.select("doc", "text").mapInArrow(_windows(least, functions, context), _ROW_DDL), _bits(functions)), "passage-links")
     spans = _by_document(links.filter(F.col("fn") == _SPAN).select("doc", "at", "left", "right").distinct(), ["at", "left", "right"], chunk=1 << 40)
     anchors = _settled(texts.select("doc", "text").join(spans, "doc").select("doc", "text", "wanted").mapInArrow(_anchors(least, share), _ANCHOR_DDL), "passage-anchors")
-    runs = anchors.select(F.explode(F.array("ahead", "behind")).alias("signature"), "doc", F.lit(_RUN).alias("fn"), "at", "left", "right").filter(F.col("signature") != 0)
+    runs = anchors.select(F.explode(F.array("ahead", "behind")).alias("signature"), "doc", F.lit(-1).alias("mark"), "at", "left", "right").filter(F.col("signature") != 0)
     met = _settled(
         anchors.repartition("anchor").sortWithinPartitions("anchor", "doc", "at").mapInArrow(_meet(FEW), _LINK + ", anchor long, ahead long, behind long, around long"), "passage-anchors-met"
     )
     names = links.columns
-    links = links.filter(F.col("fn") >= 0).unionByName(linked(runs)).unionByName(met.filter(F.col("fn") == _RUN).select(*names))
+    links = links.filter(F.col("fn") >= 0).unionByName(linked(runs, None)).unionByName(met.filter(F.col("fn") == _RUN).select(*names))
     classes = _settled(_classes(met.filter(F.col("fn") == _SPAN), least, share), "passage-classes")
-    between = _settled(_between(_members(classes)), "passage-class-pairs")
-    links = links.unionByName(_joined(between.select(F.col("one_a").alias("a"), F.col("one_b").alias("b")))).distinct()
+    members = _settled(_several(classes), "passage-members")
+    wanted = _by_document(members.select("doc", "anchor", "class", "place"), ["anchor", "class", "place"])
+    beside = _settled(
+        _narrowed(texts, members.select("doc")).select("doc", "text").join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(_beside(least, share), "anchor long, class long, doc long, key long"),
+        "passage-beside",
+    )
+    between = _settled(_between(beside), "passage-class-pairs")
+    links = links.unionByName(_joined(between, members)).distinct()
     found = _settled(_compared(texts, links, least, share, enough, drift), "passages-found")
-    # classes that no pair of their documents ties yet: where the smallest are not alike, others may be
+    # classes that no pair of their documents ties yet: where the first are not alike, others may be
     pairs = found.select("doc", "other").distinct()
     a, b = (classes.select("anchor", F.col("doc").alias(name), F.col("class").alias(f"class_{name}")).distinct() for name in ("doc", "other"))
-    tied = pairs.join(a, "doc").join(b, ["anchor", "other"]).select("anchor", F.greatest("class_doc", "class_other").alias("upper"), F.least("class_doc", "class_other").alias("lower"))
-    apart = between.withColumn("upper", F.greatest("class_a", "class_b")).withColumn("lower", F.least("class_a", "class_b"))
-    apart = apart.filter((F.size("members_a") > 1) | (F.size("members_b") > 1)).join(tied.distinct(), ["anchor", "upper", "lower"], "left_anti")
-    apart = apart.select(F.explode("members_a").alias("a"), "members_b").select("a", F.explode("members_b").alias("b"))
-    more = _joined(apart).distinct().join(pairs, ["doc", "other"], "left_anti").select(*names)
+    tied = pairs.join(a, "doc").join(b, ["anchor", "other"]).select("anchor", F.greatest("class_doc", "class_other").alias("class_a"), F.least("class_doc", "class_other").alias("class_b"))
+    apart = between.join(tied.distinct(), ["anchor", "class_a", "class_b"], "left_anti")
+    more = _joined(_settled(_apart(beside, apart), "passage-class-pairs"), members).distinct().join(pairs, ["doc", "other"], "left_anti").select(*names)
     found = found.unionByName(_settled(_compared(texts, more, least, share, enough, drift), "passages-found"))
-    heads = _settled(
-        texts.select("doc", "doc_id", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_words")).distinct(),
-        "passage-documents",
-    )
+    heads = _settled(texts.select("doc", "doc_id").distinct(), "passage-documents")
     ids = heads.groupBy("doc").agg(F.min("doc_id").alias("head"))
     named = (
         found.join(ids.select("doc", F.col("head").alias("doc_id")), "doc")
         .join(ids.select(F.col("doc").alias("other"), F.col("head").alias("other_id")), "other")
     )
-    copies = heads.filter(F.col("n_words") >= words).join(ids, "doc").filter(~F.col("doc_id").eqNullSafe(F.col("head")))
+    again = _settled(heads.join(ids, "doc").filter(~F.col("doc_id").eqNullSafe(F.col("head"))), "passage-copies")
+    n_words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_words")
+    sizes = _settled(_narrowed(texts, again.select("doc")).select("doc", n_words).distinct(), "passage-sizes")
+    copies = again.join(sizes.filter(F.col("n_words") >= words), "doc")
     zero = F.lit(0).cast("long")
     return named.select("doc_id", "start_word", "end_word", "other_id", "other_start", "other_end", "similarity").unionByName(
         copies.select(

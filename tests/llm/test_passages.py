@@ -167,3 +167,59 @@ def test_anchors_of_many_texts_are_those_of_each():
         assert all(x[0] == keys[x[2]] for x in mine)
         assert [x[5] for x in mine] == [int(runs[x[2]]) if x[2] + need <= len(shingles) else 0 for x in mine]
         assert [x[6] for x in mine] == [int(runs[x[2] + size - need]) if x[2] + size >= need else 0 for x in mine]
+
+
+def compared_pairs(monkeypatch):
+    """How many pairs of documents each call of ``_compared`` gets."""
+    counts, real = [], windows._compared
+
+    def counted(texts, links, *rest):
+        counts.append(links.select("doc", "other").distinct().count())
+        return real(texts, links, *rest)
+
+    monkeypatch.setattr(windows, "_compared", counted)
+    return counts
+
+
+def test_pairs_compared_around_a_common_phrase_grow_with_the_documents(documents, monkeypatch):
+    # all share 24 words and little else; ten have the passage of ten others around them, with a word changed
+    phrase = prose(61, 24, 100000).split()
+    rows, want = [], []
+    for k in range(200):
+        before, after = prose(210000 + k, 45, 100000).split(), prose(220000 + k, 45, 100000).split()
+        rows.append((k, " ".join([*before, *phrase, *after])))
+        if k < 10:
+            edited = [*before[:41], "changed", *before[42:]] if k % 2 else [*before, *phrase, *after[:2], "changed", *after[3:]]
+            edited = [*edited, *phrase, *after[:22], prose(230000 + k, 30, 100000)] if k % 2 else edited[20:]
+            rows.append((1000 + k, " ".join(edited)))
+            want.append((k, 1000 + k))
+    random.Random(6).shuffle(rows)
+    counts = compared_pairs(monkeypatch)
+    got = {tuple(sorted((r["doc_id"], r["other_id"]))) for r in windows.repeated_passages(documents(rows)).collect()}
+    assert set(want) <= got
+    assert sum(counts) < 10 * len(rows)
+
+
+def test_pairs_compared_around_a_repeated_word_grow_with_the_documents(documents, monkeypatch):
+    # every text repeats a word of all, between two repeated words of its own; some have a copy whose repeats are shorter
+    rows, want = [], []
+    for k in range(150):
+        rows.append((k, " ".join([f"a{k}"] * 25 + ["the"] * 30 + [f"b{k}"] * 25)))
+        if k < 10:
+            rows.append((1000 + k, " ".join([f"a{k}"] * 20 + ["the"] * 24 + [f"b{k}"] * 20)))
+            want.append((k, 1000 + k))
+    random.Random(7).shuffle(rows)
+    counts = compared_pairs(monkeypatch)
+    got = {tuple(sorted((r["doc_id"], r["other_id"]))) for r in windows.repeated_passages(documents(rows)).collect()}
+    assert set(want) <= got
+    assert sum(counts) < 10 * len(rows)
+
+
+def test_windows_meet_where_the_text_beside_their_centres_agrees():
+    rows = [(8, d, m, 40, 30, 30) for d, m in ((1, 0x10002), (2, 0x10003), (3, 0x40005), (4, 0x70003), (5, 0x90000))]
+    rows += [(16, d, 0x10002, 40, 30, 30) for d in (1, 2)]
+    batch = windows._batch_of(np.array(rows, np.int64), windows._ROW)
+    out = [x for part in windows._links(iter([batch]), 3) for x in part.to_pylist()]
+    assert {(x["doc"], x["other"]) for x in out if x["fn"] >= 0} == {(2, 1)}
+    # the last signature may go on; of the other one, those that agree with someone are joined again
+    assert sorted(x["doc"] for x in out if x["fn"] == windows._SPAN) == [1, 2, 4]
