@@ -592,10 +592,9 @@ def _by_document(wanted: DataFrame, fields: list[str], chunk: int = CHUNK) -> Da
     return dealt.groupBy("doc", "part").agg(F.collect_list(F.struct(*fields)).alias("wanted")).select("doc", "wanted")
 
 
-def _among(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of ``a`` are in ``b``."""
-    known = np.sort(b)
-    return known[np.minimum(np.searchsorted(known, a), len(known) - 1)] == a
+def _among(a: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``a`` are in ``known``, which is sorted."""
+    return known.take(known.searchsorted(a), mode="clip") == a
 
 
 def _distinct(a: np.ndarray) -> np.ndarray:
@@ -609,18 +608,22 @@ def _distinct(a: np.ndarray) -> np.ndarray:
 def _longest(hit: np.ndarray, penalty: float, least: int) -> tuple[int, int]:
     """The longest run in which hits outweigh ``penalty`` times the rest, without misses at its ends beyond ``least``.
 
-    For every place the farthest one whose running sum is no smaller is found among the largest sums from there on.
+    For places with a running sum below all before, others would be inside a longer run, the farthest one whose sum is
+    no smaller is found among the largest sums from there on.
     """
     hits = int(np.count_nonzero(hit))
     if hits == len(hit) and hits >= least:
         return 0, hits
     if hits * (1 + 1 / penalty) < least - 1:
         return 0, 0
-    total = np.concatenate([[0.0], np.cumsum(np.where(hit, 1.0, -penalty))])
-    ahead = np.maximum.accumulate(total[::-1])[::-1]
-    far = np.searchsorted(-ahead, -total, "right") - 1
-    start = int(np.argmax(far - np.arange(len(total))))
-    stop = int(far[start])
+    total = np.zeros(len(hit) + 1)
+    np.where(hit, 1.0, -penalty).cumsum(out=total[1:])
+    lowest = np.minimum.accumulate(total)
+    places = np.concatenate([[0], (total[1:] < lowest[:-1]).nonzero()[0] + 1])
+    behind = np.maximum.accumulate(total[::-1])
+    far = len(hit) - behind.searchsorted(total[places])
+    best = int((far - places).argmax())
+    start, stop = int(places[best]), int(far[best])
     inside = np.flatnonzero(hit[start:stop])
     if stop - start < least or not len(inside):
         return 0, 0
@@ -643,7 +646,7 @@ def common_passages(a: np.ndarray, b: np.ndarray, least: int, share: float) -> I
         return
     whole = float(len(a) + len(b) + 1)
     loose = share / (1 - share) if share < 1 else whole
-    hit = _among(a, b)
+    hit = _among(a, np.sort(b)) if len(b) else np.zeros(len(a), bool)
     todo = [(0, len(a))]
     while todo:
         left, right = todo.pop()
@@ -655,11 +658,12 @@ def common_passages(a: np.ndarray, b: np.ndarray, least: int, share: float) -> I
             if e - s < least:
                 break
             s, e = s + left, e + left
-            t, f = _longest(_among(b, a[s:e]), penalty, least)
+            x = _distinct(a[s:e])
+            t, f = _longest(_among(b, x), penalty, least)
             if f - t < least:
                 continue
-            x, y = _distinct(a[s:e]), _distinct(b[t:f])
-            both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            y = _distinct(b[t:f])
+            both = int(np.count_nonzero(_among(x, y)))
             alike = both / (len(x) + len(y) - both)
             if alike >= share:
                 yield s, e, t, f, alike
